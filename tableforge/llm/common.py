@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -112,26 +113,27 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def powers(base: int, n: int) -> np.ndarray:
+@lru_cache(maxsize=2)
+def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n + 1, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 to base ** n modulo 2 ** 64."""
+    return _powers(base, 1 << n.bit_length())[: n + 1] if n <= BLOCK_BYTES else _powers.__wrapped__(base, n)
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the white-space separated words of each row, and where each row's words start."""
     text = _LOWER[data] if lower else data
-    gap = _SPACE[data]
-    first = np.ones(len(data) + 1, bool)
-    first[1:] = np.append(gap, True)
-    first[offsets] = True  # a row's start ends the word of the row before
-    inside = ~gap
-    starts = np.flatnonzero(inside & first[:-1])
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    ends = np.flatnonzero(inside & np.append(gap[1:], True) | inside & first[1:] & np.isin(np.arange(1, len(data) + 1), offsets)) + 1
-    step = powers(_BASE, len(data))
+    inside = ~_SPACE[data]
+    cut = np.zeros(len(data) + 1, bool)  # before each byte: a row's start parts words too
+    cut[offsets] = True
+    starts = np.flatnonzero(inside & (cut[:-1] | np.append(True, ~inside[:-1])[: len(data)]))
+    ends = np.flatnonzero(inside & (cut[1:] | np.append(~inside[1:], True)[: len(data)])) + 1
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * step[:-1], out=total[1:], dtype=np.uint64)
+    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data))[:-1], out=total[1:], dtype=np.uint64)
     hashes = mix((total[ends] - total[starts]) * powers(_INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
     return hashes, np.searchsorted(starts, offsets)
