@@ -69,6 +69,16 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
+def annotated(df: DataFrame, columns: list[str], fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, prefix: str) -> DataFrame:
+    """All columns of ``df`` and, under ``prefix``, those that ``fn`` makes of ``columns`` (behind its first, the id)."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        made = fn(batch.select(columns))
+        return pa.RecordBatch.from_arrays([*batch.columns, *made.columns[1:]], [*batch.schema.names, *(prefix + n for n in made.schema.names[1:])])
+
+    return map_arrow(df, run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [prefix + x.strip() for x in schema.split(",")]))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows on end, and where each row starts (one more entry than rows); null counts as empty."""
     column = column.fill_null("") if column.null_count else column

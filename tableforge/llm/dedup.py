@@ -220,5 +220,14 @@ def near_duplicates(df: DataFrame, similarity: int = SIMILARITY, id_col: str = "
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` per group of near duplicates, that with the smallest id. ``docs`` must read files, so that row
+    numbers are the same in each pass."""
+    key = F.struct(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"))
+    keyed = docs.withColumn("_key", key)
+    gone = near_duplicates(keyed.select("_key", text_col), id_col="_key", text_col=text_col).where(~F.col("kept")).select("_key")
+    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)
+
+
 def op8_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(common.documents(spark, sf_dir))

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from tableforge.llm import common
 
 BUCKETS, SIZES, WIDTH = 8192, (2, 3, 4), 16
-#: Bound of the training sample: documents per language, and languages.
-SAMPLE, LANGUAGES = 300, 256
+#: Bound of the training sample: documents per language, languages, and characters of a document that may be in it.
+SAMPLE, LANGUAGES, SAMPLE_CHARS = 300, 256, 200_000
 PIECES = (1, 2, 4, 8, 16, 40)
 EPOCHS, RATE = 40, 2.0
 _LETTER = re.compile(r"[^\W\d_]")
@@ -34,16 +34,20 @@ _CLEAN[65:91] = np.arange(97, 123)
 _CLEAN[128:] = np.arange(128, 256)
 
 
-def subwords(data: np.ndarray) -> list[np.ndarray]:
-    """For each size, the bucket of the run of bytes that starts at each place (runs may reach into the next row)."""
-    text = np.concatenate([_CLEAN[data], np.full(max(SIZES), 32, np.uint8)]).astype(np.uint32)
-    out, n = [], len(data)
+def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each size, the buckets of the runs of bytes in each row, and where each row's begin. A row stands between
+    blanks, so that its runs don't depend on its neighbours."""
+    pad, n = max(SIZES), len(offsets) - 1
+    starts = offsets + pad * np.arange(n + 1)
+    text = np.full(starts[-1] + pad, 32, np.uint32)
+    text[np.arange(len(data)) + np.repeat(pad * np.arange(n) + 1, np.diff(offsets))] = _CLEAN[data]
+    out = []
     for size in SIZES:
-        h = np.full(n, size, np.uint32)
+        h = np.full(starts[-1], size, np.uint32)
         for k in range(size):
-            h = (h ^ text[k : n + k]) * np.uint32(0x01000193)
+            h = (h ^ text[k : k + len(h)]) * np.uint32(0x01000193)
         out.append(((h ^ (h >> np.uint32(15))) % np.uint32(BUCKETS)).astype(np.int32))
-    return out
+    return out, starts
 
 
 @dataclass
@@ -55,9 +59,10 @@ class Model:
     least: float = 0.0
 
     def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        n = np.maximum(np.diff(offsets) * len(SIZES), 1)
+        buckets, offsets = subwords(data, offsets)
+        n = np.diff(offsets) * len(SIZES)
         total = np.zeros((len(offsets) - 1, len(self.languages)))
-        for bucket in subwords(data):
+        for bucket in buckets:
             for k in range(len(self.languages)):
                 total[:, k] += common.sums(self.scores[:, k][bucket], offsets, np.float64)
         return total / n[:, None] + self.bias
@@ -71,16 +76,11 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def separated(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and starts of texts, each between blanks."""
-    return common.text_bytes(pa.array([f" {t} " + " " * max(SIZES) for t in texts]))
-
-
 def bags(texts: list[str]) -> np.ndarray:
-    data, offsets = separated(texts)
+    buckets, offsets = subwords(*common.text_bytes(pa.array(texts, pa.string())))
     row = np.repeat(np.arange(len(texts)), np.diff(offsets))
     out = np.zeros((len(texts), BUCKETS), np.float32)
-    for bucket in subwords(data):
+    for bucket in buckets:
         np.add.at(out, (row, bucket), 1)
     return out / np.maximum(out.sum(1, keepdims=True), 1)
 
@@ -124,7 +124,7 @@ def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
             bias -= 0.1 * rate * error.sum(0)
     model = Model(languages, embedding @ linear, bias.astype(np.float64))
     if texts[1]:
-        logits, y = model.logits(*separated(texts[1])), np.array(target[1])
+        logits, y = model.logits(*common.text_bytes(pa.array(texts[1], pa.string()))), np.array(target[1])
         grid = np.geomspace(0.05, 20, 60)
         loss = [-np.log(np.maximum(softmax(g * logits)[np.arange(len(y)), y], 1e-12)).mean() for g in grid]
         model.sharpness = float(grid[int(np.argmin(loss))])
@@ -139,12 +139,12 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     if not counts:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
     share = F.element_at(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, sample / n))]), F.col(lang_col))
-    rows = df.where(F.col(lang_col).isin(list(counts)) & (common.spread(id_col) < share)).select(id_col, F.coalesce(text_col, F.lit("")), lang_col)
+    rows = df.where(F.col(lang_col).isin(list(counts)) & (common.spread(id_col) < share) & (F.length(F.coalesce(text_col, F.lit(""))) <= SAMPLE_CHARS)).select(id_col, F.coalesce(text_col, F.lit("")), lang_col)
     return train([tuple(r) for r in rows.limit(3 * sample * len(counts)).collect()])
 
 
-def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, lang_pred, score, rejected of every document."""
+def identifier(model: Model, id_col: str = "doc_id"):
+    """The step over Arrow batches (id, text) that ``identify`` takes."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(1).to_pylist()
@@ -160,13 +160,28 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         reject = (score < model.least) | (lang == "und")
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(reject)], [id_col, "lang_pred", "score", "rejected"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return common.map_arrow(df.select(id_col, text_col), run, f"`{id_col}` {kind}, lang_pred string, score double, rejected boolean")
+    return run
+
+
+RESULT = "lang_pred string, score double, rejected boolean"
+
+
+def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, lang_pred, score, rejected of every document."""
+    return common.map_arrow(df.select(id_col, text_col), identifier(model, id_col), f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, {RESULT}")
+
+
+def keep_identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that aren't rejected, with their own columns."""
+    return common.annotated(docs, [id_col, text_col], identifier(model), RESULT, "_lang_").where("NOT _lang_rejected").select(*docs.columns)
+
+
+def learnable(id_col: str = "doc_id"):
+    """Rows that the model may learn from."""
+    return F.coalesce(common.fold(4, id_col) != 2, F.lit(False))
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir, "doc_id", "text", "lang")
-    held_out = common.fold(4) == 2
-    model = fit(docs.where(~F.coalesce(held_out, F.lit(True))))
-    out = identify(docs, model).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    out = identify(docs, fit(docs.where(learnable()))).withColumn("held_out", F.coalesce(common.fold(4) == 2, F.lit(False)))
     return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")

@@ -19,6 +19,7 @@ from re import _parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tableforge.llm import common
 
@@ -129,8 +130,11 @@ def spans_of(texts: list[str]) -> list[list[tuple[int, int, int]]]:
     return [sorted(s) for s in out]
 
 
-def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", redact: bool = False) -> DataFrame:
-    """id, counts of the base kinds, base_sha256, spans; with ``redact`` also the text with every span blanked out."""
+RESULT = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+
+
+def scanner(id_col: str = "doc_id", redact: bool = False):
+    """The step over Arrow batches (id, text) that ``secret_scan`` takes."""
     names = [id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans", *["redacted"] * redact]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -145,8 +149,18 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
             columns.append(pa.array([redacted(t, s) if s else t for t, s in zip(batch.column(1).to_pylist(), found, strict=True)], pa.string()))
         return pa.RecordBatch.from_arrays(columns, names)
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return common.map_arrow(df.select(id_col, text_col), run, f"`{id_col}` {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string{', redacted string' * redact}")
+    return run
+
+
+def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, counts of the base kinds, base_sha256 and spans of every document."""
+    return common.map_arrow(df.select(id_col, text_col), scanner(id_col), f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, {RESULT}")
+
+
+def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with every span in their texts starred out (lengths stay)."""
+    made = common.annotated(docs, [id_col, text_col], scanner(redact=True), f"{RESULT}, redacted string", "_secret_")
+    return made.withColumn(text_col, F.col("_secret_redacted")).select(*docs.columns)
 
 
 def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
