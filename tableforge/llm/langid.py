@@ -24,9 +24,9 @@ from tableforge.llm import common
 
 BUCKETS, SIZES, WIDTH = 8192, (2, 3, 4), 16
 #: Bound of the training sample: documents per language, languages, and characters of a document that may be in it.
-SAMPLE, LANGUAGES, SAMPLE_CHARS = 300, 256, 200_000
+SAMPLE, LANGUAGES, SAMPLE_CHARS = 200, 256, 200_000
 PIECES = (1, 2, 4, 8, 16, 40)
-EPOCHS, RATE = 40, 2.0
+EPOCHS, RATE = 15, 2.0
 _LETTER = re.compile(r"[^\W\d_]")
 _CLEAN = np.full(256, 32, np.uint8)
 _CLEAN[97:123] = np.arange(97, 123)
@@ -76,13 +76,13 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def bags(texts: list[str]) -> np.ndarray:
-    buckets, offsets = subwords(*common.text_bytes(pa.array(texts, pa.string())))
-    row = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    out = np.zeros((len(texts), BUCKETS), np.float32)
-    for bucket in buckets:
-        np.add.at(out, (row, bucket), 1)
-    return out / np.maximum(out.sum(1, keepdims=True), 1)
+def bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The buckets of each text and their shares."""
+    out = []
+    for text in texts:
+        places, n = np.unique(np.concatenate(subwords(*common.text_bytes(pa.array([text], pa.string())))[0]), return_counts=True)
+        out.append((places, (n / n.sum()).astype(np.float32)))
+    return out
 
 
 def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
@@ -115,11 +115,14 @@ def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
         order = rng.permutation(len(y))
         for lo in range(0, len(y), 64):
             some = order[lo : lo + 64]
-            mean = x[some] @ embedding
+            bag = np.zeros((len(some), BUCKETS), np.float32)
+            for k, i in enumerate(some):
+                bag[k, x[i][0]] = x[i][1]
+            mean = bag @ embedding
             error = softmax(mean @ linear + bias)
             error[np.arange(len(some)), y[some]] -= 1
             error = (error * weight[some, None] / len(some)).astype(np.float32)
-            embedding -= 40 * rate * (x[some].T @ (error @ linear.T))
+            embedding -= 40 * rate * (bag.T @ (error @ linear.T))
             linear -= rate * (mean.T @ error)
             bias -= 0.1 * rate * error.sum(0)
     model = Model(languages, embedding @ linear, bias.astype(np.float64))
