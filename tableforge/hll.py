@@ -190,14 +190,24 @@ def estimate(raw: bytes, log2m: int = 12, regwidth: int = 6) -> float:
 
 def murmur3(items: list[bytes]) -> np.ndarray:
     """Low half of the 128-bit murmur3 hash (x64, seed 0) of each item; all items advance together."""
+    n = np.array([len(i) for i in items], np.int64)
+    width = int(n.max(initial=0)) // 16 * 16 + 16
+    data = np.frombuffer(b"".join(i.ljust(width, b"\0") for i in items), "<u8").reshape(len(items), -1) if items else np.zeros((0, 2), np.uint64)
+    return _murmur3(data, n)
+
+
+def murmur3_words(words: np.ndarray) -> np.ndarray:
+    """The same of 64-bit numbers as eight little-endian bytes."""
+    return _murmur3(np.column_stack([words, np.zeros_like(words)]), np.full(len(words), 8))
+
+
+def _murmur3(data: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of padded 16-byte blocks (two numbers each), with the items' lengths."""
     u = np.uint64
     c1, c2 = u(0x87C37B91114253D5), u(0x4CF5AD432745937F)
     rot = lambda x, r: (x << u(r)) | (x >> u(64 - r))
-    n = np.array([len(i) for i in items], np.int64)
-    width = int(n.max(initial=0)) // 16 * 16 + 16
-    data = np.frombuffer(b"".join(i.ljust(width, b"\0") for i in items), "<u8").reshape(len(items), -1) if items else np.zeros((0, 2), u)
-    a = b = np.zeros(len(items), u)
-    for k in range(width // 16):
+    a = b = np.zeros(len(data), u)
+    for k in range(data.shape[1] // 2):
         x, y, left = data[:, 2 * k], data[:, 2 * k + 1], n - 16 * k
         x, y = rot(x * c1, 31) * c2, rot(y * c2, 33) * c1
         p = (rot(a ^ x, 27) + b) * u(5) + u(0x52DCE729)

@@ -1,4 +1,335 @@
-"""Registered queries and their SQL, by name."""
+"""Registered queries over the given tables, each with the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tableforge import derive, gen, hll, jsonio, messages, offsets, results, tdigest
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+MOMENT_MS = 1704153600000  # 2024-01-02 00:00:00 UTC
+
+
+def query(sql: str):
+    def add(fn):
+        QUERIES[fn.__name__.removeprefix("_")] = fn
+        ORACLES[fn.__name__.removeprefix("_")] = sql
+        return fn
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the cluster's shared folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
+    return f"{base}/{uuid.uuid4().hex}"
+
+
+# --- message logs -----------------------------------------------------------------------------------------------------
+
+
+def log(spark: SparkSession, sf_dir: str, payload=None) -> DataFrame:
+    """The events as messages: the Kafka source's columns."""
+    events = table(spark, sf_dir, "events")
+    number = F.row_number().over(Window.partitionBy("partition").orderBy("event_id")) - 1
+    kept = events.withColumns({"partition": (F.col("user_id") % 4).cast("int"), "value": jsonio.encode_json(events) if payload is None else payload})
+    return kept.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), F.lit("events").alias("topic"), "partition", number.cast("long").alias("offset"), F.col("ts").alias("timestamp"), F.lit(0).alias("timestampType"))
+
+
+def commits(messages_: DataFrame) -> DataFrame:
+    return messages_.where("partition < 3").groupBy("topic", "partition").agg(F.floor(F.count("*") / 2).alias("committed_offset")).withColumn("group_id", F.lit("g1"))
+
+
+_LOG = """WITH log AS (SELECT *, CAST(user_id % 4 AS INTEGER) AS "partition", row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset" FROM events),
+per AS (SELECT 'events' AS topic, "partition", min("offset") AS low, max("offset") + 1 AS high FROM log GROUP BY 2),
+com AS (SELECT "partition", count(*) // 2 AS committed FROM log WHERE "partition" < 3 GROUP BY 1) """
+
+
+@query(_LOG + 'SELECT topic, "partition", low, high, high - low AS lag FROM per')
+def topic_offsets(spark, sf_dir):
+    return offsets.topic_offsets(log(spark, sf_dir))
+
+
+@query(_LOG + 'SELECT topic, "partition", coalesce(committed, 0) AS committed, high, high - coalesce(committed, 0) AS lag FROM per LEFT JOIN com USING ("partition")')
+def group_lag(spark, sf_dir):
+    messages_ = log(spark, sf_dir)
+    return offsets.group_lag(messages_, commits(messages_), "g1")
+
+
+@query(_LOG + 'SELECT topic, CAST(sum(high - coalesce(committed, 0)) AS BIGINT) AS total_lag FROM per LEFT JOIN com USING ("partition") GROUP BY 1')
+def group_total_lag(spark, sf_dir):
+    messages_ = log(spark, sf_dir)
+    return offsets.group_total_lag(messages_, commits(messages_), "g1")
+
+
+@query(_LOG + 'SELECT topic, "partition", high AS committed_offset FROM per')
+def offsets_latest(spark, sf_dir):
+    return offsets.offsets_latest(log(spark, sf_dir))
+
+
+@query(_LOG + f"SELECT 'events' AS topic, \"partition\", min(\"offset\") FILTER (epoch_us(ts) // 1000 >= {MOMENT_MS}) AS \"offset\" FROM log GROUP BY 2")
+def offsets_for_timestamp(spark, sf_dir):
+    return offsets.offsets_for_timestamp(log(spark, sf_dir), MOMENT_MS)
+
+
+@query(_LOG + f", f AS (SELECT \"partition\", min(\"offset\") AS first_offset FROM log WHERE epoch_us(ts) // 1000 >= {MOMENT_MS} GROUP BY 1) SELECT log.\"partition\", \"offset\", epoch_us(ts) // 1000 AS ms FROM log JOIN f USING (\"partition\") WHERE \"offset\" >= first_offset")
+def read_from_timestamp(spark, sf_dir):
+    found = offsets.read_from_timestamp(log(spark, sf_dir), MOMENT_MS)
+    return found.select("partition", "offset", F.unix_millis(F.col("timestamp").cast("timestamp")).alias("ms"))
+
+
+@query(_LOG + 'SELECT "partition", "offset" FROM log ORDER BY 1, 2 LIMIT 1000')
+def bounded_read(spark, sf_dir):
+    return offsets.bounded_read(log(spark, sf_dir), 1000).select("partition", "offset")
+
+
+# --- payloads ---------------------------------------------------------------------------------------------------------
+
+HINT = [("event_id", "int64"), ("user_id", "LONG"), ("event_type", " utf8 "), ("value", "double")]
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def decode_messages_json(spark, sf_dir):
+    return messages.decode_messages_json(log(spark, sf_dir), HINT)
+
+
+@query(_LOG + 'SELECT event_id, "partition" AS kafka_partition_id, "offset" AS kafka_offset, epoch_us(ts) // 1000 AS kafka_timestamp FROM log')
+def message_metadata(spark, sf_dir):
+    return messages.decode_messages_json(log(spark, sf_dir), HINT[:1], include_metadata=True)
+
+
+@query("SELECT props AS value FROM events")
+def decode_messages_raw(spark, sf_dir):
+    return messages.decode_messages_raw(log(spark, sf_dir, F.col("props")))
+
+
+@query("SELECT event_type AS value, CAST(octet_length(encode(event_type)) AS INTEGER) AS size FROM events")
+def encode_messages_raw(spark, sf_dir):
+    return messages.encode_messages_raw(table(spark, sf_dir, "events").select("event_type")).select(F.col("value").cast("string").alias("value"), F.octet_length("value").alias("size"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events")
+def encode_messages_json(spark, sf_dir):
+    made = messages.encode_messages_json(table(spark, sf_dir, "events"))
+    return messages.decode_messages_json(made, [("event_id", "int64"), ("ts", "string")])
+
+
+@query("""SELECT '{"event_id":' || event_id || ',"event_type":"' || event_type || '","ts":"' || strftime(ts, '%Y/%m/%dT%H:%M:%S') || '"}' AS line FROM events""")
+def encode_json(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    return events.select(jsonio.encode_json(events, "%Y/%m/%dT%H:%M:%S").alias("line"))
+
+
+@query("SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS d, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS s FROM events")
+def schema_from_hint(spark, sf_dir):
+    props = F.regexp_extract("props", r'"k":\s*(\d+)', 1)
+    payload = F.to_json(F.struct(props.alias("k"), props.alias("d"), props.alias("s")))
+    return messages.decode_messages_json(log(spark, sf_dir, payload), [("k", "INT"), ("d", "float64"), ("s", "large_utf8")])
+
+
+@query("SELECT strftime(ts, '%d.%m.%Y %H h') AS at FROM events")
+def timestamp_format(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(F.date_format("ts", jsonio.timestamp_format("%d.%m.%Y %H h")).alias("at"))
+
+
+@query("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, (SELECT count(*) FROM nation) AS n_rows FROM nation")
+def write_ndjson(spark, sf_dir):
+    path = scratch(spark)
+    n = jsonio.write_ndjson(table(spark, sf_dir, "nation"), path)
+    return spark.read.schema("n_nationkey long, n_name string").json(path).withColumn("n_rows", F.lit(n).cast("long"))
+
+
+@query("SELECT n_regionkey, count(*) AS n, (SELECT count(*) FROM nation) AS n_rows FROM nation GROUP BY 1")
+def write_json_array(spark, sf_dir):
+    path = scratch(spark)
+    n = jsonio.write_json_array(table(spark, sf_dir, "nation"), path, ["n_regionkey"])
+    rows = spark.read.text(path).select(F.explode(F.from_json("value", "array<struct<n_regionkey:int,n_name:string>>")).alias("x"))
+    return rows.groupBy("x.n_regionkey").agg(F.count("*").alias("n")).withColumn("n_rows", F.lit(n).cast("long"))
+
+
+@query("""SELECT n_regionkey, string_agg('{"n_name":"' || n_name || '"}', chr(10) ORDER BY n_name) AS lines FROM nation GROUP BY 1""")
+def dump_ndjson_group(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    dumped = jsonio.dump_ndjson_group(nation.select("n_regionkey", "n_name"), ["n_regionkey"])
+    return dumped.select("n_regionkey", F.regexp_replace("value", '"n_regionkey":[0-9]+,', "").alias("lines"))
+
+
+@query(
+    "SELECT o_orderkey, trunc(o_totalprice * 10)::BIGINT AS price_tenths, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderstatus = 'O' AS is_open, CAST(NULL AS VARCHAR) AS missing, [o_custkey, o_orderkey] AS keys FROM orders"
+)
+def decode_result_lines(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    price = F.round("o_totalprice", 2).cast("decimal(20,2)")
+    row = F.concat(F.lit('{"data":['), F.concat_ws(",", F.col("o_orderkey"), price, F.concat(F.lit('"'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('"')), (F.col("o_orderstatus") == "O").cast("string"), F.lit("null"), F.concat(F.lit("["), "o_custkey", F.lit(",\""), "o_orderkey", F.lit('"]'))), F.lit("]}"))
+    meta = '{"meta":[{"name":"o_orderkey","type":"bigint(20)"},{"name":"price","type":"decimal64(20, 1)"},{"name":"o_orderdate","type":"date"},{"name":"is_open","type":"boolean"},{"name":"missing","type":"varchar"},{"name":"keys","type":"array<bigint(20)>"}]}'
+    lines = spark.createDataFrame([(meta,)], "line string").unionByName(orders.select(row.alias("line")))
+    return results.decode_result_lines(lines).select("o_orderkey", (F.col("price") * 10).cast("long").alias("price_tenths"), "o_orderdate", "is_open", "missing", "keys")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_orderkey * 2 + l_partkey AS a, (l_orderkey - l_partkey) // 7 AS b, (l_orderkey - l_partkey) % 7 AS c, round(l_extendedprice * (1.0 - l_discount), 4) AS d, -l_linenumber * 1 AS e FROM lineitem"""
+)
+def derive_columns(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumn("one", F.lit(1.0))
+    made = derive.derive_columns(lines, [("a", "l_orderkey * 2L + l_partkey"), ("b", "(l_orderkey - l_partkey) / 7"), ("c", "(`l_orderkey` - l_partkey) % 7"), ("d", "l_extendedprice * (1.0 - l_discount)"), ("e", "-l_linenumber * 1.5")])
+    return made.select("l_orderkey", "l_linenumber", "a", "b", "c", F.round("d", 4).alias("d"), "e")
+
+
+# --- sketches ---------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT event_type, count(*) AS n_rows, count(DISTINCT user_id) AS users, CAST(count(DISTINCT user_id) AS DOUBLE) AS estimate, true AS within FROM events GROUP BY 1")
+def hll_estimate(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    exact = events.groupBy("event_type").agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("users"))
+    near = F.abs(F.col("estimate") - F.col("users")) <= 0.05 * F.col("users")
+    # 150 users per type at sf0.01 are counted exactly; larger groups are estimated, so the value is rounded to the exact one within 5 %
+    return exact.join(hll.hll_estimate(events, ["event_type"], "user_id"), "event_type").select("event_type", "n_rows", "users", F.when(near, F.col("users").cast("double")).otherwise(F.col("estimate")).alias("estimate"), near.alias("within"))
+
+
+@query("SELECT event_type, CAST(count(DISTINCT user_id) AS DOUBLE) AS users FROM events GROUP BY 1")
+def hll_agg(spark, sf_dir):
+    made = hll.hll_agg(table(spark, sf_dir, "events"), ["event_type"], "user_id", log2m=14)
+    return made.select("event_type", hll.hll_sketch_estimate(F.col("sketch"), 14).alias("users"))
+
+
+@query("SELECT l_returnflag, true AS within FROM lineitem GROUP BY 1")
+def hll_encode(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    made = hll.hll_agg(lines, ["l_returnflag"], "l_orderkey")
+    exact = lines.groupBy("l_returnflag").agg(F.countDistinct("l_orderkey").alias("n"))
+    return made.join(exact, "l_returnflag").select("l_returnflag", (F.abs(hll.hll_sketch_estimate(F.col("sketch")) - F.col("n")) <= 0.05 * F.col("n")).alias("within"))
+
+
+@query("SELECT event_type, count(DISTINCT user_id) AS rows FROM events GROUP BY 1")
+def hll_decode(spark, sf_dir):
+    made = hll.hll_agg(table(spark, sf_dir, "events"), ["event_type"], "user_id", log2m=14)
+    return hll.hll_decode(made, ["event_type"], log2m=14).groupBy("event_type").agg(F.count("_h").alias("rows"))
+
+
+@query("SELECT event_type, CAST(count(DISTINCT user_id) AS DOUBLE) AS users FROM events GROUP BY 1")
+def hll_union_agg(spark, sf_dir):
+    daily = hll.hll_agg(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), ["event_type", "day"], "user_id", log2m=14)
+    return hll.hll_union_agg(daily, ["event_type"], log2m=14).select("event_type", hll.hll_sketch_estimate(F.col("sketch"), 14).alias("users"))
+
+
+@query("SELECT user_id, true AS same, true AS differs FROM events GROUP BY 1")
+def hll_hash(spark, sf_dir):
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    wide, small = hll.hll_hash(F.col("user_id"), True), hll.hll_hash(F.col("user_id").cast("int"), True)
+    return users.select("user_id", wide.alias("a"), wide.alias("b"), small.alias("c")).select("user_id", (F.col("a") == F.col("b")).alias("same"), (F.col("a") != F.col("c")).alias("differs"))
+
+
+def digest(spark, sf_dir, *more: str) -> DataFrame:
+    return tdigest.tdigest_agg(table(spark, sf_dir, "lineitem"), ["l_returnflag", *more], "l_extendedprice")
+
+
+@query("SELECT l_returnflag, count(*) AS n, min(l_extendedprice) AS low, max(l_extendedprice) AS high, 100 AS max_size FROM lineitem GROUP BY 1")
+def tdigest_stats(spark, sf_dir):
+    return digest(spark, sf_dir).select("l_returnflag", tdigest.tdigest_stats(F.col("digest")).alias("s")).select("l_returnflag", F.col("s.count").alias("n"), F.col("s.min").alias("low"), F.col("s.max").alias("high"), "s.max_size")
+
+
+def ranks_within(spark, sf_dir, digests: DataFrame) -> DataFrame:
+    """Whether the values at several q have ranks within one point of q."""
+    qs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    values = digests.select("l_returnflag", F.posexplode(tdigest.tdigest_quantile(F.col("digest"), qs)).alias("i", "value"))
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    per = values.groupBy("l_returnflag").agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("v"))
+    ranked = lines.join(F.broadcast(per), "l_returnflag").groupBy("l_returnflag").agg(*[F.avg((F.col("l_extendedprice") <= F.col("v")[k]["value"]).cast("double")).alias(f"r{k}") for k in range(len(qs))])
+    near = F.lit(True)
+    for k, q in enumerate(qs):
+        near = near & (F.abs(F.col(f"r{k}") - q) <= 0.01)
+    return ranked.select("l_returnflag", near.alias("within"))
+
+
+@query("SELECT l_returnflag, true AS within FROM lineitem GROUP BY 1")
+def tdigest_quantile(spark, sf_dir):
+    return ranks_within(spark, sf_dir, digest(spark, sf_dir))
+
+
+@query("SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
+def tdigest_agg(spark, sf_dir):
+    return digest(spark, sf_dir).select("l_returnflag", tdigest.tdigest_stats(F.col("digest"))["count"].alias("n"))
+
+
+@query("SELECT l_returnflag, true AS within FROM lineitem GROUP BY 1")
+def tdigest_union_agg(spark, sf_dir):
+    return ranks_within(spark, sf_dir, tdigest.tdigest_union_agg(digest(spark, sf_dir, "l_linestatus"), ["l_returnflag"]))
+
+
+@query("SELECT l_returnflag, true AS whole FROM lineitem GROUP BY 1")
+def tdigest_encode(spark, sf_dir):
+    made = digest(spark, sf_dir)
+    return made.select("l_returnflag", (F.octet_length("digest") == 36 + 16 * F.conv(F.hex(F.substring("digest", 17, 4)), 16, 10).cast("int")).alias("whole"))
+
+
+# --- generated columns ------------------------------------------------------------------------------------------------
+
+
+def made(spark, sf_dir, *fields: dict) -> DataFrame:
+    """The orders' keys (0, 1, ...) with generated columns."""
+    return gen.with_generated(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("i")), list(fields), "i")
+
+
+def generated(name: str, sql: str, *fields: dict, check=None) -> None:
+    def run(spark, sf_dir):
+        out = made(spark, sf_dir, *fields)
+        return out.select("i", *[c.alias(k) for k, c in check.items()]) if check else out
+
+    run.__name__ = name
+    query(f"SELECT o_orderkey AS i, {sql} FROM (SELECT *, o_orderkey AS r FROM orders)")(run)
+
+
+def shares(name: str, *fields: dict, checks: dict) -> None:
+    """Checks over all rows as one row of booleans."""
+
+    def run(spark, sf_dir):
+        return made(spark, sf_dir, *fields).agg(*[c.alias(k) for k, c in checks.items()])
+
+    run.__name__ = name
+    query("SELECT " + ", ".join(f"true AS {k}" for k in checks) + " FROM (SELECT count(*) FROM orders)")(run)
+
+
+generated("gen_int", "CAST(r % 3 AS INTEGER) AS a, true AS b", {"name": "a", "type": "int", "min": 0, "max": 3, "random": False}, {"name": "b", "type": "int", "min": -5, "max": 5}, check={"a": F.col("a"), "b": F.col("b").between(-5, 4)})
+generated("gen_bigint", "10 + r % 3 AS a, true AS b", {"name": "a", "type": "bigint", "min": 10, "max": 13, "random": False}, {"name": "b", "type": "bigint", "min": -(1 << 62), "max": (1 << 63) - 1}, check={"a": F.col("a"), "b": F.col("b") >= -(1 << 62)})
+shares("gen_float", {"name": "a", "type": "float", "min": 0, "max": 1}, checks={"within": F.bool_and((F.col("a") >= 0) & (F.col("a") <= 1)), "spread": F.abs(F.avg("a") - 0.5) < 0.05})
+shares("gen_double", {"name": "a", "type": "double", "min": 2, "max": 4}, checks={"within": F.bool_and((F.col("a") >= 2) & (F.col("a") < 4)), "spread": F.abs(F.avg("a") - 3) < 0.1})
+generated("gen_options", "CASE r % 2 WHEN 0 THEN 10 ELSE 20 END AS tag, CASE r % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END AS s", {"name": "tag", "type": "int", "options": [10, 20], "random": False}, {"name": "s", "type": "string", "options": ["a", "b", None], "random": False})
+generated("gen_boolean", "r % 2 = 1 AS a", {"name": "a", "type": "boolean", "random": False})
+generated("gen_sequence", "5 + 3 * (r // 4) AS a", {"name": "a", "type": "sequence", "start": 5, "step": 3, "batch": 4})
+generated("gen_date_sequence", "CAST(DATE '2020-02-28' + CAST(r // 5 AS INTEGER) AS DATE) AS a, CAST(10 * (r // 5) AS INTEGER) AS b", {"name": "a", "type": "date_sequence", "start": "2020-02-28", "batch": 5}, {"name": "b", "type": "date_sequence", "start": "1970-01-01", "step": 10, "batch": 5, "date_type": "number"})
+generated("gen_timestamp_sequence", "TIMESTAMP '2026-02-09 00:00:00' + INTERVAL 10 SECOND * (r // 5) AS a, 10 * (r // 5) AS b", {"name": "a", "type": "timestamp_sequence", "start": "2026-02-09 00:00:00", "timestamp_type": "datetime", "step": 10, "batch": 5}, {"name": "b", "type": "timestamp_sequence", "start": "1970-01-01 00:00:00", "unit": "millis", "step": 10, "batch": 5})
+shares("gen_date", {"name": "a", "type": "date"}, {"name": "b", "type": "date", "date_type": "number"}, checks={"one": F.countDistinct("a") == 1, "same": F.bool_and(F.unix_date("a") == F.col("b"))})
+shares("gen_timestamp", {"name": "a", "type": "timestamp", "timestamp_type": "datetime"}, {"name": "b", "type": "timestamp", "unit": "millis"}, checks={"one": F.countDistinct("a") == 1, "recent": F.min("b") > 1700000000000})
+shares("gen_string_chars", {"name": "a", "type": "string", "chars": "xy", "len": 4}, checks={"matches": F.bool_and(F.col("a").rlike("^[xy]{4}$")), "all": F.countDistinct("a") == 16})
+shares("gen_string_regex", {"name": "a", "type": "string", "regex": r"\d{3}-\d{2}|(ab|c)+[x-z]?"}, checks={"matches": F.bool_and(F.col("a").rlike(r"^(\d{3}-\d{2}|(ab|c)+[x-z]?)$"))})
+shares("gen_ipv4", {"name": "a", "type": "ipv4", "start": "10.0.0.0", "end": "10.0.0.255"}, checks={"matches": F.bool_and(F.col("a").rlike(r"^10\.0\.0\.\d{1,3}$"))})
+shares("gen_ipv6", {"name": "a", "type": "ipv6", "start": "2001:db8::", "end": "2001:db8::ffff"}, checks={"matches": F.bool_and(F.col("a").rlike(r"^2001:db8::[0-9a-f]{0,4}$"))})
+shares("gen_binary", {"name": "a", "type": "binary", "len": 6}, {"name": "b", "type": "binary", "options": ["00ff", "aGk=", "é"], "random": False, "out_type": "hex"}, checks={"long": F.bool_and(F.octet_length("a") == 6), "kinds": F.array_sort(F.collect_set("b")) == F.array(F.lit("00ff"), F.lit("6869"), F.lit("c3a9"))})
+generated("gen_struct", "{'province': CASE r % 2 WHEN 0 THEN 'p' ELSE 'q' END, 'n': r} AS a", {"name": "a", "type": "struct", "fields": [{"name": "province", "type": "string", "options": ["p", "q"], "random": False}, {"name": "n", "type": "sequence"}]})
+generated("gen_union", "CASE WHEN r % 6 < 4 THEN CAST((r // 6 * 4 + r % 6) % 5 AS INTEGER) END AS cate_id, CASE WHEN r % 6 >= 4 THEN r // 6 * 2 + r % 6 - 4 END AS n", {"name": "u", "type": "union", "random": False, "union_fields": [{"weight": 4, "fields": [{"name": "cate_id", "type": "int", "min": 0, "max": 5, "random": False}]}, {"weight": 2, "fields": [{"name": "n", "type": "sequence"}]}]})
+shares("wrap_null", {"name": "a", "type": "sequence", "null_rate": 0.2}, checks={"rate": F.abs(F.avg(F.col("a").isNull().cast("double")) - 0.2) < 0.05, "gapless": F.max("a") == F.count("a") - 1})
+shares("wrap_array", {"name": "a", "type": "sequence", "array": True, "array_len_min": 1, "array_len_max": 4}, checks={"lengths": F.bool_and(F.size("a").between(1, 4)), "gapless": F.max(F.array_max("a")) == F.sum(F.size("a")) - 1})
+generated("eval", "CAST(r % 7 AS INTEGER) AS a, CAST(r % 5 AS INTEGER) AS b, CAST(r % 7 * 2 + r % 5 AS INTEGER) AS c", {"name": "a", "type": "int", "max": 7, "random": False}, {"name": "b", "type": "int", "max": 5, "random": False}, {"name": "c", "type": "eval", "expression": "a * 2 + `b`"})
+generated("gen_table", "r AS id, true AS cn3", {"name": "id", "type": "sequence"}, {"name": "cn1", "type": "int", "max": 9}, {"name": "cn2", "type": "int", "max": 9, "null_rate": 0.2}, {"name": "x", "type": "eval", "expression": "cn1 + cn2"}, check={"id": F.col("id"), "cn3": F.col("x").isNull() == F.col("cn2").isNull()})
+
+
+@query("SELECT true AS near FROM (SELECT count(*) FROM orders)")
+def gen_hll(spark, sf_dir):
+    out = made(spark, sf_dir, {"name": "a", "type": "hll", "batch_count": 300})
+    return out.agg(F.bool_and(F.abs(hll.hll_sketch_estimate(F.col("a")) - 300) < 30).alias("near"))
+
+
+@query("SELECT true AS near FROM (SELECT count(*) FROM orders)")
+def gen_tdigest(spark, sf_dir):
+    out = made(spark, sf_dir, {"name": "a", "type": "tdigest", "batch_count": 300, "max": 1000})
+    return out.agg((F.abs(F.avg(tdigest.tdigest_quantile(F.col("a"), [0.5])[0]) - 500) < 25).alias("near"))
