@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that numpy handles at a time; a longer document is handled alone.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
