@@ -40,7 +40,7 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], n
     pad, n = max(SIZES), len(offsets) - 1
     starts = offsets + pad * np.arange(n + 1)
     text = np.full(starts[-1] + pad, 32, np.uint32)
-    text[np.arange(len(data)) + np.repeat(pad * np.arange(n) + 1, np.diff(offsets))] = _CLEAN[data]
+    text[np.arange(len(data)) + np.repeat(pad * np.arange(n) + pad - 1, np.diff(offsets))] = _CLEAN[data]
     out = []
     for size in SIZES:
         h = np.full(starts[-1], size, np.uint32)
