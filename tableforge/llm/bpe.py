@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -131,36 +132,48 @@ def plain_blanks(text: str) -> bool:
     return text[0] != " " and not text[-1].isspace() and not _TOUCH.search(text)
 
 
-def blank_chunks(text: str) -> list[str]:
-    """``text`` cut before each blank. With plain blanks, no match of the pattern goes over such a cut, as none holds
-    white space but in front: chunks can be encoded one by one."""
-    first, *rest = text.split(" ")
-    return [first, *(" " + x for x in rest)]
+class ChunkCoder:
+    """Ids of texts as little-endian 32-bit numbers. Texts with plain blanks are cut before each blank: no match of the
+    pattern goes over such a cut, as none holds white space but in front, so the words' ids can be kept and joined.
+    Others go whole. ``code`` gives the ids of strings."""
 
+    def __init__(self):
+        self.seen: dict[str, bytes] = {}  # word -> ids of the word behind a blank
 
-class Encoder:
-    """Texts to ids, with the ids of chunks that were seen before kept up to a bound."""
+    def code(self, strings: list[str]) -> list[bytes]:
+        raise NotImplementedError
 
-    def __init__(self, path: str, pattern: str):
-        self.ranks, self.pattern, self.seen = Ranks(path), regex.compile(pattern), {}
+    def plain(self, text: str) -> bool:
+        return bool(text) and plain_blanks(text)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [t.split(" ") if self.plain(t) else None for t in texts]
+        firsts = iter(self.code([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)]))
+        words = [c[1:] if c else [] for c in cut]
+        new: set[str] = set()
+        for w in words:
+            new.update(filterfalse(self.seen.__contains__, w))
+        if len(self.seen) + len(new) > CACHE_CHUNKS:
+            used = set().union(*words)
+            self.seen = {w: self.seen[w] for w in used if w in self.seen}
+        fresh = list(new)
+        self.seen.update(zip(fresh, self.code([" " + w for w in fresh]), strict=True))
+        get = self.seen.__getitem__
+        return [next(firsts) + b"".join(map(get, w)) for w in words]
+
+
+class Encoder(ChunkCoder):
+    """Texts to ids by a rank file."""
 
-    def chunks(self, text: str) -> list[str]:
-        return blank_chunks(text) if text and plain_blanks(text) else self.pattern.findall(text)
+    def __init__(self, path: str, pattern: str):
+        super().__init__()
+        self.ranks, self.pattern = Ranks(path), regex.compile(pattern)
 
-    def learn(self, new: list[str]) -> None:
-        cut = [[m.encode() for m in self.pattern.findall(c)] for c in new]
+    def code(self, strings: list[str]) -> list[bytes]:
+        cut = [[m.encode() for m in self.pattern.findall(c)] for c in strings]
         pieces = list(dict.fromkeys(p for c in cut for p in c))
         ids = dict(zip(pieces, self.ranks.encode(pieces), strict=True))
-        self.seen.update((c, ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps))) for c, ps in zip(new, cut, strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        cut = [self.chunks(t) for t in texts]
-        fresh = set().union(*cut)
-        if len(self.seen) + len(fresh) > CACHE_CHUNKS:
-            self.seen = {c: self.seen[c] for c in fresh if c in self.seen}
-        self.learn([c for c in fresh if c not in self.seen])
-        return [b"".join(map(self.seen.__getitem__, c)) for c in cut]
+        return [ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps)) for ps in cut]
 
     def decode(self, many: list[bytes]) -> list[bytes]:
         """The bytes of each run of ids."""

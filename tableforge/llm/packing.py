@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import random
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -32,28 +33,22 @@ BLOCK_ITEMS, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 2, 2, 4, 3
 TIGHT = 0.995
 
 
-class Tokenizer:
-    """A tokenizers file; ids of chunks that were seen before are kept up to a bound."""
+class Tokenizer(bpe.ChunkCoder):
+    """Texts to ids by a tokenizers file; texts that hold a special token's string go whole."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer as Base
 
-        self.base, self.seen = Base.from_file(path), {}
+        self.base = Base.from_file(path)
         self.special = [t.content for t in self.base.get_added_tokens_decoder().values()]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.base.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [bpe.blank_chunks(t) if t and bpe.plain_blanks(t) and not any(s in t for s in self.special) else None for t in texts]
-        fresh = set().union(*(c for c in cut if c))
-        if len(self.seen) + len(fresh) > bpe.CACHE_CHUNKS:
-            self.seen = {c: self.seen[c] for c in fresh if c in self.seen}
-        new = [c for c in fresh if c not in self.seen]
-        self.seen.update(zip(new, self.ids(new), strict=True))
-        whole = iter(self.ids([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        return [next(whole) if c is None else b"".join(map(self.seen.__getitem__, c)) for c in cut]
+    def plain(self, text: str) -> bool:
+        return super().plain(text) and not any(s in text for s in self.special)
+
+    def code(self, strings: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.base.encode_batch_fast(strings, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
