@@ -77,12 +77,12 @@ def pieces(df: DataFrame, path: str, end_id: int, capacity: int, id_col: str, te
 
 
 def best_fit(items: list[int], sizes: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
-    """Put each item, in the given order, into the bin that it leaves the least room in. Bit r of ``rooms`` says that
-    some bin has room r, so the best bin is the lowest bit from the item's size on."""
+    """Put each item, in the given order, into the bin that it leaves the least room in. A bin is a list: its fill, then
+    its items. Bit r of ``rooms`` says that some bin has room r, so the best bin is the lowest bit from the size on."""
     by_room: dict[int, list[int]] = {}
     rooms = 0
     for k, members in enumerate(bins):
-        if room := capacity - sum(sizes[i] for i in members):
+        if room := capacity - members[0]:
             by_room.setdefault(room, []).append(k)
             rooms |= 1 << room
     for i in items:
@@ -93,9 +93,10 @@ def best_fit(items: list[int], sizes: list[int], bins: list[list[int]], capacity
             if not by_room[room]:
                 rooms ^= 1 << room
             bins[k].append(i)
+            bins[k][0] += size
         else:
             room, k = capacity, len(bins)
-            bins.append([i])
+            bins.append([size, i])
         if room := room - size:
             by_room.setdefault(room, []).append(k)
             rooms |= 1 << room
@@ -104,31 +105,31 @@ def best_fit(items: list[int], sizes: list[int], bins: list[list[int]], capacity
 
 def crossover(a: list[list[int]], b: list[list[int]], sizes: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
     """Well-filled bins of ``b`` go whole into ``a``."""
-    full = [m for m in b if sum(sizes[i] for i in m) >= TIGHT * capacity]
+    full = [m for m in b if m[0] >= TIGHT * capacity]
     taken = rng.sample(full, len(full) // 2)
-    inside = {i for m in taken for i in m}
+    inside = {i for m in taken for i in m[1:]}
     kept, displaced = [list(m) for m in taken], []
     for members in a:
-        if inside.isdisjoint(members):
+        if inside.isdisjoint(items := members[1:]):
             kept.append(list(members))
         else:
-            displaced += [i for i in members if i not in inside]
+            displaced += [i for i in items if i not in inside]
     return best_fit(sorted(displaced, key=lambda i: -sizes[i]), sizes, kept, capacity)
 
 
 def mutate(a: list[list[int]], sizes: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
     """Open the loosest bins and as many others, and best-fit their items."""
-    order = sorted(a, key=lambda m: sum(sizes[i] for i in m))
+    order = sorted(a, key=lambda m: m[0])
     n = max(1, len(a) // 20)
     chosen = order[:n] + rng.sample(order[n:], min(n, len(order) - n))
     drop = set(map(id, chosen))
-    items = [i for m in chosen for i in m]
+    items = [i for m in chosen for i in m[1:]]
     return best_fit(sorted(items, key=lambda i: -sizes[i] * rng.uniform(0.9, 1.1)), sizes, [list(m) for m in a if id(m) not in drop], capacity)
 
 
-def fitness(bins: list[list[int]], sizes: list[int]) -> tuple[int, int]:
+def fitness(bins: list[list[int]]) -> tuple[int, int]:
     """Fewer bins first, then the more uneven fills: room in one bin is of more use than scattered."""
-    return len(bins), -sum(sum(sizes[i] for i in m) ** 2 for m in bins)
+    return len(bins), -sum(m[0] * m[0] for m in bins)
 
 
 def evolve(sizes: list[int], capacity: int, seed: int, elites: list[list[list[int]]]) -> list[list[int]]:
@@ -141,13 +142,13 @@ def evolve(sizes: list[int], capacity: int, seed: int, elites: list[list[list[in
         while len(population) < POPULATION:
             population.append(best_fit(sorted(order, key=lambda i: -sizes[i] * rng.uniform(0.8, 1.25)), sizes, [], capacity))
     for _ in range(GENERATIONS):
-        population.sort(key=lambda b: fitness(b, sizes))
+        population.sort(key=fitness)
         if len(population[0]) <= least:
             break
         a, b = population[0], rng.choice(population[1:])
         children = [crossover(a, b, sizes, capacity, rng), crossover(b, a, sizes, capacity, rng), mutate(a, sizes, capacity, rng)]
-        population = sorted(population + children, key=lambda b: fitness(b, sizes))[:POPULATION]
-    return min(population, key=lambda b: fitness(b, sizes))
+        population = sorted(population + children, key=fitness)[:POPULATION]
+    return min(population, key=fitness)
 
 
 def island_epoch(capacity: int):
@@ -159,12 +160,12 @@ def island_epoch(capacity: int):
         sizes, place = items["length"].tolist(), {u: i for i, u in enumerate(items["uid"].tolist())}
         elites = []
         for _, sent in rows[rows["bin"] >= 0].sort_values("uid").groupby("sent_by"):
-            elites.append([[place[u] for u in m] for m in sent.groupby("bin", sort=True)["uid"].agg(list)])
+            elites.append([[sum(sizes[place[u]] for u in m), *(place[u] for u in m)] for m in sent.groupby("bin", sort=True)["uid"].agg(list)])
         best = evolve(sizes, capacity, block * 1009 + island, elites)
         bins = np.empty(len(sizes), np.int64)
         for k, members in enumerate(best):
-            bins[members] = k
-        count, unevenness = fitness(best, sizes)
+            bins[members[1:]] = k
+        count, unevenness = fitness(best)
         return pd.DataFrame({"block": block, "sent_by": island, "uid": items["uid"], "length": items["length"], "bin": bins, "n_bins": count, "unevenness": unevenness})
 
     return run
