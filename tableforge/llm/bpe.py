@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from tableforge.llm import common
 
-#: Chunks whose ids a task keeps; when full, only those of the texts at hand stay. Bounds memory, never results.
+#: Words whose ids a task keeps, in two halves: when the newer one is full, the older one goes. Bounds memory, never results.
 CACHE_CHUNKS = 700_000
 _NONE = np.int64(1 << 40)
 _TOUCH = regex.compile(r"[ ]\s|\s[ ]")
@@ -139,6 +139,7 @@ class ChunkCoder:
 
     def __init__(self):
         self.seen: dict[str, bytes] = {}  # word -> ids of the word behind a blank
+        self.older: dict[str, bytes] = {}
 
     def code(self, strings: list[str]) -> list[bytes]:
         raise NotImplementedError
@@ -150,13 +151,13 @@ class ChunkCoder:
         cut = [t.split(" ") if self.plain(t) else None for t in texts]
         firsts = iter(self.code([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)]))
         words = [c[1:] if c else [] for c in cut]
+        if len(self.seen) > CACHE_CHUNKS // 2:
+            self.seen, self.older = {}, self.seen
         new: set[str] = set()
         for w in words:
             new.update(filterfalse(self.seen.__contains__, w))
-        if len(self.seen) + len(new) > CACHE_CHUNKS:
-            used = set().union(*words)
-            self.seen = {w: self.seen[w] for w in used if w in self.seen}
-        fresh = list(new)
+        fresh = list(filterfalse(self.older.__contains__, new))
+        self.seen.update((w, self.older[w]) for w in new if w in self.older)
         self.seen.update(zip(fresh, self.code([" " + w for w in fresh]), strict=True))
         get = self.seen.__getitem__
         return [next(firsts) + b"".join(map(get, w)) for w in words]
