@@ -133,7 +133,7 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """id, n_words, n_base, first_word, last_word, base_labels, labels, score and the detections (first word, word
     behind, level, rule id, label)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    trigger = r"(?i)licen[cs]e|spdx|creative commons|public domain|proprietary|\b(?:l|a)?gpl|cc0|\bcc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    trigger = r"(?i)licen[cs]e|spdx|creative[^a-z0-9]+commons|public[^a-z0-9]+domain|proprietary|(?<![a-z0-9])(?:l|a)?gpl|cc0|(?<![a-z0-9])cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
     docs = df.select(F.col(id_col), text.alias("_t")).withColumn("_open", F.col("_t").rlike(trigger))
     low = F.translate("_t", _UPPER, _SMALL)
     docs = docs.withColumn("_w", F.when(F.col("_open"), F.regexp_replace(F.concat(F.lit(" "), low, F.lit(" ")), _GAP, " ")))
