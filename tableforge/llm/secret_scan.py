@@ -33,9 +33,9 @@ RULES = [
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", False, 0, 15),
     ("google", r"AIza[A-Za-z0-9_-]{35}", False, 0, 39),
     ("stripe", r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,}", False, 0, 24),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", False, 0, 24),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", False, 0, 24),
     ("pem", r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----", False, 0, 27),
-    ("url", r"[a-z][a-z0-9+]*://[^\s:/@]+:[^\s:/@]+@", True, 0, 8),
+    ("url", r"[a-z][a-z0-9+]{0,31}://[^\s:/@]+:[^\s:/@]+@", True, 0, 8),
 ]
 BASE = ("assign", "access", "hex")
 
