@@ -27,13 +27,18 @@ BUCKETS, SIZES, WIDTH = 8192, (2, 3, 4), 16
 SAMPLE, LANGUAGES, SAMPLE_CHARS = 200, 256, 200_000
 PIECES = (1, 2, 4, 8, 16, 40)
 EPOCHS, RATE = 15, 2.0
-_LETTER = re.compile(r"[^\W\d_]")
+_LATIN = re.compile("[A-Za-z]")
 _CLEAN = np.full(256, 32, np.uint8)
 _CLEAN[97:123] = np.arange(97, 123)
 _CLEAN[65:91] = np.arange(97, 123)
 _CLEAN[128:] = np.arange(128, 256)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter of any script; digits, fractions and other numbers are none."""
+    return bool(_LATIN.search(text)) or any(map(str.isalpha, text))
+
+
 def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """For each size, the buckets of the runs of bytes in each row, and where each row's begin. A row stands between
     blanks, so that its runs don't depend on its neighbours."""
@@ -93,14 +98,14 @@ def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
     texts: list[list[str]] = [[], []]
     target: list[list[int]] = [[], []]
     for i, (_, text, lang) in enumerate(sorted(rows, key=lambda r: (str(r[0]), r[1]))):
-        if lang not in number or not _LETTER.search(text):
+        if lang not in number or not has_letter(text):
             continue
         words = text.split()
         held = int(i % 5 == 4)
         for n in (len(words), *PIECES):
             at = int(rng.integers(0, max(1, len(words) - n + 1)))
-            piece = " ".join(words[at : at + n])[:20_000]
-            if _LETTER.search(piece):
+            piece = " ".join(words[at : at + n])
+            if has_letter(piece):
                 texts[held].append(piece)
                 target[held].append(number[lang])
     if not texts[0]:
@@ -151,7 +156,7 @@ def identifier(model: Model, id_col: str = "doc_id"):
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(1).to_pylist()
-        letter = np.array([t is not None and bool(_LETTER.search(t)) for t in texts])
+        letter = np.array([t is not None and has_letter(t) for t in texts])
         lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
         if model.languages:
             for lo, hi, data, offsets in common.blocks(batch.column(1)):
