@@ -90,6 +90,8 @@ def test_license_base(spark, docs, odd):
     found = {r.doc_id: r.labels for r in license.license_scan(odd).collect()}
     assert found[5] == "apache-2,cc-by-nc,gpl-3" and found[4] == "mit"
     assert len(license.RULES) >= 200
+    apart = spark.createDataFrame([(1, "_cc by nc"), (2, "acc by nc"), (3, "(GPL\n3) public\ndomain"), (4, "écc by nc")], "doc_id long, text string")
+    assert {r.doc_id: (r.n_base, r.labels) for r in license.license_scan(apart).collect()} == {1: (1, "cc-by-nc"), 2: (0, ""), 3: (0, "gpl-3,public-domain"), 4: (0, "")}
 
 
 def test_license_suppression(spark):
@@ -147,6 +149,11 @@ def test_secrets(docs, odd):
     assert clean[0] is None and len(clean[6]) == len(TEXTS[6]) and "AKIA" not in clean[6] and "password: short" in clean[6]
 
 
+def test_patterns_stay_linear():
+    for text in ("a" * 300_000 + " ://", "eyJabcdefgh" * 30_000, "token " * 50_000, "see http://me:pw@host and x" + "y" * 100_000):
+        assert [f"{secret_scan.RULES[k][0]}:{a}:{b}" for a, k, b in secret_scan.spans_of([text])[0] if k > 2] == [x for x in ["url:4:17"] if "pw@" in text]
+
+
 def test_trigram_queries():
     queries = dict(zip([r[0] for r in secret_scan.RULES], secret_scan.QUERIES, strict=True))
     assert queries["hex"] is None and queries["access"] == [[["aki", "kia"]]] and {"tok", "oke", "ken"} <= {g for branch in queries["assign"][0] for g in branch}
@@ -261,6 +268,24 @@ def test_cells_are_split(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in dedup.near_duplicates(df).collect()} == brute_components(dict(family))
 
 
+def test_one_of_each_stays(spark, odd):
+    twice = odd.unionByName(odd)
+    found = dedup.keep_one_each(twice)
+    assert found.columns == odd.columns
+    wordless = {0, 1, 2}
+    got = Counter((r.doc_id, r.text) for r in found.collect())
+    assert all(n == (2 if i in wordless and not (t or "").strip() else 1) for (i, t), n in got.items())
+    assert {t for _, t in got} == set(TEXTS) | {"no id here at all", "again id one"} and not any(i == 10 for i, _ in got)
+    path = f"{common.shared_dir(spark)}/one-of-each"
+    twice.repartition(5).write.mode("overwrite").parquet(path)
+    stays = dedup.keep_one_each(spark.read.parquet(path))
+    try:  # a later pass that cuts the files into other tasks
+        spark.conf.set("spark.sql.files.minPartitionNum", "2")
+        assert Counter((r.doc_id, r.text) for r in stays.collect()) == got
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def accuracy(spark, name, label):
     out = registry.QUERIES[name](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").toPandas()
     assert out["score"].between(0, 1).all() and ((out["score"] >= 0.5) == (out["predicted"] == 1)).all()
@@ -302,6 +327,10 @@ def test_nearest_is_exact(spark, docs):
         assert [e for e in example[q] if e >= 0] == order
 
 
+def test_what_a_letter_is():
+    assert [langid.has_letter(t) for t in ("½ ² 12 _ ?", "", "\n語", "é", "7a", "٣")] == [False, False, True, True, True, False]
+
+
 def test_scores_depend_on_the_text_alone(spark, docs):
     model = langid.fit(docs)
     pairs = spark.createDataFrame(pd.DataFrame({"doc_id": range(60), "text": ["the and of", "Ein kurzer Text"] * 30}))
