@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Text bytes that numpy handles at a time; a longer document is handled alone.
 BLOCK_BYTES = 1 << 20
@@ -57,7 +58,7 @@ def spread(id_col: str = "doc_id") -> Column:
     return F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 40)) / float(1 << 40)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """mapInArrow with one output batch per input batch; ``fn`` sees whole rows, never parts of a text."""
     arrow_limits(df.sparkSession)
 
@@ -69,14 +70,23 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` behind as many underscores as it takes for no column of ``df`` to begin so."""
+    while any(c.lower().startswith(name) for c in df.columns):
+        name = "_" + name
+    return name
+
+
 def annotated(df: DataFrame, columns: list[str], fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, prefix: str) -> DataFrame:
-    """All columns of ``df`` and, under ``prefix``, those that ``fn`` makes of ``columns`` (behind its first, the id)."""
+    """All columns of ``df`` and, under ``prefix`` (see ``unused``), those that ``fn`` makes of ``columns`` (behind its
+    first, the id)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = fn(batch.select(columns))
         return pa.RecordBatch.from_arrays([*batch.columns, *made.columns[1:]], [*batch.schema.names, *(prefix + n for n in made.schema.names[1:])])
 
-    return map_arrow(df, run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [prefix + x.strip() for x in schema.split(",")]))
+    made = [StructField(prefix + f.name, f.dataType) for f in StructType.fromDDL(schema)]
+    return map_arrow(df, run, StructType([*(StructField(f.name, f.dataType) for f in df.schema), *made]))
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -224,13 +224,14 @@ def near_duplicates(df: DataFrame, similarity: int = SIMILARITY, id_col: str = "
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` per group of near duplicates, that with the smallest id. A row's key is its id and its place in
     its Parquet file, which stays the same however many executors a later pass finds; other frames are written first."""
+    own = common.unused(docs, "_key")
     try:
         place = docs.metadataColumn("_metadata")
-        keyed = docs.withColumn("_key", F.struct(F.col(id_col).alias("id"), F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("row")))
+        keyed = docs.withColumn(own, F.struct(F.col(id_col).alias("id"), F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("row")))
     except AnalysisException:  # no Parquet files behind it
         return keep_one_each(common.materialise(docs, "documents"), id_col, text_col)
-    gone = near_duplicates(keyed.select("_key", text_col), id_col="_key", text_col=text_col).where(~F.col("kept")).select("_key")
-    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)
+    gone = near_duplicates(keyed.select(own, text_col), id_col=own, text_col=text_col).where(~F.col("kept")).select(own)
+    return keyed.join(gone, own, "left_anti").select(docs.columns)
 
 
 def op8_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

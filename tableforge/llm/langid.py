@@ -181,7 +181,8 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def keep_identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that aren't rejected, with their own columns."""
-    return common.annotated(docs, [id_col, text_col], identifier(model), RESULT, "_lang_").where("NOT _lang_rejected").select(*docs.columns)
+    prefix = common.unused(docs, "_lang_")
+    return common.annotated(docs, [id_col, text_col], identifier(model), RESULT, prefix).where(f"NOT {prefix}rejected").select(docs.columns)
 
 
 def learnable(id_col: str = "doc_id"):

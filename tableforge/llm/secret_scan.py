@@ -159,8 +159,9 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with every span in their texts starred out (lengths stay)."""
-    made = common.annotated(docs, [id_col, text_col], scanner(redact=True), f"{RESULT}, redacted string", "_secret_")
-    return made.withColumn(text_col, F.col("_secret_redacted")).select(*docs.columns)
+    prefix = common.unused(docs, "_secret_")
+    made = common.annotated(docs, [id_col, text_col], scanner(redact=True), f"{RESULT}, redacted string", prefix)
+    return made.withColumn(text_col, F.col(f"{prefix}redacted")).select(docs.columns)
 
 
 def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:

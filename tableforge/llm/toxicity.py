@@ -178,7 +178,8 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that aren't predicted toxic, with their own columns."""
-    return common.annotated(docs, [id_col, text_col], scorer(index), RESULT, "_toxic_").where("_toxic_predicted = 0").select(*docs.columns)
+    prefix = common.unused(docs, "_toxic_")
+    return common.annotated(docs, [id_col, text_col], scorer(index), RESULT, prefix).where(f"{prefix}predicted = 0").select(docs.columns)
 
 
 def learnable(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -28,7 +28,8 @@ TEXTS = [
 def odd(spark):
     """Nulls, empty, long and repeated texts, a null and a repeated id, and columns whose names clash with results."""
     rows = [(i, t, "en" if i % 2 else None, None if i == 3 else "h", 0.5, "x") for i, t in enumerate(TEXTS)] + [(None, "no id here at all", "en", "h", 0.1, "y"), (1, "again id one", "en", "h", 0.1, "y")]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, score double, node string").repartition(3)
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, score double, node string").repartition(3)
+    return odd.withColumns({"_key": F.lit("k"), "_Lang_rejected": F.lit(True), "_secret_redacted": F.lit("s"), "_toxic_predicted": F.lit(1), "uid": F.lit(None).cast("long")})
 
 
 @pytest.fixture(scope="module")
