@@ -23,6 +23,14 @@ from pyspark.sql import functions as F
 
 from tableforge.llm import common
 
+#: A private key whole: up to its END line or, without one before the next marker, its headers and base64 runs (of 20 and
+#: more, one shorter one behind each, and lines of their own), parted by blanks, quotes or escapes. Nothing is tried twice.
+_KEY = r"(?:RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----"
+_PART = r"""(?:[\s"'>#|,]|\\++[nrt]?+)"""
+_RUN = r"[A-Za-z0-9+/=]"
+_BODY = rf"(?:{_PART}*+[A-Za-z][A-Za-z-]*+:\x20*+[^\s\\]++)*+(?:{_PART}*+(?:{_RUN}{{20,}}+(?:{_PART}++{_RUN}{{1,19}}+(?!{_RUN}))?+|{_RUN}++(?=[\x20\t\r]*+(?:\n|\\[nr]|\Z))))*+"
+_PEM = rf"-----BEGIN {_KEY}(?>(?:[^-]++|-(?!----))*+-----END {_KEY}|{_BODY})"
+
 #: Kind, pattern, ignore case, group whose length counts, least length. The first three are the base.
 RULES = [
     ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", True, 2, 8),
@@ -34,7 +42,7 @@ RULES = [
     ("google", r"AIza[A-Za-z0-9_-]{35}", False, 0, 39),
     ("stripe", r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,}", False, 0, 24),
     ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", False, 0, 24),
-    ("pem", r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----", False, 0, 27),
+    ("pem", _PEM, False, 0, 27),
     ("url", r"[a-z][a-z0-9+]{0,31}://[^\s:/@]+:[^\s:/@]+@", True, 0, 8),
 ]
 BASE = ("assign", "access", "hex")

@@ -155,6 +155,23 @@ def test_patterns_stay_linear():
         assert [f"{secret_scan.RULES[k][0]}:{a}:{b}" for a, k, b in secret_scan.spans_of([text])[0] if k > 2] == [x for x in ["url:4:17"] if "pw@" in text]
 
 
+def test_private_keys_go_whole(spark):
+    rng = random.Random(8)
+    lines = ["".join(rng.choice("ABCDxyz0189+/") for _ in range(n)) for n in (64, 64, 64, 22)] + ["Qw=="]
+    begin, end, head = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123ABCD\n\n"
+    keys = [sep.join([begin, *lines, end]) for sep in ("\n", "\r\n", "\\n", " ", "\n> ", '\\n" +\n  "')] + [f"{begin}\n{head}" + "\n".join([*lines, end])]
+    keys += [sep.join([begin, *lines]) for sep in ("\n", "\\n", " ", '" +\n  "')] + [f"{begin}\n{head}" + "\n".join(lines), f"{begin}\nMIIEvQ"]
+    keys += ["\n".join([begin, *lines, begin.replace("RSA", "EC"), *lines, end])]
+    texts = [f"before the key\n{k}\n\n(after), the key" if k[-1] != "Q" else k for k in keys] + [f"the line {begin} begins a key. It ends"]
+    got = [r.text for r in secret_scan.without_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    for k, text, clean in zip(keys, texts, got, strict=False):
+        assert len(clean) == len(text) and not any(x in clean for x in (*lines, "MIIEvQ", "0123ABCD", "KEY-----")), k
+        assert clean.replace("*", "").split() in ("before the key (after), the key".split(), [">"], []), (k, clean)
+    assert got[-1] == f"the line {'*' * len(begin)} begins a key. It ends"
+    for text in (f"{begin}x" * 20_000, begin + "a" * 300_000 + ".", begin + "a b-" * 100_000, begin + "a:b " * 100_000, begin + "\\" * 300_000, begin + "-" * 300_000):
+        assert secret_scan.spans_of([text])[0]
+
+
 def test_trigram_queries():
     queries = dict(zip([r[0] for r in secret_scan.RULES], secret_scan.QUERIES, strict=True))
     assert queries["hex"] is None and queries["access"] == [[["aki", "kia"]]] and {"tok", "oke", "ken"} <= {g for branch in queries["assign"][0] for g in branch}
