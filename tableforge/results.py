@@ -46,14 +46,23 @@ def convert(value: Column, kind: str) -> Column:
 
 def decode_result_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Typed rows of the data lines. Blank and other lines are ignored, short rows padded with nulls; a failed status, a
-    missing meta line and values that don't fit raise. The meta and status lines alone go to the driver."""
+    missing meta line, meta lines that differ and values that don't fit raise. One aggregate over all meta and status
+    lines goes to the driver."""
     line = F.trim(F.col(line_col))
-    heads = [r[0] for r in lines.where(line.startswith('{"meta"') | line.startswith('{"status"')).select(line).limit(1000).collect()]
-    for head in heads:
-        if head.startswith('{"status"') and str((said := json.loads(head))["status"]).upper() == "FAILED":
-            raise RuntimeError(said.get("msg") or "query failed")
-    metas = [json.loads(h)["meta"] for h in heads if h.startswith('{"meta"')]
-    if not metas:
+    heads = lines.where(line.startswith('{"meta"') | line.startswith('{"status"')).select(line.alias("line"), F.try_parse_json(line).alias("v"))
+    part = lambda name: F.variant_get("v", f"$.{name}", "string")
+    failed = F.upper(part("status")) == "FAILED"
+    said = heads.agg(
+        F.max(F.when(failed, F.coalesce(part("msg"), F.lit("")))).alias("failed"), F.min(F.when(F.col("v").isNull(), F.col("line"))).alias("broken"),
+        F.min(part("meta")).alias("meta"), F.max(part("meta")).alias("other"),
+    ).first()
+    if said.failed is not None:
+        raise RuntimeError(said.failed or "query failed")
+    if said.broken is not None:
+        raise ValueError(f"not JSON: {said.broken}")
+    if said.meta is None:
         raise ValueError("no meta line")
+    if said.meta != said.other:
+        raise ValueError(f"meta lines differ: {said.meta} and {said.other}")
     rows = lines.where(line.startswith('{"data"')).select(F.parse_json(line).alias("v"))
-    return rows.select(*[convert(F.variant_get("v", f"$.data[{i}]", "variant"), parse_type(c["type"])).alias(c["name"]) for i, c in enumerate(metas[-1])])
+    return rows.select(*[convert(F.variant_get("v", f"$.data[{i}]", "variant"), parse_type(c["type"])).alias(c["name"]) for i, c in enumerate(json.loads(said.meta))])

@@ -48,6 +48,20 @@ def test_result_lines(spark):
             results.decode_result_lines(frame(bad))
 
 
+def test_every_head_of_many_parts_counts(spark):
+    frame = lambda some: spark.createDataFrame([(x,) for x in some], "line string").coalesce(1)
+    meta, status = '{"meta":[{"name":"a","type":"int"}]}', '{"status":"OK"}'
+    parts = [meta, '{"data":[1]}', status] * 1200
+    assert results.decode_result_lines(frame(parts)).agg(F.sum("a")).first()[0] == 1200
+    assert results.decode_result_lines(frame([status] * 1500 + [meta.replace(":", " : "), meta, '{"data":[1]}'])).collect() == [(1,)]
+    with pytest.raises(RuntimeError, match="late"):
+        results.decode_result_lines(frame([*parts, '{"status":"FAILED","msg":"late"}']))
+    with pytest.raises(ValueError, match="differ"):
+        results.decode_result_lines(frame([*parts, meta.replace("int", "date")]))
+    with pytest.raises(ValueError, match="not JSON"):
+        results.decode_result_lines(frame([*parts, '{"status"']))
+
+
 def test_messages(spark):
     log = spark.createDataFrame([(b'{"id":"7","name":3}\n{"id":8,"x":1}', 0, 5, datetime.datetime(2024, 1, 1)), (None, 0, 6, None), (b"{}", 1, 0, None)], "value binary, partition int, offset long, timestamp timestamp_ntz")
     rows = messages.decode_messages_json(log, [("id", " Int64 "), ("name", "string")], include_metadata=True).collect()
