@@ -23,7 +23,8 @@ from tableforge.llm import common
 #: Fixed values of the base rules.
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 5, 10, 20
 SYMBOLS = "#*$%&|<>"
-#: A line counts as boilerplate if over LIMIT documents of its host and over SHARE of the host's documents hold it.
+#: A line counts as boilerplate if over LIMIT documents of its host hold it, however many the host has. SHARE is LIMIT
+#: over a host of 500, for comparison; it decides nothing.
 LIMIT, SHARE = 10, 0.02
 #: A document is rejected if boilerplate lines hold at least this share of its word characters.
 DEPLETED = 0.5
@@ -76,14 +77,12 @@ def line_statistics(df: DataFrame, id_col: str, text_col: str, host_col: str) ->
     )
 
 
-def line_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: int = LIMIT, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
+def line_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: int = LIMIT, depleted: float = DEPLETED) -> DataFrame:
     """id, the base figures, base_failed, kept, n_removed_lines and removed_share of every document."""
     docs = common.materialise(line_statistics(df, id_col, text_col, host_col).withColumn("uid", F.monotonically_increasing_id()), "lines")
     host = F.coalesce(F.concat(F.lit("h"), "host"), F.lit("")).alias("h")
     lines = docs.select("uid", host, F.explode("lines").alias("x")).select("uid", "h", "x.line", "x.chars")
-    counts = lines.groupBy("h", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > limit)
-    sizes = docs.groupBy(host).agg(F.count("*").alias("host_docs"))
-    common_lines = counts.join(sizes, "h").where(F.col("docs") > share * F.col("host_docs")).select("h", "line")
+    common_lines = lines.groupBy("h", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > limit).select("h", "line")
     salted = common_lines.withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
     removed = lines.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int")).join(salted, ["h", "line", "salt"], "left_semi").groupBy("uid").agg(F.count("*").alias("n_removed_lines"), F.sum("chars").alias("removed"))
     base_failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))

@@ -220,6 +220,15 @@ def test_line_rules(docs):
         assert r.kept == (not failed and not depleted)
 
 
+def test_boilerplate_does_not_depend_on_the_host(spark):
+    own = lambda i: " ".join(f"w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 676)}{chr(97 + k)}" for k in range(12))
+    footer = " ".join(f"footer{chr(97 + k)}" for k in range(20))
+    for others in (0, 1500):  # 11 of 11 documents and of 1,511
+        table = [(i, f"{own(i)}\n{footer}", "h") for i in range(11)] + [(11 + i, own(11 + i), "h") for i in range(others)] + [(5000 + i, f"{own(i)}\n{footer}", "few") for i in range(10)]
+        got = line_rules.line_rules(spark.createDataFrame(table, "doc_id long, text string, source string")).collect()
+        assert {r.doc_id for r in got if not r.kept} == set(range(11)) == {r.doc_id for r in got if r.n_removed_lines}
+
+
 def test_bpe(docs, odd):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
