@@ -1,7 +1,8 @@
 """License scans with DataFrame functions only.
 
-Texts that hold no trigger word stop after one regex test. The others are normalised to lower-case words parted by
-single blanks; the rule keywords among them choose which rules run at all. Each rule is a hand-written regular
+Texts that hold no rule's keyword as a word stop after one regex test; no rule can match them. The others are normalised
+to lower-case words parted by single blanks; the keywords among them choose which rules run at all. "mit" is also a
+German word: alone or behind "see" it counts only in texts that speak of licences (CONTEXT). Each rule is a hand-written regular
 expression over the normalised words with a priority: identifier tags and notices before bare names. A detection that
 lies within another of the same or a higher priority is suppressed. Detections, suppression and word positions are
 array functions within the row: no shuffle, so no key can be hot.
@@ -82,16 +83,22 @@ FAMILIES = [
 FORMS = [
     (3, r" spdx license identifier {}"),
     (2, r" (?:licensed|released|distributed|available|published|provided|covered)(?: only)? under(?: the)?(?: terms of)?(?: the)? {}"),
-    (2, r" (?:subject to|governed by|see|accept)(?: the)?(?: terms of)?(?: the)? {}"),
+    (2, r" (?:subject to|governed by|accept)(?: the)?(?: terms of)?(?: the)? {}"),
+    (2, r" see(?: the)?(?: terms of)?(?: the)? {}"),
     (2, r" (?:dedicated|released|placed) (?:to|in|into)(?: the)? {}"),
     (2, r" license {}"),
     (1, r" {}"),
 ]
-RULES = [{"id": i * len(FORMS) + k, "label": label, "word": word, "level": level, "regex": form.format(f"(?:{name})(?= )")} for i, (label, word, name) in enumerate(FAMILIES) for k, (level, form) in enumerate(FORMS)]
+#: Keywords that are everyday words too, and the forms in which they count only beside a word of licensing.
+COMMON, BARE = {"mit"}, {" {}", FORMS[3][1]}
+RULES = [{"id": i * len(FORMS) + k, "label": label, "word": word, "level": level, "common": word in COMMON and form in BARE, "regex": form.format(f"(?:{name})(?= )")} for i, (label, word, name) in enumerate(FAMILIES) for k, (level, form) in enumerate(FORMS)]
 WEIGHTS = {1: 0.5, 2: 0.9, 3: 1.0}
 
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Some rule's keyword, with the edges of a normalised word.
+TRIGGER = rf"(?i)(?<!{_WORD[:-1]})(?:{'|'.join(sorted({r['word'] for r in RULES}))})(?!{_WORD[:-1]})"
+CONTEXT = r"(?i)licen[cs]e|spdx|creative[^a-z0-9]+commons|public[^a-z0-9]+domain|proprietary|(?<![a-z0-9])(?:l|a)?gpl|cc0|(?<![a-z0-9])cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -133,14 +140,14 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """id, n_words, n_base, first_word, last_word, base_labels, labels, score and the detections (first word, word
     behind, level, rule id, label)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    trigger = r"(?i)licen[cs]e|spdx|creative[^a-z0-9]+commons|public[^a-z0-9]+domain|proprietary|(?<![a-z0-9])(?:l|a)?gpl|cc0|(?<![a-z0-9])cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-    docs = df.select(F.col(id_col), text.alias("_t")).withColumn("_open", F.col("_t").rlike(trigger))
+    docs = df.select(F.col(id_col), text.alias("_t")).withColumn("_open", F.col("_t").rlike(TRIGGER))
     low = F.translate("_t", _UPPER, _SMALL)
     docs = docs.withColumn("_w", F.when(F.col("_open"), F.regexp_replace(F.concat(F.lit(" "), low, F.lit(" ")), _GAP, " ")))
     keywords = sorted({r["word"] for r in RULES})
     docs = docs.withColumn("_k", F.when(F.col("_w").isNotNull(), F.array_distinct(F.regexp_extract_all("_w", F.lit(f" ({'|'.join(keywords)})(?= )"), F.lit(1)))))
-    rules = F.from_json(F.lit(json.dumps(RULES)), "array<struct<id:int,label:string,word:string,level:int,regex:string>>")
-    chosen = F.filter(rules, lambda r: F.array_contains(F.col("_k"), r["word"]))
+    rules = F.from_json(F.lit(json.dumps(RULES)), "array<struct<id:int,label:string,word:string,level:int,common:boolean,regex:string>>")
+    docs = docs.withColumn("_c", F.when(F.exists("_k", lambda k: k.isin(*COMMON)), F.col("_t").rlike(CONTEXT)))
+    chosen = F.filter(rules, lambda r: F.array_contains(F.col("_k"), r["word"]) & (~r["common"] | F.col("_c")))
     hit = lambda r: F.transform(places(F.col("_w"), r["regex"]), lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e"), r["level"].alias("level"), r["id"].alias("id"), r["label"].alias("label")))
     docs = docs.withColumn("_d", F.when(F.size("_k") > 0, F.flatten(F.transform(chosen, hit))))
     docs = docs.withColumn("detections", F.when(F.col("_d").isNotNull(), unsuppressed(F.col("_d"))))

@@ -100,6 +100,19 @@ def test_license_suppression(spark):
     assert [(d.s, d.e, d.level) for d in r.detections] == [(0, 4, 3)]
 
 
+def test_license_gate(spark):
+    alone = {
+        "Released under the MPL 2.0": "mpl-2", "Distributed under Apache 2.0": "apache-2", "BSD 3-Clause": "bsd-3", "available under the WTFPL": "wtfpl", "EUPL v1.2": "eupl-1.2",
+        "It is published under MIT.": "mit", "0BSD": "0bsd", "(cddl)": "cddl-1", "ODbL 1.0": "odbl", "gplv3": "gpl-3", "see cc-by 4.0": "cc-by", "Der See mit dem Boot, mit 0 Punkten": "", "mpls 2, éMPL 2, BSDé 3-clause": "", "subject to MIT": "mit",
+    }
+    found = license.license_scan(spark.createDataFrame(list(enumerate(alone)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.labels for r in found] == list(alone.values())
+    beside = [(i, f"{t} . A license, elsewhere.") for i, t in enumerate(alone) if alone[t]]
+    assert [r.labels for r in license.license_scan(spark.createDataFrame(beside, "doc_id long, text string")).orderBy("doc_id").collect()] == [v for v in alone.values() if v]
+    for family in license.FAMILIES:  # what holds a keyword passes the gate
+        assert re.search(license.TRIGGER, f"the {family[1].upper()}.", re.A)
+
+
 def test_packing(spark, docs, odd):
     from tokenizers import Tokenizer
 
