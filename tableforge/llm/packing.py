@@ -5,7 +5,7 @@ sequences by themselves. The first pieces are dealt by hash into blocks of bound
 islands. An island's chromosome is a grouping (a list of bins): crossover injects well-filled bins of one parent
 whole into the other, removes the bins that hold a second copy of an item, and best-fits the displaced items,
 longest first. Between epochs each island's elite moves on to its neighbour in a shuffle. Bins that stay loose after
-the last epoch are opened and their items packed again in blocks that gather many of the first ones.
+the last epoch are opened and their items packed again, in blocks of the same bound that gather the loose ends of many.
 
 Null text is empty text: one piece, the end id alone. Rows are packed one by one, so repeated rows and ties get a place
 each; an empty table gives no rows. Only the id and text columns are read.
@@ -13,8 +13,10 @@ each; an empty table gives no rows. Only the id and text columns are read.
 
 from __future__ import annotations
 
+import json
 import os
 import random
+import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -23,32 +25,74 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableforge.llm import bpe, common
+from tableforge.llm import common
 
-BLOCK_ITEMS, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 2, 2, 4, 3
+BLOCK_ITEMS, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 2, 2, 6, 4
 #: Bins with at least this share of the capacity are final after the first level.
 TIGHT = 0.995
 
 
-class Tokenizer(bpe.ChunkCoder):
-    """Texts to ids by a tokenizers file; texts that hold a special token's string go whole."""
+#: The bytes that a byte-level vocabulary writes as themselves; the others follow from U+0100 on, in order.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: A longer run of white space overflows the rank coder's stack; texts that hold one go through the tokenizers file.
+LONG_BLANK = 10_000
+_LONG_BLANK = re.compile(rf"\s{{{LONG_BLANK}}}")
+
+
+def token_bytes(token: str) -> bytes:
+    """The bytes of a byte-level vocabulary's token."""
+    table = _byte_of()
+    return bytes(table[c] for c in token)
+
+
+@lru_cache(maxsize=1)
+def _byte_of() -> dict[str, int]:
+    others = [b for b in range(256) if b not in set(_PRINTED)]
+    return {chr(b): b for b in _PRINTED} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+class Tokenizer:
+    """Texts to ids by a tokenizers file. A plain byte-level BPE whose merges stand in the order of their ids is a rank
+    table too, which tiktoken encodes several times faster to the same ids; texts that hold a special token's string or a
+    very long run of white space, and files of any other kind, go through tokenizers."""
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer as Base
 
         self.base = Base.from_file(path)
         self.special = [t.content for t in self.base.get_added_tokens_decoder().values()]
-
-    def plain(self, text: str) -> bool:
-        return super().plain(text) and not any(s in text for s in self.special)
-
-    def code(self, strings: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.base.encode_batch_fast(strings, add_special_tokens=False)]
+        self.fast = self.ranked(path)
+
+    def ranked(self, path: str):
+        """The same vocabulary for tiktoken, or None where the file asks for more than ranks say."""
+        with open(path, "rb") as f:
+            file = json.load(f)
+        model, cutter = file["model"], file.get("pre_tokenizer") or {}
+        plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        if not plain or file.get("normalizer") or cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space") or not cutter.get("use_regex", True):
+            return None
+        vocab, added = model["vocab"], {t["content"] for t in file.get("added_tokens", [])}
+        made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        single = [i for t, i in vocab.items() if len(t) == 1]
+        if made != sorted(made) or (made and max(single) > made[0]):
+            return None
+        ranks = {token_bytes(t): i for t, i in vocab.items() if t not in added}
+        return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
+        slow = [k for k, t in enumerate(texts) if self.fast is None or any(s in t for s in self.special) or (len(t) >= LONG_BLANK and _LONG_BLANK.search(t))]
+        out = [b""] * len(texts)
+        for k, e in zip(slow, self.base.encode_batch_fast([texts[k] for k in slow], add_special_tokens=False), strict=True):
+            out[k] = array("I", e.ids).tobytes()
+        for k in set(range(len(texts))).difference(slow):
+            out[k] = array("I", self.fast.encode_ordinary(texts[k])).tobytes()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -58,13 +102,13 @@ def tokenizer(path: str) -> Tokenizer:
 
 def pieces(df: DataFrame, path: str, end_id: int, capacity: int, id_col: str, text_col: str) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32."""
-    end = np.array([end_id], "<u4").tobytes()
+    end = array("I", [end_id]).tobytes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        coder, texts = tokenizer(path), batch.column(1).fill_null("").to_pylist()
+        coder, texts = tokenizer(path), batch.column(1).fill_null("")
         rows = []
-        for lo in range(0, len(texts), 500):
-            for i, ids in enumerate(coder.encode(texts[lo : lo + 500]), lo):
+        for lo in range(0, len(texts), 200):
+            for i, ids in enumerate(coder.encode(texts.slice(lo, 200).to_pylist()), lo):
                 ids += end
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
@@ -198,7 +242,8 @@ def packed(df: DataFrame, path: str | None = None, end_id: int = 2, capacity: in
     if n_blocks > 1:
         first = common.materialise(first, "packed")
         tight = F.col("fill") >= TIGHT * capacity
-        again = pack(first.where(~tight).select("uid", "length"), capacity, -(-n_blocks // 64))
+        open_ = first.where(~tight).select("uid", "length")
+        again = pack(open_, capacity, max(1, -(-open_.count() // BLOCK_ITEMS)))
         first = first.where(tight).unionByName(again)
     alone = cut.where(F.col("length") == capacity).withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("long")})
     placed = cut.where(F.col("length") < capacity).join(first.select("uid", "sequence_id", "offset"), "uid")

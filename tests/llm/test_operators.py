@@ -121,9 +121,10 @@ def test_packing(spark, docs, odd):
         out = packing.packed(df).toPandas()
         for _, seq in out.sort_values("offset").groupby("sequence_id"):
             assert seq["offset"].tolist() == (seq["length"].cumsum() - seq["length"]).tolist() and seq["length"].sum() <= 1024
-        for i, text in list(text_of(df).items())[:300]:
+        by_id = dict(tuple(out.sort_values("piece").groupby("doc_id")))
+        for i, text in text_of(df).items():
             ids = np.array([*coder.encode(text, add_special_tokens=False).ids, 2], "<u4")
-            own = out[(out["doc_id"] == i)].sort_values("piece")
+            own = by_id[i]
             if df is odd and i == 1:
                 continue
             assert own["length"].sum() == len(ids) and (own["length"].iloc[1:] == 1024).all() and own["piece"].tolist() == list(range(len(own)))
@@ -133,6 +134,38 @@ def test_packing(spark, docs, odd):
     assert total[0] <= -(-total[1] // 1024) * 1.01 + 1
 
 
+def test_fast_coder_agrees_with_the_file():
+    coder = packing.tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    assert coder.fast is not None and packing.Tokenizer(public_tokenizers.path("word_bpe_49k.json")).fast is None
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{chr(c)}b 1{chr(c)}2 .{chr(c)} {chr(c)}{chr(c)}x  {chr(c)}" for c in points[lo : lo + 2000]) for lo in range(0, len(points), 2000)]
+    texts += ["a" * 50_000, " " * 20_000 + "x", "x<|endoftext|>y", "", "\n" * 9999 + "'s"]
+    assert coder.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in coder.base.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def test_genetic_grouping_beats_best_fit():
+    """Never worse than best fit of the longest first, and better where that isn't optimal."""
+    rng, gains = random.Random(3), []
+    for lo, hi, n in ((200, 500, 300), (300, 400, 400), (100, 700, 500), (600, 600, 50), (1, 20, 500), (1023, 1023, 5), (340, 520, 900)):
+        sizes = [rng.randint(lo, hi) for _ in range(n)]
+        first = packing.best_fit(sorted(range(n), key=lambda i: -sizes[i]), sizes, [], 1024)
+        best = packing.evolve(sizes, 1024, 1, [])
+        assert len(best) >= -(-sum(sizes) // 1024) and sorted(i for m in best for i in m[1:]) == list(range(n))
+        gains.append(len(first) - len(best))
+    assert min(gains) >= 0 and sum(g > 0 for g in gains) >= 3
+
+
+def test_packing_blocks_are_bounded(spark, monkeypatch):
+    """Items that can't be paired stay loose: the second level's blocks are no larger than the first's."""
+    monkeypatch.setattr(packing, "BLOCK_ITEMS", 50)
+    seen = []
+    real = packing.pack
+    monkeypatch.setattr(packing, "pack", lambda items, capacity, n: (seen.append((items.count(), n)), real(items, capacity, n))[1])
+    text = "a b c d e f g h i j " * 30
+    out = packing.packed(spark.createDataFrame([(i, text) for i in range(400)], "doc_id long, text string"), capacity=1000)
+    assert out.count() == 400 and len(seen) == 2 and all(n >= items / 50 for items, n in seen)
+
+
 def test_genetic_grouping():
     rng = random.Random(5)
     sizes = [rng.randint(200, 500) for _ in range(300)]
