@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -22,30 +23,51 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def arrow_limits(spark: SparkSession) -> None:
-    """Keep Arrow batches small whatever the length of the texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """Keep Arrow batches small whatever the length of the texts, where the caller has no setting of their own."""
+    for key, usual, ours in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "64MB", str(16 << 20))):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", usual) == usual:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", ours)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder (spark.checkpoint.dir). Where none is set, a single machine gets a temporary one; on a
+    cluster that is an error, as each machine would see its own."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(path)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         path = spark.sparkContext.getCheckpointDir()
     return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there, lost executors lose nothing."""
+    """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there, lost executors lose nothing.
+    The table goes with ``drop``, at the latest when the JVM exits."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(path)
+    place, files = _file_system(spark, path)
+    files.deleteOnExit(place)
+    back = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[back] = path
+    return back
+
+
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` returned and nothing reads any more."""
+    for table in tables:
+        if path := _WRITTEN.pop(table, None):
+            place, files = _file_system(table.sparkSession, path)
+            files.delete(place, True)
 
 
 def fold(modulus: int, id_col: str = "doc_id") -> Column:
@@ -109,6 +131,23 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
+def raw_texts(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of each row; null counts as empty."""
+    data, offsets = text_bytes(column)
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        yield data[a:b].tobytes()
+
+
+def chunks(raw: bytes, cut: bytes, size: int = BLOCK_BYTES) -> Iterator[bytes]:
+    """``raw`` in parts of ``size`` bytes or a little more, each but the last ending with ``cut``."""
+    at = 0
+    while at < len(raw):
+        end = raw.find(cut, at + size - 1) + len(cut) if at + size <= len(raw) else 0
+        end = end if end > at else len(raw)
+        yield raw[at:end] if at or end < len(raw) else raw
+        at = end
+
+
 def sums(values: np.ndarray, offsets: np.ndarray, dtype=np.int64) -> np.ndarray:
     """Sum of ``values`` within each [offsets[i], offsets[i + 1]); 0 for empty ranges."""
     out = np.zeros(len(offsets) - 1, dtype)
@@ -146,14 +185,34 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the white-space separated words of each row, and where each row's words start."""
-    text = _LOWER[data] if lower else data
-    inside = ~_SPACE[data]
-    cut = np.zeros(len(data) + 1, bool)  # before each byte: a row's start parts words too
-    cut[offsets] = True
-    starts = np.flatnonzero(inside & (cut[:-1] | np.append(True, ~inside[:-1])[: len(data)]))
-    ends = np.flatnonzero(inside & (cut[1:] | np.append(~inside[1:], True)[: len(data)])) + 1
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data))[:-1], out=total[1:], dtype=np.uint64)
-    hashes = mix((total[ends] - total[starts]) * powers(_INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets)
+    """64-bit hashes of the white-space separated words of each row, and where each row's words start. The bytes are
+    taken BLOCK_BYTES at a time; a word that is cut carries its sum and its length over."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    hashes, firsts = [], []
+    carried, so_far = np.uint64(0), 0
+    for lo in range(0, len(data), BLOCK_BYTES):
+        part = data[lo : lo + BLOCK_BYTES]
+        hi = lo + len(part)
+        text, inside = _LOWER[part] if lower else part, ~_SPACE[part]
+        cut = np.zeros(len(part) + 1, bool)  # before each byte: a row's start parts words too
+        cut[offsets[np.searchsorted(offsets, lo) : np.searchsorted(offsets, hi, side="right")] - lo] = True
+        starts = np.flatnonzero(inside & (cut[:-1] | np.append(so_far == 0, ~inside[:-1])))
+        ends = np.flatnonzero(inside & (cut[1:] | np.append(~inside[1:], hi == len(data) or _SPACE[data[hi]]))) + 1
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(part))[:-1], out=total[1:], dtype=np.uint64)
+        firsts.append(starts + lo)
+        if so_far:  # the part begins within a word
+            end = int(ends[0]) if len(ends) else len(part)
+            carried, so_far = carried + total[end : end + 1] * np.uint64(pow(_BASE, so_far, 1 << 64)), so_far + end
+            if len(ends):
+                hashes.append(mix(carried + np.uint64(so_far)))
+                ends, so_far = ends[1:], 0
+            else:
+                continue
+        whole = starts[: len(ends)]
+        inverse = powers(_INVERSE, len(part))
+        hashes.append(mix((total[ends] - total[whole]) * inverse[whole] + (ends - whole).astype(np.uint64)))
+        if len(starts) > len(ends):
+            carried, so_far = (total[-1:] - total[starts[-1:]]) * inverse[starts[-1:]], len(part) - int(starts[-1])
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(firsts), offsets)

@@ -1,19 +1,23 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine, found through a block-max index.
-
-A bounded sample of labelled documents gives the examples and the terms (those whose presence goes with the label beyond
-chance); the terms' document frequencies are counted over all documents in one pass. Examples are laid out in blocks
-of 64 by their heaviest term; the index holds for every term and block the largest weight. A query visits blocks in
-falling order of their upper bound and stops when no bound reaches its K-th best, so its neighbours are exact.
-Similarity-weighted votes are calibrated by isotonic regression on leave-one-out votes, weighted to the labels' ratio.
-
-Null text is empty. A text without any term has no neighbours: its score is the rate of such examples. Equal texts have
-equal scores; ties between neighbours go to the first example. Without labels every score is 0. Texts are scored
-whole. Only the named columns are read.
+"""Toxicity by nearest labelled examples under exact TF-IDF cosine, found through a block-max inverted index.
+
+A bounded sample of labelled documents gives the examples. All their terms are in the index; a term weighs its logarithmic
+count times its inverse document frequency, counted over all documents, times its relevance in the sample (TF-RF:
+log2(2 + toxic examples with it / clean ones), squared), so that what tells the classes apart decides who is near.
+Examples are laid out in blocks of 64 by their heaviest term. Postings are kept by term and block with the largest
+weight in each. A query sums these into an upper bound for every block, scores the most promising blocks first and
+leaves out those whose bound doesn't reach its K-th best, so its neighbours are exact. Similarity-weighted votes are
+calibrated by isotonic regression on leave-one-out votes, weighted to the labels' ratio.
+
+Null text is empty. A text without any of the terms has no neighbours: its score is the rate of such examples. Equal
+texts have equal scores; ties between neighbours go to the first example. Without labels every score is 0. Texts are
+scored whole, long ones in chunks cut between words. Repeated rows are scored one by one; an empty table gives no
+rows. Only the named columns are read.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,16 +27,33 @@ from pyspark.sql import functions as F
 
 from tableforge.llm import common, sampling
 
-#: Bounds of the examples and the vocabulary.
-PER_CLASS, TERMS = 1500, 256
-BLOCK, NEIGHBOURS, LEAST_Z, LEAST_DOCS = 64, 15, 4.0, 5
+#: Bound of the examples, beside sampling.TOTAL_CHARS.
+PER_CLASS = 1500
+BLOCK, NEIGHBOURS = 64, 15
+#: Query terms that are scored together, and the blocks that each round of a query opens.
+QUERY_TERMS, ROUNDS = 20_000, (3, 9, 1 << 20)
 _TABLE = bytes(b + 32 if 65 <= b < 91 else b if 97 <= b < 123 or b >= 128 else 32 for b in range(256))
 _SCALE, _IDS = 10**6, 1 << 20
 
 
-def terms_of(text: str) -> list[bytes]:
-    """Runs of letters and bytes over 127, A-Z in lower case."""
-    return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
+def words_of(raw: bytes) -> Iterator[list[bytes]]:
+    """Runs of letters and bytes over 127, A-Z in lower case; of a long text a bounded list at a time."""
+    for part in common.chunks(raw.translate(_TABLE), b" "):
+        yield part.split()
+
+
+def bag(raw: bytes, number: dict[bytes, int]) -> Counter:
+    """How often each known term occurs."""
+    counts: Counter = Counter()
+    for words in words_of(raw):
+        counts.update(map(number.get, words))
+    counts.pop(None, None)
+    return counts
+
+
+def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All places of the ranges [start, start + count), on end."""
+    return np.repeat(starts - np.append(0, np.cumsum(counts))[:-1], counts) + np.arange(counts.sum())
 
 
 @dataclass
@@ -40,42 +61,51 @@ class Index:
     ids: list[str]
     labels: np.ndarray
     number: dict[bytes, int]
-    idf: np.ndarray
-    tiles: np.ndarray  # block, term, example
-    bounds: np.ndarray  # term, block
+    scale: np.ndarray  # by term: its weight at a count of one
+    entries: np.ndarray  # by term: where its (block, largest weight, postings) begin
+    blocks: np.ndarray
+    most: np.ndarray
+    postings: np.ndarray  # by entry: where its (example, weight) begin
+    example: np.ndarray
+    weight: np.ndarray
     knots: tuple[list[float], list[float]] = ((0.0,), (0.0,))
     empty: float = 0.0
 
-    def vectors(self, texts: list[str]) -> np.ndarray:
-        """Unit TF-IDF vectors (zero where no term occurs)."""
-        out = np.zeros((len(texts), len(self.number)))
-        for i, text in enumerate(texts):
-            for term, n in Counter(w for w in terms_of(text) if w in self.number).items():
-                out[i, self.number[term]] = 1 + np.log(n)
-        out *= self.idf
-        size = np.sqrt((out * out).sum(1, keepdims=True))
-        return np.divide(out, size, out=np.zeros_like(out), where=size > 0)
-
-    def nearest(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Similarity and number of the k nearest examples of each query, exactly; similarities count in millionths."""
-        n, blocks = len(queries), len(self.tiles)
+    def vectors(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, weight) of the unit TF-IDF vectors, sorted."""
+        bags = [sorted(bag(r, self.number).items()) for r in raws]
+        row = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+        flat = np.array([x for b in bags for x in b], np.int64).reshape(-1, 2)
+        value = (1 + np.log(flat[:, 1])) * self.scale[flat[:, 0]]
+        size = np.sqrt(np.bincount(row, value * value, len(bags)))
+        return row, flat[:, 0], value / np.where(size > 0, size, 1)[row]
+
+    def nearest(self, row: np.ndarray, term: np.ndarray, value: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Similarity and number of the k nearest examples of n queries, exactly; similarities count in millionths."""
+        n_blocks = -(-len(self.labels) // BLOCK)
+        wide = n_blocks * BLOCK
+        counts = self.entries[term + 1] - self.entries[term]
+        at = _spans(self.entries[term], counts)
+        row, value, block = np.repeat(row, counts), np.repeat(value, counts), self.blocks[at]
+        bound = np.bincount(row * n_blocks + block, value * self.most[at], n * n_blocks).reshape(n, n_blocks)
+        ceiling = np.where(bound > 0, np.floor(bound * _SCALE + 2), -1).astype(np.int64)
+        turn = np.empty((n, n_blocks), np.int64)
+        np.put_along_axis(turn, np.argsort(-ceiling, axis=1, kind="stable"), np.broadcast_to(np.arange(n_blocks), (n, n_blocks)), axis=1)
         best = np.full((n, k), -1, np.int64)  # similarity and, of equal ones, the first example
-        ceiling = np.floor((queries @ self.bounds) * _SCALE + 2).astype(np.int64)
-        order = np.argsort(-ceiling, axis=1, kind="stable")
-        going = np.flatnonzero(queries.any(1))
-        for step in range(blocks):
-            block = order[going, step]
-            open_ = (ceiling[going, block] + 1) * _IDS > best[going].min(1)
-            going, block = going[open_], block[open_]
-            if not len(going):
-                break
-            for b in np.unique(block):
-                rows = going[block == b]
-                near = np.rint(queries[rows] @ self.tiles[b] * _SCALE).astype(np.int64)
-                keys = np.where(near > 0, near * _IDS + (_IDS - 1 - b * BLOCK - np.arange(BLOCK)), -1)
-                both = np.concatenate([best[rows], keys], 1)
-                best[rows] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
-        best = -np.sort(-best, axis=1)
+        done = 0
+        for upto in ROUNDS:
+            open_ = (turn >= done) & (turn < upto) & (ceiling > 0) & ((ceiling + 1) * _IDS > best[:, -1:])
+            some = np.flatnonzero(open_[row, block])
+            if len(some):
+                entry = at[some]
+                sizes = self.postings[entry + 1] - self.postings[entry]
+                place = _spans(self.postings[entry], sizes)
+                near = np.bincount(np.repeat(row[some], sizes) * wide + self.example[place], np.repeat(value[some], sizes) * self.weight[place], n * wide)
+                near = np.rint(near * _SCALE).astype(np.int64).reshape(n, wide)
+                keys = np.where(near > 0, near * _IDS + (_IDS - 1 - np.arange(wide)), -1)
+                both = np.concatenate([best, keys], 1)
+                best = -np.sort(-np.partition(both, both.shape[1] - k, axis=1)[:, -k:], axis=1)
+            done = upto
         found = best >= 0
         return np.where(found, best // _IDS, 0) / _SCALE, np.where(found, _IDS - 1 - best % _IDS, -1)
 
@@ -83,69 +113,90 @@ class Index:
         total = similarity.sum(1)
         return np.divide((similarity * self.labels[example] * (example >= 0)).sum(1), total, out=np.full(len(total), np.nan), where=total > 0)
 
-    def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        similarity, example = self.nearest(self.vectors(texts), NEIGHBOURS)
+    def search(self, raws: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``nearest`` of any number of texts, QUERY_TERMS terms at a time."""
+        row, term, value = self.vectors(raws)
+        ends = np.searchsorted(row, np.arange(len(raws) + 1))
+        parts, lo = [], 0
+        while lo < len(raws):
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + QUERY_TERMS, side="right")) - 1)
+            hi = min(hi, lo + 256, len(raws))
+            some = slice(ends[lo], ends[hi])
+            parts.append(self.nearest(row[some] - lo, term[some], value[some], hi - lo, k))
+            lo = hi
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def score(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not len(self.number):
+            return np.full(len(raws), self.empty), np.zeros((len(raws), 1)), np.full((len(raws), 1), -1)
+        similarity, example = self.search(raws, NEIGHBOURS)
         vote = self.votes(similarity, example)
         return np.where(np.isnan(vote), self.empty, np.interp(vote, *self.knots)), similarity, example
 
 
-def choose_terms(docs: list[set[bytes]], labels: np.ndarray) -> list[bytes]:
-    """Terms whose share of documents differs between the classes by LEAST_Z standard errors or more."""
-    n1 = max(1, int(labels.sum()))
-    n0 = max(1, len(labels) - n1)
-    a, b = Counter(), Counter()
-    for words, label in zip(docs, labels, strict=True):
-        (a if label else b).update(words)
-    scored = []
-    for term in sorted(set(a) | set(b)):
-        k = a[term] + b[term]
-        if k >= LEAST_DOCS:
-            p = k / (n1 + n0)
-            spread = (p * (1 - p) * (1 / n1 + 1 / n0)) ** 0.5
-            z = (a[term] / n1 - b[term] / n0) / spread if spread else 0.0
-            if abs(z) >= LEAST_Z:
-                scored.append((-abs(z), term))
-    return [t for _, t in sorted(scored)[:TERMS]]
-
-
-def document_counts(docs: DataFrame, terms: list[bytes], text_col: str) -> tuple[int, np.ndarray]:
-    """How many documents there are, and how many hold each term."""
+def inverted(row: np.ndarray, term: np.ndarray, value: np.ndarray, n_terms: int) -> tuple[np.ndarray, ...]:
+    """entries, blocks, most, postings, example and weight of an index over vectors."""
+    order = np.lexsort((row, term))
+    row, term, value = row[order], term[order], value[order]
+    block = row // BLOCK
+    new = np.ones(len(row), bool)
+    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    begins = np.flatnonzero(new)
+    most = np.maximum.reduceat(value, begins) if len(begins) else np.zeros(0)
+    return np.searchsorted(term[begins], np.arange(n_terms + 1)), block[begins].astype(np.int32), most, np.append(begins, len(row)), row.astype(np.int32), value
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known, found = frozenset(terms), Counter()
-        for text in batch.column(0).fill_null("").to_pylist():
-            found.update(known.intersection(terms_of(text)))
-        found[b""] = batch.num_rows
-        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["term", "n"])
 
-    counted = common.map_arrow(docs.select(text_col), run, "term binary, n long").groupBy("term").agg(F.sum("n")).collect()
-    counts = {bytes(t): n for t, n in counted}
-    return counts.get(b"", 0), np.array([counts.get(t, 0) for t in terms])
+def document_counts(docs: DataFrame, number: dict[bytes, int], text_col: str) -> tuple[int, np.ndarray]:
+    """How many documents there are, and how many hold each term; one partial count a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, n = np.zeros(len(number), np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            for raw in common.raw_texts(batch.column(0)):
+                counts[list(bag(raw, number))] += 1
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(counts[some], n))], ["term", "n"])
+
+    common.arrow_limits(docs.sparkSession)
+    counted = docs.select(text_col).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(len(number) + 1, np.int64)
+    out[counted["term"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    return int(out[-1]), out[:-1]
 
 
 def fit(docs: DataFrame, train: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Index:
     """An index of examples among ``train``; term statistics over all ``docs``."""
     rows, class_counts = sampling.labelled_sample(train, labels, label, PER_CLASS, id_col, text_col)
-    y = np.array([r[2] for r in rows], np.int64)
-    terms = choose_terms([set(terms_of(r[1])) for r in rows], y) if rows else []
-    if not terms:
+    y, raws = np.array([r[2] for r in rows], np.int64), [r[1].encode("utf-8", "surrogatepass") for r in rows]
+    number = {t: k for k, t in enumerate(sorted({t for raw in raws for words in words_of(raw) for t in words}))}
+    none = np.zeros(0, np.int64)
+    if not number:
         rate = class_counts.get(1, 0) / max(1, sum(class_counts.values()))
-        return Index([], np.zeros(1, np.int64), {}, np.zeros(0), np.zeros((0, 0, BLOCK)), np.zeros((0, 0)), empty=rate)
-    n, counts = document_counts(docs, terms, text_col)
-    index = Index([], y, {t: k for k, t in enumerate(terms)}, np.log((1 + n) / (1 + counts)) + 1e-3, np.zeros((0, 0, 0)), np.zeros((0, 0)))
-    vectors = index.vectors([r[1] for r in rows])
+        return Index([], none, {}, np.zeros(0), np.zeros(1, np.int64), none, np.zeros(0), np.zeros(1, np.int64), none, np.zeros(0), empty=rate)
+    n, counts = document_counts(docs, number, text_col)
+    index = Index([], none, number, np.ones(len(number)), np.zeros(1, np.int64), none, np.zeros(0), np.zeros(1, np.int64), none, np.zeros(0))
+    row, term, _ = index.vectors(raws)
+    toxic = np.bincount(term, y[row] == 1, len(number))
+    clean = np.bincount(term, y[row] != 1, len(number))
+    index.scale = np.log((1 + n) / (1 + np.minimum(counts, n))) * np.log2(2 + toxic / np.maximum(1, clean)) ** 2 + 1e-3
+    row, term, value = index.vectors(raws)
     weight = np.array([class_counts[c] / max(1, int((y == c).sum())) for c in y])
-    zero = ~vectors.any(1)
+    zero = np.bincount(row, minlength=len(y)) == 0
     index.empty = float((weight * y)[zero].sum() / weight[zero].sum()) if zero.any() else float((weight * y).sum() / weight.sum())
+    heaviest = np.full(len(y), -1)
+    order = np.lexsort((value, row))
+    last = np.append(row[order][1:] != row[order][:-1], True)
+    heaviest[row[order][last]] = term[order][last]
     some = np.flatnonzero(~zero)
-    some = some[np.lexsort((some, vectors[some].argmax(1)))]
+    some = some[np.lexsort((some, heaviest[some]))]
+    place = np.full(len(y), -1)
+    place[some] = np.arange(len(some))
     index.ids, index.labels = [str(rows[i][0]) for i in some], y[some]
-    padded = np.zeros((-(-len(some) // BLOCK) * BLOCK, len(terms)))
-    padded[: len(some)] = vectors[some]
-    index.tiles = np.ascontiguousarray(padded.reshape(-1, BLOCK, len(terms)).transpose(0, 2, 1))
-    index.bounds = np.ascontiguousarray(index.tiles.max(2).T)
-    similarity, example = index.nearest(vectors[some], NEIGHBOURS + 1)
+    index.entries, index.blocks, index.most, index.postings, index.example, index.weight = inverted(place[row], term, value, len(number))
+    similarity, example = index.search([raws[i] for i in some], NEIGHBOURS + 1)
     own = example == np.arange(len(some))[:, None]
+    own[~own.any(1), -1] = True  # equal texts fill all places
     vote = index.votes(np.where(own, 0.0, similarity), np.where(own, -1, example))
     ok = ~np.isnan(vote)
     index.knots = sampling.isotonic(vote[ok].tolist(), index.labels[ok].tolist(), weight[some][ok].tolist()) if ok.any() else ((0.0,), (0.0,))
@@ -157,11 +208,10 @@ def scorer(index: Index, id_col: str = "doc_id"):
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         values, said = [], []
-        texts = batch.column(1).fill_null("").to_pylist()
-        for lo in range(0, len(texts), 500):
-            value, similarity, example = index.score(texts[lo : lo + 500])
+        for lo in range(0, batch.num_rows, 500):
+            value, similarity, example = index.score(list(common.raw_texts(batch.column(1).slice(lo, 500))))
             values.append(value)
-            said += [",".join(f"{index.ids[e]}:{s:.3f}:{index.labels[e]}" for s, e in zip(ss[:3], ee[:3], strict=True) if e >= 0) for ss, ee in zip(similarity.tolist(), example.tolist(), strict=True)]
+            said += [",".join(f"{index.ids[e]}:{s:.3f}:{index.labels[e]}" for s, e in zip(ss, ee, strict=True) if e >= 0) for ss, ee in zip(similarity[:, :3].tolist(), example[:, :3].tolist(), strict=True)]
         value = np.concatenate(values)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(value), pa.array((value >= 0.5).astype(np.int32)), pa.array(said, pa.string())], [id_col, "score", "predicted", "evidence"])
 
