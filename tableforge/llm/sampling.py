@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tableforge.llm import common
 
 #: Characters that all texts of a sample may hold together (a longer document is scored whole all the same).
-TOTAL_CHARS = 32_000_000
+TOTAL_CHARS = 16_000_000
 
 
 def within(sizes: list[tuple], total: int) -> list:

@@ -3,10 +3,11 @@
 A bounded sample of labelled documents gives the examples. All their terms are in the index; a term weighs its logarithmic
 count times its inverse document frequency, counted over all documents, times its relevance in the sample (TF-RF:
 log2(2 + toxic examples with it / clean ones), squared), so that what tells the classes apart decides who is near.
-Examples are laid out in blocks of 64 by their heaviest term. Postings are kept by term and block with the largest
-weight in each. A query sums these into an upper bound for every block, scores the most promising blocks first and
-leaves out those whose bound doesn't reach its K-th best, so its neighbours are exact. Similarity-weighted votes are
-calibrated by isotonic regression on leave-one-out votes, weighted to the labels' ratio.
+Examples are laid out in blocks of 64 by their heaviest term. The COMMON most frequent terms, whose long postings weigh
+least, are kept by example, with the largest weight in each block; all others as postings. A query adds up the postings
+of its rarer terms. The block maxima of its common terms then bound what the examples of a block can still gain, and
+only examples that can reach its K-th best sum are completed, so its neighbours are exact. Similarity-weighted votes
+are calibrated by isotonic regression on leave-one-out votes, weighted to the labels' ratio.
 
 Null text is empty. A text without any of the terms has no neighbours: its score is the rate of such examples. Equal
 texts have equal scores; ties between neighbours go to the first example. Without labels every score is 0. Texts are
@@ -16,9 +17,9 @@ rows. Only the named columns are read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,10 @@ from tableforge.llm import common, sampling
 
 #: Bound of the examples, beside sampling.TOTAL_CHARS.
 PER_CLASS = 1500
-BLOCK, NEIGHBOURS = 64, 15
-#: Query terms that are scored together, and the blocks that each round of a query opens.
-QUERY_TERMS, ROUNDS = 20_000, (3, 9, 1 << 20)
+BLOCK, NEIGHBOURS, COMMON = 64, 15, 128
+#: Queries that are scored together and the postings that they may read (one query may read more), and pairs of query
+#: and example that are completed together. They bound memory, never results.
+QUERIES, READ, PAIRS = 64, 1 << 21, 1 << 14
 _TABLE = bytes(b + 32 if 65 <= b < 91 else b if 97 <= b < 123 or b >= 128 else 32 for b in range(256))
 _SCALE, _IDS = 10**6, 1 << 20
 
@@ -42,13 +44,13 @@ def words_of(raw: bytes) -> Iterator[list[bytes]]:
         yield part.split()
 
 
-def bag(raw: bytes, number: dict[bytes, int]) -> Counter:
-    """How often each known term occurs."""
-    counts: Counter = Counter()
-    for words in words_of(raw):
-        counts.update(map(number.get, words))
-    counts.pop(None, None)
-    return counts
+def term_counts(raws: list[bytes], number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count) of the known terms in each text, sorted."""
+    parts = [[np.fromiter(map(number.get, words, repeat(-1)), np.int32, len(words)) for words in words_of(raw)] for raw in raws]
+    found = np.concatenate([np.zeros(0, np.int32), *(p for part in parts for p in part)])
+    row = np.repeat(np.arange(len(raws)), [sum(map(len, part)) for part in parts])
+    key, n = np.unique((row * len(number) + found)[found >= 0], return_counts=True)
+    return key // max(1, len(number)), key % max(1, len(number)), n
 
 
 def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -62,10 +64,10 @@ class Index:
     labels: np.ndarray
     number: dict[bytes, int]
     scale: np.ndarray  # by term: its weight at a count of one
-    entries: np.ndarray  # by term: where its (block, largest weight, postings) begin
-    blocks: np.ndarray
-    most: np.ndarray
-    postings: np.ndarray  # by entry: where its (example, weight) begin
+    column: np.ndarray  # by term: its column if it is common, else -1
+    columns: np.ndarray  # [example, column]: weight
+    most: np.ndarray  # [column, block]: the largest of these
+    postings: np.ndarray  # by term: where its (example, weight) begin
     example: np.ndarray
     weight: np.ndarray
     knots: tuple[list[float], list[float]] = ((0.0,), (0.0,))
@@ -73,39 +75,29 @@ class Index:
 
     def vectors(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, weight) of the unit TF-IDF vectors, sorted."""
-        bags = [sorted(bag(r, self.number).items()) for r in raws]
-        row = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-        flat = np.array([x for b in bags for x in b], np.int64).reshape(-1, 2)
-        value = (1 + np.log(flat[:, 1])) * self.scale[flat[:, 0]]
-        size = np.sqrt(np.bincount(row, value * value, len(bags)))
-        return row, flat[:, 0], value / np.where(size > 0, size, 1)[row]
+        row, term, n = term_counts(raws, self.number)
+        value = (1 + np.log(n)) * self.scale[term]
+        size = np.sqrt(np.bincount(row, value * value, len(raws)))
+        return row, term, value / np.where(size > 0, size, 1)[row]
 
     def nearest(self, row: np.ndarray, term: np.ndarray, value: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Similarity and number of the k nearest examples of n queries, exactly; similarities count in millionths."""
-        n_blocks = -(-len(self.labels) // BLOCK)
-        wide = n_blocks * BLOCK
-        counts = self.entries[term + 1] - self.entries[term]
-        at = _spans(self.entries[term], counts)
-        row, value, block = np.repeat(row, counts), np.repeat(value, counts), self.blocks[at]
-        bound = np.bincount(row * n_blocks + block, value * self.most[at], n * n_blocks).reshape(n, n_blocks)
-        ceiling = np.where(bound > 0, np.floor(bound * _SCALE + 2), -1).astype(np.int64)
-        turn = np.empty((n, n_blocks), np.int64)
-        np.put_along_axis(turn, np.argsort(-ceiling, axis=1, kind="stable"), np.broadcast_to(np.arange(n_blocks), (n, n_blocks)), axis=1)
-        best = np.full((n, k), -1, np.int64)  # similarity and, of equal ones, the first example
-        done = 0
-        for upto in ROUNDS:
-            open_ = (turn >= done) & (turn < upto) & (ceiling > 0) & ((ceiling + 1) * _IDS > best[:, -1:])
-            some = np.flatnonzero(open_[row, block])
-            if len(some):
-                entry = at[some]
-                sizes = self.postings[entry + 1] - self.postings[entry]
-                place = _spans(self.postings[entry], sizes)
-                near = np.bincount(np.repeat(row[some], sizes) * wide + self.example[place], np.repeat(value[some], sizes) * self.weight[place], n * wide)
-                near = np.rint(near * _SCALE).astype(np.int64).reshape(n, wide)
-                keys = np.where(near > 0, near * _IDS + (_IDS - 1 - np.arange(wide)), -1)
-                both = np.concatenate([best, keys], 1)
-                best = -np.sort(-np.partition(both, both.shape[1] - k, axis=1)[:, -k:], axis=1)
-            done = upto
+        wide, column = len(self.columns), self.column[term]
+        rare = column < 0
+        sizes = self.postings[term[rare] + 1] - self.postings[term[rare]]
+        place = _spans(self.postings[term[rare]], sizes)
+        sums = np.bincount(np.repeat(row[rare] * wide, sizes) + self.example[place], np.repeat(value[rare], sizes) * self.weight[place], n * wide).reshape(n, wide)
+        least = np.partition(sums, wide - k, axis=1)[:, wide - k] if wide > k else np.zeros(n)
+        own = np.zeros((n, self.columns.shape[1]))
+        own[row[~rare], column[~rare]] = value[~rare]
+        gain = own @ self.most
+        query, example = np.nonzero((sums.reshape(n, -1, BLOCK) + gain[:, :, None]).reshape(n, wide) >= (least - 2 / _SCALE)[:, None])
+        keys = np.full((n, max(wide, k)), -1, np.int64)  # similarity and, of equal ones, the first example
+        for lo in range(0, len(query), PAIRS):
+            q, e = query[lo : lo + PAIRS], example[lo : lo + PAIRS]
+            near = np.rint((sums[q, e] + np.einsum("ij,ij->i", own[q], self.columns[e])) * _SCALE).astype(np.int64)
+            keys[q, e] = np.where(near > 0, near * _IDS + (_IDS - 1 - e), -1)
+        best = -np.sort(-np.partition(keys, keys.shape[1] - k, axis=1)[:, -k:], axis=1)
         found = best >= 0
         return np.where(found, best // _IDS, 0) / _SCALE, np.where(found, _IDS - 1 - best % _IDS, -1)
 
@@ -114,16 +106,15 @@ class Index:
         return np.divide((similarity * self.labels[example] * (example >= 0)).sum(1), total, out=np.full(len(total), np.nan), where=total > 0)
 
     def search(self, raws: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """``nearest`` of any number of texts, QUERY_TERMS terms at a time."""
+        """``nearest`` of any number of texts."""
         row, term, value = self.vectors(raws)
         ends = np.searchsorted(row, np.arange(len(raws) + 1))
-        parts, lo = [], 0
-        while lo < len(raws):
-            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + QUERY_TERMS, side="right")) - 1)
-            hi = min(hi, lo + 256, len(raws))
+        read = np.append(0, np.cumsum(self.postings[term + 1] - self.postings[term]))[ends]
+        parts, hi = [], 0
+        while hi < len(raws):
+            lo, hi = hi, max(hi + 1, int(np.searchsorted(read[: hi + QUERIES + 1], read[hi] + READ, side="right")) - 1)
             some = slice(ends[lo], ends[hi])
             parts.append(self.nearest(row[some] - lo, term[some], value[some], hi - lo, k))
-            lo = hi
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     def score(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,16 +125,21 @@ class Index:
         return np.where(np.isnan(vote), self.empty, np.interp(vote, *self.knots)), similarity, example
 
 
-def inverted(row: np.ndarray, term: np.ndarray, value: np.ndarray, n_terms: int) -> tuple[np.ndarray, ...]:
-    """entries, blocks, most, postings, example and weight of an index over vectors."""
+def lay_out(index: Index, row: np.ndarray, term: np.ndarray, value: np.ndarray) -> None:
+    """Fill the columns, block maxima and postings of ``index`` from its examples' vectors."""
+    n_terms, wide = len(index.number), -(-len(index.labels) // BLOCK) * BLOCK
+    held = np.bincount(term, minlength=n_terms)
+    common_terms = np.sort(np.argsort(-held, kind="stable")[:COMMON])
+    index.column = np.full(n_terms, -1)
+    index.column[common_terms] = np.arange(len(common_terms))
+    rare = index.column[term] < 0
+    index.columns = np.zeros((wide, len(common_terms)))
+    index.columns[row[~rare], index.column[term[~rare]]] = value[~rare]
+    index.most = np.ascontiguousarray(index.columns.reshape(-1, BLOCK, len(common_terms)).max(1).T)
+    row, term, value = row[rare], term[rare], value[rare]
     order = np.lexsort((row, term))
-    row, term, value = row[order], term[order], value[order]
-    block = row // BLOCK
-    new = np.ones(len(row), bool)
-    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-    begins = np.flatnonzero(new)
-    most = np.maximum.reduceat(value, begins) if len(begins) else np.zeros(0)
-    return np.searchsorted(term[begins], np.arange(n_terms + 1)), block[begins].astype(np.int32), most, np.append(begins, len(row)), row.astype(np.int32), value
+    index.example, index.weight = row[order].astype(np.int32), value[order]
+    index.postings = np.searchsorted(term[order], np.arange(n_terms + 1))
 
 
 def document_counts(docs: DataFrame, number: dict[bytes, int], text_col: str) -> tuple[int, np.ndarray]:
@@ -153,8 +149,8 @@ def document_counts(docs: DataFrame, number: dict[bytes, int], text_col: str) ->
         counts, n = np.zeros(len(number), np.int64), 0
         for batch in batches:
             n += batch.num_rows
-            for raw in common.raw_texts(batch.column(0)):
-                counts[list(bag(raw, number))] += 1
+            for lo in range(0, batch.num_rows, 500):
+                counts += np.bincount(term_counts(list(common.raw_texts(batch.column(0).slice(lo, 500))), number)[1], minlength=len(number))
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(counts[some], n))], ["term", "n"])
 
@@ -171,12 +167,12 @@ def fit(docs: DataFrame, train: DataFrame, labels: DataFrame, label: str = "toxi
     y, raws = np.array([r[2] for r in rows], np.int64), [r[1].encode("utf-8", "surrogatepass") for r in rows]
     number = {t: k for k, t in enumerate(sorted({t for raw in raws for words in words_of(raw) for t in words}))}
     none = np.zeros(0, np.int64)
+    index = Index([], none, number, np.ones(len(number)), none, np.zeros((0, 0)), np.zeros((0, 0)), none, none, np.zeros(0))
     if not number:
-        rate = class_counts.get(1, 0) / max(1, sum(class_counts.values()))
-        return Index([], none, {}, np.zeros(0), np.zeros(1, np.int64), none, np.zeros(0), np.zeros(1, np.int64), none, np.zeros(0), empty=rate)
+        index.empty = class_counts.get(1, 0) / max(1, sum(class_counts.values()))
+        return index
     n, counts = document_counts(docs, number, text_col)
-    index = Index([], none, number, np.ones(len(number)), np.zeros(1, np.int64), none, np.zeros(0), np.zeros(1, np.int64), none, np.zeros(0))
-    row, term, _ = index.vectors(raws)
+    row, term, _ = term_counts(raws, number)
     toxic = np.bincount(term, y[row] == 1, len(number))
     clean = np.bincount(term, y[row] != 1, len(number))
     index.scale = np.log((1 + n) / (1 + np.minimum(counts, n))) * np.log2(2 + toxic / np.maximum(1, clean)) ** 2 + 1e-3
@@ -193,7 +189,7 @@ def fit(docs: DataFrame, train: DataFrame, labels: DataFrame, label: str = "toxi
     place = np.full(len(y), -1)
     place[some] = np.arange(len(some))
     index.ids, index.labels = [str(rows[i][0]) for i in some], y[some]
-    index.entries, index.blocks, index.most, index.postings, index.example, index.weight = inverted(place[row], term, value, len(number))
+    lay_out(index, place[row], term, value)
     similarity, example = index.search([raws[i] for i in some], NEIGHBOURS + 1)
     own = example == np.arange(len(some))[:, None]
     own[~own.any(1), -1] = True  # equal texts fill all places
