@@ -1,104 +1,59 @@
 """License scans with DataFrame functions only.
 
-Texts that hold no rule's keyword as a word stop after one regex test; no rule can match them. The others are normalised
-to lower-case words parted by single blanks; the keywords among them choose which rules run at all. "mit" is also a
-German word: alone or behind "see" it counts only in texts that speak of licences (CONTEXT). Each rule is a hand-written regular
-expression over the normalised words with a priority: identifier tags and notices before bare names. A detection that
-lies within another of the same or a higher priority is suppressed. Detections, suppression and word positions are
-array functions within the row: no shuffle, so no key can be hot.
+The rules (license_rules) are hand-written regular expressions over normalised words, each with a level and the words
+that every match of it holds. Texts pass a gate made of these words first: plain substring tests, short of what a text
+must hold for any rule to match. Those that pass are normalised to lower-case words parted by single blanks, and only
+rules all of whose words occur are run. A detection that lies within another of the same or a higher level is
+suppressed. Detections, suppression and word positions are array functions within the row: no shuffle, so no key can be
+hot.
 
 Null text is empty text: no words, no labels, score 0. Repeated rows are scanned one by one; ties (equal spans) keep the
-rule with the higher priority, then the first rule. Only the id and text columns are read.
+rule with the higher level, then the first rule. Very long texts are scanned whole. Only the id and text columns are
+read.
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableforge.llm import common
+from tableforge.llm.license_rules import RULES_TEXT
 
 #: The phrases that always count, with their labels.
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
-#: Families: label, keyword (a word that every match holds), name as a regex over normalised words.
-FAMILIES = [
-    ("mit", "mit", r"mit(?: x11)?(?: expat)?(?: license)?"),
-    ("mit-0", "mit", r"mit (?:0|no attribution)(?: license)?"),
-    ("apache-2", "apache", r"apache(?: software)?(?: license)?(?: version| v)?(?: 2| 2 0)"),
-    ("apache-1.1", "apache", r"apache(?: software)?(?: license)?(?: version| v)? 1 1"),
-    ("gpl-2", "gnu", r"gnu (?:general public license|gpl)(?: gpl)?(?: version| v)? 2(?: 0)?"),
-    ("gpl-3", "gnu", r"gnu (?:general public license|gpl)(?: gpl)?(?: version| v)? 3(?: 0)?"),
-    ("gpl", "gnu", r"gnu (?:general public license|gpl)"),
-    ("gpl-2", "gpl", r"gpl(?: version| v)? 2(?: 0)?(?: only| or later)?"),
-    ("gpl-3", "gpl", r"gpl(?: version| v)? 3(?: 0)?(?: only| or later)?"),
-    ("gpl-2", "gplv2", r"gplv2"),
-    ("gpl-3", "gplv3", r"gplv3"),
-    ("lgpl-2.1", "lesser", r"gnu lesser general public license(?: version| v)? 2 1"),
-    ("lgpl-3", "lesser", r"gnu lesser general public license(?: version| v)? 3(?: 0)?"),
-    ("lgpl-2.1", "lgpl", r"lgpl(?: version| v)? 2(?: 1| 0)?(?: only| or later)?"),
-    ("lgpl-3", "lgpl", r"lgpl(?: version| v)? 3(?: 0)?(?: only| or later)?"),
-    ("agpl-3", "affero", r"gnu affero general public license(?: version| v)?(?: 3)?(?: 0)?"),
-    ("agpl-3", "agpl", r"agpl(?: version| v)?(?: 3)?(?: 0)?(?: only| or later)?"),
-    ("bsd-2", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: license)?"),
-    ("bsd-3", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: license)?"),
-    ("bsd-4", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd)(?: license)?"),
-    ("bsd", "bsd", r"bsd license"),
-    ("0bsd", "0bsd", r"0bsd"),
-    ("isc", "isc", r"isc license"),
-    ("mpl-1.1", "mpl", r"mpl(?: version| v)? 1 1"),
-    ("mpl-2", "mpl", r"mpl(?: version| v)? 2(?: 0)?"),
-    ("mpl-2", "mozilla", r"mozilla public license(?: version| v)?(?: 2)?(?: 0)?"),
-    ("epl-1", "eclipse", r"eclipse public license(?: version| v)? 1(?: 0)?"),
-    ("epl-2", "eclipse", r"eclipse public license(?: version| v)? 2(?: 0)?"),
-    ("cddl-1", "cddl", r"cddl(?: version| v)?(?: 1)?(?: 0| 1)?"),
-    ("eupl-1.2", "eupl", r"eupl(?: version| v)?(?: 1 2)?"),
-    ("artistic-2", "artistic", r"artistic license(?: version| v)?(?: 2)?(?: 0)?"),
-    ("unlicense", "unlicense", r"(?:the )?unlicense"),
-    ("zlib", "zlib", r"zlib(?: libpng)? license"),
-    ("bsl-1", "boost", r"boost software license(?: version| v)?(?: 1)?(?: 0)?"),
-    ("ofl-1.1", "sil", r"sil open font license(?: version| v)?(?: 1 1)?"),
-    ("odbl", "odbl", r"odbl(?: version| v)?(?: 1)?(?: 0)?"),
-    ("postgresql", "postgresql", r"postgresql license"),
-    ("python-2", "python", r"python(?: software foundation)? license(?: version| v)?(?: 2)?(?: 0)?"),
-    ("wtfpl", "wtfpl", r"wtfpl"),
-    ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
-    ("cc-by", "cc", r"cc by(?: [1-4] [0-9])?(?! nc| nd| sa)"),
-    ("cc-by-sa", "cc", r"cc by sa(?: [1-4] [0-9])?"),
-    ("cc-by-nd", "cc", r"cc by nd(?: [1-4] [0-9])?"),
-    ("cc-by-nc", "cc", r"cc by nc(?: [1-4] [0-9])?(?! nd| sa)"),
-    ("cc-by-nc-sa", "cc", r"cc by nc sa(?: [1-4] [0-9])?"),
-    ("cc-by-nc-nd", "cc", r"cc by nc nd(?: [1-4] [0-9])?"),
-    ("cc-by", "creative", r"creative commons attribution(?: [1-4] [0-9])?(?: international| unported)?(?! non| no| share)"),
-    ("cc-by-sa", "creative", r"creative commons attribution share ?alike(?: [1-4] [0-9])?"),
-    ("cc-by-nc", "creative", r"creative commons attribution non ?commercial(?: [1-4] [0-9])?(?! no| share)"),
-    ("cc-by-nd", "creative", r"creative commons attribution no ?deriv(?:ative)?s(?: [1-4] [0-9])?"),
-    ("public-domain", "domain", r"public domain"),
-    ("proprietary", "proprietary", r"proprietary(?: and confidential)?"),
-]
-
-#: How a name appears: priority and the words around it. Families times forms make the rule table.
-FORMS = [
-    (3, r" spdx license identifier {}"),
-    (2, r" (?:licensed|released|distributed|available|published|provided|covered)(?: only)? under(?: the)?(?: terms of)?(?: the)? {}"),
-    (2, r" (?:subject to|governed by|accept)(?: the)?(?: terms of)?(?: the)? {}"),
-    (2, r" see(?: the)?(?: terms of)?(?: the)? {}"),
-    (2, r" (?:dedicated|released|placed) (?:to|in|into)(?: the)? {}"),
-    (2, r" license {}"),
-    (1, r" {}"),
-]
-#: Keywords that are everyday words too, and the forms in which they count only beside a word of licensing.
-COMMON, BARE = {"mit"}, {" {}", FORMS[3][1]}
-RULES = [{"id": i * len(FORMS) + k, "label": label, "word": word, "level": level, "common": word in COMMON and form in BARE, "regex": form.format(f"(?:{name})(?= )")} for i, (label, word, name) in enumerate(FAMILIES) for k, (level, form) in enumerate(FORMS)]
+
+def parsed(lines: str) -> list[dict]:
+    fields = [line.split("; ", 3) for line in lines.strip().splitlines()]
+    needle = lambda w: f" {w[:-1]}" if w.endswith("~") else f" {w} "
+    return [{"id": k, "label": label, "level": int(level), "words": words.split(), "needles": list(map(needle, words.split())), "regex": f" (?:{regex})(?= )"} for k, (label, level, words, regex) in enumerate(fields)]
+
+
+RULES = parsed(RULES_TEXT)
+KEYWORDS = sorted({w for r in RULES for w in r["words"]})
+NEEDLES = sorted({n for r in RULES for n in r["needles"]})
 WEIGHTS = {1: 0.5, 2: 0.9, 3: 1.0}
 
+
+def gate_sets(rules: list[dict], stem: str = "licen") -> list[list[str]]:
+    """What the gate asks for: the least sets of substrings of which every rule's matches hold one. A word counts as the
+    shortest rule's word within it that is more than half of it; words of licensing are one substring, and enough."""
+    words = [w for w in KEYWORDS if len(w) > 2 and stem not in w and "~" not in w]
+    short = lambda w: min((k for k in words if k in w and 2 * len(k) > len(w)), key=lambda k: (len(k), k), default=w.rstrip("~"))
+    sets = {frozenset([stem]) if any(stem in w for w in r["words"]) else frozenset(map(short, r["words"])) for r in rules}
+    least = [s for s in sets if not any(t < s for t in sets)]
+    return sorted(sorted(s, key=lambda w: (-len(w), w)) for s in least)
+
+
+GATE = gate_sets(RULES)
+
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Some rule's keyword, with the edges of a normalised word.
-TRIGGER = rf"(?i)(?<!{_WORD[:-1]})(?:{'|'.join(sorted({r['word'] for r in RULES}))})(?!{_WORD[:-1]})"
-CONTEXT = r"(?i)licen[cs]e|spdx|creative[^a-z0-9]+commons|public[^a-z0-9]+domain|proprietary|(?<![a-z0-9])(?:l|a)?gpl|cc0|(?<![a-z0-9])cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -109,15 +64,20 @@ def _blanks(text: Column) -> Column:
 def places(words: Column, regex: Column) -> Column:
     """array<struct<s, e>>: first word and the word behind, of all matches of ``regex`` (which begins with a blank and
     ends before one) in blank-parted words."""
-    found = F.regexp_extract_all(words, F.concat(F.lit("("), regex, F.lit(")")), F.lit(1))
-    before = F.slice(F.split(words, regex, -1), 1, F.size(found))
-    counts = F.zip_with(before, found, lambda b, m: F.struct(_blanks(b).alias("skip"), _blanks(m).alias("n")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,e:int>>)").alias("out"))
+    none = F.expr("cast(array() as array<struct<s:int,e:int>>)")
     step = lambda a, x: F.struct(
         (a["at"] + x["skip"] + x["n"]).alias("at"),
         F.concat(a["out"], F.array(F.struct((a["at"] + x["skip"]).alias("s"), (a["at"] + x["skip"] + x["n"]).alias("e")))).alias("out"),
     )
-    return F.aggregate(counts, start, step, lambda a: a["out"])
+
+    def placed(found: Column) -> Column:
+        before = F.slice(F.split(words, regex, -1), 1, F.size(found))
+        counts = F.zip_with(before, found, lambda b, m: F.struct(_blanks(b).alias("skip"), _blanks(m).alias("n")))
+        return F.aggregate(counts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
+
+    found = F.regexp_extract_all(words, F.concat(F.lit("("), regex, F.lit(")")), F.lit(1))
+    # the one-element array gives the matches a name, so that they are sought once
+    return F.flatten(F.transform(F.array(found), lambda f: F.when(F.size(f) > 0, placed(f)).otherwise(none)))
 
 
 def unsuppressed(found: Column) -> Column:
@@ -139,15 +99,15 @@ def unsuppressed(found: Column) -> Column:
 def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_words, n_base, first_word, last_word, base_labels, labels, score and the detections (first word, word
     behind, level, rule id, label)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = df.select(F.col(id_col), text.alias("_t")).withColumn("_open", F.col("_t").rlike(TRIGGER))
-    low = F.translate("_t", _UPPER, _SMALL)
-    docs = docs.withColumn("_w", F.when(F.col("_open"), F.regexp_replace(F.concat(F.lit(" "), low, F.lit(" ")), _GAP, " ")))
-    keywords = sorted({r["word"] for r in RULES})
-    docs = docs.withColumn("_k", F.when(F.col("_w").isNotNull(), F.array_distinct(F.regexp_extract_all("_w", F.lit(f" ({'|'.join(keywords)})(?= )"), F.lit(1)))))
-    rules = F.from_json(F.lit(json.dumps(RULES)), "array<struct<id:int,label:string,word:string,level:int,common:boolean,regex:string>>")
-    docs = docs.withColumn("_c", F.when(F.exists("_k", lambda k: k.isin(*COMMON)), F.col("_t").rlike(CONTEXT)))
-    chosen = F.filter(rules, lambda r: F.array_contains(F.col("_k"), r["word"]) & (~r["common"] | F.col("_c")))
+    docs = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_t")).withColumn("_low", F.lower("_t"))
+    has = lambda some: reduce(and_, [F.contains("_low", F.lit(w)) for w in some])
+    docs = docs.withColumn("_open", reduce(or_, map(has, GATE)))
+    # only A-Z is lower-cased; where each character is one byte that is all that lower() does
+    small = F.when(F.octet_length("_t") == F.length("_t"), F.col("_low")).otherwise(F.translate("_t", _UPPER, _SMALL))
+    docs = docs.withColumn("_w", F.when(F.col("_open"), F.regexp_replace(F.concat(F.lit(" "), small, F.lit(" ")), _GAP, " ")))
+    docs = docs.withColumn("_k", F.when(F.col("_w").isNotNull(), F.filter(F.array(*map(F.lit, NEEDLES)), lambda k: F.contains(F.col("_w"), k))))
+    rules = F.from_json(F.lit(json.dumps(RULES)), "array<struct<id:int,label:string,level:int,needles:array<string>,regex:string>>")
+    chosen = F.filter(rules, lambda r: F.forall(r["needles"], lambda n: F.array_contains(F.col("_k"), n)))
     hit = lambda r: F.transform(places(F.col("_w"), r["regex"]), lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e"), r["level"].alias("level"), r["id"].alias("id"), r["label"].alias("label")))
     docs = docs.withColumn("_d", F.when(F.size("_k") > 0, F.flatten(F.transform(chosen, hit))))
     docs = docs.withColumn("detections", F.when(F.col("_d").isNotNull(), unsuppressed(F.col("_d"))))
