@@ -166,8 +166,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -194,7 +194,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple
     for lo in range(0, len(data), BLOCK_BYTES):
         part = data[lo : lo + BLOCK_BYTES]
         hi = lo + len(part)
-        text, inside = _LOWER[part] if lower else part, ~_SPACE[part]
+        text, inside = LOWER[part] if lower else part, ~_SPACE[part]
         cut = np.zeros(len(part) + 1, bool)  # before each byte: a row's start parts words too
         cut[offsets[np.searchsorted(offsets, lo) : np.searchsorted(offsets, hi, side="right")] - lo] = True
         starts = np.flatnonzero(inside & (cut[:-1] | np.append(so_far == 0, ~inside[:-1])))

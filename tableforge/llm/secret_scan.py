@@ -1,13 +1,14 @@
 """Secret scans by a trigram index.
 
 Each rule's regular expression gives a Boolean query over trigrams that every match must hold (AND of sequences, OR of
-branches). Each Arrow batch of whole texts is an index segment: for every trigram of the queries, the posting list of
-the texts that hold it, as the bits of a number. A rule's query intersects and unites postings; only the candidates
-left are searched by the regular expression. Rules without mandatory trigrams scan all texts.
-
-Null text is empty text. Spans are in code points, end exclusive; per rule they are leftmost and don't overlap. Repeated
-rows are scanned one by one; equal spans of several kinds are all kept, in the rules' order. Only the id and text
-columns are read.
+branches). Each run of whole texts in an Arrow batch is an index segment: its trigrams are extracted in one pass, and those
+that some query asks for get a posting list, the texts that hold them. A rule's query intersects and unites postings;
+only the candidates left are searched by the regular expression. Rules without mandatory trigrams scan all texts.
+Extraction costs the same however many rules there are.
+
+Null text is empty text. Spans are in code points, end exclusive; per rule they are leftmost and don't overlap. Texts of
+any length are scanned whole; all patterns take linear time. Repeated rows are scanned one by one; equal spans of several
+kinds are all kept, in the rules' order. An empty table gives no rows. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import re
 from re import _constants as K
 from re import _parser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,16 +33,66 @@ _RUN = r"[A-Za-z0-9+/=]"
 _BODY = rf"(?:{_PART}*+[A-Za-z][A-Za-z-]*+:\x20*+[^\s\\]++)*+(?:{_PART}*+(?:{_RUN}{{20,}}+(?:{_PART}++{_RUN}{{1,19}}+(?!{_RUN}))?+|{_RUN}++(?=[\x20\t\r]*+(?:\n|\\[nr]|\Z))))*+"
 _PEM = rf"-----BEGIN {_KEY}(?>(?:[^-]++|-(?!----))*+-----END {_KEY}|{_BODY})"
 
-#: Kind, pattern, ignore case, group whose length counts, least length. The first three are the base.
+#: Kind, pattern, ignore case, group whose length counts, least length. The first three are the base; runs
+#: of hex digits that are too short are left out by the pattern itself.
 RULES = [
     ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", True, 2, 8),
     ("access", r"AKIA[A-Z0-9]+", False, 0, 16),
-    ("hex", r"[0-9a-f]+", False, 0, 32),
+    ("hex", r"[0-9a-f]{32,}", False, 0, 32),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36}", False, 0, 40),
+    ("github_fine", r"github_pat_[A-Za-z0-9_]{60,}", False, 0, 71),
     ("gitlab", r"glpat-[A-Za-z0-9_-]{20,}", False, 0, 26),
+    ("gitlab_runner", r"glrt-[A-Za-z0-9_-]{20,}", False, 0, 25),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", False, 0, 15),
+    ("slack_app", r"xapp-[0-9]-[A-Za-z0-9-]{20,}", False, 0, 27),
+    ("slack_hook", r"hooks\.slack\.com/services/T[A-Za-z0-9]{6,12}/B[A-Za-z0-9]{6,12}/[A-Za-z0-9]{20,}", False, 0, 60),
     ("google", r"AIza[A-Za-z0-9_-]{35}", False, 0, 39),
+    ("google_client", r"(?<![0-9])[0-9]{6,20}-[a-z0-9]{32}\.apps\.googleusercontent\.com", False, 0, 60),
+    ("google_secret", r"GOCSPX-[A-Za-z0-9_-]{28}", False, 0, 35),
+    ("google_access", r"ya29\.[A-Za-z0-9_-]{20,}", False, 0, 25),
+    ("firebase", r"AAAA[A-Za-z0-9_-]{7}:APA91b[A-Za-z0-9_-]{100,}", False, 0, 118),
     ("stripe", r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,}", False, 0, 24),
+    ("stripe_hook", r"whsec_[A-Za-z0-9]{32,}", False, 0, 38),
+    ("aws_secret", r"""aws_secret(?:_access)?_key["']?\x20*[:=]\x20*["']?[A-Za-z0-9/+]{40}""", True, 0, 55),
+    ("aws_session", r"ASIA[A-Z0-9]{16}", False, 0, 20),
+    ("aws_mws", r"amzn\.mws\.[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", False, 0, 45),
+    ("azure_storage", r"AccountKey=[A-Za-z0-9+/]{86}==", False, 0, 99),
+    ("azure_signature", r"[?&]sig=[A-Za-z0-9%]{43,}", False, 0, 48),
+    ("sendgrid", r"SG\.[A-Za-z0-9_-]{22}\.[A-Za-z0-9_-]{43}", False, 0, 69),
+    ("mailgun", r"key-[0-9a-f]{32}", False, 0, 36),
+    ("mailchimp", r"[0-9a-f]{32}-us[0-9]{1,2}", False, 0, 36),
+    ("npm", r"npm_[A-Za-z0-9]{36}", False, 0, 40),
+    ("pypi", r"pypi-AgEIcHlwaS5vcmc[A-Za-z0-9_-]{50,}", False, 0, 70),
+    ("rubygems", r"rubygems_[0-9a-f]{48}", False, 0, 57),
+    ("docker", r"dckr_pat_[A-Za-z0-9_-]{27,}", False, 0, 36),
+    ("digitalocean", r"do[opr]_v1_[0-9a-f]{64}", False, 0, 71),
+    ("shopify", r"shp(?:at|ca|pa|ss)_[0-9a-fA-F]{32}", False, 0, 38),
+    ("square", r"sq0(?:atp|csp)-[A-Za-z0-9_-]{22,43}", False, 0, 29),
+    ("hub_model", r"hf_[A-Za-z0-9]{34}", False, 0, 37),
+    ("model_key", r"sk-(?:proj-)?[A-Za-z0-9]{40,}", False, 0, 43),
+    ("databricks", r"dapi[0-9a-f]{32}", False, 0, 36),
+    ("atlassian", r"ATATT3[A-Za-z0-9_=-]{60,}", False, 0, 66),
+    ("linear", r"lin_api_[A-Za-z0-9]{40}", False, 0, 48),
+    ("notion", r"ntn_[A-Za-z0-9]{40,}", False, 0, 44),
+    ("postman", r"PMAK-[0-9a-f]{24}-[0-9a-f]{34}", False, 0, 64),
+    ("telegram", r"(?<![0-9])[0-9]{8,10}:AA[A-Za-z0-9_-]{33}", False, 0, 44),
+    ("discord_hook", r"discord(?:app)?\.com/api/webhooks/[0-9]{16,20}/[A-Za-z0-9_-]{60,}", False, 0, 90),
+    ("terraform", r"[A-Za-z0-9]{14}\.atlasv1\.[A-Za-z0-9_=-]{60,}", False, 0, 83),
+    ("vault", r"hv[sb]\.[A-Za-z0-9_-]{24,}", False, 0, 28),
+    ("grafana", r"glsa_[A-Za-z0-9]{32}_[0-9a-f]{8}", False, 0, 46),
+    ("newrelic", r"NRAK-[A-Z0-9]{27}", False, 0, 32),
+    ("pulumi", r"pul-[0-9a-f]{40}", False, 0, 44),
+    ("artifactory", r"AKCp[A-Za-z0-9]{69,}", False, 0, 73),
+    ("planetscale", r"pscale_(?:tkn|pw)_[A-Za-z0-9_.=-]{32,}", False, 0, 42),
+    ("doppler", r"dp\.pt\.[A-Za-z0-9]{43}", False, 0, 49),
+    ("sentry", r"sntry[su]_[A-Za-z0-9_=+/-]{40,}", False, 0, 47),
+    ("figma", r"figd_[A-Za-z0-9_-]{40}", False, 0, 45),
+    ("airtable", r"pat[A-Za-z0-9]{14}\.[0-9a-f]{64}", False, 0, 82),
+    ("dropbox", r"(?<![A-Za-z0-9])sl\.[A-Za-z0-9_-]{130,}", False, 0, 133),
+    ("age", r"AGE-SECRET-KEY-1[A-Z0-9]{58}", False, 0, 74),
+    ("putty", r"PuTTY-User-Key-File-[23]:", False, 0, 22),
+    ("bearer", r"bearer\x20+[A-Za-z0-9._~+/-]{20,}=*", True, 0, 27),
+    ("basic", r"authorization:\x20*basic\x20+[A-Za-z0-9+/]{12,}=*", True, 0, 32),
     ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", False, 0, 24),
     ("pem", _PEM, False, 0, 27),
     ("url", r"[a-z][a-z0-9+]{0,31}://[^\s:/@]+:[^\s:/@]+@", True, 0, 8),
@@ -101,41 +153,49 @@ def trigram_query(pattern: str) -> list[list[list[str]]] | None:
 QUERIES = [trigram_query(p) for _, p, *_ in RULES]
 PATTERNS = [re.compile(p, re.ASCII | (re.IGNORECASE if fold else 0)) for _, p, fold, _, _ in RULES]
 TRIGRAMS = sorted({g for q in QUERIES if q for branch in q for grams in branch for g in grams})
-
-
-def postings(texts: list[bytes]) -> dict[str, int]:
-    """For each trigram of the queries, the texts that hold it: bit i is text i."""
-    out = {}
-    for gram in TRIGRAMS:
-        sought = gram.encode()
-        out[gram] = int("0" + "".join("1" if sought in t else "0" for t in reversed(texts)), 2)
-    return out
-
-
-def candidates(query: list[list[list[str]]] | None, index: dict[str, int], everything: int) -> int:
-    found = everything
+_SLOT = {g: k for k, g in enumerate(TRIGRAMS)}
+_CODES = np.array([int.from_bytes(g.encode(), "big") for g in TRIGRAMS])  # ascending, as the trigrams are
+_PAIRS = np.zeros(1 << 16, bool)
+_PAIRS[_CODES >> 8] = True
+
+
+def postings(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The index of a segment: [trigram, text] is true where the text holds the trigram, A-Z in lower case. Every place
+    of the segment is looked at once, a bounded part of it at a time."""
+    held = np.zeros((len(TRIGRAMS), len(offsets) - 1), bool)
+    for lo in range(0, max(0, len(data) - 2), common.BLOCK_BYTES):
+        part = common.LOWER[data[lo : lo + common.BLOCK_BYTES + 2]].astype(np.uint16)
+        at = np.flatnonzero(_PAIRS[part[:-2] << 8 | part[1:-1]])  # the first two bytes rule out most places
+        code = part[at].astype(np.int64) << 16 | part[at + 1].astype(np.int64) << 8 | part[at + 2]
+        slot = np.minimum(np.searchsorted(_CODES, code), len(_CODES) - 1)
+        row = np.searchsorted(offsets, at + lo, side="right") - 1
+        hit = (_CODES[slot] == code) & (at + lo + 3 <= offsets[row + 1])
+        held[slot[hit], row[hit]] = True
+    return held
+
+
+def candidates(query: list[list[list[str]]] | None, index: np.ndarray) -> np.ndarray:
+    """The texts of a segment that may hold a match: postings intersected and united as the query says."""
+    found = np.ones(index.shape[1], bool)
     for branches in query or ():
-        either = 0
+        either = np.zeros_like(found)
         for grams in branches:
-            both = everything
-            for gram in grams:
-                both &= index[gram]
-            either |= both
+            either |= index[[_SLOT[g] for g in grams]].all(0)
         found &= either
-    return found
+    return np.flatnonzero(found)
 
 
-def spans_of(texts: list[str]) -> list[list[tuple[int, int, int]]]:
+def spans_of(column: pa.Array) -> list[list[tuple[int, int, int]]]:
     """(start, rule, end) of each text, in order."""
-    index = postings([t.encode("utf-8", "surrogatepass").lower() for t in texts])
-    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for k, (query, pattern, (_, _, _, group, least)) in enumerate(zip(QUERIES, PATTERNS, RULES, strict=True)):
-        found = candidates(query, index, (1 << len(texts)) - 1)
-        while found:
-            i = (found & -found).bit_length() - 1
-            found &= found - 1
-            out[i] += [(m.start(), k, m.end()) for m in pattern.finditer(texts[i]) if m.end(group) - m.start(group) >= least]
-    return [sorted(s) for s in out]
+    out: list[list[tuple[int, int, int]]] = []
+    for lo, hi, data, offsets in common.blocks(column):
+        texts, index = column.slice(lo, hi - lo).fill_null("").to_pylist(), postings(data, offsets)
+        own: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+        for k, (query, pattern, (_, _, _, group, least)) in enumerate(zip(QUERIES, PATTERNS, RULES, strict=True)):
+            for i in candidates(query, index).tolist():
+                own[i] += [(m.start(), k, m.end()) for m in pattern.finditer(texts[i]) if m.end(group) - m.start(group) >= least]
+        out += map(sorted, own)
+    return out
 
 
 RESULT = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
@@ -146,8 +206,7 @@ def scanner(id_col: str = "doc_id", redact: bool = False):
     names = [id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans", *["redacted"] * redact]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).fill_null("").to_pylist()
-        found = [s for lo in range(0, len(texts), 500) for s in spans_of(texts[lo : lo + 500])]
+        found = spans_of(batch.column(1))
         say = lambda some: ",".join(f"{RULES[k][0]}:{a}:{b}" for a, k, b in some)
         base = [[x for x in s if RULES[x[1]][0] in BASE] for s in found]
         columns = [batch.column(0)]
