@@ -5,8 +5,9 @@ It is trained in numpy on a bounded sample of labelled documents: first with eac
 in bad documents, with the lines that the first field finds rather bad. Forward-backward marginals, weighted by the
 lines' lengths, aggregate into the good share of a document, which a logistic fit turns into a score.
 
-Null, empty and blank texts have no line: their good share is 0. Long documents are scored whole, line by line; equal
-texts have equal scores. Without labels every score is 0.5. Only the named columns are read.
+Null, empty and blank texts have no line: their good share is 0. Long documents are scored whole, their lines' features
+taken a bounded run of lines at a time; equal texts have equal scores. Without labels every score is 0.5. Repeated rows
+are scored one by one; an empty table gives no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -36,12 +37,15 @@ def _classes() -> np.ndarray:
 _CLASS = _classes()
 
 
-def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of each line with a word, its bytes, and where each row's lines begin."""
-    cut = np.zeros(len(data) + 1, bool)
-    cut[offsets[:-1]] = True
-    cut[1:] |= np.append(data[:-1] == 10, False) if len(data) else False
-    starts = np.append(np.flatnonzero(cut[:-1]), len(data)) if len(data) else np.zeros(1, np.int64)
+def line_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where each row's lines start, and the end."""
+    if not len(data):
+        return np.zeros(1, np.int64)
+    return np.append(np.union1d(offsets[:-1][offsets[1:] > offsets[:-1]], np.flatnonzero(data[:-1] == 10) + 1), len(data))
+
+
+def own_features(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of each line with a word, its bytes and its start."""
     words, at = common.words_of(data, starts, lower=False)
     n_words = np.diff(at)
     keep = n_words > 0
@@ -54,16 +58,35 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     copy = np.append(False, (words[order][1:] == words[order][:-1]) & (line[order][1:] == line[order][:-1])) if len(words) else np.zeros(0, bool)
     n = np.maximum(n_words, 1)
     own = np.column_stack([share, share[:, 0] / np.maximum(share[:, 0] + share[:, 1], 0.01), common.sums(again, at) / n, common.sums(copy, at) / n, np.log1p(n_words) / 4, np.log1p(size / n) / 4])[keep]
-    row = (np.searchsorted(offsets, starts[:-1][keep], side="right") - 1)
-    begins = np.searchsorted(row, np.arange(len(offsets)))
-    before, after = np.roll(own, 1, 0), np.roll(own, -1, 0)
-    inner = begins[:-1][begins[1:] > begins[:-1]]
-    before[inner] = 0
-    after[begins[1:][begins[1:] > begins[:-1]] - 1] = 0
-    return np.column_stack([np.ones(len(own)), own, before, after]), size[keep], begins
+    return own, size[keep], starts[:-1][keep]
 
 
-def forward_backward(scores: np.ndarray, moves: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def neighbours(rows: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each line the row of the line before and of that behind within its document; zeros where there is none."""
+    before, after = np.roll(rows, 1, 0), np.roll(rows, -1, 0)
+    some = begins[1:] > begins[:-1]
+    before[begins[:-1][some]] = 0
+    after[begins[1:][some] - 1] = 0
+    return before, after
+
+
+def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of each line with a word and of its neighbours, its bytes, and where each row's lines begin."""
+    own, size, starts = own_features(data, line_starts(data, offsets))
+    begins = np.searchsorted(np.searchsorted(offsets, starts, side="right") - 1, np.arange(len(offsets)))
+    return np.column_stack([np.ones(len(own)), own, *neighbours(own, begins)]), size, begins
+
+
+def line_runs(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Starts (and the end) of runs of whole lines of about BLOCK_BYTES each."""
+    starts = line_starts(data, offsets)
+    cuts = [0]
+    while cuts[-1] < len(starts) - 1:
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(starts, starts[cuts[-1]] + common.BLOCK_BYTES, side="right")) - 1))
+    return [starts[a : b + 1] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def forward_backward(scores: np.ndarray, moves: np.ndarray, begins: np.ndarray, pairs: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Marginals (line, state) and summed pair marginals (state, next state) of all rows; rows advance together."""
     counts = np.diff(begins)
     order = np.argsort(-counts, kind="stable")
@@ -82,6 +105,8 @@ def forward_backward(scores: np.ndarray, moves: np.ndarray, begins: np.ndarray)
     joint = a + b
     total = np.logaddexp(joint[:, 0], joint[:, 1])
     marginal = np.exp(joint - total[:, None])
+    if not pairs:
+        return marginal, np.zeros((2, 2))
     inner = np.ones(len(scores), bool)
     inner[first[counts > 0] + counts[counts > 0] - 1] = False
     i = np.flatnonzero(inner)
@@ -97,9 +122,28 @@ class Field:
     moves: np.ndarray
     logistic: tuple[float, float] = (0.0, 0.0)
 
+    def emissions(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores (line, state) of each line with a word, its bytes, and where each row's lines begin. Sums go feature by
+        feature, so that they don't depend on what else is in the block."""
+        gain = self.weights / self.scale[:, None]
+        level = gain[0] - (self.mean[:, None] * gain).sum(0)
+        width = (len(gain) - 1) // 3
+        parts, sizes, places = [np.zeros((0, 6))], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for starts in line_runs(data, offsets):
+            own, size, place = own_features(data[starts[0] : starts[-1]], starts - starts[0])
+            share = np.zeros((len(own), 6))  # what a line gives itself, the line behind and the line before
+            for k in range(width):
+                share += own[:, k : k + 1] * np.concatenate([gain[1 + k], gain[1 + width + k], gain[1 + 2 * width + k]])
+            parts.append(share)
+            sizes.append(size)
+            places.append(place + starts[0])
+        share, size, place = map(np.concatenate, (parts, sizes, places))
+        begins = np.searchsorted(np.searchsorted(offsets, place, side="right") - 1, np.arange(len(offsets)))
+        return level + share[:, :2] + neighbours(share[:, 2:4], begins)[0] + neighbours(share[:, 4:], begins)[1], size, begins
+
     def good_share(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        x, size, begins = line_features(data, offsets)
-        marginal, _ = forward_backward(((x - self.mean) / self.scale) @ self.weights, self.moves, begins)
+        scores, size, begins = self.emissions(data, offsets)
+        marginal, _ = forward_backward(scores, self.moves, begins, pairs=False)
         total = common.sums(size, begins)
         good = common.sums(size * marginal[:, 1], begins, np.float64)
         return np.divide(good, total, out=np.zeros(len(total)), where=total > 0)
