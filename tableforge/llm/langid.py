@@ -2,12 +2,16 @@
 
 Letters are lower-cased (A-Z), all else but bytes over 127 becomes a blank, and every run of 2, 3 and 4 bytes is hashed
 into a bucket. A document is the mean of its buckets' embeddings; a linear layer and softmax give the language. The
-model is trained by stochastic gradient descent in numpy on a bounded sample of labelled rows (about SAMPLE per
-language, chosen by a hash of the id; whole documents and short pieces of them). A held-back part of that sample sets
-the temperature and the confidence under which a document is rejected.
-
-Null texts and texts without a letter are ``und`` with score 0 and rejected. Texts of any length are scored whole; equal
-texts have equal results. With no labelled row every document is ``und``. Only the named columns are read.
+model is trained by stochastic gradient descent in numpy on a bounded sample of labelled rows (SAMPLE per language, the
+first by a hash of the id, and sampling.TOTAL_CHARS in all; whole documents and short pieces of them). One more class
+stands for what isn't any learned language: the same pieces with their letters swapped by random tables, and runs of
+random letters. A held-back part of the sample sets the temperature and the confidence under which a text is
+rejected: the one that parts learned from strange pieces best, but none that more than one held-back document in 500
+would fall under.
+
+Null texts and texts without a letter are ``und`` with score 0 and rejected. Texts of any length are scored whole, a
+bounded part at a time; equal texts have equal results. With no labelled row every document is ``und``. Repeated rows are
+scored one by one; an empty table gives no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -20,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableforge.llm import common
+from tableforge.llm import common, sampling
 
 BUCKETS, SIZES, WIDTH = 8192, (2, 3, 4), 16
-#: Bound of the training sample: documents per language, languages, and characters of a document that may be in it.
-SAMPLE, LANGUAGES, SAMPLE_CHARS = 200, 256, 200_000
+#: Bound of the training sample: documents per language, beside sampling.TOTAL_CHARS.
+SAMPLE = 200
 PIECES = (1, 2, 4, 8, 16, 40)
 EPOCHS, RATE = 15, 2.0
+#: Share of held-back documents that may be rejected.
+LOST = 0.002
 _LATIN = re.compile("[A-Za-z]")
 _CLEAN = np.full(256, 32, np.uint8)
 _CLEAN[97:123] = np.arange(97, 123)
@@ -58,22 +64,47 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], n
 @dataclass
 class Model:
     languages: list[str]
-    scores: np.ndarray  # a row for each bucket: its embedding under the linear layer
-    bias: np.ndarray
+    table: np.ndarray  # a row for each bucket: its embedding, under the linear layer if that makes it shorter
+    linear: np.ndarray | None
+    bias: np.ndarray  # the last class is that of no language
     sharpness: float = 1.0
     least: float = 0.0
 
     def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        buckets, offsets = subwords(data, offsets)
-        n = np.diff(offsets) * len(SIZES)
-        total = np.zeros((len(offsets) - 1, len(self.languages)))
+        if len(offsets) == 2 and len(data) > common.BLOCK_BYTES:
+            total, n = self.long_sum(data)
+        else:
+            total, n = self.sums(*subwords(data, offsets))
+        mean = total / n[:, None]
+        return (mean if self.linear is None else mean @ self.linear) + self.bias
+
+    def sums(self, buckets: list[np.ndarray], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The summed rows of the table and how many they are."""
+        total = np.zeros((len(offsets) - 1, self.table.shape[1]))
         for bucket in buckets:
-            for k in range(len(self.languages)):
-                total[:, k] += common.sums(self.scores[:, k][bucket], offsets, np.float64)
-        return total / n[:, None] + self.bias
-
-    def probabilities(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return softmax(self.sharpness * self.logits(data, offsets))
+            for k in range(self.table.shape[1]):
+                total[:, k] += common.sums(self.table[:, k][bucket], offsets, np.float64)
+        return total, np.diff(offsets) * len(SIZES)
+
+    def long_sum(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``sums`` of one text, a part at a time; runs over the cuts come with the part before."""
+        over, total, n = max(SIZES) - 1, np.zeros((1, self.table.shape[1])), np.zeros(1, np.int64)
+        for lo in range(0, len(data), common.BLOCK_BYTES):
+            part = data[max(0, lo - over) : lo + common.BLOCK_BYTES]
+            buckets, _ = subwords(part, np.array([0, len(part)]))
+            last = lo + common.BLOCK_BYTES >= len(data)
+            # the part's runs that begin at its own bytes and, but for the last part, end in them too
+            for k, (size, bucket) in enumerate(zip(SIZES, buckets, strict=True)):
+                first = 0 if lo == 0 else over + max(SIZES) - size
+                own = bucket[first : len(bucket) if last else len(bucket) - size]
+                total[0] += [self.table[:, c][own].sum(dtype=np.float64) for c in range(self.table.shape[1])]
+                n += len(own)
+        return total, n
+
+    def scored(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The likeliest language of each row and its probability, that of no language considered."""
+        p = softmax(self.sharpness * self.logits(data, offsets))[:, :-1]
+        return p.argmax(1), p.max(1)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -81,24 +112,37 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+def bags(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     """The buckets of each text and their shares."""
     out = []
     for text in texts:
-        places, n = np.unique(np.concatenate(subwords(*common.text_bytes(pa.array([text], pa.string())))[0]), return_counts=True)
+        data = np.frombuffer(text, np.uint8)
+        places, n = np.unique(np.concatenate(subwords(data, np.array([0, len(data)]))[0]), return_counts=True)
         out.append((places, (n / n.sum()).astype(np.float32)))
     return out
 
 
+def strange(piece: bytes, rng: np.random.Generator) -> bytes:
+    """A piece of no learned language: letters swapped by a random table, or random letters in words of the same lengths."""
+    table = np.arange(256, dtype=np.uint8)
+    table[97:123] = 97 + rng.permutation(26)
+    table[128:] = 128 + rng.permutation(128)
+    data = _CLEAN[np.frombuffer(piece, np.uint8)]
+    if rng.random() < 0.25:
+        data = np.where(data == 32, 32, rng.integers(97, 123, len(data))).astype(np.uint8)
+    return table[data].tobytes()
+
+
 def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
     """rows: (id, text, language). One in five, by order, is held back for the calibration."""
-    languages = sorted({r[2] for r in rows})[:LANGUAGES]
-    number = {x: k for k, x in enumerate(languages)}
+    languages = sorted({r[2] for r in rows})
+    number, none = {x: k for k, x in enumerate(languages)}, len(languages)
     rng = np.random.default_rng(seed)
-    texts: list[list[str]] = [[], []]
+    texts: list[list[bytes]] = [[], []]
     target: list[list[int]] = [[], []]
+    whole: list[bool] = []
     for i, (_, text, lang) in enumerate(sorted(rows, key=lambda r: (str(r[0]), r[1]))):
-        if lang not in number or not has_letter(text):
+        if not has_letter(text):
             continue
         words = text.split()
         held = int(i % 5 == 4)
@@ -106,15 +150,20 @@ def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
             at = int(rng.integers(0, max(1, len(words) - n + 1)))
             piece = " ".join(words[at : at + n])
             if has_letter(piece):
-                texts[held].append(piece)
+                raw = piece.encode("utf-8", "surrogatepass")
+                texts[held].append(raw)
                 target[held].append(number[lang])
+                if held or rng.random() < 2 / (1 + none):
+                    texts[held].append(strange(raw, rng))
+                    target[held].append(none)
+                whole += [n == len(words), False] * held
     if not texts[0]:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
+        return Model([], np.zeros((BUCKETS, 1)), None, np.zeros(1))
     x, y = bags(texts[0]), np.array(target[0])
-    share = np.bincount(y, minlength=len(languages)) / len(y)
+    share = np.bincount(y, minlength=none + 1) / len(y)
     embedding = rng.normal(0, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
-    linear, bias = rng.normal(0, 0.5, (WIDTH, len(languages))).astype(np.float32), np.zeros(len(languages), np.float32)
-    weight = (1 / np.maximum(share, 1e-9) / len(languages))[y].astype(np.float32)
+    linear, bias = rng.normal(0, 0.5, (WIDTH, none + 1)).astype(np.float32), np.zeros(none + 1, np.float32)
+    weight = (1 / np.maximum(share, 1e-9) / (none + 1))[y].astype(np.float32)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         order = rng.permutation(len(y))
@@ -130,25 +179,44 @@ def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
             embedding -= 40 * rate * (bag.T @ (error @ linear.T))
             linear -= rate * (mean.T @ error)
             bias -= 0.1 * rate * error.sum(0)
-    model = Model(languages, embedding @ linear, bias.astype(np.float64))
+    short = none + 1 <= WIDTH
+    model = Model(languages, embedding @ linear if short else embedding, None if short else linear, bias.astype(np.float64))
     if texts[1]:
-        logits, y = model.logits(*common.text_bytes(pa.array(texts[1], pa.string()))), np.array(target[1])
+        logits, y = model.logits(*common.text_bytes(pa.array(texts[1], pa.binary()))), np.array(target[1])
         grid = np.geomspace(0.05, 20, 60)
         loss = [-np.log(np.maximum(softmax(g * logits)[np.arange(len(y)), y], 1e-12)).mean() for g in grid]
         model.sharpness = float(grid[int(np.argmin(loss))])
-        best = softmax(model.sharpness * logits).max(1)
-        model.least = float(min(0.4, np.quantile(best, 0.001)))
+        p = softmax(model.sharpness * logits)[:, :-1]
+        model.least = threshold(p.max(1), (y < none) & (p.argmax(1) == y), y == none, p.max(1)[np.array(whole[: len(y)]) & (y < none)])
     return model
 
 
+def threshold(score: np.ndarray, right: np.ndarray, foreign: np.ndarray, documents: np.ndarray) -> float:
+    """The confidence that parts right answers from pieces of no language best, within the bound on lost documents."""
+    order = np.unique(score)
+    kept = 1 - np.searchsorted(np.sort(score[right]), order) / max(1, right.sum())
+    gone = np.searchsorted(np.sort(score[foreign]), order) / max(1, foreign.sum())
+    best = float(order[int(np.argmax(kept + gone))])
+    return min(best, float(np.quantile(documents, LOST))) if len(documents) else best
+
+
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
-    """A model from about ``sample`` rows per language of the rows given; a pass over the languages alone comes first."""
-    counts = {r[0]: r[1] for r in df.where(F.col(lang_col).isNotNull()).groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(LANGUAGES).collect()}
+    """A model from ``sample`` rows per language of the rows given; passes over ids and languages alone come first."""
+    known = df.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
+    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
     if not counts:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
-    share = F.element_at(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, sample / n))]), F.col(lang_col))
-    rows = df.where(F.col(lang_col).isin(list(counts)) & (common.spread(id_col) < share) & (F.length(F.coalesce(text_col, F.lit(""))) <= SAMPLE_CHARS)).select(id_col, F.coalesce(text_col, F.lit("")), lang_col)
-    return train([tuple(r) for r in rows.limit(3 * sample * len(counts)).collect()])
+        return Model([], np.zeros((BUCKETS, 1)), None, np.zeros(1))
+    # a little over ``sample`` of each language by the hash, then the first ones of these
+    share = F.element_at(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, (sample + 5 * sample**0.5 + 10) / n))]), F.col(lang_col))
+    near = known.where(common.spread(id_col) < share).select(id_col, F.col(lang_col).alias("label"), common.spread(id_col).alias("rank")).collect()
+    taken: dict[str, int] = {}
+    chosen = []
+    for r in sorted(near, key=lambda r: (r["rank"], str(r[0]), r["label"])):
+        taken[r["label"]] = taken.get(r["label"], 0) + 1
+        if taken[r["label"]] <= sample:
+            chosen.append(tuple(r))
+    schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, label string, rank double"
+    return train(sampling.texts_of(known, df.sparkSession.createDataFrame(chosen, schema), id_col, text_col))
 
 
 def identifier(model: Model, id_col: str = "doc_id"):
@@ -160,9 +228,8 @@ def identifier(model: Model, id_col: str = "doc_id"):
         lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
         if model.languages:
             for lo, hi, data, offsets in common.blocks(batch.column(1)):
-                p = model.probabilities(data, offsets)
-                lang[lo:hi] = np.array(model.languages, object)[p.argmax(1)]
-                score[lo:hi] = p.max(1)
+                best, score[lo:hi] = model.scored(data, offsets)
+                lang[lo:hi] = np.array(model.languages, object)[best]
         lang[~letter] = "und"
         score[~letter] = 0.0
         reject = (score < model.least) | (lang == "und")
