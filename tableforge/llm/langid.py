@@ -5,9 +5,9 @@ into a bucket. A document is the mean of its buckets' embeddings; a linear layer
 model is trained by stochastic gradient descent in numpy on a bounded sample of labelled rows (SAMPLE per language, the
 first by a hash of the id, and sampling.TOTAL_CHARS in all; whole documents and short pieces of them). One more class
 stands for what isn't any learned language: the same pieces with their letters swapped by random tables, and runs of
-random letters. A held-back part of the sample sets the temperature and the confidence under which a text is
-rejected: the one that parts learned from strange pieces best, but none that more than one held-back document in 500
-would fall under.
+random letters. A held-back part of the sample sets the temperature and, for each class of lengths, the confidence under
+which a text is rejected: the one that parts learned from strange pieces of such lengths best, but none that more than
+one learned piece in 500 would fall under.
 
 Null texts and texts without a letter are ``und`` with score 0 and rejected. Texts of any length are scored whole, a
 bounded part at a time; equal texts have equal results. With no labelled row every document is ``und``. Repeated rows are
@@ -17,7 +17,7 @@ scored one by one; an empty table gives no rows. Only the named columns are read
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,10 @@ BUCKETS, SIZES, WIDTH = 8192, (2, 3, 4), 16
 SAMPLE = 200
 PIECES = (1, 2, 4, 8, 16, 40)
 EPOCHS, RATE = 15, 2.0
-#: Share of held-back documents that may be rejected.
-LOST = 0.002
+#: Share of held-back pieces of learned languages that may be rejected, and the bytes where the classes of lengths part.
+LOST, LENGTHS = 0.002, (16, 32, 64, 128, 256)
+#: Log odds by which the confidence that is asked for stays below what the held-back pieces say: texts vary more than they.
+MARGIN = 1.0
 _LATIN = re.compile("[A-Za-z]")
 _CLEAN = np.full(256, 32, np.uint8)
 _CLEAN[97:123] = np.arange(97, 123)
@@ -68,7 +70,7 @@ class Model:
     linear: np.ndarray | None
     bias: np.ndarray  # the last class is that of no language
     sharpness: float = 1.0
-    least: float = 0.0
+    least: np.ndarray = field(default_factory=lambda: np.zeros(len(LENGTHS) + 1))  # by class of lengths
 
     def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if len(offsets) == 2 and len(data) > common.BLOCK_BYTES:
@@ -101,10 +103,11 @@ class Model:
                 n += len(own)
         return total, n
 
-    def scored(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The likeliest language of each row and its probability, that of no language considered."""
+    def scored(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The likeliest language of each row, its probability with that of no language considered, and whether it is
+        high enough."""
         p = softmax(self.sharpness * self.logits(data, offsets))[:, :-1]
-        return p.argmax(1), p.max(1)
+        return p.argmax(1), p.max(1), p.max(1) >= self.least[np.searchsorted(LENGTHS, np.diff(offsets), side="right")]
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -140,7 +143,6 @@ def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     texts: list[list[bytes]] = [[], []]
     target: list[list[int]] = [[], []]
-    whole: list[bool] = []
     for i, (_, text, lang) in enumerate(sorted(rows, key=lambda r: (str(r[0]), r[1]))):
         if not has_letter(text):
             continue
@@ -156,7 +158,6 @@ def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
                 if held or rng.random() < 2 / (1 + none):
                     texts[held].append(strange(raw, rng))
                     target[held].append(none)
-                whole += [n == len(words), False] * held
     if not texts[0]:
         return Model([], np.zeros((BUCKETS, 1)), None, np.zeros(1))
     x, y = bags(texts[0]), np.array(target[0])
@@ -187,17 +188,20 @@ def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
         loss = [-np.log(np.maximum(softmax(g * logits)[np.arange(len(y)), y], 1e-12)).mean() for g in grid]
         model.sharpness = float(grid[int(np.argmin(loss))])
         p = softmax(model.sharpness * logits)[:, :-1]
-        model.least = threshold(p.max(1), (y < none) & (p.argmax(1) == y), y == none, p.max(1)[np.array(whole[: len(y)]) & (y < none)])
+        length = np.searchsorted(LENGTHS, [len(t) for t in texts[1]], side="right")
+        for k in range(len(model.least)):
+            some = length == k if ((length == k) & (y < none)).any() else length >= 0
+            model.least[k] = threshold(p.max(1)[some], y[some] < none)
     return model
 
 
-def threshold(score: np.ndarray, right: np.ndarray, foreign: np.ndarray, documents: np.ndarray) -> float:
-    """The confidence that parts right answers from pieces of no language best, within the bound on lost documents."""
-    order = np.unique(score)
-    kept = 1 - np.searchsorted(np.sort(score[right]), order) / max(1, right.sum())
-    gone = np.searchsorted(np.sort(score[foreign]), order) / max(1, foreign.sum())
-    best = float(order[int(np.argmax(kept + gone))])
-    return min(best, float(np.quantile(documents, LOST))) if len(documents) else best
+def threshold(score: np.ndarray, known: np.ndarray) -> float:
+    """The confidence that parts pieces of learned languages from strange ones best, within the bound on lost ones."""
+    values = np.unique(score)
+    kept = 1 - np.searchsorted(np.sort(score[known]), values) / max(1, known.sum())
+    gone = np.searchsorted(np.sort(score[~known]), values) / max(1, (~known).sum())
+    least = np.clip(min(float(values[int(np.argmax(kept + gone))]), float(np.quantile(score[known], LOST))), 1e-6, 1 - 1e-6)
+    return float(1 / (1 + np.exp(MARGIN) * (1 - least) / least))
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
@@ -225,15 +229,14 @@ def identifier(model: Model, id_col: str = "doc_id"):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(1).to_pylist()
         letter = np.array([t is not None and has_letter(t) for t in texts])
-        lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
+        lang, score, sure = np.full(len(texts), "und", object), np.zeros(len(texts)), np.zeros(len(texts), bool)
         if model.languages:
             for lo, hi, data, offsets in common.blocks(batch.column(1)):
-                best, score[lo:hi] = model.scored(data, offsets)
+                best, score[lo:hi], sure[lo:hi] = model.scored(data, offsets)
                 lang[lo:hi] = np.array(model.languages, object)[best]
         lang[~letter] = "und"
         score[~letter] = 0.0
-        reject = (score < model.least) | (lang == "und")
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(reject)], [id_col, "lang_pred", "score", "rejected"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(~sure | ~letter)], [id_col, "lang_pred", "score", "rejected"])
 
     return run
 
