@@ -16,8 +16,9 @@ not null, and it is kept only if there is none. Empty tables give no rows. Only
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -39,17 +40,24 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Distinct shingle hashes of each row, sorted within it, and where each row's begin."""
     words, at = common.words_of(data, offsets)
     counts = np.diff(at)
-    rows = np.repeat(np.arange(len(counts)), np.maximum(counts - WORDS + 1, 0))
-    place = np.arange(len(rows)) + np.repeat(at[:-1] - np.append(0, np.cumsum(np.maximum(counts - WORDS + 1, 0)))[:-1], np.maximum(counts - WORDS + 1, 0))
-    value = np.zeros(len(rows), _U)
+    n = max(0, len(words) - WORDS + 1)
+    value = np.zeros(n, _U)
     for k in range(WORDS):
-        value = value * _U(0xD6E8FEB86659FD93) + words[place + k]
+        value *= _U(0xD6E8FEB86659FD93)
+        value += words[k : k + n]
+    value = common.mix(value)
+    if len(counts) == 1 and n:  # one text, which may be a very long one
+        value = np.unique(value)
+        return value, np.array([0, len(value)])
+    row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    inside = row[:n] == row[WORDS - 1 :]  # else the window begins in one text and ends in another
+    rows, value = row[:n][inside], value[inside]
     short = np.flatnonzero((counts > 0) & (counts < WORDS))
     whole = np.zeros(len(short), _U)
     for k in range(WORDS - 1):
         has = counts[short] > k
         whole[has] = whole[has] * _U(0xA24BAED4963EE407) + words[at[short[has]] + k] + _U(k + 1)
-    rows, value = np.concatenate([rows, short]), common.mix(np.concatenate([value, whole]))
+    rows, value = np.concatenate([rows, short]), np.concatenate([value, common.mix(whole)])
     order = np.lexsort((value, rows))
     rows, value = rows[order], value[order]
     new = np.ones(len(rows), bool)
@@ -141,50 +149,76 @@ def confirmed(edges: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node that has an edge; label is the least node of its component."""
     both = common.materialise(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = common.materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    labels = common.materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label"), F.lit(True).alias("moved")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("l")), "b").groupBy("a").agg(F.min("l").alias("l"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", "label", F.least("label", "l").alias("low"))
         up = labels.select(F.col("node").alias("low"), F.col("label").alias("top"))
-        labels = common.materialise(step.join(up, "low").select("node", F.least("low", "top").alias("label"), (F.least("low", "top") != F.col("label")).alias("moved")), "labels")
+        last, labels = labels, common.materialise(step.join(up, "low").select("node", F.least("low", "top").alias("label"), (F.least("low", "top") != F.col("label")).alias("moved")), "labels")
+        common.drop(last)
         if labels.where("moved").isEmpty():
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
-
-
-def cell_links(similarity: int):
-    """Within a cell, the links between components that aren't joined yet: at most one per pair of components met."""
-
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node").reset_index(drop=True)
-        n, node, side, comp = len(rows), rows["node"].tolist(), rows["side"].to_numpy(), rows["label"].tolist()
-        names = {c: i for i, c in enumerate(dict.fromkeys(comp))}
-        comp = np.array([names[c] for c in comp])
-        sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(n, BINS)
-        keys = np.stack(rows["keys"].to_numpy())
-        sets = [np.sort(np.asarray(s)) for s in rows["shingles"]]
-        sizes = np.array([len(s) for s in sets])
-        here = int(np.flatnonzero(keys[0] == key[0])[0])
-        other = side == side.max()
-        links = []
-        for i in np.flatnonzero(side == side.min()):
-            able = other & (comp != comp[i]) & (100 * np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i]))
-            at = np.flatnonzero(able)
-            at = at[(sketch[at] == sketch[i]).mean(1) >= SKETCH_LEAST]
-            at = at[~(keys[at, :here] == keys[i, :here]).any(1)]  # else an earlier band's bucket compares them
-            if not len(at):
-                continue
-            flat, ends = np.concatenate([sets[j] for j in at]), np.append(0, np.cumsum(sizes[at]))
-            found = np.searchsorted(sets[i], flat)
-            found[found == sizes[i]] = 0
-            both = common.sums(sets[i][found] == flat, ends)
-            for j in at[100 * both >= similarity * (sizes[at] + sizes[i] - both)]:
-                if comp[i] != comp[j]:
+            common.drop(both)
+            return labels
+
+
+def links_within(cell: pa.RecordBatch, similarity: int) -> list[tuple[bytes, bytes]]:
+    """Links between components of one cell that aren't joined yet: at most one per pair of components met."""
+    names: dict[bytes, int] = {}
+    comp = np.array([names.setdefault(c, len(names)) for c in cell.column("label").to_pylist()])
+    side, n, node = cell.column("side").to_numpy(), len(comp), cell.column("node").to_pylist()
+    sketch = np.frombuffer(b"".join(cell.column("sketch").to_pylist()), np.uint8).reshape(n, BINS)
+    keys = cell.column("keys").flatten().to_numpy().reshape(n, BANDS)
+    flat, sizes = cell.column("shingles").flatten().to_numpy().view(_U), cell.column("shingles").value_lengths().to_numpy()
+    ends = np.append(0, np.cumsum(sizes))
+    here = int(np.flatnonzero(keys[0] == cell.column("key")[0].as_py())[0])
+    first, other, links = np.flatnonzero(side == side.min()), side == side.max(), []
+    for i in first:
+        at = np.flatnonzero(other & (comp != comp[i]) & (100 * np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i])))
+        at = at[(sketch[at] == sketch[i]).mean(1) >= SKETCH_LEAST]
+        at = at[~(keys[at, :here] == keys[i, :here]).any(1)]  # else an earlier band's bucket compares them
+        mine = flat[ends[i] : ends[i + 1]]
+        for j in at.tolist():
+            if comp[i] != comp[j]:
+                theirs = flat[ends[j] : ends[j + 1]]
+                place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+                both = int((mine[place] == theirs).sum())
+                if 100 * both >= similarity * (len(mine) + len(theirs) - both):
                     links.append((node[i], node[j]))
                     comp[comp == comp[j]] = comp[i]
-        return pd.DataFrame(links, columns=["a", "b"])
+    return links
+
+
+def cell_links(cells: DataFrame, similarity: int) -> DataFrame:
+    """``links_within`` every cell. Rows of a cell lie together; one that goes over Arrow batches is put together."""
+
+    def found(parts: list[pa.RecordBatch]) -> list[tuple[bytes, bytes]]:
+        return links_within(parts[0] if len(parts) == 1 else pa.concat_batches(parts), similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        name = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], 1)
+            cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1).tolist(), len(ids)]
+            links = []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if waiting and (a or tuple(ids[a]) != name):
+                    links += found(waiting)
+                    waiting = []
+                waiting.append(batch.slice(a, b - a))
+            name = tuple(ids[-1])
+            yield _edges(links)
+        if waiting:
+            yield _edges(found(waiting))
+
+    order = ["key", "i", "j"]
+    return cells.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, "a binary, b binary")
+
 
-    return run
+def _edges(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
 
 
 def near_duplicates(df: DataFrame, similarity: int = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,7 +226,7 @@ def near_duplicates(df: DataFrame, similarity: int = SIMILARITY, id_col: str = "
     all_ = common.materialise(sketched(df, id_col, text_col), "sketches")
     rows = all_.where(F.col("node").isNotNull())
     kinds = common.materialise(rows.groupBy("node").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "nodes")
-    bucket = kinds.select("node", F.explode("keys").alias("key"))
+    bucket = kinds.select("node", "n", F.explode("keys").alias("key"))
     shared = bucket.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = common.materialise(bucket.join(shared, "key"), "members")
     centre = members.groupBy("node").agg(F.sum("size").alias("central"))
@@ -202,18 +236,19 @@ def near_duplicates(df: DataFrame, similarity: int = SIMILARITY, id_col: str = "
     sets = common.materialise(full_sets(df, id_col, text_col, involved), "sets")
     labels = components(confirmed(edges, sets, similarity))
 
-    # buckets that still hold several components, in cells of bounded size
-    labelled = members.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(kinds.select("node", "n"), "node")
+    # buckets that still hold several components, in cells of bounded size; a pair alone was the star's own edge
+    labelled = members.where("size > 2").select("key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("n").alias("weight")).where("lo < hi").select("key", F.ceil(F.col("weight") / CELL_SHINGLES).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     cells = labelled.join(open_, "key").withColumn("part", part).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     cells = cells.select("key", "node", "label", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"))
     cells = cells.join(sets, "node").join(kinds.select("node", "keys", "sketch"), "node")
-    more = cells.groupBy("key", "i", "j").applyInPandas(cell_links(similarity), "a binary, b binary")
     first = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-    labels = components(first.unionByName(more))
+    more = components(first.unionByName(cell_links(cells, similarity)))
+    common.drop(members, sets, labels)
+    labels = more
 
-    least = kinds.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = kinds.join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     tops = least.groupBy("label").agg(F.min("id").alias("component_id"))
     found = least.select("node", "label").join(tops, "label").select("node", "component_id")
     out = rows.select("id", "n_shingles", "node").join(found, "node").select("id", "n_shingles", "component_id")
