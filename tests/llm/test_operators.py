@@ -553,6 +553,41 @@ def test_toxic_scores_depend_on_the_text_alone(spark, docs):
     assert [[x.tolist()[0] for x in index.score([r])] for r in raws[::7]] == [list(x) for x in zip(*(y[::7] for y in together), strict=True)]
 
 
+def test_language_rejection(docs):
+    """Texts of a language that wasn't learned, and random letters, are rejected; those of learned ones stay."""
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.where("text IS NOT NULL AND lang IS NOT NULL").orderBy("doc_id").collect() if langid.has_letter(r.text)]
+    rng = random.Random(4)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(300)) for _ in range(50)]
+    for unseen in ("de", "fr"):
+        model = langid.train([r for k, r in enumerate(rows) if r[2] != unseen and k % 3])
+        sure = lambda texts: model.scored(*common.text_bytes(pa.array(texts)))[2].mean()  # noqa: B023, E731
+        assert sure([t for k, (_, t, lang) in enumerate(rows) if lang != unseen and not k % 3]) > 0.98
+        assert sure([t for _, t, lang in rows if lang == unseen]) < 0.1 and sure(noise) < 0.05
+    assert len(langid.train([(i, f"{w} text number", f"l{i % 300}") for i, w in enumerate("abcdefghij" * 60)]).languages) == 300
+
+
+def test_long_texts_in_parts(docs, monkeypatch):
+    """Blocks of any size give the same words, shingles, good shares, probabilities and terms."""
+    texts = [t for _, t in sorted(text_of(docs).items())[:40]] + ["x" * 300, "one two\n" * 60, "é" * 100 + " 日本語" * 50]
+    rng = np.random.default_rng(0)
+    x = quality_crf.line_features(*common.text_bytes(pa.array(texts)))[0]
+    chain = quality_crf.Field(np.zeros(x.shape[1]), np.ones(x.shape[1]), rng.normal(size=(x.shape[1], 2)), rng.normal(size=(2, 2)))
+    model = langid.Model(["a", "b"], rng.normal(size=(langid.BUCKETS, 3)), None, np.zeros(3))
+    number = {t: k for k, t in enumerate(sorted({t for s in texts for words in toxicity.words_of(s.encode()) for t in words}))}
+
+    def results():
+        for text in texts:
+            data, offsets = common.text_bytes(pa.array([text]))
+            yield [y.tolist() for y in (*common.words_of(data, offsets), *dedup.shingles(data, offsets), chain.good_share(data, offsets), *toxicity.term_counts([text.encode()], number))], model.logits(data, offsets)
+
+    whole = list(results())
+    for size in (3, 64, 1000):
+        monkeypatch.setattr(common, "BLOCK_BYTES", size)
+        monkeypatch.setattr(common.chunks, "__defaults__", (size,))
+        for (exact, near), (same, close) in zip(whole, results(), strict=True):
+            assert exact == same and np.allclose(near, close)
+
+
 def test_what_a_letter_is():
     assert [langid.has_letter(t) for t in ("½ ² 12 _ ?", "", "\n語", "é", "7a", "٣")] == [False, False, True, True, True, False]
 
