@@ -13,10 +13,11 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from tableforge.jsonio import encode_json
+from tableforge import shared
 from tableforge.results import decode_result_lines
 
 CHUNK_ROWS = 10_000
@@ -127,14 +128,26 @@ class StarRocksReader(DataSourceReader):
         o = self.options
         url = f"{o['url'].rstrip('/')}/api/v1/catalogs/{o['catalog']}/databases/{o['database']}/sql"
         with _request(url, json.dumps({"query": partition.query}).encode(), {"Content-Type": "application/json", **_basic(o["user"], o["password"])}) as response:
+            lines = []
             for line in response:
-                yield (line.decode().rstrip("\r\n"),)
+                lines.append(line.rstrip(b"\r\n"))
+                if len(lines) == CHUNK_ROWS:
+                    yield _text_batch(lines)
+                    lines = []
+            if lines:
+                yield _text_batch(lines)
+
+
+def _text_batch(lines: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([line.decode() for line in lines])], ["line"])
 
 
 def scan_starrocks(spark: SparkSession, url: str, database: str, query: str, user: str = "root", password: str = "", catalog: str = "default_catalog", predicates: list[str] | None = None) -> DataFrame:
+    """Typed rows of a remote query, one request per predicate: the lines are kept in the shared folder before they are
+    decoded, so that a status behind the rows counts and the query isn't sent again."""
     spark.dataSource.register(StarRocksSource)
     lines = spark.read.format(StarRocksSource.name()).options(url=url, database=database, query=query, user=user, password=password, catalog=catalog, predicates=json.dumps(predicates or [])).load()
-    return decode_result_lines(lines)
+    return decode_result_lines(shared.materialise(lines, "result-lines"))
 
 
 @dataclass
@@ -153,27 +166,29 @@ class HttpSink(DataSource):
         return HttpWriter(self.options)
 
 
-class HttpWriter(DataSourceWriter):
+class HttpWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.options = options
 
-    def write(self, rows):
+    def write(self, iterator):
         from pyspark import TaskContext
 
         part, chunk, sent, held = TaskContext.get().partitionId(), 0, 0, []
         send = {"clickhouse": send_clickhouse, "starrocks": send_starrocks}[self.options["kind"]]
-        for row in rows:
-            held.append(row[0])
-            if len(held) == CHUNK_ROWS:
-                send(self.options, held, f"{part}-{chunk}")
-                sent, chunk, held = sent + len(held), chunk + 1, []
+        for batch in iterator:
+            held += batch.column(0).to_pylist()
+            while len(held) >= CHUNK_ROWS:
+                send(self.options, held[:CHUNK_ROWS], f"{part}-{chunk}")
+                sent, chunk, held = sent + CHUNK_ROWS, chunk + 1, held[CHUNK_ROWS:]
         if held:
             send(self.options, held, f"{part}-{chunk}")
         return Sent(sent + len(held))
 
 
 def send_clickhouse(o: dict, rows: list[str], label: str) -> None:
-    url = f"{o['url'].rstrip('/')}/?{urllib.parse.urlencode({'query': f'INSERT INTO {o["table"]} FORMAT JSONEachRow'})}"
+    """One insert; with a label, the server drops a chunk whose token it has seen, as a task's second attempt sends."""
+    token = {"insert_deduplication_token": f"{o['label']}-{label}"} if o.get("label") else {}
+    url = f"{o['url'].rstrip('/')}/?{urllib.parse.urlencode({'query': f'INSERT INTO {o["table"]} FORMAT JSONEachRow', **token})}"
     _request(url, ("\n".join(rows) + "\n").encode(), {"Content-Type": "application/x-ndjson", "X-ClickHouse-Database": o["database"], **_basic(o["user"], o["password"])}).read()
 
 
@@ -214,9 +229,10 @@ def _sink(df: DataFrame, datetime_format: str | None, **options: str) -> int:
     return seen.get["n"]
 
 
-def sink_clickhouse(df: DataFrame, url: str, database: str, table: str, user: str = "default", password: str = "", datetime_format: str | None = None) -> int:
-    """Insert all rows; their number. Run with spark.speculation off."""
-    return _sink(df, datetime_format, kind="clickhouse", url=url, database=database, table=table, user=user, password=password)
+def sink_clickhouse(df: DataFrame, url: str, database: str, table: str, user: str = "default", password: str = "", datetime_format: str | None = None, label: str = "") -> int:
+    """Insert all rows; their number. With a label, a task's second attempt inserts nothing twice if its rows come in a
+    fixed order. Run with spark.speculation off."""
+    return _sink(df, datetime_format, kind="clickhouse", url=url, database=database, table=table, user=user, password=password, label=label)
 
 
 def sink_starrocks(df: DataFrame, url: str, database: str, table: str, user: str = "root", password: str = "", datetime_format: str | None = None, label: str = "") -> int:

@@ -1,11 +1,21 @@
-"""HyperLogLog sketches as aggregates: register rows with partial aggregation, exact small counts, portable bytes."""
+"""HyperLogLog sketches as aggregates: small groups are counted exactly, larger ones by registers; portable bytes.
+
+Nulls aren't counted; a group of nulls alone has no row. Group keys may be null. ``hll_estimate`` is Catalyst's own
+aggregation; ``hll_agg`` reads its input once, each task fills sketches, and sketches merge in two shuffles.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tableforge import grouped
 
 STATES = {"empty": 1, "explicit": 2, "sparse": 3, "full": 4}
 
@@ -34,80 +44,164 @@ def estimate_column(inverse_sum: Column, filled: Column, log2m: int, regwidth: i
     return F.when((zeros > 0) & (e < 2.5 * m), m * F.log(F.lit(float(m)) / F.when(zeros > 0, zeros))).when(e <= top / 30, e).otherwise(-top * F.log(1 - e / top))
 
 
+def hashable(kind: T.DataType) -> bool:
+    fixed = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    return isinstance(kind, (*fixed, T.StringType, T.BinaryType))
+
+
 def hll_hash(value: Column, portable: bool = False) -> Column:
-    """64-bit hash: xxhash64, or (portable) the low half of 128-bit murmur3 over the value's text or little-endian bytes."""
+    """64-bit hash: xxhash64, or (portable) the low half of 128-bit murmur3. The latter's bytes are those of the value's
+    type, little-endian: 4 for integers up to int, float and date, 8 for long, double, timestamps (microseconds) and
+    decimals of up to 18 digits (unscaled), 16 for wider ones, 1 for booleans; text as UTF-8. -0.0 is 0.0, all NaN are
+    one, and null stays null. Other types raise."""
     return murmur3_udf()(value) if portable else F.xxhash64(value)
 
 
 def _rows(df: DataFrame, keys: list[str], value: str, log2m: int, regwidth: int, portable: bool) -> DataFrame:
     h = df.where(F.col(value).isNotNull()).select(*keys, hll_hash(F.col(value), portable).alias("_h"))
-    idx, reg = register(F.col("_h"), log2m, regwidth)
-    return h.select(*keys, "_h", idx.alias("_idx"), reg.alias("_reg"))
+    return h.select(*keys, "_h", *(c.alias(n) for c, n in zip(register(F.col("_h"), log2m, regwidth), ("_idx", "_reg"), strict=True)))
 
 
-def _estimates(registers: DataFrame, keys: list[str], log2m: int, regwidth: int) -> DataFrame:
-    filled = F.sum(F.when(F.col("_reg") > 0, 1).otherwise(0))
-    inverse = F.sum(F.when(F.col("_reg") > 0, F.pow(F.lit(2.0), -F.col("_reg"))).otherwise(0.0))
-    return registers.groupBy(*keys).agg(estimate_column(inverse, filled, log2m, regwidth).alias("_estimate"))
+def registers_of_hash(df: DataFrame, keys: list[str], hash_col: str, log2m: int = 12, regwidth: int = 6) -> DataFrame:
+    """keys, ``idx`` and ``reg``: the registers that 64-bit hashes fill."""
+    idx, reg = register(F.col(hash_col), log2m, regwidth)
+    return df.where(F.col(hash_col).isNotNull()).groupBy(*keys, idx.alias("idx")).agg(F.max(reg).alias("reg"))
 
 
-def _small(rows: DataFrame, registers: DataFrame, keys: list[str], log2m: int, regwidth: int) -> DataFrame:
-    """Distinct hashes of the groups that may be explicit; large groups never gather hashes."""
-    able = _estimates(registers, keys, log2m, regwidth).where(F.col("_estimate") <= 2 * limits(log2m, regwidth)[0]).select(*keys)
-    return rows.join(able, keys, "left_semi").select(*keys, "_h").distinct()
+def estimate_of_registers(registers: DataFrame, keys: list[str], log2m: int = 12, regwidth: int = 6) -> DataFrame:
+    """keys and ``estimate`` of registers (``idx``, ``reg``)."""
+    filled = F.sum(F.when(F.col("reg") > 0, 1).otherwise(0))
+    inverse = F.sum(F.when(F.col("reg") > 0, F.pow(F.lit(2.0), -F.col("reg"))).otherwise(0.0))
+    return registers.groupBy(*keys).agg(estimate_column(inverse, filled, log2m, regwidth).alias("estimate"))
 
 
-def hll_estimate(df: DataFrame, keys: list[str], value: str, log2m: int = 12, regwidth: int = 6, portable: bool = False) -> DataFrame:
-    """keys and ``estimate``: the exact count where the sketch would be explicit. Catalyst only unless portable."""
-    rows = _rows(df, keys, value, log2m, regwidth, portable)
-    registers = rows.groupBy(*keys, "_idx").agg(F.max("_reg").alias("_reg"))
-    exact = _small(rows, registers, keys, log2m, regwidth).groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") <= limits(log2m, regwidth)[0])
-    return _estimates(registers, keys, log2m, regwidth).join(exact, keys, "left").select(*keys, F.coalesce(F.col("_n").cast("double"), "_estimate").alias("estimate"))
+def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    """Join condition: equal keys, null and null included."""
+    found = F.lit(True)
+    for k in keys:
+        found = found & a[k].eqNullSafe(b[k])
+    return found
 
 
-def _encode(rows: DataFrame, keys: list[str], log2m: int, regwidth: int, explicit: DataFrame | None = None) -> DataFrame:
-    registers = rows.groupBy(*keys, "_idx").agg(F.max("_reg").alias("_reg"))
-    hashes = explicit if explicit is not None else _small(rows, registers, keys, log2m, regwidth)
-    few = hashes.groupBy(*keys).agg(F.collect_list("_h").alias("_hashes")).where(F.size("_hashes") <= limits(log2m, regwidth)[0])
-    many = registers.groupBy(*keys).agg(F.collect_list(F.struct("_idx", "_reg")).alias("_regs"))
-    pack = _pack_udf(log2m, regwidth)
-    return many.join(few, keys, "left").select(*keys, pack("_regs._idx", "_regs._reg", "_hashes").alias("sketch"))
-
+def hll_estimate(df: DataFrame, keys: list[str], value: str, log2m: int = 12, regwidth: int = 6, portable: bool = False) -> DataFrame:
+    """keys and ``estimate``: the exact count where the sketch would be explicit. Catalyst only unless portable. Only
+    groups that may be explicit are counted exactly; large ones never gather or shuffle their hashes."""
+    few, _ = limits(log2m, regwidth)
+    rows = _rows(df, keys, value, log2m, regwidth, portable)
+    registers = rows.groupBy(*keys, "_idx").agg(F.max("_reg").alias("_reg")).withColumnsRenamed({"_idx": "idx", "_reg": "reg"})
+    rough = estimate_of_registers(registers, keys, log2m, regwidth)
+    able = rough.where(F.col("estimate") <= 2 * few).select(*keys)
+    counted = rows.join(able, same_keys(rows, able, keys), "left_semi").select(*keys, "_h").distinct().groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n").between(1, few))
+    exact = counted.select(*[F.col(k).alias(f"_exact_{i}") for i, k in enumerate(keys)], "_n")
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_exact_{i}"))
+    return rough.join(exact, on, "left").select(*keys, F.coalesce(F.col("_n").cast("double"), "estimate").alias("estimate"))
+
+
+@dataclass
+class Sketch:
+    """The distinct hashes while they are few, else registers."""
+
+    log2m: int
+    regwidth: int
+    hashes: np.ndarray | None
+    registers: np.ndarray | None = None
+
+    @classmethod
+    def empty(cls, log2m: int, regwidth: int) -> Sketch:
+        return cls(log2m, regwidth, np.zeros(0, np.int64))
+
+    def add(self, hashes: np.ndarray) -> Sketch:
+        if self.hashes is not None:
+            self.hashes = np.union1d(self.hashes, hashes)
+            if len(self.hashes) <= limits(self.log2m, self.regwidth)[0]:
+                return self
+            hashes, self.hashes = self.hashes, None
+            self.registers = np.zeros(1 << self.log2m, np.int64)
+        np.maximum.at(self.registers, *registers_of(hashes, self.log2m, self.regwidth))
+        return self
+
+    def merge(self, raw: bytes) -> Sketch:
+        state, idx, reg, hashes = from_bytes(raw, self.log2m, self.regwidth)
+        if hashes is not None:
+            return self.add(hashes)
+        if self.registers is None:
+            own, self.hashes, self.registers = self.hashes, None, np.zeros(1 << self.log2m, np.int64)
+            self.add(own)
+        np.maximum.at(self.registers, idx, reg)
+        return self
+
+    def to_bytes(self) -> bytes:
+        none = np.zeros(0, np.int64)
+        filled = none if self.registers is None else np.flatnonzero(self.registers)
+        return to_bytes(filled, none if self.registers is None else self.registers[filled], self.hashes, self.log2m, self.regwidth)
+
+
+def union_bytes(raws: list[bytes], log2m: int = 12, regwidth: int = 6) -> bytes:
+    """Sketches as one: explicit if all are and the union fits, else registers. Any order gives the same."""
+    sketch = Sketch.empty(log2m, regwidth)
+    for raw in raws:
+        sketch.merge(bytes(raw))
+    return sketch.to_bytes()
 
-def _pack_udf(log2m: int, regwidth: int):
-    @F.pandas_udf("binary")
-    def pack(idx: pd.Series, reg: pd.Series, hashes: pd.Series) -> pd.Series:
-        return pd.Series([to_bytes(np.asarray(i), np.asarray(r), None if h is None else np.asarray(h, np.int64), log2m, regwidth) for i, r, h in zip(idx, reg, hashes, strict=True)])
 
-    return pack
+def hll_agg(df: DataFrame, keys: list[str], value: str, log2m: int = 12, regwidth: int = 6, portable: bool = True) -> DataFrame:
+    """keys and ``sketch`` bytes, of portable hashes or (faster) of xxhash64."""
+    limits(log2m, regwidth)
+    kind = df.schema[value].dataType
+    if not hashable(kind):
+        raise ValueError(f"values of type {kind.simpleString()} can't be counted")
+    rows = df.where(F.col(value).isNotNull())
+    rows = rows.select(*keys, F.col(value).alias("_v")) if portable else rows.select(*keys, F.xxhash64(value).alias("_v"))
 
+    def fold(state: Sketch | None, values: pa.Array) -> Sketch:
+        return (state or Sketch.empty(log2m, regwidth)).add(murmur3_of(values) if portable else values.to_numpy())
 
-def hll_agg(df: DataFrame, keys: list[str], value: str, log2m: int = 12, regwidth: int = 6, portable: bool = True) -> DataFrame:
-    """keys and ``sketch`` bytes. Nulls are skipped; groups of nulls alone have no row."""
-    return _encode(_rows(df, keys, value, log2m, regwidth, portable), keys, log2m, regwidth)
+    states = grouped.partial_states(rows, keys, "_v", "sketch", fold, Sketch.to_bytes)
+    return hll_union_agg(states, keys, "sketch", log2m, regwidth)
 
 
 def hll_decode(df: DataFrame, keys: list[str], sketch: str = "sketch", log2m: int = 12, regwidth: int = 6) -> DataFrame:
     """keys, _explicit and one row per hash (_h, with its register) or register (_h null) of every sketch."""
-    kinds = dict(df.dtypes)
+    schema = T.StructType([*(df.schema[k] for k in keys), *T.StructType.fromDDL("_explicit boolean, _idx int, _reg int, _h long")])
 
-    def run(frames):
-        for frame in frames:
-            parts = []
-            for i, raw in enumerate(frame[sketch]):
-                state, idx, reg, hashes = from_bytes(bytes(raw), log2m, regwidth)
-                parts.append(pd.DataFrame({**{k: frame[k].iloc[i] for k in keys}, "_explicit": state in ("empty", "explicit"), "_idx": idx, "_reg": reg, "_h": pd.array(hashes if hashes is not None else [None] * len(idx), "Int64")}))
-            if parts:
-                yield pd.concat(parts)
+    def run(batches):
+        for batch in batches:
+            for i, raw in enumerate(batch.column(len(keys)).to_pylist()):
+                state, idx, reg, hashes = from_bytes(raw, log2m, regwidth)
+                n = len(idx)
+                own = [c.take(pa.array(np.full(n, i))) for c in batch.columns[: len(keys)]]
+                rest = [pa.array(np.full(n, state in ("empty", "explicit"))), pa.array(idx, pa.int32()), pa.array(reg, pa.int32()), pa.array(hashes, pa.int64()) if hashes is not None else pa.nulls(n, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*own, *rest], schema.names)
 
-    return df.where(F.col(sketch).isNotNull()).select(*keys, sketch).mapInPandas(run, ", ".join([f"`{k}` {kinds[k]}" for k in keys] + ["_explicit boolean, _idx int, _reg int, _h long"]))
+    return df.where(F.col(sketch).isNotNull()).select(*keys, sketch).mapInArrow(run, schema)
 
 
 def hll_union_agg(df: DataFrame, keys: list[str], sketch: str = "sketch", log2m: int = 12, regwidth: int = 6) -> DataFrame:
-    """Sketches of a group as one: explicit if all are and the union fits, else registers. Any order gives the same."""
-    rows = hll_decode(df, keys, sketch, log2m, regwidth)
-    whole = rows.groupBy(*keys).agg(F.min("_explicit").alias("_all")).where("_all").select(*keys)
-    return _encode(rows, keys, log2m, regwidth, rows.join(whole, keys, "left_semi").select(*keys, "_h").distinct())
+    """keys and the union of each group's sketches, as ``sketch``; null sketches are left out."""
+    return grouped.merged_states(df, keys, sketch, "sketch", lambda raws: union_bytes(raws, log2m, regwidth))
+
+
+def register_functions(spark: SparkSession, log2m: int = 12, regwidth: int = 6) -> None:
+    """SQL functions: hll_hash_of(text), hll_cardinality(sketch), hll_union(sketch, sketch)."""
+
+    @F.arrow_udf("double")
+    def hll_cardinality(raw: pa.Array) -> pa.Array:
+        return pa.array([None if b is None else estimate(b, log2m, regwidth) for b in raw.to_pylist()], pa.float64())
+
+    @F.arrow_udf("binary")
+    def hll_union(one: pa.Array, two: pa.Array) -> pa.Array:
+        """A null sketch adds nothing; two nulls are null."""
+        pairs = ([x for x in (a, b) if x is not None] for a, b in zip(one.to_pylist(), two.to_pylist(), strict=True))
+        return pa.array([union_bytes(p, log2m, regwidth) if p else None for p in pairs], pa.binary())
+
+    @F.arrow_udf("long")
+    def hll_hash_of(text: pa.Array) -> pa.Array:
+        return hashed(text)
+
+    for f in (hll_cardinality, hll_union, hll_hash_of):
+        spark.udf.register(f.__name__ if hasattr(f, "__name__") else f.func.__name__, f)
 
 
 def hll_sketch_estimate(sketch: Column, log2m: int = 12, regwidth: int = 6) -> Column:
@@ -189,11 +283,15 @@ def estimate(raw: bytes, log2m: int = 12, regwidth: int = 6) -> float:
 
 
 def murmur3(items: list[bytes]) -> np.ndarray:
-    """Low half of the 128-bit murmur3 hash (x64, seed 0) of each item; all items advance together."""
+    """Low half of the 128-bit murmur3 hash (x64, seed 0) of each item; items of like lengths advance together."""
     n = np.array([len(i) for i in items], np.int64)
-    width = int(n.max(initial=0)) // 16 * 16 + 16
-    data = np.frombuffer(b"".join(i.ljust(width, b"\0") for i in items), "<u8").reshape(len(items), -1) if items else np.zeros((0, 2), np.uint64)
-    return _murmur3(data, n)
+    out = np.zeros(len(items), np.uint64)
+    kind = np.ceil(np.log2(n // 16 + 1)).astype(int) if len(n) else n
+    for k in np.unique(kind):
+        rows = np.flatnonzero(kind == k)
+        width = int(n[rows].max()) // 16 * 16 + 16
+        out[rows] = _murmur3(np.frombuffer(b"".join(items[i].ljust(width, b"\0") for i in rows), "<u8").reshape(len(rows), -1), n[rows])
+    return out
 
 
 def murmur3_words(words: np.ndarray) -> np.ndarray:
@@ -226,14 +324,45 @@ def _murmur3(data: np.ndarray, n: np.ndarray) -> np.ndarray:
     return fin(a) + fin(b)
 
 
-def item_bytes(v) -> bytes:
-    return v.encode() if isinstance(v, str) else int(v).to_bytes(8, "little", signed=True) if not isinstance(v, (bytes, bytearray)) else bytes(v)
+def murmur3_of(values: pa.Array) -> np.ndarray:
+    """The hashes of values without nulls, by their Arrow type."""
+    kind = values.type
+    if pa.types.is_string(kind) or pa.types.is_large_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_binary(kind):
+        return murmur3([v.encode("utf-8", "surrogatepass") if isinstance(v, str) else v for v in values.to_pylist()]).view(np.int64)
+    if pa.types.is_decimal(kind):
+        # the unscaled number, as 16 bytes of two's complement
+        raw = np.frombuffer(values.cast(pa.decimal128(38, kind.scale)).buffers()[1], "<u8").reshape(-1, 2)
+        words = raw[values.offset : values.offset + len(values)] if values.type == pa.decimal128(38, kind.scale) else raw[: len(values)]
+        return (murmur3_words(words[:, 0]) if kind.precision <= 18 else _murmur3(np.column_stack([words, np.zeros_like(words)]), np.full(len(words), 16))).view(np.int64)
+    if pa.types.is_boolean(kind):
+        plain, size = values.cast(pa.uint8()).to_numpy().astype(np.uint64), 1
+    elif pa.types.is_floating(kind):
+        number = values.to_numpy(zero_copy_only=False)
+        number = np.where(np.isnan(number), np.nan, number + 0.0).astype(number.dtype)
+        plain, size = number.view(f"u{number.itemsize}").astype(np.uint64), number.itemsize
+    elif pa.types.is_date(kind):
+        plain, size = values.cast(pa.int32()).to_numpy().astype(np.uint32).astype(np.uint64), 4
+    elif pa.types.is_timestamp(kind):
+        plain, size = values.cast(pa.timestamp("us", kind.tz)).cast(pa.int64()).to_numpy().view(np.uint64), 8
+    elif pa.types.is_integer(kind):
+        size = 8 if kind.bit_width == 64 else 4
+        plain = values.to_numpy().astype(np.int64).view(np.uint64) if size == 8 else values.to_numpy().astype(np.int32).view(np.uint32).astype(np.uint64)
+    else:
+        raise ValueError(f"values of type {kind} can't be hashed")
+    return _murmur3(np.column_stack([plain, np.zeros_like(plain)]), np.full(len(plain), size)).view(np.int64)
+
+
+def hashed(values: pa.Array) -> pa.Array:
+    """``murmur3_of``, with nulls for nulls."""
+    some = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
+    out, known = np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    out[some], known[some] = murmur3_of(values.take(pa.array(some))), True
+    return pa.array(out, pa.int64(), mask=~known)
 
 
 def murmur3_udf():
-    @F.pandas_udf("long")
-    def portable(values: pd.Series) -> pd.Series:
-        four = values.dtype == np.int32
-        return pd.Series(murmur3([int(v).to_bytes(4, "little", signed=True) if four else item_bytes(v) for v in values]).view(np.int64))
+    @F.arrow_udf("long")
+    def portable(values: pa.Array) -> pa.Array:
+        return hashed(values)
 
     return portable

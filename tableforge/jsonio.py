@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: strftime directives and the letters that Spark has for them.
+#: Rows of a group that are put into one text; a larger group makes several.
+PIECE_ROWS = 100_000
+#: Strftime directives and the letters that Spark has for them.
 DIRECTIVES = {"Y": "yyyy", "y": "yy", "m": "MM", "d": "dd", "H": "HH", "I": "hh", "M": "mm", "S": "ss", "f": "SSSSSS", "3f": "SSS", ".f": ".SSSSSS", ".3f": ".SSS", "p": "a", "b": "MMM", "B": "MMMM", "a": "E", "A": "EEEE", "j": "DDD", "%": "%", "F": "yyyy-MM-dd", "T": "HH:mm:ss"}
 DEFAULT = "%Y-%m-%d %H:%M:%S"
 
@@ -43,16 +45,29 @@ def write_ndjson(df: DataFrame, path: str, datetime_format: str | None = None) -
     return _counted(df.select(encode_json(df, datetime_format).alias("value"), F.lit(1).alias("_n")), path)
 
 
-def json_arrays(df: DataFrame, keys: list[str], datetime_format: str | None = None) -> DataFrame:
-    """Per group: its rows as one JSON array, in the order of their texts."""
-    return df.select(*keys, encode_json(df, datetime_format).alias("_j")).groupBy(*keys).agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("_j")), ","), F.lit("]")).alias("value"), F.count("*").alias("_n"))
+def grouped_texts(df: DataFrame, keys: list[str], datetime_format: str | None, piece_rows: int) -> DataFrame:
+    """keys, ``piece``, ``_n`` and ``_all``, the rows' JSON texts in their order. A group of over ``piece_rows`` rows is
+    dealt by the texts' hash to as many pieces as it needs, so no task holds a whole hot group."""
+    rows = df.select(*keys, encode_json(df, datetime_format).alias("_j"))
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / piece_rows).cast("int").alias("_pieces")).where("_pieces > 1")
+    large = sizes.select(*[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)], "_pieces")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{i}"))
+    dealt = rows.join(large, same, "left").withColumn("piece", F.coalesce(F.pmod(F.xxhash64("_j"), F.col("_pieces")).cast("int"), F.lit(0)))
+    return dealt.groupBy(*keys, "piece").agg(F.array_sort(F.collect_list("_j")).alias("_all"), F.count("*").alias("_n"))
 
 
-def write_json_array(df: DataFrame, path: str, keys: list[str], datetime_format: str | None = None) -> int:
-    """Write one JSON array per group, a line each; the number of rows. Groups must be of a size that a task can hold."""
-    return _counted(json_arrays(df, keys, datetime_format), path)
+def json_arrays(df: DataFrame, keys: list[str], datetime_format: str | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Per group and piece: its rows as one JSON array, in the order of their texts."""
+    return grouped_texts(df, keys, datetime_format, piece_rows).select(*keys, "piece", F.concat(F.lit("["), F.array_join("_all", ","), F.lit("]")).alias("value"), "_n")
 
 
-def dump_ndjson_group(df: DataFrame, keys: list[str], datetime_format: str | None = None) -> DataFrame:
-    """Per group: its rows as JSON lines, in the order of their texts."""
-    return df.select(*keys, encode_json(df, datetime_format).alias("_j")).groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("_j")), "\n").alias("value"))
+def write_json_array(df: DataFrame, path: str, keys: list[str], datetime_format: str | None = None, piece_rows: int = PIECE_ROWS) -> int:
+    """Write one JSON array per group and piece, a line each; the number of rows."""
+    return _counted(json_arrays(df, keys, datetime_format, piece_rows), path)
+
+
+def dump_ndjson_group(df: DataFrame, keys: list[str], datetime_format: str | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Per group and piece: its rows as JSON lines, in the order of their texts."""
+    return grouped_texts(df, keys, datetime_format, piece_rows).select(*keys, "piece", F.array_join("_all", "\n").alias("value"))

@@ -18,6 +18,11 @@ HINTS = {
 }
 
 
+#: Between two objects: a line break behind a closing brace and before an opening one. Within JSON no break stands so, as
+#: a comma or bracket comes between, and strings hold none.
+OBJECTS = r"(?<=\})[ \t\r]*\n\s*(?=\{)"
+
+
 def schema_from_hint(pairs: list[tuple[str, str]]) -> T.StructType:
     """Schema of (name, type) pairs; types are trimmed and matched in any case, unknown ones raise."""
     fields = []
@@ -58,9 +63,10 @@ def typed(text: Column, kind: T.DataType) -> Column:
 
 
 def decode_messages_json(messages: DataFrame, schema: T.StructType | list[tuple[str, str]], include_metadata: bool = False) -> DataFrame:
-    """Each line of a payload as a row of ``schema``: missing keys are null, unknown ones ignored, bad JSON raises."""
+    """Each JSON object of a payload as a row of ``schema``: missing keys are null, unknown ones ignored, bad JSON raises.
+    An object may go over several lines; objects are parted by line breaks."""
     schema = schema if isinstance(schema, T.StructType) else schema_from_hint(schema)
-    lines = messages.where("value IS NOT NULL").select(F.explode(F.split(payload_text(), r"\r?\n")).alias("_line"), *metadata_columns() * include_metadata)
+    lines = messages.where("value IS NOT NULL").select(F.explode(F.split(payload_text(), OBJECTS)).alias("_line"), *metadata_columns() * include_metadata)
     parsed = lines.where(F.trim("_line") != "").withColumn("_json", F.parse_json("_line"))
     text = lambda name: F.variant_get("_json", "$['" + name.replace("'", "\\'") + "']", "string")
     return parsed.select(*[typed(text(f.name), f.dataType).alias(f.name) for f in schema], *["kafka_partition_id", "kafka_offset", "kafka_timestamp"] * include_metadata)

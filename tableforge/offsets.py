@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PART = ["topic", "partition"]
+#: Topic partitions that may be broadcast.
+FEW = 100_000
 
 
 def topic_offsets(log: DataFrame) -> DataFrame:
@@ -43,8 +45,9 @@ def offsets_for_timestamp(log: DataFrame, timestamp_ms: int) -> DataFrame:
 
 
 def read_from_timestamp(log: DataFrame, timestamp_ms: int) -> DataFrame:
-    """The messages from that offset on. Partitions are few, but the join is left to the optimizer all the same."""
+    """The messages from that offset on. The partitions' first offsets are broadcast where a count finds them few."""
     first = offsets_for_timestamp(log, timestamp_ms).where("offset IS NOT NULL").withColumnRenamed("offset", "first_offset")
+    first = F.broadcast(first) if first.limit(FEW + 1).count() <= FEW else first
     return log.join(first, PART).where("offset >= first_offset").drop("first_offset")
 
 

@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 BLOCK = 1 << 16
 
 
-def with_prefix_sum(df: DataFrame, id_col: str, draws: Column, name: str, block: int = BLOCK) -> DataFrame:
-    """``df`` with the sum of ``draws`` over all rows before each, by id: first over blocks of ids, then within a block.
-    Only the blocks' sums (one row per ``block`` ids) are summed in one place."""
-    at = F.floor(F.col(id_col) / block)
-    df = df.withColumn("_draws", draws.cast("long")).withColumn("_block", at)
-    sums = df.groupBy("_block").agg(F.sum("_draws").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.coalesce(F.sum("_draws").over(Window.partitionBy("_block").orderBy(id_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.join(sums.select("_block", before.alias("_before")), "_block").withColumn(name, F.col("_before") + inside).drop("_block", "_before", "_draws")
+def with_prefix_sum(df: DataFrame, id_col: str, draws: Column, name: str, block: int = BLOCK, by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the sum of ``draws`` over all rows before each, by id, or only over those of equal ``by`` (columns
+    without nulls): over blocks of blocks of ids, then over blocks, then within a block. One row for every block * block
+    ids is all that is ever summed in one place."""
+    before = lambda column, window: F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    df = df.withColumns({"_draws": draws.cast("long"), "_block": F.floor(F.col(id_col) / block)})
+    sums = df.groupBy(*by, "_block").agg(F.sum("_draws").alias("_n")).withColumn("_super", F.floor(F.col("_block") / block))
+    tops = sums.groupBy(*by, "_super").agg(F.sum("_n").alias("_n"))
+    tops = tops.select(*by, "_super", before("_n", Window.partitionBy(*by).orderBy("_super")).alias("_top"))
+    sums = sums.withColumn("_before", before("_n", Window.partitionBy(*by, "_super").orderBy("_block"))).join(tops, [*by, "_super"])
+    inside = before("_draws", Window.partitionBy(*by, "_block").orderBy(id_col))
+    placed = df.withColumn("_inside", inside).join(sums.select(*by, "_block", (F.col("_before") + F.col("_top")).alias("_before")), [*by, "_block"])
+    return placed.withColumn(name, F.col("_before") + F.col("_inside")).drop("_block", "_before", "_draws", "_inside")

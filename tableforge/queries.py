@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableforge import derive, gen, hll, jsonio, messages, offsets, results, tdigest
+from tableforge import derive, gen, hll, jsonio, messages, offsets, ordinal, results, shared, tdigest
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -28,21 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new path in the cluster's shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
-    return f"{base}/{uuid.uuid4().hex}"
-
-
 # --- message logs -----------------------------------------------------------------------------------------------------
 
 
 def log(spark: SparkSession, sf_dir: str, payload=None) -> DataFrame:
-    """The events as messages: the Kafka source's columns."""
+    """The events as messages: the Kafka source's columns. Offsets count by partition in two levels of blocks."""
     events = table(spark, sf_dir, "events")
-    number = F.row_number().over(Window.partitionBy("partition").orderBy("event_id")) - 1
     kept = events.withColumns({"partition": (F.col("user_id") % 4).cast("int"), "value": jsonio.encode_json(events) if payload is None else payload})
-    return kept.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), F.lit("events").alias("topic"), "partition", number.cast("long").alias("offset"), F.col("ts").alias("timestamp"), F.lit(0).alias("timestampType"))
+    kept = ordinal.with_prefix_sum(kept, "event_id", F.lit(1), "offset", by=("partition",))
+    return kept.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), F.lit("events").alias("topic"), "partition", F.col("offset").cast("long").alias("offset"), F.col("ts").alias("timestamp"), F.lit(0).alias("timestampType"))
 
 
 def commits(messages_: DataFrame) -> DataFrame:
@@ -141,26 +132,25 @@ def timestamp_format(spark, sf_dir):
     return table(spark, sf_dir, "events").select(F.date_format("ts", jsonio.timestamp_format("%d.%m.%Y %H h")).alias("at"))
 
 
-@query("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, (SELECT count(*) FROM nation) AS n_rows FROM nation")
+@query("SELECT o_orderkey, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS at, (SELECT count(*) FROM orders) AS n_rows FROM orders")
 def write_ndjson(spark, sf_dir):
-    path = scratch(spark)
-    n = jsonio.write_ndjson(table(spark, sf_dir, "nation"), path)
-    return spark.read.schema("n_nationkey long, n_name string").json(path).withColumn("n_rows", F.lit(n).cast("long"))
+    path = shared.new_path(spark, "ndjson")
+    n = jsonio.write_ndjson(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate"), path, "%Y-%m-%d")
+    return spark.read.schema("o_orderkey long, o_orderpriority string, o_orderdate string").json(path).withColumns({"n_rows": F.lit(n).cast("long"), "at": F.col("o_orderdate")}).drop("o_orderdate")
 
 
-@query("SELECT n_regionkey, count(*) AS n, (SELECT count(*) FROM nation) AS n_rows FROM nation GROUP BY 1")
+@query("SELECT o_orderpriority, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, count(DISTINCT o_custkey) AS customers, (SELECT count(*) FROM orders) AS n_rows FROM orders GROUP BY 1")
 def write_json_array(spark, sf_dir):
-    path = scratch(spark)
-    n = jsonio.write_json_array(table(spark, sf_dir, "nation"), path, ["n_regionkey"])
-    rows = spark.read.text(path).select(F.explode(F.from_json("value", "array<struct<n_regionkey:int,n_name:string>>")).alias("x"))
-    return rows.groupBy("x.n_regionkey").agg(F.count("*").alias("n")).withColumn("n_rows", F.lit(n).cast("long"))
+    path = shared.new_path(spark, "arrays")
+    n = jsonio.write_json_array(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_custkey"), path, ["o_orderpriority"], piece_rows=1000)
+    rows = spark.read.text(path).select(F.explode(F.from_json("value", "array<struct<o_orderpriority:string,o_orderkey:long,o_custkey:long>>")).alias("x"))
+    return rows.groupBy("x.o_orderpriority").agg(F.count("*").alias("n"), F.sum("x.o_orderkey").alias("keys"), F.countDistinct("x.o_custkey").alias("customers")).withColumn("n_rows", F.lit(n).cast("long"))
 
 
-@query("""SELECT n_regionkey, string_agg('{"n_name":"' || n_name || '"}', chr(10) ORDER BY n_name) AS lines FROM nation GROUP BY 1""")
+@query("""SELECT o_custkey, 0 AS piece, string_agg('{"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderkey":' || o_orderkey || '}', chr(10) ORDER BY o_orderstatus, CAST(o_orderkey AS VARCHAR) || '}') AS lines FROM orders GROUP BY 1""")
 def dump_ndjson_group(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
-    dumped = jsonio.dump_ndjson_group(nation.select("n_regionkey", "n_name"), ["n_regionkey"])
-    return dumped.select("n_regionkey", F.regexp_replace("value", '"n_regionkey":[0-9]+,', "").alias("lines"))
+    dumped = jsonio.dump_ndjson_group(table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderkey"), ["o_custkey"])
+    return dumped.select("o_custkey", "piece", F.col("value").alias("lines"))
 
 
 @query(
@@ -187,19 +177,19 @@ def derive_columns(spark, sf_dir):
 # --- sketches ---------------------------------------------------------------------------------------------------------
 
 
+# The SQL counts exactly, as the sketches do while they are explicit: up to 384 users a type (there are 150 at sf0.01).
 @query("SELECT event_type, count(*) AS n_rows, count(DISTINCT user_id) AS users, CAST(count(DISTINCT user_id) AS DOUBLE) AS estimate, true AS within FROM events GROUP BY 1")
 def hll_estimate(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     exact = events.groupBy("event_type").agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("users"))
     near = F.abs(F.col("estimate") - F.col("users")) <= 0.05 * F.col("users")
-    # 150 users per type at sf0.01 are counted exactly; larger groups are estimated, so the value is rounded to the exact one within 5 %
-    return exact.join(hll.hll_estimate(events, ["event_type"], "user_id"), "event_type").select("event_type", "n_rows", "users", F.when(near, F.col("users").cast("double")).otherwise(F.col("estimate")).alias("estimate"), near.alias("within"))
+    return exact.join(hll.hll_estimate(events, ["event_type"], "user_id"), "event_type").select("event_type", "n_rows", "users", "estimate", near.alias("within"))
 
 
 @query("SELECT event_type, CAST(count(DISTINCT user_id) AS DOUBLE) AS users FROM events GROUP BY 1")
 def hll_agg(spark, sf_dir):
-    made = hll.hll_agg(table(spark, sf_dir, "events"), ["event_type"], "user_id", log2m=14)
-    return made.select("event_type", hll.hll_sketch_estimate(F.col("sketch"), 14).alias("users"))
+    made = hll.hll_agg(table(spark, sf_dir, "events"), ["event_type"], "user_id")
+    return made.select("event_type", hll.hll_sketch_estimate(F.col("sketch")).alias("users"))
 
 
 @query("SELECT l_returnflag, true AS within FROM lineitem GROUP BY 1")
@@ -210,23 +200,42 @@ def hll_encode(spark, sf_dir):
     return made.join(exact, "l_returnflag").select("l_returnflag", (F.abs(hll.hll_sketch_estimate(F.col("sketch")) - F.col("n")) <= 0.05 * F.col("n")).alias("within"))
 
 
-@query("SELECT event_type, count(DISTINCT user_id) AS rows FROM events GROUP BY 1")
+@query("SELECT event_type, true AS explicit, count(DISTINCT user_id) AS hashes FROM events GROUP BY 1")
 def hll_decode(spark, sf_dir):
-    made = hll.hll_agg(table(spark, sf_dir, "events"), ["event_type"], "user_id", log2m=14)
-    return hll.hll_decode(made, ["event_type"], log2m=14).groupBy("event_type").agg(F.count("_h").alias("rows"))
+    made = hll.hll_agg(table(spark, sf_dir, "events"), ["event_type"], "user_id")
+    return hll.hll_decode(made, ["event_type"]).groupBy("event_type").agg(F.bool_and("_explicit").alias("explicit"), F.count("_h").alias("hashes"))
 
 
 @query("SELECT event_type, CAST(count(DISTINCT user_id) AS DOUBLE) AS users FROM events GROUP BY 1")
 def hll_union_agg(spark, sf_dir):
-    daily = hll.hll_agg(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), ["event_type", "day"], "user_id", log2m=14)
-    return hll.hll_union_agg(daily, ["event_type"], log2m=14).select("event_type", hll.hll_sketch_estimate(F.col("sketch"), 14).alias("users"))
+    daily = hll.hll_agg(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), ["event_type", "day"], "user_id")
+    return hll.hll_union_agg(daily, ["event_type"]).select("event_type", hll.hll_sketch_estimate(F.col("sketch")).alias("users"))
+
+
+#: An odd multiplier makes hashes of the keys that both engines can compute.
+SPREAD = 7046029254386353131
+
+
+@query(
+    f"""WITH h AS (SELECT l_returnflag, CAST(CAST(l_orderkey AS HUGEINT) * {SPREAD} % 18446744073709551616 AS UBIGINT) AS h FROM lineitem),
+r AS (SELECT l_returnflag, h & 4095 AS i, max(CASE WHEN h >> 12 = 0 THEN 0 ELSE bit_count(CAST(CAST((h >> 12) & 18446744073709551615 AS HUGEINT) - (CAST(h >> 12 AS HUGEINT) & CAST((h >> 12) - 1 AS HUGEINT)) - 1 AS BIGINT)) + 1 END) AS reg FROM h GROUP BY 1, 2),
+s AS (SELECT l_returnflag, count(*) FILTER (reg > 0) AS filled, CAST(sum(reg) AS BIGINT) AS total, sum(CASE WHEN reg > 0 THEN pow(2.0, -reg) ELSE 0 END) AS inverse FROM r GROUP BY 1)
+SELECT l_returnflag, filled, total, round(CASE WHEN filled < 4096 AND 0.7213 / (1 + 1.079 / 4096) * 4096 * 4096 / (inverse + 4096 - filled) < 10240 THEN 4096 * ln(4096.0 / (4096 - filled)) ELSE 0.7213 / (1 + 1.079 / 4096) * 4096 * 4096 / (inverse + 4096 - filled) END, 3) AS estimate FROM s"""
+)
+def hll_registers(spark, sf_dir):
+    hashes = derive.derive_columns(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey"), [("h", f"l_orderkey * {SPREAD}L")])
+    registers = hll.registers_of_hash(hashes, ["l_returnflag"], "h")
+    said = registers.groupBy("l_returnflag").agg(F.count(F.when(F.col("reg") > 0, 1)).alias("filled"), F.sum("reg").alias("total"))
+    return said.join(hll.estimate_of_registers(registers, ["l_returnflag"]).withColumn("estimate", F.round("estimate", 3)), "l_returnflag")
+
 
+#: murmur3 of the event types, computed apart from the library by the scalar version in the tests.
+HASHES = {"click": 6376312265649702947, "error": 4315425334794612008, "purchase": 7930085193010132652, "signup": 7210676476505607356, "view": -6546438668635327833}
 
-@query("SELECT user_id, true AS same, true AS differs FROM events GROUP BY 1")
+
+@query("SELECT DISTINCT event_type, CASE event_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HASHES.items()) + " END AS hash FROM events")
 def hll_hash(spark, sf_dir):
-    users = table(spark, sf_dir, "events").select("user_id").distinct()
-    wide, small = hll.hll_hash(F.col("user_id"), True), hll.hll_hash(F.col("user_id").cast("int"), True)
-    return users.select("user_id", wide.alias("a"), wide.alias("b"), small.alias("c")).select("user_id", (F.col("a") == F.col("b")).alias("same"), (F.col("a") != F.col("c")).alias("differs"))
+    return table(spark, sf_dir, "events").select("event_type").distinct().select("event_type", hll.hll_hash(F.col("event_type"), True).alias("hash"))
 
 
 def digest(spark, sf_dir, *more: str) -> DataFrame:
@@ -256,14 +265,31 @@ def tdigest_quantile(spark, sf_dir):
     return ranks_within(spark, sf_dir, digest(spark, sf_dir))
 
 
-@query("SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
+def means(digests: DataFrame) -> DataFrame:
+    """Weight and weighted mean of each digest's centroids, which keep those of the values."""
+    rows = tdigest.tdigest_decode(digests, ["l_returnflag"]).groupBy("l_returnflag")
+    return rows.agg(F.sum("weight").alias("n"), F.round(F.sum(F.col("mean") * F.col("weight")) / F.sum("weight"), 4).alias("mean"))
+
+
+_MEANS = "SELECT l_returnflag, count(*) AS n, round(avg(l_extendedprice), 4) AS mean FROM lineitem GROUP BY 1"
+
+
+@query(_MEANS)
 def tdigest_agg(spark, sf_dir):
-    return digest(spark, sf_dir).select("l_returnflag", tdigest.tdigest_stats(F.col("digest"))["count"].alias("n"))
+    return means(digest(spark, sf_dir))
 
 
-@query("SELECT l_returnflag, true AS within FROM lineitem GROUP BY 1")
+@query(f"SELECT *, true AS few FROM ({_MEANS})")
+def tdigest_decode(spark, sf_dir):
+    made = digest(spark, sf_dir)
+    few = tdigest.tdigest_decode(made, ["l_returnflag"]).groupBy("l_returnflag").agg((F.count("*") <= 100).alias("few"))
+    return means(made).join(few, "l_returnflag")
+
+
+@query(f"SELECT *, true AS within FROM ({_MEANS})")
 def tdigest_union_agg(spark, sf_dir):
-    return ranks_within(spark, sf_dir, tdigest.tdigest_union_agg(digest(spark, sf_dir, "l_linestatus"), ["l_returnflag"]))
+    merged = tdigest.tdigest_union_agg(digest(spark, sf_dir, "l_linestatus"), ["l_returnflag"])
+    return means(merged).join(ranks_within(spark, sf_dir, merged), "l_returnflag")
 
 
 @query("SELECT l_returnflag, true AS whole FROM lineitem GROUP BY 1")

@@ -22,6 +22,10 @@ def parse_type(text: str) -> str:
     return {"tinyint": "int", "smallint": "int", "int": "int", "bigint": "bigint", "float": "double", "double": "double", "boolean": "boolean", "bool": "boolean", "date": "date", "datetime": "timestamp_ntz"}.get(name, "string")
 
 
+#: How dates and datetimes are written; numbers and other texts raise.
+STRICT = {"date": r"^\d{4}-\d{1,2}-\d{1,2}$", "timestamp_ntz": r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?$"}
+
+
 def _fail(kind: str, text: Column) -> Column:
     return F.raise_error(F.concat(F.lit(f"not a {kind}: "), text))
 
@@ -41,13 +45,15 @@ def convert(value: Column, kind: str) -> Column:
         scale = int(kind[:-1].split(",")[1])
         cut = F.regexp_replace(text, r"(\.\d{0," + str(scale) + r"})\d*$", "$1")
         return F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), cut).when(text.isNotNull(), _fail(kind, text)).cast(kind)
+    if kind in STRICT:
+        return F.when(text.rlike(STRICT[kind]), text).when(text.isNotNull(), _fail(kind, text)).cast(kind)
     return text.cast(kind)
 
 
 def decode_result_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Typed rows of the data lines. Blank and other lines are ignored, short rows padded with nulls; a failed status, a
     missing meta line, meta lines that differ and values that don't fit raise. One aggregate over all meta and status
-    lines goes to the driver."""
+    lines goes to the driver, so ``lines`` is read twice."""
     line = F.trim(F.col(line_col))
     heads = lines.where(line.startswith('{"meta"') | line.startswith('{"status"')).select(line.alias("line"), F.try_parse_json(line).alias("v"))
     part = lambda name: F.variant_get("v", f"$.{name}", "string")

@@ -1,4 +1,7 @@
-"""t-digest sketches as aggregates: partial digests on the map side, one merge per key, portable bytes."""
+"""t-digest sketches as aggregates: partial digests within tasks, merged in two shuffles; portable bytes.
+
+Nulls and NaN aren't counted. Group keys may be null; a group of nulls alone has no row.
+"""
 
 from __future__ import annotations
 
@@ -7,11 +10,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Keys that a task holds partial digests for before it hands them on.
-KEYS_HELD = 10_000
+from tableforge import grouped
 
 
 @dataclass
@@ -83,44 +86,55 @@ def from_bytes(raw: bytes) -> Digest:
     return Digest(size, count, low, high, body["mean"].astype(float), body["weight"].astype(np.int64))
 
 
-def _schema(df: DataFrame, keys: list[str]) -> str:
-    kinds = dict(df.dtypes)
-    return ", ".join([f"`{k}` {kinds[k]}" for k in keys] + ["digest binary"])
+def merged_bytes(raws: list[bytes]) -> bytes:
+    return to_bytes(merged([from_bytes(bytes(b)) for b in raws]))
 
 
-def _groups(frame: pd.DataFrame, keys: list[str]):
-    return ((key if isinstance(key, tuple) else (key,), rows) for key, rows in frame.groupby(keys, dropna=False, sort=False)) if keys else [((), frame)]
+def tdigest_union_agg(df: DataFrame, keys: list[str], digest: str = "digest") -> DataFrame:
+    """keys and the merge of each group's digests, as ``digest``; null digests are left out."""
+    return grouped.merged_states(df, keys, digest, "digest", merged_bytes)
 
 
-def tdigest_union_agg(df: DataFrame, keys: list[str], digest: str = "digest") -> DataFrame:
-    """keys and the merge of each group's digests."""
+def tdigest_agg(df: DataFrame, keys: list[str], value: str, size: int = 100) -> DataFrame:
+    """keys and ``digest`` bytes of a number column. Raw values never meet per key: each task hands on digests."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({**{k: [rows[k].iloc[0]] for k in keys}, "digest": [to_bytes(merged([from_bytes(bytes(b)) for b in rows[digest]]))]})
+    def fold(state: Digest | None, values: pa.Array) -> Digest:
+        new = of_values(values.to_numpy(), size)
+        return merged([state, new]) if state else new
 
-    return df.where(F.col(digest).isNotNull()).select(*keys, digest).groupBy(*keys).applyInPandas(run, _schema(df, keys))
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    return tdigest_union_agg(grouped.partial_states(rows, keys, "_v", "digest", fold, to_bytes), keys)
 
 
-def tdigest_agg(df: DataFrame, keys: list[str], value: str, size: int = 100) -> DataFrame:
-    """keys and ``digest`` bytes of a number column. Raw values never meet per key: each task hands on digests."""
+def tdigest_decode(df: DataFrame, keys: list[str], digest: str = "digest") -> DataFrame:
+    """keys and a row (mean, weight) per centroid of every digest."""
+
+    @F.pandas_udf("array<struct<mean:double,weight:long>>")
+    def centroids(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: None if b is None else [{"mean": m, "weight": w} for d in [from_bytes(bytes(b))] for m, w in zip(d.mean.tolist(), d.weight.tolist(), strict=True)])
+
+    return df.select(*keys, F.explode(centroids(digest)).alias("_c")).select(*keys, "_c.mean", "_c.weight")
+
+
+def register_functions(spark: SparkSession) -> None:
+    """SQL functions: tdigest_value_at(digest, q), tdigest_count(digest), tdigest_merge(digest, digest)."""
+
+    @F.arrow_udf("double")
+    def tdigest_value_at(raw: pa.Array, q: pa.Array) -> pa.Array:
+        return pa.array([None if b is None or x is None else quantile(from_bytes(b), x) for b, x in zip(raw.to_pylist(), q.to_pylist(), strict=True)], pa.float64())
 
-    def run(frames):
-        held: dict[tuple, Digest] = {}
-        for frame in frames:
-            for key, rows in _groups(frame, keys):
-                new = of_values(rows[value].to_numpy(float), size)
-                held[key] = merged([held[key], new]) if key in held else new
-            if len(held) > KEYS_HELD:
-                yield frame_of(held)
-                held = {}
-        if held:
-            yield frame_of(held)
+    @F.arrow_udf("long")
+    def tdigest_count(raw: pa.Array) -> pa.Array:
+        return pa.array([None if b is None else from_bytes(b).count for b in raw.to_pylist()], pa.int64())
 
-    def frame_of(held: dict[tuple, Digest]) -> pd.DataFrame:
-        return pd.DataFrame([(*k, to_bytes(d)) for k, d in held.items()], columns=[*keys, "digest"])
+    @F.arrow_udf("binary")
+    def tdigest_merge(one: pa.Array, two: pa.Array) -> pa.Array:
+        """A null digest adds nothing; two nulls are null."""
+        pairs = ([x for x in (a, b) if x is not None] for a, b in zip(one.to_pylist(), two.to_pylist(), strict=True))
+        return pa.array([merged_bytes(p) if p else None for p in pairs], pa.binary())
 
-    partial = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias(value)).mapInPandas(run, _schema(df, keys))
-    return tdigest_union_agg(partial, keys)
+    for f in (tdigest_value_at, tdigest_count, tdigest_merge):
+        spark.udf.register(f.__name__ if hasattr(f, "__name__") else f.func.__name__, f)
 
 
 def tdigest_quantile(digest: Column, qs: list[float], empty_as_zero: bool = False) -> Column:
@@ -134,11 +148,12 @@ def tdigest_quantile(digest: Column, qs: list[float], empty_as_zero: bool = Fals
 
 
 def tdigest_stats(digest: Column) -> Column:
-    """struct of count, min, max and max_size."""
+    """struct of count, min, max and max_size; its fields are null for a null digest."""
 
     @F.pandas_udf("count long, min double, max double, max_size int")
     def stats(raw: pd.Series) -> pd.DataFrame:
-        found = [from_bytes(bytes(b)) for b in raw]
-        return pd.DataFrame({"count": [d.count for d in found], "min": [d.low if d.count else None for d in found], "max": [d.high if d.count else None for d in found], "max_size": [d.size for d in found]})
+        found = [None if b is None else from_bytes(bytes(b)) for b in raw]
+        some = lambda get: [None if d is None else get(d) for d in found]
+        return pd.DataFrame({"count": pd.array(some(lambda d: d.count), "Int64"), "min": some(lambda d: d.low if d.count else None), "max": some(lambda d: d.high if d.count else None), "max_size": pd.array(some(lambda d: d.size), "Int32")})
 
     return stats(digest)

@@ -1,7 +1,9 @@
 """Golden values, rejected input and invariance of the table operators."""
 
 import datetime
+import decimal
 import json
+import struct
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
@@ -10,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tableforge import connect, derive, gen, hll, jsonio, messages, results, tdigest
+from tableforge import connect, derive, gen, hll, jsonio, messages, ordinal, results, tdigest
 
 
 def test_ndjson_and_array(spark, tmp_path):
@@ -26,21 +28,22 @@ def test_ndjson_and_array(spark, tmp_path):
 
 
 LINES = [
-    '{"connectionId":7}', '{"meta":[{"name":"id","type":"int(11)"},{"name":"birthday","type":"date"},{"name":"amount","type":"decimal64(10, 2)"},{"name":"score","type":"double"},{"name":"created_at","type":"datetime"},{"name":"enabled","type":"boolean"},{"name":"name","type":"varchar"}]}',
-    '{"data":[1,"2024-01-02",123.456,12.5,"2024-01-02 03:04:05",true,"alice"]}', '{"data":[2,"2024-01-03","-0.129","13.75","2024-01-02 03:04:05.123456","false","bob"]}', '{"data":[null,null]}', "", '{"statistics":{}}', '{"status":"OK"}',
+    '{"connectionId":31}', '{"meta":[{"name":"shop","type":"varchar"},{"name":"open","type":"boolean"},{"name":"since","type":"date"},{"name":"seen","type":"datetime"},{"name":"stock","type":"bigint(20)"},{"name":"rent","type":"decimal64(12, 3)"},{"name":"mark","type":"double"}]}',
+    '{"data":["Quay 4",false,"1999-12-31","2031-07-04 23:59:58",9007199254740993,78.9999,-0.5]}', '{"data":["",  "true","2000-2-29","2031-07-04 23:59:58.25","-12","-1.0005","1e3"]}', '{"data":[null,null]}', "", '{"statistics":{"scanRows":3}}', '{"status":"OK"}',
 ]
 
 
 def test_result_lines(spark):
     frame = lambda lines: spark.createDataFrame([(x,) for x in lines], "line string")
-    rows = {r.id: r for r in results.decode_result_lines(frame(LINES)).collect()}
-    assert (rows[1].birthday, str(rows[1].amount), rows[1].score, rows[1].enabled, rows[1].name) == (datetime.date(2024, 1, 2), "123.45", 12.5, True, "alice")
-    assert (str(rows[2].amount), rows[2].score, rows[2].enabled, rows[2].created_at.microsecond) == ("-0.12", 13.75, False, 123456)
+    rows = {r.shop: r for r in results.decode_result_lines(frame(LINES)).collect()}
+    one, two = rows["Quay 4"], rows[""]
+    assert (one.open, one.since, one.seen, one.stock, str(one.rent), one.mark) == (False, datetime.date(1999, 12, 31), datetime.datetime(2031, 7, 4, 23, 59, 58), 2**53 + 1, "78.999", -0.5)
+    assert (two.open, two.since, two.seen.microsecond, two.stock, str(two.rent), two.mark) == (True, datetime.date(2000, 2, 29), 250000, -12, "-1.000", 1000.0)
     assert set(rows[None]) == {None}
-    arrays = frame(['{"meta":[{"name":"ids","type":"array<int(11)>"},{"name":"tags","type":"array<varchar>"}]}', '{"data":[[1,2,3],["a","b"]]}', '{"data":[[],[]]}', '{"data":[null,null]}'])
-    assert sorted(results.decode_result_lines(arrays).collect(), key=str) == sorted([([1, 2, 3], ["a", "b"]), ([], []), (None, None)], key=str)
+    lists = frame(['{"meta":[{"name":"days","type":"array<date>"},{"name":"sizes","type":"array<decimal(5, 1)>"}]}', '{"data":[["2024-05-06"],[1.25,"2.99"]]}', '{"data":[[],null]}'])
+    assert sorted(((r.days, r.sizes and [str(x) for x in r.sizes]) for r in results.decode_result_lines(lists).collect()), key=str) == [([], None), ([datetime.date(2024, 5, 6)], ["1.2", "2.9"])]
     meta = '{"meta":[{"name":"a","type":"%s"}]}'
-    for kind, value in (("int", "7.5"), ("boolean", "1"), ("decimal(9,2)", '"1e3"'), ("decimal(9,2)", '""')):
+    for kind, value in (("int", "7.5"), ("boolean", "1"), ("decimal(9,2)", '"1e3"'), ("decimal(9,2)", '""'), ("date", '"2020"'), ("date", "20200101"), ("date", '"2020-01-01 "'), ("datetime", '"2020-01-01"'), ("datetime", "5"), ("array<date>", '["2020-01"]')):
         with pytest.raises(Exception, match="not a"):
             results.decode_result_lines(frame([meta % kind, '{"data":[%s]}' % value])).collect()
     for bad in (["{}"], [meta % "decimal"], ['{"status":"failed","msg":"no"}']):
@@ -67,6 +70,9 @@ def test_messages(spark):
     rows = messages.decode_messages_json(log, [("id", " Int64 "), ("name", "string")], include_metadata=True).collect()
     assert sorted((r.id, r.name, r.kafka_offset, r.kafka_timestamp) for r in rows if r.id) == [(7, "3", 5, 1704067200000), (8, None, 5, 1704067200000)]
     assert len(rows) == 3
+    wide = [b'{\n "id": 1,\n "name": "x}\\n{y"\n}\n\n{"id":2,\n"name":[{},\n{}]}\r\n', b'  {"id":3}']
+    found = messages.decode_messages_json(spark.createDataFrame([(w,) for w in wide], "value binary"), [("id", "int64"), ("name", "string")])
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, "x}\n{y"), (2, "[{},{}]"), (3, None)]
     raw = spark.createDataFrame([(b"a\xffb",), (None,)], "value binary")
     assert [r.value for r in messages.decode_messages_raw(raw).collect()] == ["a�b"]
     with pytest.raises(Exception):
@@ -83,13 +89,36 @@ def test_messages(spark):
 
 
 def test_streaming_is_batch(spark, tmp_path):
+    """Decoders and encoders on a stream give what they give on a table."""
     path = f"{tmp_path}/in"
-    spark.range(100).select(F.to_json(F.struct("id")).cast("binary").alias("value")).write.parquet(path)
-    stream = messages.decode_messages_json(spark.readStream.schema("value binary").parquet(path), [("id", "long")])
-    stream = derive.derive_columns(stream, [("twice", "id * 2")])
-    query = stream.writeStream.format("memory").queryName("decoded").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/ck").start()
-    query.awaitTermination(120)
-    assert sorted(r.twice for r in spark.table("decoded").collect()) == [2 * i for i in range(100)]
+    made = spark.range(100).select(F.to_json(F.struct("id")).cast("binary").alias("value"), (F.col("id") % 3).cast("int").alias("partition"), F.col("id").alias("offset"), F.timestamp_seconds("id").alias("timestamp"))
+    made.write.parquet(path)
+    steps = {
+        "json": lambda m: derive.derive_columns(messages.decode_messages_json(m, [("id", "long")], include_metadata=True), [("twice", "id * 2")]), "raw": lambda m: messages.decode_messages_raw(m, include_metadata=True), "meta": messages.message_metadata,
+        "to_json": lambda m: messages.encode_messages_json(m.select("offset", "timestamp")), "to_raw": lambda m: messages.encode_messages_raw(m.select("value")), "lines": lambda m: m.select(jsonio.encode_json(m).alias("line")),
+    }
+    for name, step in steps.items():
+        stream = step(spark.readStream.schema(made.schema).parquet(path))
+        stream.writeStream.format("memory").queryName(f"stream_{name}").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/{name}").start().awaitTermination(120)
+        assert sorted(map(str, spark.table(f"stream_{name}").collect())) == sorted(map(str, step(spark.read.parquet(path)).collect())), name
+
+
+def test_large_groups_go_in_pieces(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 900, F.lit("hot")).when(F.col("id") < 990, None).otherwise("few").alias("k"), "id")
+    rows = jsonio.json_arrays(df, ["k"], piece_rows=100).collect()
+    sizes = {k: sorted(r._n for r in rows if r.k == k) for k in ("hot", None, "few")}
+    assert sum(sizes["hot"]) == 900 and len(sizes["hot"]) == 9 and max(sizes["hot"]) < 150 and (sizes[None], sizes["few"]) == ([90], [10])
+    assert sorted(x["id"] for r in rows for x in json.loads(r.value)) == list(range(1000))
+
+
+def test_prefix_sums(spark):
+    df = spark.range(500).select((F.col("id") * 7).alias("i"), (F.col("id") % 3).alias("d"), (F.col("id") % 2).alias("g"))
+    found = ordinal.with_prefix_sum(df.repartition(5), "i", F.col("d"), "before", block=4, by=("g",)).collect()
+    rows, sums = sorted((r.i, r.d, r.g, r.before) for r in found), {0: 0, 1: 0}
+    for _, d, g, before in rows:
+        assert before == sums[g]
+        sums[g] += d
+    assert len(rows) == 500
 
 
 def test_expressions(spark):
@@ -143,6 +172,79 @@ def test_hll_packing_and_hash():
         hll.from_bytes(b"\x12", 12, 6)
 
 
+def scalar_murmur3(data):
+    """Low half of the 128-bit hash, by its definition, one item at a time."""
+    top = (1 << 64) - 1
+    rot = lambda x, r: (x << r | x >> 64 - r) & top
+    c1, c2, a, b, n = 0x87C37B91114253D5, 0x4CF5AD432745937F, 0, 0, len(data)
+    for at in range(0, n - 15, 16):
+        x, y = (int.from_bytes(data[at + k : at + k + 8], "little") for k in (0, 8))
+        a = (rot(a ^ rot(x * c1 & top, 31) * c2 & top, 27) + b) * 5 + 0x52DCE729 & top
+        b = (rot(b ^ rot(y * c2 & top, 33) * c1 & top, 31) + a) * 5 + 0x38495AB5 & top
+    rest = data[n // 16 * 16 :]
+    a ^= rot(int.from_bytes(rest[:8], "little") * c1 & top, 31) * c2 & top
+    b ^= rot(int.from_bytes(rest[8:], "little") * c2 & top, 33) * c1 & top
+    a, b = a ^ n, b ^ n
+    a = a + b & top
+    b = b + a & top
+    for _ in range(2):
+        x = a
+        for c in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ x >> 33) * c & top
+        a, b = b, x ^ x >> 33
+    a = a + b & top
+    return a - (1 << 64) if a >> 63 else a
+
+
+def test_hashes_by_type(spark):
+    from tableforge.queries import HASHES
+
+    assert all(scalar_murmur3(k.encode()) == v for k, v in HASHES.items())
+    day, moment = datetime.date(2024, 2, 29), datetime.datetime(2024, 2, 29, 1, 2, 3, 4)
+    micros = 1709168523000004
+    cases = [
+        ("byte", -3, (-3).to_bytes(4, "little", signed=True)), ("int", 7, (7).to_bytes(4, "little")), ("long", -(1 << 40), (-(1 << 40)).to_bytes(8, "little", signed=True)), ("double", 1.5, struct.pack("<d", 1.5)), ("double", -0.0, struct.pack("<d", 0.0)), ("float", 0.1, struct.pack("<f", 0.1)),
+        ("decimal(10,3)", decimal.Decimal("-1.234"), (-1234).to_bytes(8, "little", signed=True)), ("decimal(30,3)", decimal.Decimal("-1.234"), (-1234).to_bytes(16, "little", signed=True)), ("date", day, (day - datetime.date(1970, 1, 1)).days.to_bytes(4, "little")), ("timestamp_ntz", moment, micros.to_bytes(8, "little")), ("timestamp", moment.replace(tzinfo=datetime.UTC), micros.to_bytes(8, "little")),
+        ("boolean", True, b"\x01"), ("string", "Größe " * 9, ("Größe " * 9).encode()), ("binary", bytearray(b"\x00\xff"), b"\x00\xff"), ("string", "", b""),
+    ]
+    for kind, value, raw in cases:
+        df = spark.createDataFrame([(value,), (None,)], f"v {kind}")
+        assert [r[0] for r in df.select(hll.hll_hash(F.col("v"), True)).collect()] == [scalar_murmur3(raw), None], kind
+
+
+def test_sketches_of_every_type_and_key(spark):
+    df = spark.range(600).withColumn("k", F.when(F.col("id") % 3 > 0, F.concat(F.lit("k"), F.col("id") % 3)))
+    columns = {
+        "double": F.col("id") / 1000, "decimal": (F.col("id") / 1000).cast("decimal(10,3)"), "wide": (F.col("id") / 1000).cast("decimal(30,3)"), "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")), "ts": F.timestamp_seconds("id"),
+        "text": F.col("id").cast("string"), "some": F.when(F.col("id") % 2 == 0, F.col("id").cast("int")), "flag": F.col("id") % 2 == 0,
+    }
+    df = df.withColumns(columns)
+    for name in columns:
+        exact = {r.k: r.n for r in df.groupBy("k").agg(F.countDistinct(name).alias("n")).collect()}
+        assert exact == {r.k: hll.estimate(bytes(r.sketch)) for r in hll.hll_agg(df, ["k"], name).collect()} == {r.k: r.estimate for r in hll.hll_estimate(df, ["k"], name).collect()}, name
+    whole = hll.hll_agg(df, [], "id").collect()
+    assert len(whole) == 1 and abs(hll.estimate(bytes(whole[0].sketch)) - 600) < 30 and abs(hll.hll_estimate(df, [], "id").first().estimate - 600) < 30
+    numbers = df.withColumn("n", F.when(F.col("id") % 3 > 0, F.col("id") % 3))
+    for keys in (["k"], ["n"], ["k", "n"], []):
+        digests = tdigest.tdigest_agg(numbers, keys, "id")
+        assert sorted(r[0] for r in digests.select(tdigest.tdigest_stats(F.col("digest"))["count"]).collect()) == ([200] * 3 if keys else [600])
+        assert tdigest.tdigest_agg(numbers.limit(0), keys, "id").count() == 0
+    assert hll.hll_agg(df.limit(0), ["k"], "id").count() == 0
+    none = spark.createDataFrame([(None,)], "digest binary").select(tdigest.tdigest_stats(F.col("digest")).alias("s")).first().s
+    assert none["count"] is None and none["max_size"] is None
+    with pytest.raises(ValueError):
+        hll.hll_agg(df.withColumn("v", F.array("id")), ["k"], "v")
+
+
+def test_sketch_functions_in_sql(spark):
+    df = spark.range(300).withColumn("k", F.col("id") % 2)
+    hll.register_functions(spark)
+    tdigest.register_functions(spark)
+    hll.hll_agg(df, ["k"], "id").join(tdigest.tdigest_agg(df, ["k"], "id"), "k").createOrReplaceTempView("sketches")
+    one = spark.sql("SELECT hll_cardinality(hll_union(a.sketch, b.sketch)), hll_cardinality(hll_union(a.sketch, NULL)), tdigest_count(tdigest_merge(a.digest, b.digest)), tdigest_value_at(a.digest, 0.5D), hll_hash_of('hello'), hll_cardinality(NULL) FROM sketches a JOIN sketches b ON a.k = 0 AND b.k = 1").first()
+    assert list(one) == [300, 150, 300, 149, scalar_murmur3(b"hello"), None]
+
+
 def test_hll_large_groups(spark):
     df = spark.range(20_000).withColumn("k", F.col("id") % 2)
     halves = hll.hll_agg(df.withColumn("part", F.col("id") % 3), ["k", "part"], "id")
@@ -214,9 +316,12 @@ def test_remote_scans_and_sinks(spark, server):
         connect.scan_clickhouse(spark, url, "db", "SELECT 1 format JSON")
     with pytest.raises(Exception, match="no such table"):
         connect.scan_clickhouse(spark, url, "db", "SELECT boom").collect()
-    assert connect.scan_starrocks(spark, url, "db", "SELECT 1").count() == 3
+    before = len(seen)
+    scanned = connect.scan_starrocks(spark, url, "db", "SELECT 1")
+    assert scanned.count() == 3 and scanned.count() == 3 and len(seen) == before + 1  # one request, however often it is read
     df = spark.createDataFrame([(1, "alice"), (2, None)], "id int, name string").coalesce(1)
     assert connect.sink_clickhouse(df, url, "db", "t") == 2 and seen[-1][3] == b'{"id":1,"name":"alice"}\n{"id":2}\n'
+    assert connect.sink_clickhouse(df, url, "db", "t", label="L") == 2 and "insert_deduplication_token=L-0-0" in seen[-1][1]
     assert connect.sink_starrocks(df, url, "db", "t", label="L") == 2
     assert seen[-1][1].startswith("/moved/api/db/t/_stream_load") and seen[-1][3] == b'[{"id":1,"name":"alice"},{"id":2}]' and seen[-1][2]["label"] == "L-0-0"
     with pytest.raises(ValueError):
