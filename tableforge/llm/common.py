@@ -1,12 +1,9 @@
-"""Helpers shared by the corpus operators: table access, shared-folder tables, Arrow batches as numpy bytes."""
+"""Helpers shared by the corpus operators: table access, Arrow batches as numpy bytes."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tableforge.shared import drop, materialise, shared_dir  # noqa: F401
+
 #: Text bytes that numpy handles at a time; a longer document is handled alone.
 BLOCK_BYTES = 1 << 20
 
@@ -29,47 +28,6 @@ def arrow_limits(spark: SparkSession) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", ours)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir). Where none is set, a single machine gets a temporary one; on a
-    cluster that is an error, as each machine would see its own."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        path = spark.sparkContext.getCheckpointDir()
-    return path
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there, lost executors lose nothing.
-    The table goes with ``drop``, at the latest when the JVM exits."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    place, files = _file_system(spark, path)
-    files.deleteOnExit(place)
-    back = spark.read.schema(df.schema).parquet(path)
-    _WRITTEN[back] = path
-    return back
-
-
-_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
-
-
-def _file_system(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def drop(*tables: DataFrame) -> None:
-    """Delete tables that ``materialise`` returned and nothing reads any more."""
-    for table in tables:
-        if path := _WRITTEN.pop(table, None):
-            place, files = _file_system(table.sparkSession, path)
-            files.delete(place, True)
-
-
 def fold(modulus: int, id_col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``modulus``; null ids give null."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
