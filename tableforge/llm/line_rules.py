@@ -1,11 +1,12 @@
 """Quality rules by cross-document line frequency.
 
 One pass over the whole texts gives each document's word statistics and its distinct normalised lines as hashes. The
-lines are counted by host over documents (partial sums before the shuffle), those above the limit are joined back with
-salted keys, and a document that loses too much of itself is rejected.
+lines are counted by host over documents (partial sums before the shuffle), those above the limit are joined back (the
+hottest ones without a shuffle by line), and a document that loses too much of itself is rejected.
 
 Null text has no words and fails the base rules. Each row is one document, repeated rows too: their lines count once per
-row. A null host is a host of its own. An empty table gives no rows. Only the id, text and host columns are read.
+row. A null host is a host of its own. Long texts are taken whole. An empty table gives no rows. Only the id, text and
+host columns are read.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from tableforge.llm import common
 #: Fixed values of the base rules.
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 5, 10, 20
 SYMBOLS = "#*$%&|<>"
-#: A line counts as boilerplate if over LIMIT documents of its host hold it, however many the host has. SHARE is LIMIT
-#: over a host of 500, for comparison; it decides nothing.
-LIMIT, SHARE = 10, 0.02
+#: A line counts as boilerplate if over LIMIT documents of its host hold it, however many the host has.
+LIMIT = 10
 #: A document is rejected if boilerplate lines hold at least this share of its word characters.
 DEPLETED = 0.5
-SALTS = 16
+#: A line that more documents of a host hold is hot. Up to HOT_LINES hot lines are broadcast (40 bytes each); if there are
+#: more, they are joined with SALTS salts.
+HOT_DOCS, HOT_LINES, SALTS = 50_000, 100_000, 64
 _DIGITS = re.compile(rb"\d+")
 _BLANK = b" \t\n\x0b\x0c\r"
 
@@ -82,9 +84,17 @@ def line_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     docs = common.materialise(line_statistics(df, id_col, text_col, host_col).withColumn("uid", F.monotonically_increasing_id()), "lines")
     host = F.coalesce(F.concat(F.lit("h"), "host"), F.lit("")).alias("h")
     lines = docs.select("uid", host, F.explode("lines").alias("x")).select("uid", "h", "x.line", "x.chars")
-    common_lines = lines.groupBy("h", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > limit).select("h", "line")
-    salted = common_lines.withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
-    removed = lines.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int")).join(salted, ["h", "line", "salt"], "left_semi").groupBy("uid").agg(F.count("*").alias("n_removed_lines"), F.sum("chars").alias("removed"))
+    counts = lines.groupBy("h", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > limit)
+    common_lines = common.materialise(counts, "common-lines")
+    hot = common_lines.where(F.col("docs") > HOT_DOCS).select("h", "line", F.lit(True).alias("hot"))
+    if hot.limit(HOT_LINES + 1).count() <= HOT_LINES:
+        flagged = lines.join(F.broadcast(hot), ["h", "line"], "left")
+    else:
+        salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        flagged = lines.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int")).join(salted, ["h", "line", "salt"], "left").drop("salt")
+    # hot lines are removed where they stand; only rows of other lines are shuffled by line
+    others = flagged.where("hot IS NULL").join(common_lines.where(F.col("docs") <= HOT_DOCS), ["h", "line"], "left_semi")
+    removed = flagged.where("hot").select("uid", "chars").unionByName(others.select("uid", "chars")).groupBy("uid").agg(F.count("*").alias("n_removed_lines"), F.sum("chars").alias("removed"))
     base_failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     share_of = F.when(F.col("line_bytes") > 0, F.coalesce("removed", F.lit(0)) / F.col("line_bytes")).otherwise(0.0)
     out = docs.drop("lines", "host").join(removed, "uid", "left").withColumns({"base_failed": base_failed, "removed_share": share_of})
