@@ -2,19 +2,24 @@
 
 A leaf holds the rank of the pair that starts at a live position (merged with its next live neighbour), an inner
 node the smallest rank below it and its leftmost place. A merge takes the root's pair, drops the right part and
-updates the two leaves whose pair changed, each along one path to the root. Many pieces advance together: row r of
-every array is one piece, so one numpy call does the same step of all of them.
-
-Null text is empty text; an empty text has no tokens. Texts of any length are encoded whole; equal texts have equal
-ids. Only the id and text columns are read, so further columns can't clash.
+updates the leaves whose pair changed, each along one path to the root. Many pieces of like lengths advance together: row
+r of every array is one piece, so one numpy call does the same step of all of them. Where only a few pieces are of such
+a length, as with very long ones, each has a tree of its own, whose updates stop where nothing changes above.
+
+Null text is empty text; an empty text has no tokens. Texts of any length are encoded whole, in parts cut before
+blanks; one piece (a run of letters, say) takes about 45 bytes of memory for each of its own. Equal texts have equal ids,
+repeated rows are encoded one by one, and an empty table gives no rows. Only the id and text columns are read, so further
+columns can't clash.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
-from itertools import filterfalse
+from array import array
+from collections.abc import Iterator
+from functools import cached_property, lru_cache
+from itertools import filterfalse, islice
 
 import numpy as np
 import public_tokenizers
@@ -27,6 +32,9 @@ from tableforge.llm import common
 #: Words whose ids a task keeps, in two halves: when the newer one is full, the older one goes. Bounds memory, never results.
 CACHE_CHUNKS = 700_000
 _NONE = np.int64(1 << 40)
+#: Pieces of like lengths from which on one numpy call for all of them is faster than a tree each.
+TOGETHER = 24
+_BETWEEN = regex.compile(r"\S[ ]\S")
 _TOUCH = regex.compile(r"[ ]\s|\s[ ]")
 
 
@@ -67,10 +75,59 @@ class Ranks:
             step = max(1, (1 << 19) >> bits)
             for lo in range(0, len(rows), step):
                 some = rows[lo : lo + step]
+                if len(some) < TOGETHER:
+                    for i in some:
+                        out[i] = self._merge_alone(pieces[i], 1 << bits)
+                    continue
                 for i, ids in zip(some, self._merge([pieces[i] for i in some], 1 << bits), strict=True):
                     out[i] = ids
         return out
 
+    @cached_property
+    def pair_ranks(self) -> dict[int, int]:
+        return dict(zip(self.keys.tolist(), self.merged.tolist(), strict=True))
+
+    def _merge_alone(self, piece: bytes, width: int) -> bytes:
+        """The merges of one piece; the arrays are those of ``_merge``."""
+        n, none, pairs = len(piece), int(_NONE) * width, self.pair_ranks.get
+        own = self.single[np.frombuffer(piece, np.uint8)]
+        first = np.full(2 * width, none, np.int64)
+        first[width : width + n - 1] = self.pair(own[:-1], own[1:]) * width + np.arange(n - 1)
+        for level in range(width.bit_length() - 2, -1, -1):
+            a = 1 << level
+            first[a : 2 * a] = np.minimum(first[2 * a : 4 * a : 2], first[2 * a + 1 : 4 * a : 2])
+        tree, ids = array("q", first.tobytes()), array("i", own.astype(np.int32).tobytes())
+        following, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
+
+        def update(place: int, value: int) -> None:
+            node = place + width
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                node >>= 1
+                value = value if value < other else other
+                if tree[node] == value:
+                    break
+                tree[node] = value
+
+        while tree[1] < none:
+            rank, left = divmod(tree[1], width)
+            right = following[left]
+            after, prior = following[right], before[left]
+            ids[left], ids[right], following[left] = rank, -1, after
+            if after < n:
+                before[after] = left
+                near = pairs(rank << 20 | ids[after])
+                update(left, none if near is None else near * width + left)
+            else:
+                update(left, none)
+            update(right, none)
+            if prior >= 0:
+                near = pairs(ids[prior] << 20 | rank)
+                update(prior, none if near is None else near * width + prior)
+        found = np.frombuffer(ids, np.int32)
+        return found[found >= 0].astype("<u4").tobytes()
+
     def _merge(self, pieces: list[bytes], width: int) -> list[bytes]:
         n, count = len(pieces), np.array([len(p) for p in pieces])
         at = np.arange(width)
@@ -127,28 +184,44 @@ class Ranks:
             flat[root + node] = value
 
 
+def safe_parts(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """A text in parts of about ``size`` characters, each but the first beginning with a blank between two characters that
+    aren't white space: no match of the pattern goes over such a place."""
+    at = 0
+    while len(text) - at > size and (cut := _BETWEEN.search(text, at + size)):
+        yield text[at : cut.start() + 1]
+        at = cut.start() + 1
+    yield text[at:]
+
+
 def plain_blanks(text: str) -> bool:
     """Whether each blank stands alone between two words."""
     return text[0] != " " and not text[-1].isspace() and not _TOUCH.search(text)
 
 
-class ChunkCoder:
-    """Ids of texts as little-endian 32-bit numbers. Texts with plain blanks are cut before each blank: no match of the
-    pattern goes over such a cut, as none holds white space but in front, so the words' ids can be kept and joined.
-    Others go whole. ``code`` gives the ids of strings."""
+class Encoder:
+    """Texts to ids by a rank file, as little-endian 32-bit numbers. Texts with plain blanks are cut before each blank: no
+    match of the pattern goes over such a cut, as none holds white space but in front, so the words' ids can be kept and
+    joined. Others go whole."""
 
-    def __init__(self):
+    def __init__(self, path: str, pattern: str):
+        self.ranks, self.pattern = Ranks(path), regex.compile(pattern)
         self.seen: dict[str, bytes] = {}  # word -> ids of the word behind a blank
         self.older: dict[str, bytes] = {}
 
     def code(self, strings: list[str]) -> list[bytes]:
-        raise NotImplementedError
-
-    def plain(self, text: str) -> bool:
-        return bool(text) and plain_blanks(text)
+        cut = [[m.encode() for m in self.pattern.findall(c)] for c in strings]
+        pieces = list(dict.fromkeys(p for c in cut for p in c))
+        ids = dict(zip(pieces, self.ranks.encode(pieces), strict=True))
+        return [ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps)) for ps in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") if self.plain(t) else None for t in texts]
+        parts = [list(safe_parts(t)) for t in texts]
+        ids = iter(self._encode([p for part in parts for p in part]))
+        return [b"".join(islice(ids, len(part))) for part in parts]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        cut = [t.split(" ") if t and plain_blanks(t) else None for t in texts]
         firsts = iter(self.code([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)]))
         words = [c[1:] if c else [] for c in cut]
         if len(self.seen) > CACHE_CHUNKS // 2:
@@ -162,20 +235,6 @@ class ChunkCoder:
         get = self.seen.__getitem__
         return [next(firsts) + b"".join(map(get, w)) for w in words]
 
-
-class Encoder(ChunkCoder):
-    """Texts to ids by a rank file."""
-
-    def __init__(self, path: str, pattern: str):
-        super().__init__()
-        self.ranks, self.pattern = Ranks(path), regex.compile(pattern)
-
-    def code(self, strings: list[str]) -> list[bytes]:
-        cut = [[m.encode() for m in self.pattern.findall(c)] for c in strings]
-        pieces = list(dict.fromkeys(p for c in cut for p in c))
-        ids = dict(zip(pieces, self.ranks.encode(pieces), strict=True))
-        return [ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps)) for ps in cut]
-
     def decode(self, many: list[bytes]) -> list[bytes]:
         """The bytes of each run of ids."""
         ids = np.frombuffer(b"".join(many), "<u4").astype(np.int64)
