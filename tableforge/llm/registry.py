@@ -6,6 +6,7 @@ from tableforge.llm.langid import op10_language_id
 from tableforge.llm.license import op1_license_scan
 from tableforge.llm.line_rules import op6_line_frequency_rules
 from tableforge.llm.media import op4_telephony_audio
+from tableforge.llm.oracles import ORACLES
 from tableforge.llm.packing import op2_best_fit_packing
 from tableforge.llm.quality_crf import op5_line_crf_quality
 from tableforge.llm.secret_scan import op3_secret_scan
@@ -18,6 +19,6 @@ QUERIES = {
         op6_line_frequency_rules, op7_bpe_encode_decode, op8_minhash_near_dedup, op9_toxicity, op10_language_id,
     )
 }
-#: Each result holds values of trained models, hashes over token ids or spans of regular expressions that DuckDB's
-#: engine doesn't read alike; tests/llm holds every query against a brute-force version instead.
-ORACLES: dict[str, str] = {}
+#: The other results hold values of trained models, token ids, hashes of media or matches of patterns with look-ahead;
+#: tests/llm holds every query against a brute-force version, an exact round trip or held-out accuracy.
+__all__ = ["ORACLES", "QUERIES"]

@@ -383,7 +383,7 @@ def test_line_rules(docs):
     got = {r.doc_id: r for r in line_rules.line_rules(docs).collect()}
     split = lambda t: re.findall("[^\x20\x09-\x0d]+", t)
     normal = lambda x: re.sub("[0-9]+", "0", low(" ".join(split(x))))
-    n_host, n_line = Counter(hosts.values()), Counter()
+    n_line = Counter()
     for i, t in texts.items():
         n_line.update((hosts[i], x) for x in {normal(x) for x in t.split("\n") if split(x)})
     for i, t in texts.items():
@@ -391,7 +391,7 @@ def test_line_rules(docs):
         windows = Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
         twice = {k + j for k in range(len(words) - 4) if windows[tuple(words[k : k + 5])] > 1 for j in range(5)}
         failed = len(words) < 10 or 100 * len(twice) > 20 * len(words)
-        gone = [x for x in lines if n_line[hosts[i], normal(x)] > max(line_rules.LIMIT, line_rules.SHARE * n_host[hosts[i]])]
+        gone = [x for x in lines if n_line[hosts[i], normal(x)] > line_rules.LIMIT]
         size = lambda some: sum(len(w.encode()) for x in some for w in split(x))
         depleted = size(lines) > 0 and size(gone) / size(lines) >= line_rules.DEPLETED
         r = got[i]
@@ -399,6 +399,15 @@ def test_line_rules(docs):
         assert r.kept == (not failed and not depleted)
 
 
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_hot_lines(spark, docs, monkeypatch, few):
+    """Lines that count as hot, broadcast or salted, are removed as all others are."""
+    want = rows(line_rules.line_rules(docs))
+    monkeypatch.setattr(line_rules, "HOT_DOCS", 15)
+    monkeypatch.setattr(line_rules, "HOT_LINES", few)
+    assert rows(line_rules.line_rules(docs)) == want and any(r["n_removed_lines"] for r in want)
+
+
 def test_boilerplate_does_not_depend_on_the_host(spark):
     own = lambda i: " ".join(f"w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 676)}{chr(97 + k)}" for k in range(12))
     footer = " ".join(f"footer{chr(97 + k)}" for k in range(20))
