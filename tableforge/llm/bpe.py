@@ -19,7 +19,7 @@ import hashlib
 from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
-from itertools import filterfalse, islice
+from itertools import filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -31,6 +31,8 @@ from tableforge.llm import common
 
 #: Words whose ids a task keeps, in two halves: when the newer one is full, the older one goes. Bounds memory, never results.
 CACHE_CHUNKS = 700_000
+#: Characters of a part of a long text; bounds memory, never results.
+PART_CHARS = 1 << 20
 _NONE = np.int64(1 << 40)
 #: Pieces of like lengths from which on one numpy call for all of them is faster than a tree each.
 TOGETHER = 24
@@ -184,7 +186,7 @@ class Ranks:
             flat[root + node] = value
 
 
-def safe_parts(text: str, size: int = 1 << 20) -> Iterator[str]:
+def safe_parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
     """A text in parts of about ``size`` characters, each but the first beginning with a blank between two characters that
     aren't white space: no match of the pattern goes over such a place."""
     at = 0
@@ -216,9 +218,23 @@ class Encoder:
         return [ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps)) for ps in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [list(safe_parts(t)) for t in texts]
-        ids = iter(self._encode([p for part in parts for p in part]))
-        return [b"".join(islice(ids, len(part))) for part in parts]
+        """The ids of each text; about PART_CHARS characters, whole texts or parts of them, are handled together."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, str]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            for part in safe_parts(text):
+                waiting.append((k, part))
+                size += len(part)
+                if size >= PART_CHARS:
+                    self._add(out, waiting)
+                    waiting, size = [], 0
+        self._add(out, waiting)
+        return [ids[0] if len(ids) == 1 else b"".join(ids) for ids in out]
+
+    def _add(self, out: list[list[bytes]], waiting: list[tuple[int, str]]) -> None:
+        for (k, _), ids in zip(waiting, self._encode([p for _, p in waiting]), strict=True):
+            out[k].append(ids)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") if t and plain_blanks(t) else None for t in texts]
@@ -236,7 +252,10 @@ class Encoder:
         return [next(firsts) + b"".join(map(get, w)) for w in words]
 
     def decode(self, many: list[bytes]) -> list[bytes]:
-        """The bytes of each run of ids."""
+        """The bytes of each run of ids, long ones in parts."""
+        step = PART_CHARS  # a multiple of 4 bytes an id
+        if max(map(len, many), default=0) > step:
+            return [b"".join(x for a in range(0, max(1, len(m)), step) for x in self.decode([m[a : a + step]])) for m in many]
         ids = np.frombuffer(b"".join(many), "<u4").astype(np.int64)
         sizes = self.ranks.sizes[ids]
         ends = np.append(0, np.cumsum(sizes))
