@@ -29,7 +29,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableforge.llm import common
+from tableforge.llm import bpe, common
 
 BLOCK_ITEMS, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 2, 2, 6, 4
 #: Bins with at least this share of the capacity are final after the first level.
@@ -91,7 +91,7 @@ class Tokenizer:
         for k, e in zip(slow, self.base.encode_batch_fast([texts[k] for k in slow], add_special_tokens=False), strict=True):
             out[k] = array("I", e.ids).tobytes()
         for k in set(range(len(texts))).difference(slow):
-            out[k] = array("I", self.fast.encode_ordinary(texts[k])).tobytes()
+            out[k] = b"".join(array("I", self.fast.encode_ordinary(part)).tobytes() for part in bpe.safe_parts(texts[k]))
         return out
 
 
