@@ -298,17 +298,20 @@ class Builder:
     """Adds the columns of a spec to a frame."""
 
     def __init__(self, df: DataFrame, id_col: str, seed: int):
-        self.df, self.id, self.seed = df, id_col, seed
-        self.extra: list[str] = []
+        self.base, self.id, self.seed = df, id_col, seed
+        self.draws: dict[str, Column] = {}
 
     def draw(self, name: str, at: Column) -> Draw:
         return Draw(at, (F.lit(self.seed), F.lit(name), F.col(self.id)))
 
     def prefix(self, draws: Column) -> Column:
-        self.extra.append(name := f"_ordinal{len(self.extra)}")
-        self.df = ordinal.with_prefix_sum(self.df, self.id, draws, name)
+        """The ordinal that a column's draws give; ``framed`` adds those of all columns in one pass."""
+        self.draws[name := f"_ordinal{len(self.draws)}"] = draws
         return F.col(name)
 
+    def framed(self) -> DataFrame:
+        return ordinal.with_prefix_sums(self.base, self.id, self.draws)
+
     def leaf(self, spec: dict, draw: Draw, path: str) -> Column:
         if spec["type"] == "struct":
             names = [f["name"] for f in spec["fields"]]
@@ -398,7 +401,7 @@ def with_generated(df: DataFrame, spec: list[dict] | str, id_col: str, seed: int
         made += new
     if len(set(made)) < len(made):
         raise ValueError("column names must be unique")
-    out = build.df.withColumns(columns) if columns else build.df
+    out = build.framed().withColumns(columns) if columns else build.framed()
     hidden = {x["name"] for f in spec if f["type"] == "union" for g in f["union_fields"] for x in g["fields"]}
     seen: dict[str, str] = {}
     for f in spec:

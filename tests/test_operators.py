@@ -119,6 +119,8 @@ def test_prefix_sums(spark):
         assert before == sums[g]
         sums[g] += d
     assert len(rows) == 500
+    both = ordinal.with_prefix_sums(df, "i", {"a": F.col("d"), "b": F.lit(1)}, block=16).orderBy("i").collect()
+    assert [r.b for r in both] == list(range(500)) and both[-1].a == sum(r.d for r in both[:-1])
 
 
 def test_expressions(spark):
