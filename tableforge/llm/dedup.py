@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 from tableforge.llm import common
 
 WORDS, SIMILARITY = 5, 75
-BANDS, ROWS = 28, 4
+BANDS, ROWS = 36, 4
 BINS = BANDS * ROWS
-#: Least share of equal sketch bins for a comparison of full sets: 3.7 standard errors below 0.75.
-SKETCH_LEAST = 0.6
+#: Least share of equal sketch bins for a comparison of full sets in a cell: far below 0.75, as shares of half-empty
+#: sketches scatter more than those of independent bins.
+SKETCH_LEAST = 0.5
 #: Shingles in one side of a cell.
 CELL_SHINGLES = 1 << 20
 _U = np.uint64

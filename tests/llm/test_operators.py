@@ -83,6 +83,60 @@ def test_odd_and_empty_tables(spark, odd):
     assert [out.count() for out in every(spark, empty)] == [0] * 12
 
 
+def test_stages_on_odd_and_empty_tables(spark, odd, tmp_path):
+    """Every stage of the pipeline, one after the other, and the pipeline as a whole."""
+    import corpus_pipeline
+
+    labels = spark.createDataFrame([(9, 1, 1), (5, 1, 0), (2, 0, 0), (None, 1, None)], "doc_id long, quality int, toxic int")
+    for name, table in (("odd", odd), ("twice", odd.unionByName(odd)), ("empty", odd.limit(0))):
+        where = f"{tmp_path}/{name}"
+        table.write.parquet(f"{where}/documents.parquet")
+        (labels if name != "empty" else labels.limit(0)).write.parquet(f"{where}/labels.parquet")
+        docs = spark.read.parquet(f"{where}/documents.parquet")
+        for stage, run in corpus_pipeline.STAGES[:-1]:
+            kept = common.materialise(run(spark, docs, where), stage)
+            assert kept.columns == odd.columns and kept.count() <= docs.count()
+            docs = kept
+        found, direct = corpus_pipeline.STAGES[-1][1](spark, docs, where), corpus_pipeline.run(spark, where)
+        assert {r.doc_id for r in direct.collect()} == {r.doc_id for r in found.collect()} == {r.doc_id for r in docs.collect()}
+        if name == "empty":
+            assert direct.count() == 0
+        else:  # rows without a letter go; of repeated rows one stays
+            assert not {0, 1, 2} & {i for i, t in ((r.doc_id, r.text) for r in docs.collect()) if not (t or "").strip()}
+            assert max(Counter((r.doc_id, r.text) for r in docs.collect()).values(), default=0) <= 1
+
+
+def test_line_features(docs):
+    """Features of a line and its neighbours, one line at a time."""
+    kinds = quality_crf._KINDS
+    texts = [t for _, t in sorted(text_of(docs).items())[:60]] + ["a a b\n\n \nA 1 # é\r\nx", "\n", ""]
+    x, size, begins = quality_crf.line_features(*common.text_bytes(pa.array(texts)))
+
+    def own(line):
+        raw = line.encode()
+        words = re.findall(rb"[^\x20\x09-\x0d]+", raw)
+        share = [sum(b in k.encode() for b in raw) + (k == kinds[1]) * sum(b > 127 for b in raw) for k in kinds]
+        share.append(len(raw) - sum(share) - sum(b in b" \t\n\x0b\x0c\r" for b in raw))
+        share = [v / len(raw) for v in share]
+        n = len(words)
+        return [*share, share[0] / max(share[0] + share[1], 0.01), sum(a == b for a, b in zip(words, words[1:], strict=False)) / n, (n - len(set(words))) / n, np.log1p(n) / 4, np.log1p(len(raw) / n) / 4], len(raw)
+
+    for k, text in enumerate(texts):
+        lines = [own(line) for line in re.findall(r"[^\n]*\n|[^\n]+$", text) if re.search("[^\x20\x09-\x0d]", line)]
+        assert begins[k + 1] - begins[k] == len(lines) and [n for _, n in lines] == size[begins[k] : begins[k + 1]].tolist()
+        zero = [0.0] * (x.shape[1] // 3)
+        rows_ = [zero, *(f for f, _ in lines), zero]
+        for i in range(len(lines)):
+            assert np.allclose(x[begins[k] + i], [1, *rows_[i + 1], *rows_[i], *rows_[i + 2]])
+
+
+def test_quality_scores_depend_on_the_text_alone(spark, docs):
+    field = quality_crf.train(*sampling.labelled_sample(docs, spark.read.parquet(f"{SF}/labels.parquet"), "quality", 200))
+    texts = docs.where("doc_id < 150").select("doc_id", "text")
+    one, other = ({r.doc_id: r.score for r in quality_crf.quality(texts.repartition(n, "doc_id"), field).collect()} for n in (1, 9))
+    assert one == other
+
+
 def test_license_base(spark, docs, odd):
     phrases = [(p.split(), label) for p, label in license.BASE]
     for df in (docs, odd):
