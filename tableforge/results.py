@@ -30,11 +30,15 @@ def _fail(kind: str, text: Column) -> Column:
     return F.raise_error(F.concat(F.lit(f"not a {kind}: "), text))
 
 
-def convert(value: Column, kind: str) -> Column:
-    """A variant as ``kind``; what isn't one raises."""
+def taken(value: Column, path: str, kind: str) -> Column:
+    """What ``convert`` needs of a variant: its text, or the variant itself for arrays."""
+    return F.variant_get(value, path, "variant" if kind.startswith("array<") else "string")
+
+
+def convert(text: Column, kind: str) -> Column:
+    """A value's text as ``kind`` (a variant for arrays); what isn't one raises."""
     if kind.startswith("array<"):
-        return F.transform(F.variant_get(value, "$", "array<variant>"), lambda x: convert(x, kind[6:-1]))
-    text = F.variant_get(value, "$", "string")
+        return F.transform(F.variant_get(text, "$", "array<variant>"), lambda x: convert(taken(x, "$", kind[6:-1]), kind[6:-1]))
     if kind == "string":
         return text
     if kind == "boolean":
@@ -71,4 +75,6 @@ def decode_result_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     if said.meta != said.other:
         raise ValueError(f"meta lines differ: {said.meta} and {said.other}")
     rows = lines.where(line.startswith('{"data"')).select(F.parse_json(line).alias("v"))
-    return rows.select(*[convert(F.variant_get("v", f"$.data[{i}]", "variant"), parse_type(c["type"])).alias(c["name"]) for i, c in enumerate(json.loads(said.meta))])
+    columns = [(c["name"], parse_type(c["type"])) for c in json.loads(said.meta)]
+    texts = rows.select(*[taken(F.col("v"), f"$.data[{i}]", kind).alias(f"c{i}") for i, (_, kind) in enumerate(columns)])
+    return texts.select(*[convert(F.col(f"c{i}"), kind).alias(name) for i, (name, kind) in enumerate(columns)])
