@@ -5,9 +5,9 @@ into a bucket. A document is the mean of its buckets' embeddings; a linear layer
 model is trained by stochastic gradient descent in numpy on a bounded sample of labelled rows (SAMPLE per language, the
 first by a hash of the id, and sampling.TOTAL_CHARS in all; whole documents and short pieces of them). One more class
 stands for what isn't any learned language: the same pieces with their letters swapped by random tables, and runs of
-random letters. A held-back part of the sample sets the temperature and, for each class of lengths, the confidence under
-which a text is rejected: the one that parts learned from strange pieces of such lengths best, but none that more than
-one learned piece in 500 would fall under.
+random letters. A held-back part of the sample sets the temperature and, for each class of lengths, how likely the learned
+languages must be together for a text to stay: what parts learned from strange pieces of such lengths best, but not so
+much that more than one learned piece in 500 would go.
 
 Null texts and texts without a letter are ``und`` with score 0 and rejected. Texts of any length are scored whole, a
 bounded part at a time; equal texts have equal results. With no labelled row every document is ``und``. Repeated rows are
@@ -34,7 +34,7 @@ EPOCHS, RATE = 15, 2.0
 #: Share of held-back pieces of learned languages that may be rejected, and the bytes where the classes of lengths part.
 LOST, LENGTHS = 0.002, (16, 32, 64, 128, 256)
 #: Log odds by which the confidence that is asked for stays below what the held-back pieces say: texts vary more than they.
-MARGIN = 1.0
+MARGIN = 2.0
 _LATIN = re.compile("[A-Za-z]")
 _CLEAN = np.full(256, 32, np.uint8)
 _CLEAN[97:123] = np.arange(97, 123)
@@ -104,10 +104,10 @@ class Model:
         return total, n
 
     def scored(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The likeliest language of each row, its probability with that of no language considered, and whether it is
-        high enough."""
-        p = softmax(self.sharpness * self.logits(data, offsets))[:, :-1]
-        return p.argmax(1), p.max(1), p.max(1) >= self.least[np.searchsorted(LENGTHS, np.diff(offsets), side="right")]
+        """The likeliest language of each row, its probability, and whether the learned languages together, between which
+        a mixed text may waver, are likely enough."""
+        p = softmax(self.sharpness * self.logits(data, offsets))
+        return p[:, :-1].argmax(1), p[:, :-1].max(1), 1 - p[:, -1] >= self.least[np.searchsorted(LENGTHS, np.diff(offsets), side="right")]
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -187,11 +187,11 @@ def train(rows: list[tuple[int, str, str]], seed: int = 7) -> Model:
         grid = np.geomspace(0.05, 20, 60)
         loss = [-np.log(np.maximum(softmax(g * logits)[np.arange(len(y)), y], 1e-12)).mean() for g in grid]
         model.sharpness = float(grid[int(np.argmin(loss))])
-        p = softmax(model.sharpness * logits)[:, :-1]
+        known = 1 - softmax(model.sharpness * logits)[:, -1]
         length = np.searchsorted(LENGTHS, [len(t) for t in texts[1]], side="right")
         for k in range(len(model.least)):
             some = length == k if ((length == k) & (y < none)).any() else length >= 0
-            model.least[k] = threshold(p.max(1)[some], y[some] < none)
+            model.least[k] = threshold(known[some], y[some] < none)
     return model
 
 
