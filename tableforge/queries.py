@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +94,21 @@ def decode_messages_json(spark, sf_dir):
     return messages.decode_messages_json(log(spark, sf_dir), HINT)
 
 
+@query("""WITH e AS (SELECT *, epoch_us(ts) AS us FROM events) SELECT event_id, user_id, event_type, event_id % 3 AS shape, ts AS at_us, CAST(epoch_us(ts) // 1000 AS BIGINT) AS at_ms, CAST(ts AS DATE) AS day, [CAST(user_id AS INTEGER), NULL] AS ids, {'k': CAST(json_extract_string(props, '$.k') AS SMALLINT), 'name': event_type} AS nested FROM e
+UNION ALL SELECT -1 - event_id, user_id, NULL, event_id % 3, NULL, NULL, NULL, NULL, NULL FROM e WHERE event_id % 3 > 0""")
+def decode_messages_shapes(spark, sf_dir):
+    """Payloads of one object, of two side by side and of two on lines of their own, the first one nested."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    k = F.regexp_extract("props", r'"k":\s*(\d+)', 1)
+    nested = F.concat(F.lit('{"k": '), k, F.lit(', "more": {"}": "{\\"["}, "name": "'), "event_type", F.lit('"}'))
+    first = F.concat(F.lit(' {"event_id":'), "event_id", F.lit(',"user_id":"'), "user_id", F.lit('","event_type":"'), "event_type", F.lit('","shape":'), F.col("event_id") % 3, F.lit(',"at_us":'), micros, F.lit(',"at_ms":'), F.floor(micros / 1000), F.lit(',"day":'), F.unix_date(F.to_date("ts")), F.lit(',"ids":['), "user_id", F.lit(',null],"nested":'), nested, F.lit("}"))
+    second = F.concat(F.lit('{"user_id":'), "user_id", F.lit(',\n "event_id":'), -1 - F.col("event_id"), F.lit(', "shape": '), F.col("event_id") % 3, F.lit("}"))
+    payload = F.concat(first, F.when(F.col("event_id") % 3 == 0, "\t").when(F.col("event_id") % 3 == 1, second).otherwise(F.concat(F.lit("\r\n"), second, F.lit("\n"))))
+    schema = pa.schema([("event_id", pa.int64()), ("user_id", pa.int64()), ("event_type", pa.string()), ("shape", pa.uint8()), ("at_us", pa.timestamp("us")), ("at_ms", pa.timestamp("ms")), ("day", pa.date32()), ("ids", pa.list_(pa.int32())), ("nested", pa.struct([("k", pa.int16()), ("name", pa.string())]))])
+    found = messages.decode_messages_json(log(spark, sf_dir, payload), schema)
+    return found.withColumns({"shape": F.col("shape").cast("long"), "at_ms": F.unix_millis(F.col("at_ms").cast("timestamp"))})
+
+
 @query(_LOG + 'SELECT event_id, "partition" AS kafka_partition_id, "offset" AS kafka_offset, epoch_us(ts) // 1000 AS kafka_timestamp FROM log')
 def message_metadata(spark, sf_dir):
     return messages.decode_messages_json(log(spark, sf_dir), HINT[:1], include_metadata=True)

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+
+from tableforge import jsonin
 
 
 def parse_type(text: str) -> str:
@@ -22,42 +27,42 @@ def parse_type(text: str) -> str:
     return {"tinyint": "int", "smallint": "int", "int": "int", "bigint": "bigint", "float": "double", "double": "double", "boolean": "boolean", "bool": "boolean", "date": "date", "datetime": "timestamp_ntz"}.get(name, "string")
 
 
-#: How dates and datetimes are written; numbers and other texts raise.
-STRICT = {"date": r"^\d{4}-\d{1,2}-\d{1,2}$", "timestamp_ntz": r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?$"}
+def arrow_type(ddl: str) -> pa.DataType:
+    """The Arrow type of one of ``parse_type``'s."""
+    if ddl.startswith("array<"):
+        return pa.list_(arrow_type(ddl[6:-1]))
+    if ddl.startswith("decimal"):
+        return pa.decimal128(*map(int, ddl[8:-1].split(",")))
+    return {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "date": pa.date32(), "timestamp_ntz": pa.timestamp("us")}.get(ddl, pa.string())
 
 
-def _fail(kind: str, text: Column) -> Column:
-    return F.raise_error(F.concat(F.lit(f"not a {kind}: "), text))
+def meta_schema(meta: list[dict]) -> pa.Schema:
+    """The columns that a meta line's list of names and types declares."""
+    return pa.schema([pa.field(c["name"], arrow_type(parse_type(c["type"]))) for c in meta])
 
 
-def taken(value: Column, path: str, kind: str) -> Column:
-    """What ``convert`` needs of a variant: its text, or the variant itself for arrays."""
-    return F.variant_get(value, path, "variant" if kind.startswith("array<") else "string")
+def one_object(line: str) -> dict:
+    """The one object of a line; anything else raises."""
+    found = list(jsonin.objects_of(line, as_written=True))
+    if len(found) != 1:
+        raise ValueError(f"not JSON of one object: {line[:60]}")
+    return found[0]
 
 
-def convert(text: Column, kind: str) -> Column:
-    """A value's text as ``kind`` (a variant for arrays); what isn't one raises."""
-    if kind.startswith("array<"):
-        return F.transform(F.variant_get(text, "$", "array<variant>"), lambda x: convert(taken(x, "$", kind[6:-1]), kind[6:-1]))
-    if kind == "string":
-        return text
-    if kind == "boolean":
-        return F.when(text == "true", True).when(text == "false", False).when(text.isNotNull(), _fail(kind, text).cast("boolean"))
-    if kind in ("int", "bigint"):
-        return F.when(text.rlike(r"^[+-]?\d+$"), text).when(text.isNotNull(), _fail(kind, text)).cast(kind)
-    if kind.startswith("decimal"):
-        scale = int(kind[:-1].split(",")[1])
-        cut = F.regexp_replace(text, r"(\.\d{0," + str(scale) + r"})\d*$", "$1")
-        return F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), cut).when(text.isNotNull(), _fail(kind, text)).cast(kind)
-    if kind in STRICT:
-        return F.when(text.rlike(STRICT[kind]), text).when(text.isNotNull(), _fail(kind, text)).cast(kind)
-    return text.cast(kind)
+def data_batch(lines: list[str], schema: pa.Schema) -> pa.RecordBatch:
+    """Data lines as typed columns: short rows are padded with nulls, what doesn't fit its column raises."""
+    rows = [one_object(line)["data"] for line in lines]
+    for row in rows:
+        if not isinstance(row, list):
+            raise ValueError(f"not a list of values: {jsonin.written(row)[:60]}")
+    columns = [jsonin.column([r[i] if i < len(r) else None for r in rows], f, jsonin.STRICT) for i, f in enumerate(schema)]
+    return pa.RecordBatch.from_arrays(columns, schema.names)
 
 
 def decode_result_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Typed rows of the data lines. Blank and other lines are ignored, short rows padded with nulls; a failed status, a
     missing meta line, meta lines that differ and values that don't fit raise. One aggregate over all meta and status
-    lines goes to the driver, so ``lines`` is read twice."""
+    lines goes to the driver, so ``lines`` is read twice; a remote source knows its columns and needs one pass."""
     line = F.trim(F.col(line_col))
     heads = lines.where(line.startswith('{"meta"') | line.startswith('{"status"')).select(line.alias("line"), F.try_parse_json(line).alias("v"))
     part = lambda name: F.variant_get("v", f"$.{name}", "string")
@@ -74,7 +79,10 @@ def decode_result_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
         raise ValueError("no meta line")
     if said.meta != said.other:
         raise ValueError(f"meta lines differ: {said.meta} and {said.other}")
-    rows = lines.where(line.startswith('{"data"')).select(F.parse_json(line).alias("v"))
-    columns = [(c["name"], parse_type(c["type"])) for c in json.loads(said.meta)]
-    texts = rows.select(*[taken(F.col("v"), f"$.data[{i}]", kind).alias(f"c{i}") for i, (_, kind) in enumerate(columns)])
-    return texts.select(*[convert(F.col(f"c{i}"), kind).alias(name) for i, (name, kind) in enumerate(columns)])
+    schema = meta_schema(json.loads(said.meta))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield data_batch(batch.column(0).to_pylist(), schema)
+
+    return lines.where(line.startswith('{"data"')).select(line.alias("line")).mapInArrow(run, from_arrow_schema(schema, prefer_timestamp_ntz=True))

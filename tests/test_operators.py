@@ -11,8 +11,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tableforge import connect, derive, gen, hll, jsonio, messages, ordinal, results, tdigest
+from tableforge import connect, derive, gen, hll, jsonin, jsonio, messages, ordinal, results, tdigest
 
 
 def test_ndjson_and_array(spark, tmp_path):
@@ -88,6 +89,90 @@ def test_messages(spark):
         messages.encode_messages(text, "csv")
 
 
+def payloads(spark, *texts):
+    return spark.createDataFrame([(t if isinstance(t, bytes) else t.encode(),) for t in texts], "value binary")
+
+
+def test_every_object_of_a_payload_counts(spark):
+    """Against a scan of the payload one character at a time."""
+
+    def scanned(text):
+        depth, inside, escaped, begin = 0, False, False, 0
+        for i, c in enumerate(text):
+            if inside:
+                escaped, inside = c == "\\" and not escaped, escaped or c != '"'
+            elif c == '"':
+                inside = True
+            elif c in "{[":
+                begin, depth = (i if not depth else begin), depth + 1
+            elif c in "}]":
+                depth -= 1
+                if not depth:
+                    yield json.loads(text[begin : i + 1])
+
+    rng = np.random.default_rng(4)
+    parts = ['{"a":1}', '{"a":"2"}', '{ "a" : 3, "b": {"a": [{}, "}{"]} }', '{"b":"\\"}{\\\\", "a":4}', "{}", '{"a":5,"a":6}', '{"a":null,"c":[[1],{"a":9}]}']
+    gaps = ["", " ", "\n", "\r\n\t", "\n\n"]
+    texts = ["".join(rng.choice(gaps) + rng.choice(parts) for _ in range(rng.integers(0, 9))) + rng.choice(gaps) for _ in range(300)]
+    found = messages.decode_messages_json(payloads(spark, *texts), [("a", "int64")])
+    want = [None if o.get("a") is None else int(o["a"]) for t in texts for o in scanned(t)]
+    assert sorted((r.a for r in found.collect()), key=str) == sorted(want, key=str)
+    for bad in ('{"a":5} trailing', '{"a":1}{', '{"a":1},{"a":2}', "123", '"x"', "null", '[{"a":1}]', "{a:1}", '{"a":1}}', '{"a":NaN}', "\ufeff{}", b'{"a":"\xff"}'):
+        with pytest.raises(Exception, match="JSON read failed|decode"):
+            messages.decode_messages_json(payloads(spark, "{}", bad), [("a", "string")]).collect()
+
+
+def test_nested_declared_types(spark):
+    kind = pa.schema([("rows", pa.list_(pa.struct([("x", pa.uint16()), ("at", pa.timestamp("ms"))]))), ("by", pa.map_(pa.string(), pa.list_(pa.int32()))), ("cost", pa.decimal128(8, 2)), ("deep", pa.list_(pa.list_(pa.string())))])
+    text = '{"rows":[{"x":7,"at":1500},null,{"y":1}],"by":{"k":[1,null],"l":null},"cost":-3.999,"deep":[["a",1.50,true],null,[]]}{"rows":null}{"rows":[]}'
+    one, two, three = messages.decode_messages_json(payloads(spark, text), kind).collect()
+    assert [r and tuple(r) for r in one.rows] == [(7, datetime.datetime(1970, 1, 1, 0, 0, 1, 500000)), None, (None, None)] and one.by == {"k": [1, None], "l": None}
+    assert str(one.cost) == "-3.99" and one.deep == [["a", "1.50", "true"], None, []] and set(two) == {None} and three.rows == []
+    declared = messages.decode_messages_json(payloads(spark, '{"p":{"q":[1,"2"]}}'), T.StructType.fromDDL("p struct<q: array<int>>"))
+    assert declared.first().p.q == [1, 2]
+    for bad in ('{"rows":{}}', '{"rows":[1]}', '{"rows":[{"x":70000}]}', '{"by":[]}', '{"by":{"k":1}}', '{"cost":1234567.5}', '{"deep":["a"]}', '{"cost":"x"}'):
+        with pytest.raises(Exception, match="not a value of type"):
+            messages.decode_messages_json(payloads(spark, bad), kind).collect()
+    with pytest.raises(Exception, match="null in a"):
+        messages.decode_messages_json(payloads(spark, "{}"), T.StructType.fromDDL("a int not null")).collect()
+    with pytest.raises(ValueError, match="unsupported"):
+        messages.decode_messages_json(payloads(spark, "{}"), pa.schema([("a", pa.duration("s"))]))
+
+
+DAY, MOMENT = datetime.date(2024, 1, 2), datetime.datetime(2024, 1, 2, 3, 4, 5, 678000)
+#: For each name of a hint: its Spark type, what is read and what it gives, and what doesn't fit.
+HINTED = {
+    **{n: ("boolean", [("true", True), ("false", False)], ["1", '"true"', "0.0"]) for n in ("bool", "boolean")},
+    "int8": ("tinyint", [("-128", -128), ('"127"', 127)], ["128", '"x"', "true"]), "int16": ("smallint", [("32767", 32767)], ["-32769", '"7.5"']),
+    **{n: ("int", [("2147483647", 2**31 - 1), ("2e1", 20), ("7.0", 7)], ["2147483648", '""', "[]"]) for n in ("int32", "int")}, **{n: ("bigint", [("-9223372036854775808", -(2**63)), ('"+5"', 5)], ["9223372036854775808", '" 1"']) for n in ("int64", "long")},
+    "uint8": ("smallint", [("0", 0), ("255", 255)], ["300", "-1"]), "uint16": ("int", [("65535", 65535)], ["65536", "-1"]), **{n: ("bigint", [("4294967295", 2**32 - 1)], ["4294967296", "-1"]) for n in ("uint32", "uint")},
+    **{n: ("decimal(20,0)", [("18446744073709551615", 2**64 - 1)], ["18446744073709551616", "-5"]) for n in ("uint64", "ulong")},
+    **{n: ("float", [("1.5", 1.5), ('"-2"', -2.0), ("1e39", float("inf"))], ['"x"', "true"]) for n in ("float32", "float")}, **{n: ("double", [("1e300", 1e300), ("3", 3.0)], ['"1_0"', "false"]) for n in ("float64", "double")},
+    **{n: ("string", [('"a"', "a"), ("1.50", "1.50"), ("true", "true"), ("1e3", "1e3")], ['"\\ud800"']) for n in ("utf8", "string", "large_utf8")}, "binary": ("binary", [('"0aff"', b"\n\xff"), ('""', b"")], ['"0g"', "12"]),
+    "date32": ("date", [("19724", DAY), ('"2024-1-2"', DAY), ('"2024-01-02T03:04:05Z"', DAY)], ['"2024-13-01"', '"x"', "true"]), "date64": ("timestamp_ntz", [("1704164645678", MOMENT), ('"2024-01-02 03:04:05.678"', MOMENT)], ['"2024"']),
+    **{n: ("timestamp_ntz", [("1704164645678000", MOMENT), ('"2024-01-02T05:04:05.678+02:00"', MOMENT)], ['"2024-01-02T25:00"', "true"]) for n in ("timestamp_us", "timestamp_microsecond")},
+    **{n: ("timestamp_ntz", [("1704164645678", MOMENT), ('"2024-01-02T03:04:05.678999"', MOMENT)], ['"now"']) for n in ("timestamp_ms", "timestamp_millisecond")},
+}
+
+
+def test_every_hint_has_its_unit_and_range(spark):
+    assert set(HINTED) == set(messages.HINTS)
+    names = sorted(HINTED)
+    schema = messages.schema_from_hint([(n, f" {n.upper()} ") for n in names])
+    assert {f.name: f.dataType.simpleString() for f in schema} == {n: HINTED[n][0] for n in names}
+    n_rows = max(len(HINTED[n][1]) for n in names)
+    texts = ["{" + ",".join(f'"{n}":{HINTED[n][1][k % len(HINTED[n][1])][0]}' for n in names) + "}" for k in range(n_rows)]
+    found = messages.decode_messages_json(payloads(spark, "\n".join(texts)), [(n, n) for n in names]).collect()
+    for k, row in enumerate(found):
+        for n in names:
+            assert row[n] == HINTED[n][1][k % len(HINTED[n][1])][1], (n, k)
+    for n in names:
+        for bad in HINTED[n][2]:
+            with pytest.raises(ValueError, match="not a value of type"):
+                f = messages.arrow_hint([("a", n)]).field(0)
+                jsonin.column([o["a"] for o in jsonin.objects_of(f'{{"a":{bad}}}', as_written=True)], f)
+
+
 def test_streaming_is_batch(spark, tmp_path):
     """Decoders and encoders on a stream give what they give on a table."""
     path = f"{tmp_path}/in"
