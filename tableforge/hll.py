@@ -1,7 +1,8 @@
 """HyperLogLog sketches as aggregates: small groups are counted exactly, larger ones by registers; portable bytes.
 
-Nulls aren't counted; a group of nulls alone has no row. Group keys may be null. ``hll_estimate`` is Catalyst's own
-aggregation; ``hll_agg`` reads its input once, each task fills sketches, and sketches merge in two shuffles.
+Nulls aren't counted; a group of nulls alone has no row. Group keys may be null. All aggregates are Catalyst's own: registers
+are maxima by key and index, which tasks take before they shuffle, so a hot key sends each task's registers and no more;
+bytes are packed from them by shifts. Python is only asked for the portable hash of a column and to read sketch bytes.
 """
 
 from __future__ import annotations
@@ -58,8 +59,8 @@ def hll_hash(value: Column, portable: bool = False) -> Column:
 
 
 def _rows(df: DataFrame, keys: list[str], value: str, log2m: int, regwidth: int, portable: bool) -> DataFrame:
-    h = df.where(F.col(value).isNotNull()).select(*keys, hll_hash(F.col(value), portable).alias("_h"))
-    return h.select(*keys, "_h", *(c.alias(n) for c, n in zip(register(F.col("_h"), log2m, regwidth), ("_idx", "_reg"), strict=True)))
+    h = df.where(F.col(value).isNotNull()).select(*grouped.key_columns(df, keys), hll_hash(F.col(value), portable).alias("_h"))
+    return h.select(*[F.col(f"`{k}`") for k in keys], "_h", *(c.alias(n) for c, n in zip(register(F.col("_h"), log2m, regwidth), ("_idx", "_reg"), strict=True)))
 
 
 def registers_of_hash(df: DataFrame, keys: list[str], hash_col: str, log2m: int = 12, regwidth: int = 6) -> DataFrame:
@@ -147,40 +148,166 @@ def union_bytes(raws: list[bytes], log2m: int = 12, regwidth: int = 6) -> bytes:
 
 
 def hll_agg(df: DataFrame, keys: list[str], value: str, log2m: int = 12, regwidth: int = 6, portable: bool = True) -> DataFrame:
-    """keys and ``sketch`` bytes, of portable hashes or (faster) of xxhash64."""
+    """keys and ``sketch`` bytes, of portable hashes or (faster, no Python) of xxhash64. Groups that may be explicit are
+    read a second time for their hashes."""
     limits(log2m, regwidth)
     kind = df.schema[value].dataType
     if not hashable(kind):
         raise ValueError(f"values of type {kind.simpleString()} can't be counted")
-    rows = df.where(F.col(value).isNotNull())
-    rows = rows.select(*keys, F.col(value).alias("_v")) if portable else rows.select(*keys, F.xxhash64(value).alias("_v"))
+    rows = _rows(df, keys, value, log2m, regwidth, portable)
+    return sketches_of(rows.withColumn("_explicit", F.lit(True)), keys, log2m, regwidth)
 
-    def fold(state: Sketch | None, values: pa.Array) -> Sketch:
-        return (state or Sketch.empty(log2m, regwidth)).add(murmur3_of(values) if portable else values.to_numpy())
 
-    states = grouped.partial_states(rows, keys, "_v", "sketch", fold, Sketch.to_bytes)
-    return hll_union_agg(states, keys, "sketch", log2m, regwidth)
+def _shifted(word: Column, left: Column) -> Column:
+    """A word moved to the left by a number of bits, or to the right where that is negative."""
+    return F.when(left >= 0, F.call_function("shiftleft", word, left)).otherwise(F.call_function("shiftrightunsigned", word, -left))
 
 
-def hll_decode(df: DataFrame, keys: list[str], sketch: str = "sketch", log2m: int = 12, regwidth: int = 6) -> DataFrame:
-    """keys, _explicit and one row per hash (_h, with its register) or register (_h null) of every sketch."""
-    schema = T.StructType([*(df.schema[k] for k in keys), *T.StructType.fromDDL("_explicit boolean, _idx int, _reg int, _h long")])
+def _packed_block(regwidth: int) -> list[Column]:
+    """``regwidth`` 64-bit numbers that hold the 64 registers of a block, highest bit first: a register's place says in
+    which number it lies and how far it is shifted; the parts of one that lies in two meet there."""
+    at, out = F.col("idx").bitwiseAND(F.lit(63)) * regwidth, []
+    for k in range(regwidth):
+        within = (at > 64 * k - regwidth) & (at < 64 * (k + 1))
+        moved = _shifted(F.col("reg").cast("long"), F.lit(64 - regwidth + 64 * k) - at)
+        out.append(F.coalesce(F.bit_or(F.when(within, moved)), F.lit(0).cast("long")).alias(f"_p{k}"))
+    return out
+
+
+def _hex64(number: Column) -> Column:
+    return F.lpad(F.hex(number), 16, "0")
+
+
+def _packed_words(words: Column, n: Column, width: int) -> Column:
+    """n words of ``width`` bits on end, as hex digits of whole bytes: each 64-bit number gathers the words that reach into
+    it."""
+
+    def number(q: Column) -> Column:
+        first, last = F.floor(64 * q / width).cast("int"), F.least(F.floor((64 * q + 63) / width), n - 1).cast("int")
+        moved = lambda i: _shifted(F.get(words, i), (F.lit(64 - width) - i * width + 64 * q).cast("int"))
+        return F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), lambda acc, i: acc.bitwiseOR(moved(i)))
+
+    numbers = F.transform(F.sequence(F.lit(0), (F.floor((n * width + 63) / 64) - 1).cast("int")), lambda q: _hex64(number(q)))
+    return F.left(F.array_join(numbers, ""), (2 * F.ceil(n * width / 8)).cast("int"))
+
+
+def sketches_of(rows: DataFrame, keys: list[str], log2m: int, regwidth: int) -> DataFrame:
+    """keys and ``sketch`` of rows with _h, _idx, _reg and _explicit (false where only the register is known)."""
+    few, sparse = limits(log2m, regwidth)
+    blocks = (1 << log2m) // 64
+    same = [F.col(f"`{k}`") for k in keys]
+    registers = rows.groupBy(*same, F.col("_idx").alias("idx")).agg(F.max("_reg").alias("reg"), F.bool_and("_explicit").alias("_explicit"))
+    filled = F.col("reg") > 0
+    held = registers.groupBy(*same, F.shiftright("idx", 6).alias("_block")).agg(
+        *_packed_block(regwidth), F.sum(F.when(filled, F.pow(F.lit(2.0), -F.col("reg"))).otherwise(0.0)).alias("_inverse"), F.count(F.when(filled, 1)).alias("_filled"), F.bool_and("_explicit").alias("_explicit"),
+        F.sort_array(F.collect_list(F.when(filled, F.shiftleft(F.col("idx").cast("long"), regwidth).bitwiseOR(F.col("reg").cast("long"))))).alias("_words"),
+    )
+    text = F.concat(*[_hex64(F.col(f"_p{k}")) for k in range(regwidth)])
+    whole = held.groupBy(*same).agg(
+        F.sum("_inverse").alias("_inverse"), F.sum("_filled").alias("_filled"), F.bool_and("_explicit").alias("_explicit"), F.sort_array(F.collect_list(F.struct("_block", text.alias("_text"), "_words"))).alias("_all"),
+    )
+    rough = estimate_column(F.col("_inverse"), F.col("_filled"), log2m, regwidth)
+    able = whole.where(F.col("_explicit") & (rough <= 2 * few)).select(*same)
+    hashes = rows.select(*same, "_h").join(able, same_keys(rows, able, keys), "left_semi").distinct()
+    exact = hashes.groupBy(*same).agg(F.count("_h").alias("_n"), F.array_join(F.sort_array(F.collect_list(_hex64(F.col("_h")))), "").alias("_hashes")).where(F.col("_n").between(1, few))
+    exact = exact.select(*[F.col(f"`{k}`").alias(f"_exact_{i}") for i, k in enumerate(keys)], "_hashes")
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(f"`{k}`").eqNullSafe(F.col(f"_exact_{i}"))
+    out = whole.join(exact, on, "left")
+    head = lambda state: F.lit(header(state, log2m, regwidth).hex())
+    zeros = lambda n: F.call_function("repeat", F.lit("0"), (16 * regwidth * n).cast("int"))
+    before = lambda i: F.when(i > 0, F.get(F.col("_all"), i - 1)["_block"]).otherwise(-1)
+    full = F.array_join(F.transform("_all", lambda x, i: F.concat(zeros(x["_block"] - before(i) - 1), x["_text"])), "")
+    full = F.concat(full, zeros(blocks - 1 - F.element_at("_all", -1)["_block"]))
+    words = _packed_words(F.flatten(F.transform("_all", lambda x: x["_words"])), F.col("_filled"), log2m + regwidth)
+    body = F.when(F.col("_hashes").isNotNull(), F.concat(head("explicit"), "_hashes")).when(F.col("_filled") == 0, F.when(F.col("_explicit"), head("empty")).otherwise(head("sparse")))
+    body = body.when(F.col("_filled") <= sparse, F.concat(head("sparse"), words)).otherwise(F.concat(head("full"), full))
+    return out.select(*same, F.unhex(body).alias("sketch"))
+
+
+def _most(code: np.ndarray, idx: np.ndarray, reg: np.ndarray, log2m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The largest register of each code and index."""
+    key = code << log2m | idx
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(key[order]) > 0)) if len(key) else np.zeros(0, np.int64)
+    top = key[order][first]
+    return top >> log2m, top & ((1 << log2m) - 1), np.maximum.reduceat(reg[order], first) if len(first) else reg
+
+
+def many_from_bytes(raws: pa.Array, code: np.ndarray, log2m: int, regwidth: int) -> tuple[np.ndarray, ...]:
+    """code, idx, reg, hash and kind (0: register of a sketch without hashes, 1: hash, 2: an empty sketch) of the sketches'
+    contents; registers of equal codes are merged. All sketches of a state are read together."""
+    raws = raws.cast(pa.large_binary())
+    ends = np.frombuffer(raws.buffers()[1], np.int64)[raws.offset : raws.offset + len(raws) + 1]
+    data = np.append(np.frombuffer(raws.buffers()[2], np.uint8), np.zeros(8, np.uint8)) if raws.buffers()[2] is not None else np.zeros(8, np.uint8)
+    begin, size = ends[:-1], np.diff(ends)
+    state = data[begin] & 15
+    if (size < 3).any() or (data[begin] >> 4 != 1).any() or (data[begin + 1] != ((regwidth - 1) << 5 | log2m)).any():
+        raise ValueError("not a sketch of these parameters")
+    body, long = begin + 3, size - 3
+    is_ = {k: np.flatnonzero(state == v) for k, v in STATES.items()}
+    m = 1 << log2m
+    need = regwidth * m // 8
+    if sum(map(len, is_.values())) < len(state) or (long[is_["explicit"]] % 8).any() or (long[is_["full"]] < need).any():
+        raise ValueError("broken sketch")
+    rows = is_["explicit"]
+    counts = long[rows] // 8
+    hashes = data[np.arange(int(8 * counts.sum())) + np.repeat(body[rows] - 8 * (np.cumsum(counts) - counts), 8 * counts)].view(">u8").astype(np.uint64).view(np.int64)
+    parts = [(np.repeat(code[rows], counts), *registers_of(hashes, log2m, regwidth), hashes, np.ones(len(hashes), np.int8))]
+    none = lambda n, kind: (np.zeros(n, np.int64), np.full(n, kind, np.int8))
+    rows, width = is_["sparse"], log2m + regwidth
+    counts = 8 * long[rows] // width
+    bit = 8 * np.repeat(body[rows], counts) + width * (np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts))
+    word = np.zeros(len(bit), np.int64)
+    for k in range(5):
+        word = word << 8 | data[bit // 8 + k]
+    word = word >> (40 - bit % 8 - width) & ((1 << width) - 1)
+    reg = word & ((1 << regwidth) - 1)
+    merged = _most(np.repeat(code[rows], counts)[reg > 0], word[reg > 0] >> regwidth, reg[reg > 0], log2m)
+    parts.append((*merged, *none(len(merged[0]), 0)))
+    rows = is_["full"][np.argsort(code[is_["full"]], kind="stable")]
+    step = max(1, (1 << 25) // (regwidth * m))
+    for at in range(0, len(rows), step):
+        some = rows[at : at + step]
+        bits_ = np.unpackbits(data[body[some][:, None] + np.arange(need)], axis=1).reshape(len(some), m, regwidth)
+        table = sum(bits_[:, :, k] << (regwidth - 1 - k) for k in range(regwidth))
+        first = np.flatnonzero(np.append(True, np.diff(code[some]) != 0))
+        top = np.maximum.reduceat(table, first, axis=0)
+        own, idx = np.nonzero(top)
+        parts.append((code[some][first][own], idx, top[own, idx].astype(np.int64), *none(len(own), 0)))
+    rows = is_["empty"]
+    parts.append((code[rows], *(np.zeros(len(rows), np.int64) for _ in range(2)), *none(len(rows), 2)))
+    return tuple(np.concatenate([p[k] for p in parts]) for k in range(5))
+
+
+def _contents(df: DataFrame, keys: list[str], sketch: str, log2m: int, regwidth: int, apart: bool) -> DataFrame:
+    """keys, _explicit, _idx, _reg, _h and _kind of the sketches; registers of a batch's equal keys are merged unless
+    ``apart``."""
+    schema = T.StructType([*(df.schema[k] for k in keys), *T.StructType.fromDDL("_explicit boolean, _idx int, _reg int, _h long, _kind int")])
 
     def run(batches):
         for batch in batches:
-            for i, raw in enumerate(batch.column(len(keys)).to_pylist()):
-                state, idx, reg, hashes = from_bytes(raw, log2m, regwidth)
-                n = len(idx)
-                own = [c.take(pa.array(np.full(n, i))) for c in batch.columns[: len(keys)]]
-                rest = [pa.array(np.full(n, state in ("empty", "explicit"))), pa.array(idx, pa.int32()), pa.array(reg, pa.int32()), pa.array(hashes, pa.int64()) if hashes is not None else pa.nulls(n, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*own, *rest], schema.names)
+            if batch.num_rows:
+                columns = batch.columns[:-1]
+                code, first = grouped.codes(columns, batch.num_rows) if not apart else (np.arange(batch.num_rows),) * 2
+                code, idx, reg, h, kind = many_from_bytes(batch.columns[-1], code, log2m, regwidth)
+                own = [c.take(pa.array(first[code])) for c in columns]
+                made = [pa.array(kind > 0), pa.array(idx.astype(np.int32)), pa.array(reg.astype(np.int32)), pa.array(h, mask=kind != 1), pa.array(kind.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*own, *made], schema.names)
+
+    return df.where(F.col(f"`{sketch}`").isNotNull()).select(*grouped.key_columns(df, keys), F.col(f"`{sketch}`")).mapInArrow(run, schema)
+
 
-    return df.where(F.col(sketch).isNotNull()).select(*keys, sketch).mapInArrow(run, schema)
+def hll_decode(df: DataFrame, keys: list[str], sketch: str = "sketch", log2m: int = 12, regwidth: int = 6) -> DataFrame:
+    """keys, _explicit and one row per hash (_h, with its register) or register (_h null) of every sketch."""
+    return _contents(df, keys, sketch, log2m, regwidth, True).where("_kind < 2").drop("_kind")
 
 
 def hll_union_agg(df: DataFrame, keys: list[str], sketch: str = "sketch", log2m: int = 12, regwidth: int = 6) -> DataFrame:
-    """keys and the union of each group's sketches, as ``sketch``; null sketches are left out."""
-    return grouped.merged_states(df, keys, sketch, "sketch", lambda raws: union_bytes(raws, log2m, regwidth))
+    """keys and the union of each group's sketches, as ``sketch``; null sketches are left out. Explicit if all are and the
+    union fits, else registers."""
+    return sketches_of(_contents(df, keys, sketch, log2m, regwidth, False), keys, log2m, regwidth)
 
 
 def register_functions(spark: SparkSession, log2m: int = 12, regwidth: int = 6) -> None:

@@ -1,4 +1,4 @@
-"""t-digest sketches as aggregates: partial digests within tasks, merged in two shuffles; portable bytes.
+"""t-digest sketches as aggregates: digests of all keys of a batch at once, merged by rounds; portable bytes.
 
 Nulls and NaN aren't counted. Group keys may be null; a group of nulls alone has no row.
 """
@@ -37,16 +37,27 @@ def _limits(size: int) -> np.ndarray:
     return np.where(k < 0.5, 2 * k * k, 1 - 2 * (1 - k) ** 2)
 
 
-def combined(size: int, mean: np.ndarray, weight: np.ndarray, low: float, high: float) -> Digest:
-    order = np.argsort(mean, kind="stable")
-    mean, weight = mean[order], weight[order].astype(np.int64)
-    total = int(weight.sum())
-    if not total:
-        return Digest(size)
-    group = np.searchsorted(_limits(size) * total, np.cumsum(weight) - weight / 2, side="left")
-    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+def combined_many(size: int, code: np.ndarray, n: int, mean: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Group, mean and weight of the centroids of n groups at once: ``code`` says to which group each input belongs."""
+    some = weight > 0
+    code, mean, weight = code[some], mean[some], weight[some].astype(np.int64)
+    order = np.lexsort((weight, mean, code))
+    code, mean, weight = code[order], mean[order], weight[order]
+    if not len(code):
+        return code, mean, weight
+    begins = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    total = np.add.reduceat(weight, begins)
+    lengths = np.diff(np.append(begins, len(code)))
+    before = np.cumsum(weight) - np.repeat(np.cumsum(total) - total, lengths)
+    group = np.searchsorted(_limits(size), (before - weight / 2) / np.repeat(total, lengths), side="left")
+    first = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (code[1:] != code[:-1])))
     sums = np.add.reduceat(weight, first)
-    return Digest(size, total, low, high, np.add.reduceat(mean * weight, first) / sums, sums)
+    return code[first], np.add.reduceat(mean * weight, first) / sums, sums
+
+
+def combined(size: int, mean: np.ndarray, weight: np.ndarray, low: float, high: float) -> Digest:
+    _, means, sums = combined_many(size, np.zeros(len(mean), np.int64), 1, mean, weight)
+    return Digest(size, int(sums.sum()), low, high, means, sums) if len(sums) else Digest(size)
 
 
 def of_values(values: np.ndarray, size: int = 100) -> Digest:
@@ -61,6 +72,70 @@ def merged(digests: list[Digest]) -> Digest:
     return combined(digests[0].size, np.concatenate([d.mean for d in some]), np.concatenate([d.weight for d in some]), min(d.low for d in some), max(d.high for d in some))
 
 
+#: The layout of a digest's head and of each centroid behind it, big-endian.
+HEAD = np.dtype([("version", ">u4"), ("count", ">u8"), ("size", ">u4"), ("n", ">u4"), ("low", ">f8"), ("high", ">f8")])
+CENTROID = np.dtype([("mean", ">f8"), ("weight", ">u8")])
+
+
+def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length."""
+    return np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
+def many_from_bytes(raws: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Heads of all digests, and the digest and fields of every centroid."""
+    raws = raws.cast(pa.large_binary())
+    ends = np.frombuffer(raws.buffers()[1], np.int64)[raws.offset : raws.offset + len(raws) + 1]
+    data = np.frombuffer(raws.buffers()[2], np.uint8) if raws.buffers()[2] is not None else np.zeros(0, np.uint8)
+    size = np.diff(ends)
+    if (size < HEAD.itemsize).any():
+        raise ValueError("truncated digest")
+    head = data[ends[:-1, None] + np.arange(HEAD.itemsize)].reshape(-1).view(HEAD)
+    n = head["n"].astype(np.int64)
+    if (head["version"] != 1).any() or (size < HEAD.itemsize + CENTROID.itemsize * n).any():
+        raise ValueError("truncated digest or unknown version")
+    return head, np.repeat(np.arange(len(n)), n), data[_places(ends[:-1] + HEAD.itemsize, CENTROID.itemsize * n)].view(CENTROID)
+
+
+def many_to_bytes(size: int, n: int, code: np.ndarray, mean: np.ndarray, weight: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """n digests of the centroids, which lie in the order of their digests."""
+    head, body = np.zeros(n, HEAD), np.zeros(len(mean), CENTROID)
+    head["version"], head["size"], head["low"], head["high"] = 1, size, low, high
+    head["n"], head["count"] = np.bincount(code, minlength=n), np.bincount(code, weight, minlength=n) if weight.sum() < 2**53 else [int(weight[code == k].sum()) for k in range(n)]
+    body["mean"], body["weight"] = mean, weight
+    lengths = head["n"].astype(np.int64) * CENTROID.itemsize
+    ends = np.append(0, np.cumsum(lengths + HEAD.itemsize))
+    out = np.zeros(int(ends[-1]), np.uint8)
+    out[ends[:-1, None] + np.arange(HEAD.itemsize)] = head.view(np.uint8).reshape(n, -1)
+    out[_places(ends[:-1] + HEAD.itemsize, lengths)] = body.view(np.uint8)
+    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(out)]).cast(pa.binary())
+
+
+def states_of_values(size: int):
+    """Digests of each group's numbers; NaN isn't counted."""
+
+    def build(code: np.ndarray, n: int, values: pa.Array) -> pa.Array:
+        x = values.to_numpy(zero_copy_only=False)
+        known = ~np.isnan(x)
+        code, x = code[known], x[known]
+        low, high = np.full(n, np.inf), np.full(n, -np.inf)
+        np.minimum.at(low, code, x)
+        np.maximum.at(high, code, x)
+        return many_to_bytes(size, n, *combined_many(size, code, n, x, np.ones(len(x), np.int64)), low, high)
+
+    return build
+
+
+def merged_many(code: np.ndarray, n: int, raws: pa.Array) -> pa.Array:
+    """The digests of each group as one, of the largest size among all."""
+    head, of, body = many_from_bytes(raws)
+    low, high = np.full(n, np.inf), np.full(n, -np.inf)
+    np.minimum.at(low, code, head["low"].astype(float))
+    np.maximum.at(high, code, head["high"].astype(float))
+    size = int(head["size"].max(initial=0)) or 100
+    return many_to_bytes(size, n, *combined_many(size, code[of], n, body["mean"].astype(float), body["weight"].astype(np.int64)), low, high)
+
+
 def quantile(d: Digest, q: float, empty_as_zero: bool = False) -> float | None:
     if not d.count:
         return 0.0 if empty_as_zero else None
@@ -92,18 +167,13 @@ def merged_bytes(raws: list[bytes]) -> bytes:
 
 def tdigest_union_agg(df: DataFrame, keys: list[str], digest: str = "digest") -> DataFrame:
     """keys and the merge of each group's digests, as ``digest``; null digests are left out."""
-    return grouped.merged_states(df, keys, digest, "digest", merged_bytes)
+    return grouped.merged_states(df, keys, digest, "digest", merged_many)
 
 
 def tdigest_agg(df: DataFrame, keys: list[str], value: str, size: int = 100) -> DataFrame:
     """keys and ``digest`` bytes of a number column. Raw values never meet per key: each task hands on digests."""
-
-    def fold(state: Digest | None, values: pa.Array) -> Digest:
-        new = of_values(values.to_numpy(), size)
-        return merged([state, new]) if state else new
-
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    return tdigest_union_agg(grouped.partial_states(rows, keys, "_v", "digest", fold, to_bytes), keys)
+    rows = df.where(F.col(f"`{value}`").isNotNull()).select(*grouped.key_columns(df, keys), F.col(f"`{value}`").cast("double").alias("_v"))
+    return tdigest_union_agg(grouped.partial_states(rows, keys, "_v", "digest", states_of_values(size), merged_many), keys)
 
 
 def tdigest_decode(df: DataFrame, keys: list[str], digest: str = "digest") -> DataFrame:

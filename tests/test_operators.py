@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableforge import connect, derive, gen, hll, jsonin, jsonio, messages, ordinal, results, tdigest
+from tableforge import connect, derive, gen, grouped, hll, jsonin, jsonio, messages, ordinal, results, tdigest
 
 
 def test_ndjson_and_array(spark, tmp_path):
@@ -341,6 +341,60 @@ def test_hll_large_groups(spark):
     assert all(abs(r.estimate - 10_000) < 500 for r in hll.hll_estimate(df, ["k"], "id").collect())
 
 
+@pytest.mark.parametrize("log2m, regwidth", [(12, 6), (8, 4), (10, 5)])
+def test_hll_bytes_of_catalyst(spark, log2m, regwidth):
+    """Every state against the same sketch built by numpy, from rows and as a union of parts."""
+    sizes = {"a": 1, "b": 300, "c": 900, "d": 30_000, None: 2_000}
+    df = spark.createDataFrame([(k, n) for k, n in sizes.items()], "k string, n int").select("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long"))).alias("v")).withColumn("part", (F.col("v") % 5).cast("int"))
+    for portable in (True, False):
+        hashes = {}
+        for r in df.select("k", hll.hll_hash(F.col("v"), portable).alias("h")).collect():
+            hashes.setdefault(r.k, []).append(r.h)
+        want = {k: hll.Sketch.empty(log2m, regwidth).add(np.array(h)).to_bytes() for k, h in hashes.items()}
+        made = hll.hll_agg(df, ["k"], "v", log2m, regwidth, portable)
+        assert {r.k: bytes(r.sketch) for r in made.collect()} == want
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert ("Python" in plan or "Arrow" in plan) == portable
+        parts = hll.hll_agg(df, ["k", "part"], "v", log2m, regwidth, portable)
+        assert {r.k: bytes(r.sketch) for r in hll.hll_union_agg(parts, ["k"], "sketch", log2m, regwidth).collect()} == want
+    empty = hll.header("empty", log2m, regwidth)
+    frame = spark.createDataFrame([("x", empty), ("x", None), ("y", None), ("z", want["a"]), ("z", empty)], "k string, sketch binary")
+    assert {r.k: bytes(r.sketch) for r in hll.hll_union_agg(frame, ["k"], "sketch", log2m, regwidth).collect()} == {"x": empty, "z": want["a"]}
+    for bad in (b"\x11", empty[:1] + b"\x00\x7f", bytes([0x15]) + empty[1:], hll.header("full", log2m, regwidth) + b"\x00"):
+        with pytest.raises(Exception, match="sketch"):
+            hll.hll_union_agg(spark.createDataFrame([("x", bad)], "k string, sketch binary"), ["k"], "sketch", log2m, regwidth).collect()
+
+
+def test_states_fan_in(spark):
+    """A hot key's states, equal ones too, go to many groups; rounds go on until a task's share is small."""
+    one = tdigest.to_bytes(tdigest.of_values(np.arange(100.0)))
+    df = spark.range(4000, numPartitions=16).select(F.when(F.col("id") % 100 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"), F.lit(one).alias("digest"))
+    heavy = df.groupBy("k").agg(F.sum(F.octet_length("digest")).alias("_bytes"), F.count("*").alias("_n")).where("k = 'hot'")
+    salts = grouped.dealt(df, heavy, ["k"], "digest", 100_000).groupBy("k", "_salt").count().collect()
+    assert len([r for r in salts if r.k == "hot"]) > 8 and {r._salt for r in salts if r.k != "hot"} == {0}
+    merged = {r.k: tdigest.from_bytes(bytes(r.digest)) for r in grouped.merged_states(df, ["k"], "digest", "digest", tdigest.merged_many, task_bytes=10_000).collect()}
+    assert merged["hot"].count == 396_000 and sum(d.count for d in merged.values()) == 400_000 and merged["hot"].high == 99
+    whole = grouped.merged_states(df, [], "digest", "digest", tdigest.merged_many, task_bytes=10_000).collect()
+    assert len(whole) == 1 and tdigest.from_bytes(bytes(whole[0].digest)).count == 400_000
+    # batches in a task: held states stay small, and a key goes on from one sorted batch to the next
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 2]), pa.array([one] * 3, pa.binary())], ["k", "d"])
+    for run in (grouped.in_order, grouped.in_tasks):
+        rows = [(r["k"], tdigest.from_bytes(r["d"]).count) for b in run(iter([batch, batch.slice(2), batch.slice(0, 0), batch.slice(2)]), tdigest.merged_many) for r in b.to_pylist()]
+        assert sorted(rows) == [(1, 200), (2, 300)]
+
+
+def test_tdigests_of_many_keys_at_once():
+    rng = np.random.default_rng(6)
+    code, values = rng.integers(0, 40, 5000), rng.normal(0, 10, 5000)
+    made = tdigest.states_of_values(50)(code, 41, pa.array(values)).to_pylist()
+    assert made == [tdigest.to_bytes(tdigest.of_values(values[code == k], 50)) for k in range(41)]
+    again = tdigest.merged_many(np.arange(41) % 3, 3, pa.array(made, pa.binary())).to_pylist()
+    for k, raw in enumerate(again):
+        d, own = tdigest.from_bytes(raw), values[code % 3 == k]
+        assert d.count == len(own) and (d.low, d.high) == (own.min(), own.max())
+        assert all(abs((own <= tdigest.quantile(d, q)).mean() - q) < 0.02 for q in (0.01, 0.25, 0.5, 0.9, 0.99))
+
+
 def test_tdigest():
     rng = np.random.default_rng(3)
     for values in (rng.uniform(0, 1e6, 10**6), np.concatenate([rng.uniform(0, 1e6, 600_000), np.full(400_000, 5e5)])):
