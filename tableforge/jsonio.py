@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows of a group that are put into one text; a larger group makes several.
-PIECE_ROWS = 100_000
+from tableforge.groupfiles import GroupArraySink
+
 #: Strftime directives and the letters that Spark has for them.
 DIRECTIVES = {"Y": "yyyy", "y": "yy", "m": "MM", "d": "dd", "H": "HH", "I": "hh", "M": "mm", "S": "ss", "f": "SSSSSS", "3f": "SSS", ".f": ".SSSSSS", ".3f": ".SSS", "p": "a", "b": "MMM", "B": "MMMM", "a": "E", "A": "EEEE", "j": "DDD", "%": "%", "F": "yyyy-MM-dd", "T": "HH:mm:ss"}
 DEFAULT = "%Y-%m-%d %H:%M:%S"
@@ -45,29 +48,58 @@ def write_ndjson(df: DataFrame, path: str, datetime_format: str | None = None) -
     return _counted(df.select(encode_json(df, datetime_format).alias("value"), F.lit(1).alias("_n")), path)
 
 
-def grouped_texts(df: DataFrame, keys: list[str], datetime_format: str | None, piece_rows: int) -> DataFrame:
-    """keys, ``piece``, ``_n`` and ``_all``, the rows' JSON texts in their order. A group of over ``piece_rows`` rows is
-    dealt by the texts' hash to as many pieces as it needs, so no task holds a whole hot group."""
-    rows = df.select(*keys, encode_json(df, datetime_format).alias("_j"))
-    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / piece_rows).cast("int").alias("_pieces")).where("_pieces > 1")
-    large = sizes.select(*[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)], "_pieces")
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_of_{i}"))
-    dealt = rows.join(large, same, "left").withColumn("piece", F.coalesce(F.pmod(F.xxhash64("_j"), F.col("_pieces")).cast("int"), F.lit(0)))
-    return dealt.groupBy(*keys, "piece").agg(F.array_sort(F.collect_list("_j")).alias("_all"), F.count("*").alias("_n"))
+def in_groups(df: DataFrame, keys: list[str], datetime_format: str | None) -> DataFrame:
+    """The keys and every row's JSON text as ``value``; a group's rows lie together, in the order of their texts."""
+    key = [F.col(f"`{k}`") for k in keys]
+    rows = df.select(*key, encode_json(df, datetime_format).alias("value"))
+    return (rows.repartition(*key) if keys else rows.repartition(1)).sortWithinPartitions(*key, "value")
+
+
+def write_json_array(df: DataFrame, path: str, keys: list[str], datetime_format: str | None = None) -> int:
+    """Write one JSON array per group, a line each, whatever the groups' sizes; the number of rows. A group's rows are
+    sorted (on disk, where they are many) and written as they come: no group is held. Without keys all rows are one array."""
+    rows = in_groups(df, keys, datetime_format)
+    df.sparkSession.dataSource.register(GroupArraySink)
+    seen = Observation()
+    key = F.struct(*[F.col(f"`{k}`") for k in keys]) if keys else F.lit(0)
+    marked = rows.select(key.alias("key"), "value").mapInArrow(_marks, "mark boolean, value string")
+    marked.observe(seen, F.count(F.lit(1)).alias("n")).write.format(GroupArraySink.name()).option("path", path).mode("append").save()
+    return seen.get["n"]
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where a key differs from that of the row before."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        code = batch.column(0).to_pylist() if not pa.types.is_integer(batch.column(0).type) else [0] * batch.num_rows
+        mark = [repr(a) != repr(b) for a, b in zip([last, *code[:-1]], code, strict=True)]
+        mark[0] = mark[0] or last is None
+        last = code[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(mark), batch.column(1)], ["mark", "value"])
+
+
+def write_ndjson_groups(df: DataFrame, path: str, keys: list[str], datetime_format: str | None = None) -> int:
+    """Write one file of JSON lines per group, under folders named by the keys; the number of rows. Groups of any size."""
+    seen = Observation()
+    same = {k: f"_{k}" for k in keys if k == "value"}  # the text's own name
+    rows = in_groups(df.withColumnsRenamed(same) if same else df, [same.get(k, k) for k in keys], datetime_format)
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.partitionBy(*[same.get(k, k) for k in keys]).text(path)
+    return seen.get["n"]
 
 
-def json_arrays(df: DataFrame, keys: list[str], datetime_format: str | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """Per group and piece: its rows as one JSON array, in the order of their texts."""
-    return grouped_texts(df, keys, datetime_format, piece_rows).select(*keys, "piece", F.concat(F.lit("["), F.array_join("_all", ","), F.lit("]")).alias("value"), "_n")
+def dump_ndjson_group(df: DataFrame, keys: list[str], datetime_format: str | None = None) -> DataFrame:
+    """Per group: its rows as JSON lines, in the order of their texts. A group's document is one value of a row and has to
+    fit one; ``write_ndjson_groups`` writes documents of any size."""
+    return _documents(df, keys, datetime_format, lambda all_: F.array_join(all_, "\n"))
 
 
-def write_json_array(df: DataFrame, path: str, keys: list[str], datetime_format: str | None = None, piece_rows: int = PIECE_ROWS) -> int:
-    """Write one JSON array per group and piece, a line each; the number of rows."""
-    return _counted(json_arrays(df, keys, datetime_format, piece_rows), path)
+def json_arrays(df: DataFrame, keys: list[str], datetime_format: str | None = None) -> DataFrame:
+    """Per group: its rows as one JSON array, in the order of their texts, as one value of a row."""
+    return _documents(df, keys, datetime_format, lambda all_: F.concat(F.lit("["), F.array_join(all_, ","), F.lit("]")))
 
 
-def dump_ndjson_group(df: DataFrame, keys: list[str], datetime_format: str | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """Per group and piece: its rows as JSON lines, in the order of their texts."""
-    return grouped_texts(df, keys, datetime_format, piece_rows).select(*keys, "piece", F.array_join("_all", "\n").alias("value"))
+def _documents(df: DataFrame, keys: list[str], datetime_format: str | None, put: Callable[[Column], Column]) -> DataFrame:
+    rows = df.select(*[F.col(f"`{k}`") for k in keys], encode_json(df, datetime_format).alias("_j"))
+    return rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(put(F.array_sort(F.collect_list("_j"))).alias("value"))

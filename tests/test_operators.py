@@ -188,12 +188,26 @@ def test_streaming_is_batch(spark, tmp_path):
         assert sorted(map(str, spark.table(f"stream_{name}").collect())) == sorted(map(str, step(spark.read.parquet(path)).collect())), name
 
 
-def test_large_groups_go_in_pieces(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 900, F.lit("hot")).when(F.col("id") < 990, None).otherwise("few").alias("k"), "id")
-    rows = jsonio.json_arrays(df, ["k"], piece_rows=100).collect()
-    sizes = {k: sorted(r._n for r in rows if r.k == k) for k in ("hot", None, "few")}
-    assert sum(sizes["hot"]) == 900 and len(sizes["hot"]) == 9 and max(sizes["hot"]) < 150 and (sizes[None], sizes["few"]) == ([90], [10])
-    assert sorted(x["id"] for r in rows for x in json.loads(r.value)) == list(range(1000))
+def test_one_array_per_group_of_any_size(spark, tmp_path):
+    """Groups that lie over many Arrow batches, of equal rows too, are one array each; so are null and odd keys."""
+    df = spark.range(60_000).select(F.when(F.col("id") < 50_000, F.lit("hot")).when(F.col("id") < 50_090, None).otherwise(F.concat(F.lit("k]\n["), F.col("id") % 9)).alias("k"), F.when(F.col("id") < 50_000, 7).otherwise(F.col("id")).alias("v"))
+    assert jsonio.write_json_array(df, f"{tmp_path}/a", ["k"]) == 60_000
+    arrays = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/a").collect()]
+    sizes = {a[0].get("k"): len(a) for a in arrays}
+    assert len(arrays) == len(sizes) == 11 and all(len({r.get("k") for r in a}) == 1 for a in arrays)
+    assert sizes == {r.k: r["count"] for r in df.groupBy("k").count().collect()} and sizes["hot"] == 50_000
+    assert sorted(r["v"] for a in arrays for r in a) == sorted(r.v for r in df.collect())
+    assert jsonio.write_json_array(df.where("k = 'hot'"), f"{tmp_path}/a", ["k"]) == 50_000  # appends
+    assert spark.read.text(f"{tmp_path}/a").count() == 12 and not [p for p in (tmp_path / "a").iterdir() if "_staging" in p.name]
+    assert jsonio.write_json_array(df.limit(0), f"{tmp_path}/none", ["k"]) == 0
+    assert jsonio.write_json_array(spark.range(5), f"file://{tmp_path}/all", []) == 5
+    assert json.loads(spark.read.text(f"{tmp_path}/all").first()[0]) == [{"id": i} for i in range(5)]
+    with pytest.raises(Exception):  # a task fails: nothing is left
+        jsonio.write_json_array(df.withColumn("v", F.when(F.col("v") == 59_999, F.raise_error(F.lit("late"))).otherwise(F.col("v"))), f"{tmp_path}/bad", ["k"])
+    assert not (tmp_path / "bad").exists() or not list((tmp_path / "bad").rglob("*.json"))
+    assert jsonio.write_ndjson_groups(df, f"{tmp_path}/lines", ["k"]) == 60_000
+    files = [p for p in (tmp_path / "lines").rglob("part-*")]
+    assert len(files) == 11 and sorted(len(p.read_text().splitlines()) for p in files) == sorted(sizes.values())
 
 
 def test_prefix_sums(spark):
