@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import EqualNullSafe, EqualTo, In, LessThan, Not
 
 from tableforge import connect, derive, gen, grouped, hll, jsonin, jsonio, messages, ordinal, results, tdigest
 
@@ -423,9 +424,13 @@ def test_tdigest():
     assert tdigest.quantile(tdigest.Digest(), 0.5) is None and tdigest.quantile(tdigest.Digest(), 0.5, True) == 0.0
 
 
+DEPOTS = pa.table({"code": pa.array([9000, 12, None], pa.uint32()), "opened": pa.array([datetime.date(1998, 5, 1), None, datetime.date(2011, 2, 3)]), "tons": [0.5, float("nan"), -3.0]})
+
+
 @pytest.fixture
 def server():
-    seen = []
+    """Two databases behind one port: it keeps what it was sent, and the labels that it has loaded."""
+    seen, loaded = [], {}
 
     class Handler(BaseHTTPRequestHandler):
         def reply(self, code, body=b"", **headers):
@@ -440,14 +445,21 @@ def server():
             body = self.rfile.read(int(self.headers["Content-Length"]))
             seen.append((self.command, self.path, {k.lower(): v for k, v in self.headers.items()}, body))
             if self.command == "PUT":
-                return self.reply(307, Location="/moved" + self.path) if not self.path.startswith("/moved") else self.reply(200, b'{"Status":"Success"}')
+                if not self.path.startswith("/moved"):
+                    return self.reply(307, Location="/moved" + self.path)
+                label = self.headers.get("label")
+                if label in loaded:
+                    return self.reply(200, b'{"Status":"Label Already Exists","ExistingJobStatus":"FINISHED"}')
+                loaded[label or len(loaded)] = json.loads(body)
+                return self.reply(200, b'{"Status":"Success"}')
             if "sql" in self.path:
-                return self.reply(200, "\n".join(LINES).encode())
+                lines = [x for x in LINES if b"LIMIT 0" not in body or not x.startswith('{"data"')]
+                return self.reply(200, "\n".join(lines + ['{"status":"FAILED","msg":"late"}'] * (b"late" in body and b"LIMIT 0" not in body)).encode())
             if b"INSERT" in body or "INSERT" in self.path:
                 return self.reply(200)
             if b"boom" in body:
                 return self.reply(500, b"no such table")
-            sink, table = pa.BufferOutputStream(), pa.table({"id": pa.array([1, 2], pa.uint64()), "name": ["alice", "bob"]})
+            sink, table = pa.BufferOutputStream(), DEPOTS.slice(0, 0 if b"LIMIT 0" in body else None)
             with pa.ipc.new_stream(sink, table.schema) as w:
                 w.write_table(table)
             return self.reply(200, sink.getvalue().to_pybytes())
@@ -459,26 +471,77 @@ def server():
 
     httpd = HTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=httpd.serve_forever, daemon=True).start()
-    yield f"http://127.0.0.1:{httpd.server_port}", seen
+    yield f"http://127.0.0.1:{httpd.server_port}", seen, loaded
     httpd.shutdown()
 
 
-def test_remote_scans_and_sinks(spark, server):
-    url, seen = server
-    rows = connect.scan_clickhouse(spark, url, "db", "SELECT * FROM t;", predicates=["id = 1", "id = 2"]).collect()
-    assert sorted((int(r.id), r.name) for r in rows) == [(1, "alice"), (1, "alice"), (2, "bob"), (2, "bob")]
-    assert any(b"WHERE id = 2 FORMAT ArrowStream" in body for _, _, _, body in seen)
+def test_remote_scans(spark, server):
+    url, seen, _ = server
+    rows = connect.scan_clickhouse(spark, url, "db", "SELECT * FROM depots;", predicates=["code < 50", "code >= 50"]).collect()
+    assert sorted(str(r.code) for r in rows) == ["12", "12", "9000", "9000", "None", "None"] and {r.opened for r in rows} == {datetime.date(1998, 5, 1), None, datetime.date(2011, 2, 3)}
+    assert any(b"WHERE code >= 50 FORMAT ArrowStream" in body for _, _, _, body in seen)
     with pytest.raises(ValueError):
         connect.scan_clickhouse(spark, url, "db", "SELECT 1 format JSON")
     with pytest.raises(Exception, match="no such table"):
         connect.scan_clickhouse(spark, url, "db", "SELECT boom").collect()
     before = len(seen)
     scanned = connect.scan_starrocks(spark, url, "db", "SELECT 1")
-    assert scanned.count() == 3 and scanned.count() == 3 and len(seen) == before + 1  # one request, however often it is read
-    df = spark.createDataFrame([(1, "alice"), (2, None)], "id int, name string").coalesce(1)
-    assert connect.sink_clickhouse(df, url, "db", "t") == 2 and seen[-1][3] == b'{"id":1,"name":"alice"}\n{"id":2}\n'
+    assert len(seen) == before + 1 and scanned.dtypes[:5] == [("shop", "string"), ("open", "boolean"), ("since", "date"), ("seen", "timestamp_ntz"), ("stock", "bigint")]
+    assert sorted(map(str, scanned.collect())) == sorted(map(str, results.decode_result_lines(spark.createDataFrame([(x,) for x in LINES], "line string")).collect())) and len(seen) == before + 2
+    with pytest.raises(Exception, match="late"):
+        connect.scan_starrocks(spark, url, "db", "SELECT late").collect()
+
+
+def test_filters_go_into_the_remote_query(spark, server):
+    url, seen, _ = server
+    depots = connect.scan_clickhouse(spark, url, "db", "SELECT * FROM depots")
+    asked = lambda df: (df.collect(), seen[-1][3].decode())
+    rows, text = asked(depots.where((F.col("code") > 100) & F.col("opened").isNotNull()).where("opened < DATE '2000-01-01'"))
+    assert len(rows) == 3  # the stub filters nothing, and Spark left these filters to it
+    assert "FROM (SELECT * FROM depots) AS q WHERE" in text and "`code` > 100" in text and "`opened` IS NOT NULL" in text and "`opened` < toDate32('2000-01-01')" in text
+    rows, text = asked(depots.where("tons > 0.1D"))
+    assert "> 0.1" not in text and sorted(r.code for r in rows) == [12, 9000]  # NaN is greatest in Spark: it filters
+    rows, text = asked(connect.scan_clickhouse(spark, url, "db", "SELECT * FROM depots", push_filters=False).where("code > 100"))
+    assert "WHERE" not in text and [r.code for r in rows] == [9000]
+    shops = connect.scan_starrocks(spark, url, "db", "SELECT 1", predicates=["a = 1 OR b"])
+    shops.where("shop = 'it''s \\\\ x' AND seen >= TIMESTAMP_NTZ '2031-01-01 00:00:00' AND stock IN (1, 2) AND shop LIKE 'Qu%' AND NOT (open <=> true)").collect()
+    text = json.loads(seen[-1][3])["query"]
+    assert text.startswith("SELECT * FROM (SELECT 1) AS q WHERE (a = 1 OR b) AND ") and "`shop` = 'it\\'s \\\\ x'" in text and "`seen` >= CAST('2031-01-01 00:00:00.000000' AS DATETIME)" in text
+    assert "`stock` IN (1, 2)" in text and "starts_with(`shop`, 'Qu')" in text
+    connect.scan_starrocks(spark, url, "db", "SHOW TABLES").where("stock = 1").collect()
+    assert json.loads(seen[-1][3])["query"] == "SHOW TABLES"
+    one, two = ("a",), ("s", "f")
+    known = {EqualNullSafe(one, None): "`a` IS NULL", EqualNullSafe(one, 1): "(`a` IS NOT NULL AND `a` = 1)", Not(EqualTo(one, True)): "NOT (`a` = true)", In(one, (1, None)): None, EqualTo(two, 1): None, LessThan(one, 2.5): "`a` < 2.5", EqualTo(one, b"x"): None, EqualTo(one, float("nan")): None, EqualTo(one, decimal.Decimal("1.50")): "`a` = CAST('1.50' AS DECIMAL(3, 2))"}
+    assert {f: connect.remote_filter(f, "starrocks") for f in known} == known
+    cuts = connect.range_predicates("a", 0, 10, 3)
+    assert cuts == ["`a` < 3 OR `a` IS NULL", "`a` >= 3 AND `a` < 6", "`a` >= 6"] and connect.range_predicates("a", 0, 10, 1) == []
+
+
+def test_sinks(spark, server):
+    url, seen, loaded = server
+    df = spark.createDataFrame([(41, "Ürzig", 0.25), (-7, None, None)], "berth int, port string, depth double").coalesce(1)
+    assert connect.sink_clickhouse(df, url, "db", "t") == 2 and seen[-1][3] == '{"berth":41,"port":"Ürzig","depth":0.25}\n{"berth":-7}\n'.encode()
     assert connect.sink_clickhouse(df, url, "db", "t", label="L") == 2 and "insert_deduplication_token=L-0-0" in seen[-1][1]
     assert connect.sink_starrocks(df, url, "db", "t", label="L") == 2
-    assert seen[-1][1].startswith("/moved/api/db/t/_stream_load") and seen[-1][3] == b'[{"id":1,"name":"alice"},{"id":2}]' and seen[-1][2]["label"] == "L-0-0"
+    assert seen[-1][1].startswith("/moved/api/db/t/_stream_load") and loaded["L-0-0"] == [{"berth": 41, "port": "Ürzig", "depth": 0.25}, {"berth": -7}]
+    assert connect.sink_starrocks(df, url, "db", "t", label="L") == 2 and len(loaded) == 1  # known by its label
     with pytest.raises(ValueError):
         connect.sink_clickhouse(df, url, "db", " ")
+
+
+def test_stream_sink_loads_nothing_twice(spark, server, tmp_path):
+    url, seen, loaded = server
+    spark.range(30).coalesce(1).write.parquet(f"{tmp_path}/in/a")
+    start = lambda: connect.stream_sink(spark.readStream.schema("id long").option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in"), f"{tmp_path}/c", "starrocks", url, "db", "t", "root", label="S")
+    start().awaitTermination(120)
+    assert sorted(r["id"] for rows in loaded.values() for r in rows) == list(range(30)) and all(k.startswith("S-0-") for k in loaded)
+    (tmp_path / "c" / "commits" / "0").unlink()  # as if the stream had died before it noted the batch
+    (tmp_path / "c" / "commits" / ".0.crc").unlink(missing_ok=True)
+    before = len(seen)
+    start().awaitTermination(120)
+    assert len(seen) > before and sorted(r["id"] for rows in loaded.values() for r in rows) == list(range(30))
+    spark.range(30, 40).coalesce(1).write.parquet(f"{tmp_path}/in/b")
+    start().awaitTermination(120)
+    assert sorted(r["id"] for rows in loaded.values() for r in rows) == list(range(40)) and any(k.startswith("S-1-") for k in loaded)
+    with pytest.raises(ValueError):
+        connect.stream_sink(spark.readStream.schema("id long").parquet(f"{tmp_path}/in"), "c", "other", url, "db", "t", "root")
