@@ -30,4 +30,7 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
 SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n ON n.doc_id = c.doc_id"""
 
-ORACLES = {"op6_line_frequency_rules": LINE_RULES, "op8_minhash_near_dedup": NEAR_DUPLICATES}
+_SHARE = "100 * held >= {} * (x.n + y.n - held)"
+SIMILAR = NEAR_DUPLICATES.replace(_SHARE.format(75), _SHARE.format(80)).replace(", c.doc_id = component_id AS kept", "")
+
+ORACLES = {"op6_line_frequency_rules": LINE_RULES, "op8_minhash_near_dedup": NEAR_DUPLICATES, "op13_parity_sketch_join": SIMILAR}

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableforge.llm import common, dedup
@@ -39,8 +39,11 @@ SPARE, LEAST_PARTS = 120, 64
 SAMPLE, OFTEN, SLICE = 64, 16, 1 << 18
 #: Bits of a sketch for each shingle of its band's largest set (a power of two, as a sketch is folded to that of a band below).
 BITS = 4
-#: Sets and bytes of sketches in one side of a cell, rounds of stars before cells, pairs with one centre in a task.
-CELL_SETS, CELL_BYTES, STARS, CENTRE_PAIRS = 2048, 1 << 24, 4, 4096
+#: Sets and bytes of sketches in one side of a cell.
+CELL_SETS, CELL_BYTES = 2048, 1 << 24
+#: Rounds of further stars, which are made while cells would have FEW_PAIRS comparisons or more (they cost a shuffle or two
+#: each and find no more than cells do).
+STARS, FEW_PAIRS = 3, 1 << 31
 #: Node names that a task remembers, so as not to send a copy's words again.
 REMEMBERED = 1 << 20
 _U = np.uint64
@@ -151,7 +154,8 @@ def sent_words(df: DataFrame, text_col: str, similarity: int, seed: int) -> Data
 
 
 def kept_words(keys: DataFrame, nodes: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(key, node, size): what each set keeps of the words that other sets have too, where at least one other set keeps it."""
+    """(key, node, size, b): what each set keeps of the words that other sets have too, where at least one other set keeps
+    it; how many do, and the one of them that shares most with others."""
     dealt = keys.join(frequent, "key", "left").withColumn("salt", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(0))
     own = dealt.repartition("key", "salt").dropDuplicates(["key", "salt", "node"])
     counted = own.withColumn("size", F.coalesce("often", F.count(F.lit(1)).over(Window.partitionBy("key", "salt"))))
@@ -159,15 +163,18 @@ def kept_words(keys: DataFrame, nodes: DataFrame, frequent: DataFrame) -> DataFr
     lists = shared.groupBy("node", "level").agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("all"))  # a set's own words
     spare = F.when(F.col("level") == F.col("band"), F.col("own")).otherwise(F.col("low"))
     left = lists.join(nodes.select("node", "band", "own", "low"), "node").withColumn("left", F.size("all") - spare).where("left > 0")
-    kept = common.materialise(left.select("node", F.explode(F.slice("all", F.lit(1), F.col("left"))).alias("x")).select("node", "x.key"), "kept-words")
-    held = kept.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    return kept.join(held, "key")
+    central = F.aggregate("all", F.lit(0).cast("long"), lambda total, x: total + x["size"]).alias("central")
+    kept = common.materialise(left.select("node", central, F.explode(F.slice("all", F.lit(1), F.col("left"))).alias("x")).select("node", "central", "x.key"), "kept-words")
+    held = kept.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("central", "node")).alias("top")).where("size > 1")
+    return kept.join(held, "key").select("key", "node", "size", F.col("top.node").alias("b"))
 
 
-def bit_sketch(value: np.ndarray, bytes_: int) -> bytes:
-    """A parity bit at each of the sketch's places: the low bits of a shingle's hash say which one it turns over."""
-    turned = np.bincount((value & _U(8 * bytes_ - 1)).astype(np.int64), minlength=8 * bytes_) & 1
-    return np.packbits(turned.astype(np.uint8)).tobytes()
+def bit_sketch(value: np.ndarray) -> np.ndarray:
+    """A parity bit at each of the sketch's places, as 64-bit numbers: the low bits of a shingle's hash say which one it
+    turns over. There are BITS places for each shingle of the largest set in the set's band."""
+    places = max(64, BITS << len(value).bit_length())
+    turned = np.bincount((value & _U(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(turned.astype(np.uint8)).view(np.int64)
 
 
 def folded(sketch: np.ndarray, width: int) -> np.ndarray:
@@ -178,6 +185,11 @@ def folded(sketch: np.ndarray, width: int) -> np.ndarray:
     return sketch
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.append(0, np.cumsum(list(map(len, arrays)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64)))
+
+
 def wanted_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, seed: int) -> DataFrame:
     """(node, n, sketch, shingles) of the nodes in ``wanted`` (id, node): their texts are read once more."""
 
@@ -187,14 +199,12 @@ def wanted_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, se
         for lo, value, at in sets_of(batch.column(0)):
             rows = np.flatnonzero(fingerprints(value, at, seed)[0] == want[lo : lo + len(at) - 1])  # an id may have several texts
             own = [value[at[r] : at[r + 1]] for r in rows.tolist()]
-            parts.append((want[lo + rows], own, [bit_sketch(v, max(8, BITS * (1 << len(v).bit_length()) // 8)) for v in own]))
-        sets = sum((p[1] for p in parts), [])
-        sizes = [len(v) for v in sets]
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(np.concatenate([*sets, np.zeros(0, _U)]).view(np.int64)))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[0] for p in parts])), pa.array(sizes, pa.int64()), pa.array(sum((p[2] for p in parts), []), pa.binary()), lists], ["node", "n", "sketch", "shingles"])
+            parts.append((want[lo + rows], own, [bit_sketch(v) for v in own]))
+        sets, sketches = (sum((p[k] for p in parts), []) for k in (1, 2))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[0] for p in parts])), pa.array(list(map(len, sets)), pa.int64()), _lists(sketches), _lists(sets)], ["node", "n", "sketch", "shingles"])
 
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted.select(F.col("id").alias("_id"), "node"), F.col("id").eqNullSafe(F.col("_id"))).select("text", "node")
-    return common.map_arrow(texts, run, "node long, n long, sketch binary, shingles array<long>")
+    return common.map_arrow(texts, run, "node long, n long, sketch array<long>, shingles array<long>")
 
 
 def most_apart(na: np.ndarray, nb: np.ndarray, similarity: int) -> np.ndarray:
@@ -203,41 +213,27 @@ def most_apart(na: np.ndarray, nb: np.ndarray, similarity: int) -> np.ndarray:
 
 
 def beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """a, b and both sides' ``n`` and ``column``. A centre with many pairs goes to several tasks."""
-    ways = pairs.groupBy("b").agg(F.ceil(F.count("*") / CENTRE_PAIRS).cast("int").alias("ways"))
-    salted = pairs.join(ways, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("ways")).cast("int").alias("way"))
-    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(column).alias("xa"))
-    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(column).alias("xb")).join(ways, "b").withColumn("way", F.explode(F.sequence(F.lit(0), F.col("ways") - 1))).drop("ways")
-    return salted.join(one, "a").join(two, ["b", "way"]).select("a", "b", "na", "nb", "xa", "xb")
+    """a, b and both sides' ``n`` and ``column``. The side that many pairs may share is joined first, while rows are small;
+    its copies then lie apart by the other side."""
+    one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col(column).alias(f"x{x}")) for x in "ab")
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "na", "nb", "xa", "xb")
+
+
+def _distance(x: Column, y: Column) -> Column:
+    """The Hamming distance of two sketches; that of a larger set, from the next band, is folded to the other's width."""
+    half = lambda c: F.zip_with(F.slice(c, 1, F.size(c) / 2), F.slice(c, F.size(c) / 2 + 1, F.size(c) / 2), lambda a, b: a.bitwiseXOR(b))
+    one, two = F.when(F.size(x) > F.size(y), half(x)).otherwise(x), F.when(F.size(y) > F.size(x), half(y)).otherwise(y)
+    return F.aggregate(F.zip_with(one, two, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, n: total + n)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough: sizes and sketches rule out, full sets decide."""
-
-    def near(batch: pa.RecordBatch) -> pa.RecordBatch:
-        na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        most, keep = most_apart(na, nb, similarity), []
-        for k, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
-            x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
-            width = min(len(x), len(y))
-            if np.bitwise_count(folded(x, width) ^ folded(y, width)).sum() <= most[k]:
-                keep.append(k)
-        return batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
-    def same(batch: pa.RecordBatch) -> pa.RecordBatch:
-        na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        sides = [(batch.column(k).flatten().to_numpy(), np.append(0, np.cumsum(n))) for k, n in ((4, na), (5, nb))]
-        keep = []
-        for k in range(batch.num_rows):
-            x, y = (flat[at[k] : at[k + 1]] for flat, at in sides)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= similarity * (len(x) + len(y) - both):
-                keep.append(k)
-        return batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
-    sized = beside(pairs, sets, "sketch").where(100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb"))
-    likely = common.materialise(common.map_arrow(sized, near, "a long, b long"), "likely")
-    return common.map_arrow(beside(likely, sets, "shingles"), same, "a long, b long")
+    """The pairs (a, b) that are similar enough: sizes and sketches rule out, full sets decide. The side that many pairs
+    may share is joined first, while rows are small; its copies then lie apart by the other side."""
+    one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"), F.col("shingles").alias(f"s{x}")) for x in "ab")
+    total, both = F.col("na") + F.col("nb"), F.size(F.array_intersect("sa", "sb"))
+    able = (100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb")) & (_distance(F.col("ka"), F.col("kb")) * (100 + similarity) <= total * (100 - similarity))
+    found = pairs.join(two, "b").join(one, "a").where(able).where(100 * both >= similarity * (total - both)).select("a", "b")
+    return common.materialise(found, "found")
 
 
 def cell_pairs(cells: DataFrame, similarity: int) -> DataFrame:
@@ -245,7 +241,9 @@ def cell_pairs(cells: DataFrame, similarity: int) -> DataFrame:
 
     def pairs_of(cell: pa.RecordBatch) -> pa.RecordBatch:
         side, n, node, label = (cell.column(c).to_numpy() for c in ("side", "n", "node", "label"))
-        raw = [np.frombuffer(b, _U) for b in cell.column("sketch").to_pylist()]
+        ends = np.append(0, np.cumsum(cell.column("sketch").value_lengths().to_numpy()))
+        flat = cell.column("sketch").flatten().to_numpy()
+        raw = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         width = min(map(len, raw))
         sketch = np.stack([folded(x, width) for x in raw])
         other, out = np.flatnonzero(side == side.max()), []
@@ -280,30 +278,33 @@ def cell_pairs(cells: DataFrame, similarity: int) -> DataFrame:
 
 
 def linked(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """(node, label) of the sets that have a link: ``members`` (key, node, size) through stars, then cells."""
-    central = members.groupBy("node").agg(F.sum("size").alias("central"))
-    leaders = members.join(central, "node").groupBy("key").agg(F.max(F.struct("central", "node")).alias("top")).select("key", F.col("top.node").alias("b"))
-    stars = members.join(leaders, "key").where("node != b").select(F.col("node").alias("a"), "b").distinct()
+    """(node, label) of the sets that have a link: ``members`` (key, node, size, b) through stars, then cells."""
+    stars = members.where("node != b").select(F.col("node").alias("a"), "b").distinct()
     labels = dedup.components(verified(stars, sets, similarity))
     for turn in range(STARS + 1):
-        own = members.where("size > 2").join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = members.where("size > 2").select("key", "node").join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
         hub = F.max(F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")).alias("hub")
-        open_ = common.materialise(own.groupBy("key").agg(hub, F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n", F.col("hub.node").alias("b"), F.col("hub.label").alias("at")), "open")
-        if open_.isEmpty():
+        open_ = own.groupBy("key").agg(hub, F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+        open_ = common.materialise(open_.select("key", "n", F.col("hub.node").alias("b"), F.col("hub.label").alias("at")), "open")
+        pairs = open_.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0]
+        if pairs is None:  # every word's sets are one component
             return labels
-        if turn < STARS:
+        last_turn = turn == STARS or pairs < FEW_PAIRS
+        if not last_turn:
             more = own.join(open_, "key").where("label != at").select(F.col("node").alias("a"), "b").distinct()
         else:
             bytes_ = F.pow(F.lit(2.0), F.col("key").bitwiseAND(F.lit(31)) + 1) * BITS / 8
             cut = open_.select("key", F.ceil(F.greatest(F.col("n") / CELL_SETS, F.col("n") * bytes_ / CELL_BYTES)).cast("int").alias("parts"))
-            cells = own.select("key", "node", "label").join(cut, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+            cells = own.join(cut, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
             cells = cells.select("key", "node", "label", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"))
             more = cell_pairs(cells.join(sets.select("node", "n", "sketch"), "node"), similarity).distinct()
-        found = common.materialise(verified(more, sets, similarity), "found")
+        found = verified(more, sets, similarity)
         common.drop(open_)
         if not found.isEmpty():
             last, labels = labels, dedup.components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
             common.drop(last)
+        if last_turn:
+            break
     return labels
 
 

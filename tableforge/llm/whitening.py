@@ -116,7 +116,7 @@ def fit(x: DataFrame, components: int = COMPONENTS, guard: int = GUARD, seed: in
 
     if trace <= 0:
         return Whitening(n, sums, np.zeros(0), np.zeros((d, 0)), 0.0, 0.0, passes[0])
-    width = min(d, components + guard)
+    width = min(d, components + max(2, guard))  # what is damped ends below the wanted values
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, width)))[0]
     best = np.inf
     for _ in range(ROUNDS):
