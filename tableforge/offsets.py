@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PART = ["topic", "partition"]
@@ -11,9 +11,28 @@ FEW = 100_000
 
 
 def topic_offsets(log: DataFrame) -> DataFrame:
-    """Per partition: low, high (the next offset) and lag, the retained messages. A missing topic gives no rows."""
-    low, high = F.min("offset"), F.max("offset") + 1
-    return log.groupBy(*PART).agg(low.alias("low"), high.alias("high"), (high - low).alias("lag"))
+    """Per partition: low, high (the next offset) and lag, the retained messages. A missing topic gives no rows. On a
+    ``stored_log`` no message is read."""
+    ends = log.groupBy(*PART).agg(F.min("offset").alias("low"), F.max("offset").alias("last"))
+    return ends.select(*PART, "low", (F.col("last") + 1).alias("high"), (F.col("last") + 1 - F.col("low")).alias("lag"))
+
+
+def write_log(log: DataFrame, path: str) -> None:
+    """Store a log by topic and partition, each sorted by offset: questions about offsets then read footers, and questions
+    about one partition or a range of offsets read little else."""
+    log.repartition(*PART).sortWithinPartitions(*PART, "offset").write.partitionBy(*PART).parquet(path)
+
+
+def stored_log(spark: SparkSession, path: str) -> DataFrame:
+    """A log that ``write_log`` stored, by the reader that takes counts, least and largest values from Parquet footers. This
+    turns the session's spark.sql.parquet.aggregatePushdown on."""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    listed = spark.conf.get("spark.sql.sources.useV1SourceList")
+    try:  # the reader is chosen here, for this frame alone
+        spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in listed.split(",") if x != "parquet"))
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", listed)
 
 
 def group_lag(log: DataFrame, commits: DataFrame, group_id: str) -> DataFrame:

@@ -51,6 +51,16 @@ def topic_offsets(spark, sf_dir):
     return offsets.topic_offsets(log(spark, sf_dir))
 
 
+@query(_LOG + 'SELECT topic, CAST("partition" AS BIGINT) AS "partition", low, high, lag, messages FROM (SELECT topic, "partition", low, high, high - low AS lag FROM per) JOIN (SELECT "partition", count(*) AS messages FROM log GROUP BY 1) USING ("partition")')
+def stored_log_offsets(spark, sf_dir):
+    """The log stored by topic and partition, whose offsets and numbers of messages come from footers."""
+    path = shared.new_path(spark, "log")
+    offsets.write_log(log(spark, sf_dir), path)
+    stored = offsets.stored_log(spark, path)
+    counted = stored.groupBy(*offsets.PART).agg(F.count("*").alias("messages"))
+    return offsets.topic_offsets(stored).join(counted, offsets.PART).withColumn("partition", F.col("partition").cast("long"))
+
+
 @query(_LOG + 'SELECT topic, "partition", coalesce(committed, 0) AS committed, high, high - coalesce(committed, 0) AS lag FROM per LEFT JOIN com USING ("partition")')
 def group_lag(spark, sf_dir):
     messages_ = log(spark, sf_dir)

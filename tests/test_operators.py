@@ -3,6 +3,7 @@
 import datetime
 import decimal
 import json
+import re
 import struct
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import EqualNullSafe, EqualTo, In, LessThan, Not
 
-from tableforge import connect, derive, gen, grouped, hll, jsonin, jsonio, messages, ordinal, results, tdigest
+from tableforge import connect, derive, gen, grouped, hll, jsonin, jsonio, messages, offsets, ordinal, results, tdigest
 
 
 def test_ndjson_and_array(spark, tmp_path):
@@ -211,6 +212,20 @@ def test_one_array_per_group_of_any_size(spark, tmp_path):
     assert len(files) == 11 and sorted(len(p.read_text().splitlines()) for p in files) == sorted(sizes.values())
 
 
+def test_stored_log_answers_from_footers(spark, tmp_path):
+    log = spark.range(1000).select(F.lit("t").alias("topic"), (F.col("id") % 3).cast("int").alias("partition"), (F.col("id") + 50).alias("offset"), F.col("id").cast("string").cast("binary").alias("value"), F.timestamp_seconds("id").alias("timestamp"))
+    offsets.write_log(log, f"{tmp_path}/log")
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    stored = offsets.stored_log(spark, f"{tmp_path}/log")
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    found = offsets.topic_offsets(stored)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(offset), MAX(offset)]" in plan and "PushedGroupBy: [topic, partition]" in plan and "value" not in plan
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, offsets.topic_offsets(log).collect()))
+    one = stored.where("partition = 1 AND offset > 900")
+    assert one.count() == log.where("partition = 1 AND offset > 900").count() and re.search(r"partition#\d+ = 1", one._jdf.queryExecution().executedPlan().toString())
+
+
 def test_prefix_sums(spark):
     df = spark.range(500).select((F.col("id") * 7).alias("i"), (F.col("id") % 3).alias("d"), (F.col("id") % 2).alias("g"))
     found = ordinal.with_prefix_sum(df.repartition(5), "i", F.col("d"), "before", block=4, by=("g",)).collect()
