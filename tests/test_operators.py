@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import EqualNullSafe, EqualTo, In, LessThan, Not
 
-from tableforge import connect, derive, gen, grouped, hll, jsonin, jsonio, messages, offsets, ordinal, results, tdigest
+from tableforge import connect, derive, gen, grouped, hll, jsonin, jsonio, messages, offsets, ordinal, results, sqlfunctions, tdigest
 
 
 def test_ndjson_and_array(spark, tmp_path):
@@ -363,6 +363,23 @@ def test_sketch_functions_in_sql(spark):
     assert list(one) == [300, 150, 300, 149, scalar_murmur3(b"hello"), None]
 
 
+def test_table_functions_in_sql(spark):
+    sqlfunctions.register_table_functions(spark)
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("a b"), (F.col("id") % 2).cast("string").alias("c"), (F.col("id") % 900).alias("v"), F.when(F.col("id") % 5 > 0, F.col("id") / 7).alias("x"))
+    df.createOrReplaceTempView("rows_of_table")
+    for keys in (["a b"], ["a b", "c"], []):
+        found = spark.sql(f"SELECT * FROM hll_sketch(TABLE(rows_of_table), '{', '.join(keys)}', 'v')")
+        assert found.columns == [*keys, "sketch"]
+        assert sorted(map(str, found.collect())) == sorted(map(str, hll.hll_agg(df, keys, "v").collect()))
+        counts = spark.sql(f"SELECT tdigest_count(digest) AS n, tdigest_value_at(digest, 0.5D) AS m FROM tdigest_sketch(TABLE(rows_of_table), '{', '.join(keys)}', 'x')").collect()
+        assert sum(r.n for r in counts) == 4800 and all(abs(r.m - 428) < 6 for r in counts)
+    for bad in ("TABLE(rows_of_table), 'nope', 'v'", "TABLE(rows_of_table), 'c', 'nope'", "TABLE(SELECT array(id) AS v FROM range(3)), '', 'v'"):
+        with pytest.raises(Exception, match="no such column|can't be counted"):
+            spark.sql(f"SELECT * FROM hll_sketch({bad})").collect()
+    sqlfunctions.register_generated(spark, "made_rows", '[{"name": "id", "type": "sequence"}, {"name": "side", "type": "string", "options": ["l", "r"], "random": false}]', 500)
+    assert spark.sql("SELECT side, sum(id) FROM made_rows GROUP BY side ORDER BY side").collect() == [("l", 62250), ("r", 62500)]
+
+
 def test_hll_large_groups(spark):
     df = spark.range(20_000).withColumn("k", F.col("id") % 2)
     halves = hll.hll_agg(df.withColumn("part", F.col("id") % 3), ["k", "part"], "id")
