@@ -58,8 +58,9 @@ def hll_hash(value: Column, portable: bool = False) -> Column:
     return murmur3_udf()(value) if portable else F.xxhash64(value)
 
 
-def _rows(df: DataFrame, keys: list[str], value: str, log2m: int, regwidth: int, portable: bool) -> DataFrame:
-    h = df.where(F.col(value).isNotNull()).select(*grouped.key_columns(df, keys), hll_hash(F.col(value), portable).alias("_h"))
+def _rows(df: DataFrame, keys: list[str], value: str, log2m: int, regwidth: int, portable: bool, hashed: bool = False) -> DataFrame:
+    own = F.col(value).cast("long") if hashed else hll_hash(F.col(value), portable)
+    h = df.where(F.col(value).isNotNull()).select(*grouped.key_columns(df, keys), own.alias("_h"))
     return h.select(*[F.col(f"`{k}`") for k in keys], "_h", *(c.alias(n) for c, n in zip(register(F.col("_h"), log2m, regwidth), ("_idx", "_reg"), strict=True)))
 
 
@@ -147,14 +148,14 @@ def union_bytes(raws: list[bytes], log2m: int = 12, regwidth: int = 6) -> bytes:
     return sketch.to_bytes()
 
 
-def hll_agg(df: DataFrame, keys: list[str], value: str, log2m: int = 12, regwidth: int = 6, portable: bool = True) -> DataFrame:
-    """keys and ``sketch`` bytes, of portable hashes or (faster, no Python) of xxhash64. Groups that may be explicit are
-    read a second time for their hashes."""
+def hll_agg(df: DataFrame, keys: list[str], value: str, log2m: int = 12, regwidth: int = 6, portable: bool = True, hashed: bool = False) -> DataFrame:
+    """keys and ``sketch`` bytes, of portable hashes or (faster, no Python) of xxhash64; ``hashed``: the values are 64-bit
+    hashes already. Groups that may be explicit are read a second time for their hashes."""
     limits(log2m, regwidth)
     kind = df.schema[value].dataType
     if not hashable(kind):
         raise ValueError(f"values of type {kind.simpleString()} can't be counted")
-    rows = _rows(df, keys, value, log2m, regwidth, portable)
+    rows = _rows(df, keys, value, log2m, regwidth, portable, hashed)
     return sketches_of(rows.withColumn("_explicit", F.lit(True)), keys, log2m, regwidth)
 
 
@@ -223,7 +224,8 @@ def sketches_of(rows: DataFrame, keys: list[str], log2m: int, regwidth: int) ->
     words = _packed_words(F.flatten(F.transform("_all", lambda x: x["_words"])), F.col("_filled"), log2m + regwidth)
     body = F.when(F.col("_hashes").isNotNull(), F.concat(head("explicit"), "_hashes")).when(F.col("_filled") == 0, F.when(F.col("_explicit"), head("empty")).otherwise(head("sparse")))
     body = body.when(F.col("_filled") <= sparse, F.concat(head("sparse"), words)).otherwise(F.concat(head("full"), full))
-    return out.select(*same, F.unhex(body).alias("sketch"))
+    # one value from an array of one: a step that later projections aren't merged with, as Python UDFs take no lambdas
+    return out.select(*same, F.explode(F.array(F.unhex(body))).alias("sketch"))
 
 
 def _most(code: np.ndarray, idx: np.ndarray, reg: np.ndarray, log2m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -255,6 +255,39 @@ def hll_registers(spark, sf_dir):
     return said.join(hll.estimate_of_registers(registers, ["l_returnflag"]).withColumn("estimate", F.round("estimate", 3)), "l_returnflag")
 
 
+def facts_sql(table: str, key: str, value: str) -> str:
+    """What a sketch of ``value * SPREAD`` holds for each key: its state, registers and estimate, at any size."""
+    return f"""WITH h AS (SELECT {key}, CAST(CAST({value} AS HUGEINT) * {SPREAD} % 18446744073709551616 AS UBIGINT) AS h FROM {table} WHERE {value} IS NOT NULL),
+d AS (SELECT {key}, count(DISTINCT h) AS n FROM h GROUP BY 1),
+r AS (SELECT {key}, h & 4095 AS i, max(CASE WHEN h >> 12 = 0 THEN 0 ELSE bit_count(CAST(CAST((h >> 12) & 18446744073709551615 AS HUGEINT) - (CAST(h >> 12 AS HUGEINT) & CAST((h >> 12) - 1 AS HUGEINT)) - 1 AS BIGINT)) + 1 END) AS reg FROM h GROUP BY 1, 2),
+s AS (SELECT {key}, count(*) FILTER (reg > 0) AS filled, CAST(sum(reg) AS BIGINT) AS total, sum(CASE WHEN reg > 0 THEN pow(2.0, -reg) ELSE 0 END) AS inverse FROM r GROUP BY 1)
+SELECT {key}, n <= 384 AS explicit, filled, total, round(CASE WHEN n <= 384 THEN n WHEN filled < 4096 AND 0.7213 / (1 + 1.079 / 4096) * 4096 * 4096 / (inverse + 4096 - filled) < 10240 THEN 4096 * ln(4096.0 / (4096 - filled)) ELSE 0.7213 / (1 + 1.079 / 4096) * 4096 * 4096 / (inverse + 4096 - filled) END, 3) AS estimate FROM s JOIN d USING ({key})"""
+
+
+def facts(sketches: DataFrame, key: str) -> DataFrame:
+    """The same of sketch bytes."""
+    registers = hll.hll_decode(sketches, [key]).groupBy(key, "_idx").agg(F.max("_reg").alias("reg"), F.bool_and("_explicit").alias("e"))
+    held = registers.groupBy(key).agg(F.bool_and("e").alias("explicit"), F.count(F.when(F.col("reg") > 0, 1)).alias("filled"), F.sum("reg").cast("long").alias("total"))
+    return held.join(sketches.select(key, F.round(hll.hll_sketch_estimate(F.col("sketch")), 3).alias("estimate")), key)
+
+
+def spread(spark, sf_dir, table_: str, key: str, value: str, *more: str) -> DataFrame:
+    return derive.derive_columns(table(spark, sf_dir, table_).select(key, value, *more), [("h", f"{value} * {SPREAD}L")])
+
+
+@query(facts_sql("events", "event_type", "user_id"))
+def hll_agg_facts(spark, sf_dir):
+    return facts(hll.hll_agg(spread(spark, sf_dir, "events", "event_type", "user_id"), ["event_type"], "h", hashed=True), "event_type")
+
+
+@query(facts_sql("lineitem", "l_shipyear", "l_partkey").replace("FROM lineitem", "FROM (SELECT *, CAST(year(l_shipdate) AS INTEGER) AS l_shipyear FROM lineitem)"))
+def hll_union_facts(spark, sf_dir):
+    """Unions of a sketch for each day: explicit, sparse and full ones."""
+    rows = spread(spark, sf_dir, "lineitem", "l_shipdate", "l_partkey")
+    daily = hll.hll_agg(rows.withColumns({"day": F.to_date("l_shipdate"), "l_shipyear": F.year("l_shipdate")}), ["l_shipyear", "day"], "h", hashed=True)
+    return facts(hll.hll_union_agg(daily, ["l_shipyear"]), "l_shipyear")
+
+
 #: murmur3 of the event types, computed apart from the library by the scalar version in the tests.
 HASHES = {"click": 6376312265649702947, "error": 4315425334794612008, "purchase": 7930085193010132652, "signup": 7210676476505607356, "view": -6546438668635327833}
 
