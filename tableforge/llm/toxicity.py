@@ -7,7 +7,7 @@ Examples are laid out in blocks of 64 by their heaviest term. The COMMON most fr
 least, are kept by example, with the largest weight in each block; all others as postings. A query adds up the postings
 of its rarer terms. The block maxima of its common terms then bound what the examples of a block can still gain, and
 only examples that can reach its K-th best sum are completed, so its neighbours are exact. Similarity-weighted votes
-are calibrated by isotonic regression on leave-one-out votes, weighted to the labels' ratio.
+are calibrated by isotonic regression on the votes of held-back folds, weighted to the labels' ratio.
 
 Null text is empty. A text without any of the terms has no neighbours: its score is the rate of such examples. Equal
 texts have equal scores; ties between neighbours go to the first example. Without labels every score is 0. Texts are
@@ -17,6 +17,7 @@ rows. Only the named columns are read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -30,7 +31,7 @@ from tableforge.llm import common, sampling
 
 #: Bound of the examples, beside sampling.TOTAL_CHARS.
 PER_CLASS = 1500
-BLOCK, NEIGHBOURS, COMMON = 64, 15, 128
+BLOCK, NEIGHBOURS, COMMON, FOLDS = 64, 15, 128, 5
 #: Queries that are scored together and the postings that they may read (one query may read more), and pairs of query
 #: and example that are completed together. They bound memory, never results.
 QUERIES, READ, PAIRS = 64, 1 << 21, 1 << 14
@@ -161,25 +162,16 @@ def document_counts(docs: DataFrame, number: dict[bytes, int], text_col: str) ->
     return int(out[-1]), out[:-1]
 
 
-def fit(docs: DataFrame, train: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Index:
-    """An index of examples among ``train``; term statistics over all ``docs``."""
-    rows, class_counts = sampling.labelled_sample(train, labels, label, PER_CLASS, id_col, text_col)
-    y, raws = np.array([r[2] for r in rows], np.int64), [r[1].encode("utf-8", "surrogatepass") for r in rows]
-    number = {t: k for k, t in enumerate(sorted({t for raw in raws for words in words_of(raw) for t in words}))}
-    none = np.zeros(0, np.int64)
-    index = Index([], none, number, np.ones(len(number)), none, np.zeros((0, 0)), np.zeros((0, 0)), none, none, np.zeros(0))
-    if not number:
-        index.empty = class_counts.get(1, 0) / max(1, sum(class_counts.values()))
-        return index
-    n, counts = document_counts(docs, number, text_col)
-    row, term, _ = term_counts(raws, number)
-    toxic = np.bincount(term, y[row] == 1, len(number))
-    clean = np.bincount(term, y[row] != 1, len(number))
-    index.scale = np.log((1 + n) / (1 + np.minimum(counts, n))) * np.log2(2 + toxic / np.maximum(1, clean)) ** 2 + 1e-3
+def relevance(y: np.ndarray, row: np.ndarray, term: np.ndarray, n_terms: int) -> np.ndarray:
+    """How telling each term is among examples with these labels: log2(2 + toxic / clean ones with it), squared."""
+    toxic, clean = np.bincount(term, y[row] == 1, n_terms), np.bincount(term, y[row] != 1, n_terms)
+    return np.log2(2 + toxic / np.maximum(1, clean)) ** 2
+
+
+def filled(index: Index, raws: list[bytes], y: np.ndarray, ids: list[str]) -> np.ndarray:
+    """Lay the examples that have terms out in ``index``, by their heaviest term; which of them have none."""
     row, term, value = index.vectors(raws)
-    weight = np.array([class_counts[c] / max(1, int((y == c).sum())) for c in y])
     zero = np.bincount(row, minlength=len(y)) == 0
-    index.empty = float((weight * y)[zero].sum() / weight[zero].sum()) if zero.any() else float((weight * y).sum() / weight.sum())
     heaviest = np.full(len(y), -1)
     order = np.lexsort((value, row))
     last = np.append(row[order][1:] != row[order][:-1], True)
@@ -188,14 +180,45 @@ def fit(docs: DataFrame, train: DataFrame, labels: DataFrame, label: str = "toxi
     some = some[np.lexsort((some, heaviest[some]))]
     place = np.full(len(y), -1)
     place[some] = np.arange(len(some))
-    index.ids, index.labels = [str(rows[i][0]) for i in some], y[some]
+    index.ids, index.labels = [ids[i] for i in some], y[some]
     lay_out(index, place[row], term, value)
-    similarity, example = index.search([raws[i] for i in some], NEIGHBOURS + 1)
-    own = example == np.arange(len(some))[:, None]
-    own[~own.any(1), -1] = True  # equal texts fill all places
-    vote = index.votes(np.where(own, 0.0, similarity), np.where(own, -1, example))
-    ok = ~np.isnan(vote)
-    index.knots = sampling.isotonic(vote[ok].tolist(), index.labels[ok].tolist(), weight[some][ok].tolist()) if ok.any() else ((0.0,), (0.0,))
+    return zero
+
+
+def fit(docs: DataFrame, train: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Index:
+    """An index of examples among ``train``; term statistics over all ``docs``. Votes are calibrated on FOLDS: each fold's
+    examples are scored by the others, with weights in which their own labels don't count."""
+    rows, class_counts = sampling.labelled_sample(train, labels, label, PER_CLASS, id_col, text_col)
+    y, raws, ids = np.array([r[2] for r in rows], np.int64), [r[1].encode("utf-8", "surrogatepass") for r in rows], [str(r[0]) for r in rows]
+    number = {t: k for k, t in enumerate(sorted({t for raw in raws for words in words_of(raw) for t in words}))}
+    none = np.zeros(0, np.int64)
+    empty = lambda: Index([], none, number, np.ones(len(number)), none, np.zeros((0, 0)), np.zeros((0, 0)), none, none, np.zeros(0))
+    index = empty()
+    if not number:
+        index.empty = class_counts.get(1, 0) / max(1, sum(class_counts.values()))
+        return index
+    n, counts = document_counts(docs, number, text_col)
+    rarity = np.log((1 + n) / (1 + np.minimum(counts, n)))
+    row, term, _ = term_counts(raws, number)
+    index.scale = rarity * relevance(y, row, term, len(number)) + 1e-3
+    zero = filled(index, raws, y, ids)
+    weight = np.array([class_counts[c] / max(1, int((y == c).sum())) for c in y])
+    index.empty = float((weight * y)[zero].sum() / weight[zero].sum()) if zero.any() else float((weight * y).sum() / weight.sum())
+    votes = np.full(len(y), np.nan)
+    fold = np.array([zlib.crc32(raw) for raw in raws]) % FOLDS  # equal texts lie in one fold
+    for k in np.unique(fold).tolist():
+        out, others = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        within = np.isin(row, others)
+        part = empty()
+        part.scale = rarity * relevance(y, row[within], term[within], len(number)) + 1e-3
+        if len(others):
+            filled(part, [raws[i] for i in others], y[others], [ids[i] for i in others])
+        if len(part.ids):
+            votes[out] = part.votes(*part.search([raws[i] for i in out], NEIGHBOURS))
+    ok = ~np.isnan(votes)
+    vote, of = np.unique(votes[ok], return_inverse=True)  # equal votes have one rate
+    total, toxic = np.bincount(of, weight[ok]), np.bincount(of, (weight * y)[ok])
+    index.knots = sampling.isotonic(vote.tolist(), (toxic / total).tolist(), total.tolist()) if ok.any() else ((0.0,), (0.0,))
     return index
 
 

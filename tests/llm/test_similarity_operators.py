@@ -293,3 +293,21 @@ def test_frequent_words_are_dealt(spark, monkeypatch):
     for name, value in (("SAMPLE", 2), ("OFTEN", 4), ("SLICE", 16)):
         monkeypatch.setattr(parity_join, name, value)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in parity_join.similarity_classes(df).collect()} == classes_by_hand(shingle_sets(rows), 80)
+
+
+# --- calibration of toxicity ---
+
+
+def test_equal_votes_have_one_rate_and_scores_are_rates(spark):
+    """Held-out documents of sf0.1: in every range of scores the share of toxic ones is what the scores say."""
+    from tableforge.llm import toxicity
+
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("toxic IS NOT NULL").select("doc_id", "toxic")
+    rows = toxicity.op9_toxicity(spark, sf).where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").toPandas()
+    assert len(rows) > 800 and abs(rows.score.mean() - rows.toxic.mean()) < 0.02
+    for low, high in ((0, 0.05), (0.05, 0.2), (0.2, 0.5), (0.5, 0.8), (0.8, 1.01)):
+        own = rows[(rows.score >= low) & (rows.score < high)]
+        assert len(own) < 20 or abs(own.score.mean() - own.toxic.mean()) < 0.05
+    hit = int((rows.predicted * rows.toxic).sum())
+    assert hit >= 0.95 * rows.predicted.sum() and hit >= 0.94 * rows.toxic.sum()
