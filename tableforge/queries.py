@@ -324,6 +324,15 @@ def tdigest_quantile(spark, sf_dir):
     return ranks_within(spark, sf_dir, digest(spark, sf_dir))
 
 
+@query("SELECT l_returnflag, unnest([1, 25, 50, 75, 99]) AS q, unnest([1, 25, 50, 75, 99]) AS percent_below FROM (SELECT DISTINCT l_returnflag FROM lineitem)")
+def tdigest_quantile_ranks(spark, sf_dir):
+    """How many percent of the values lie at or below the digest's value at each q."""
+    qs = [1, 25, 50, 75, 99]
+    values = digest(spark, sf_dir).select("l_returnflag", tdigest.tdigest_quantile(F.col("digest"), [q / 100 for q in qs]).alias("v"))
+    ranks = table(spark, sf_dir, "lineitem").join(values, "l_returnflag").groupBy("l_returnflag").agg(*[F.avg((F.col("l_extendedprice") <= F.col("v")[k]).cast("double")).alias(f"r{k}") for k in range(len(qs))])
+    return ranks.select("l_returnflag", F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.round(100 * F.col(f"r{k}")).cast("int").alias("p")) for k, q in enumerate(qs)])).alias("x")).select("l_returnflag", "x.q", F.col("x.p").alias("percent_below"))
+
+
 def means(digests: DataFrame) -> DataFrame:
     """Weight and weighted mean of each digest's centroids, which keep those of the values."""
     rows = tdigest.tdigest_decode(digests, ["l_returnflag"]).groupBy("l_returnflag")
@@ -400,6 +409,23 @@ shares("gen_string_regex", {"name": "a", "type": "string", "regex": r"\d{3}-\d{2
 shares("gen_ipv4", {"name": "a", "type": "ipv4", "start": "10.0.0.0", "end": "10.0.0.255"}, checks={"matches": lambda: F.bool_and(F.col("a").rlike(r"^10\.0\.0\.\d{1,3}$"))})
 shares("gen_ipv6", {"name": "a", "type": "ipv6", "start": "2001:db8::", "end": "2001:db8::ffff"}, checks={"matches": lambda: F.bool_and(F.col("a").rlike(r"^2001:db8::[0-9a-f]{0,4}$"))})
 shares("gen_binary", {"name": "a", "type": "binary", "len": 6}, {"name": "b", "type": "binary", "options": ["00ff", "aGk=", "é"], "random": False, "out_type": "hex"}, checks={"long": lambda: F.bool_and(F.octet_length("a") == 6), "kinds": lambda: F.array_sort(F.collect_set("b")) == F.array(F.lit("00ff"), F.lit("6869"), F.lit("c3a9"))})
+@query("""SELECT count(*) AS n_rows, 16 AS texts, 'xxxx' AS first_text, 'yyyy' AS last_text, 4 * count(*) AS letters, 8 AS addresses, '10.0.0.8' AS first_address, '10.0.0.15' AS last_address, 6 * count(*) AS bytes, 7 AS byte_values,
+count(*) FILTER (o_orderkey % 3 = 2) AS third_option, 4 AS ranges, count(*) AS pattern_matches FROM orders""")
+def gen_text_facts(spark, sf_dir):
+    """What random texts, addresses and bytes have in common at any size: all values that they may take, and no others."""
+    out = made(
+        spark, sf_dir, {"name": "t", "type": "string", "chars": "xy", "len": 4}, {"name": "ip", "type": "ipv4", "start": "10.0.0.8", "end": "10.0.0.15"}, {"name": "b", "type": "binary", "len": 6},
+        {"name": "o", "type": "binary", "options": ["00ff", "aGk=", "é"], "random": False, "out_type": "hex"}, {"name": "r", "type": "string", "regex": "[a-d]-\\d{3}"},
+    )
+    last = F.split_part("ip", F.lit("."), F.lit(4)).cast("int")
+    values = F.array_distinct(F.flatten(F.collect_set(F.transform(F.sequence(F.lit(1), F.lit(6)), lambda k: F.hex(F.substring(F.col("b"), k, F.lit(1)))))))
+    return out.agg(
+        F.count("*").alias("n_rows"), F.countDistinct("t").cast("int").alias("texts"), F.min("t").alias("first_text"), F.max("t").alias("last_text"), F.sum(F.length("t")).alias("letters"),
+        F.countDistinct("ip").cast("int").alias("addresses"), F.min_by("ip", last).alias("first_address"), F.max_by("ip", last).alias("last_address"), F.sum(F.octet_length("b")).alias("bytes"), F.size(values).alias("byte_values"),
+        F.count(F.when(F.col("o") == "c3a9", 1)).alias("third_option"), F.countDistinct(F.substring("r", 1, 1)).cast("int").alias("ranges"), F.count(F.when(F.col("r").rlike(r"^[a-d]-\d{3}$"), 1)).alias("pattern_matches"),
+    )
+
+
 generated("gen_struct", "{'side': CASE r % 3 WHEN 0 THEN 'left' WHEN 1 THEN 'right' ELSE 'both' END, 'turn': 2 * r, 'open': r % 2 = 1} AS gate", {"name": "gate", "type": "struct", "fields": [{"name": "side", "type": "string", "options": ["left", "right", "both"], "random": False}, {"name": "turn", "type": "sequence", "step": 2}, {"name": "open", "type": "boolean", "random": False}]})
 generated("gen_union", "CASE WHEN r % 6 = 0 THEN CAST(r // 6 % 4 AS INTEGER) END AS grade, CASE WHEN r % 6 BETWEEN 1 AND 3 THEN r // 6 * 3 + r % 6 - 1 END AS serial, CASE WHEN r % 6 > 3 THEN CASE (r // 6 * 2 + r % 6 - 4) % 2 WHEN 0 THEN 'x' ELSE 'y' END END AS mark", {"name": "u", "type": "union", "random": False, "union_fields": [{"weight": 1, "fields": [{"name": "grade", "type": "int", "min": 0, "max": 4, "random": False}]}, {"weight": 3, "fields": [{"name": "serial", "type": "sequence"}]}, {"weight": 2, "fields": [{"name": "mark", "type": "string", "options": ["x", "y"], "random": False}]}]})
 shares("wrap_null", {"name": "a", "type": "sequence", "null_rate": 0.2}, checks={"rate": lambda: F.abs(F.avg(F.col("a").isNull().cast("double")) - 0.2) < 0.05, "gapless": lambda: F.max("a") == F.count("a") - 1})
