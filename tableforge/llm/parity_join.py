@@ -230,9 +230,9 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) that are similar enough: sizes and sketches rule out, full sets decide. The side that many pairs
     may share is joined first, while rows are small; its copies then lie apart by the other side."""
     one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"), F.col("shingles").alias(f"s{x}")) for x in "ab")
-    total, both = F.col("na") + F.col("nb"), F.size(F.array_intersect("sa", "sb"))
+    total, both = F.col("na") + F.col("nb"), F.size(F.array_intersect("sa", "sb"))  # asked for once
     able = (100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb")) & (_distance(F.col("ka"), F.col("kb")) * (100 + similarity) <= total * (100 - similarity))
-    found = pairs.join(two, "b").join(one, "a").where(able).where(100 * both >= similarity * (total - both)).select("a", "b")
+    found = pairs.join(two, "b").join(one, "a").where(able).where((100 + similarity) * both >= similarity * total).select("a", "b")
     return common.materialise(found, "found")
 
 
