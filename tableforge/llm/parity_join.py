@@ -236,25 +236,28 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return common.materialise(found, "found")
 
 
+def pairs_of(cell: pa.RecordBatch, similarity: int) -> pa.RecordBatch:
+    """(a, b): pairs of a cell's sets in different components that their sketches don't rule out: those of its two parts, or
+    of its only one."""
+    side, n, node, label = (cell.column(c).to_numpy() for c in ("side", "n", "node", "label"))
+    ends = np.append(0, np.cumsum(cell.column("sketch").value_lengths().to_numpy()))
+    flat = cell.column("sketch").flatten().to_numpy().view(_U)  # bits are counted of numbers without a sign
+    raw = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    width = min(map(len, raw))
+    sketch = np.stack([folded(x, width) for x in raw])
+    other, out = np.flatnonzero(side == side.max()), []
+    for i in np.flatnonzero(side == side.min()).tolist():
+        to = other[(label[other] != label[i]) & (100 * np.minimum(n[other], n[i]) >= similarity * np.maximum(n[other], n[i]))]
+        if side[i] == side.max():
+            to = to[to > i]
+        to = to[np.bitwise_count(sketch[to] ^ sketch[i]).sum(1) <= most_apart(n[to], n[i], similarity)]
+        out.append(np.stack([np.full(len(to), node[i]), node[to]], 1))
+    pairs = np.concatenate([*out, np.zeros((0, 2), np.int64)])
+    return pa.RecordBatch.from_arrays([pa.array(pairs.min(1, initial=(1 << 63) - 1)), pa.array(pairs.max(1, initial=-(1 << 63)))], ["a", "b"])
+
+
 def cell_pairs(cells: DataFrame, similarity: int) -> DataFrame:
-    """(a, b): pairs of different components of a cell that their sketches don't rule out. A cell's rows lie together."""
-
-    def pairs_of(cell: pa.RecordBatch) -> pa.RecordBatch:
-        side, n, node, label = (cell.column(c).to_numpy() for c in ("side", "n", "node", "label"))
-        ends = np.append(0, np.cumsum(cell.column("sketch").value_lengths().to_numpy()))
-        flat = cell.column("sketch").flatten().to_numpy()
-        raw = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        width = min(map(len, raw))
-        sketch = np.stack([folded(x, width) for x in raw])
-        other, out = np.flatnonzero(side == side.max()), []
-        for i in np.flatnonzero(side == side.min()).tolist():
-            to = other[(label[other] != label[i]) & (100 * np.minimum(n[other], n[i]) >= similarity * np.maximum(n[other], n[i]))]
-            if side[i] == side.max():
-                to = to[to > i]
-            to = to[np.bitwise_count(sketch[to] ^ sketch[i]).sum(1) <= most_apart(n[to], n[i], similarity)]
-            out.append(np.stack([np.full(len(to), node[i]), node[to]], 1))
-        pairs = np.concatenate([*out, np.zeros((0, 2), np.int64)])
-        return pa.RecordBatch.from_arrays([pa.array(pairs.min(1, initial=(1 << 63) - 1)), pa.array(pairs.max(1, initial=-(1 << 63)))], ["a", "b"])
+    """``pairs_of`` every cell. A cell's rows lie together; one that goes over Arrow batches is put together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -266,12 +269,12 @@ def cell_pairs(cells: DataFrame, similarity: int) -> DataFrame:
             cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1).tolist(), len(ids)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if waiting and (a or tuple(ids[a]) != name):
-                    yield pairs_of(pa.concat_batches(waiting))
+                    yield pairs_of(pa.concat_batches(waiting), similarity)
                     waiting = []
                 waiting.append(batch.slice(a, b - a))
             name = tuple(ids[-1])
         if waiting:
-            yield pairs_of(pa.concat_batches(waiting))
+            yield pairs_of(pa.concat_batches(waiting), similarity)
 
     order = ["key", "i", "j"]
     return cells.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, "a long, b long")

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tableforge.llm import fm_index, parity_join, spelling, whitening
@@ -257,12 +258,26 @@ def test_sketches_bound_the_difference():
     for n in (5, 60, 700):
         a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
         b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 1 << 63, n, dtype=np.uint64)]))
-        one, two = parity_join.bit_sketch(a), parity_join.bit_sketch(b)
+        one, two = parity_join.bit_sketch(a).view(np.uint64), parity_join.bit_sketch(b).view(np.uint64)
         width = min(len(one), len(two))
         distance = int(np.bitwise_count(parity_join.folded(one, width) ^ parity_join.folded(two, width)).sum())
         assert 0 < distance <= len(np.setxor1d(a, b)) and distance % 2 == len(np.setxor1d(a, b)) % 2
 
 
+def test_cells_lose_no_pair():
+    """Sets of a cell, in one part and in two, against all pairs whose sketches allow similarity."""
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.permutation(60)[: 60 - k % 9]], rng.integers(0, 1 << 63, k % 9, dtype=np.uint64)])) for k in range(40)]
+    similar = {(a, b) for a in range(40) for b in range(a + 1, 40) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert 50 < len(similar) < 700
+    for side in ([0] * 40, [k % 2 for k in range(40)]):
+        rows = {"key": [7] * 40, "node": list(range(40)), "label": list(range(40)), "i": [0] * 40, "j": [max(side)] * 40, "side": side, "n": [len(s) for s in sets], "sketch": [parity_join.bit_sketch(s).tolist() for s in sets]}
+        pairs = parity_join.pairs_of(pa.RecordBatch.from_pydict(rows), 80).to_pylist()
+        found = {(r["a"], r["b"]) for r in pairs}
+        assert len(found) == len(pairs) and found >= {(a, b) for a, b in similar if max(side) == 0 or side[a] != side[b]}
+
+
 def test_join_of_odd_tables(spark, odd, monkeypatch):
     found = parity_join.similarity_classes(odd).collect()
     by = defaultdict(list)
