@@ -227,7 +227,7 @@ def test_join_is_that_of_brute_force(spark, monkeypatch, similarity):
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     want = classes_by_hand(shingle_sets(rows), similarity)
-    assert len({c for _, c in want.values()}) < len(rows) - 100
+    assert len({c for _, c in want.values()}) < len(rows) - 50  # there is something to find
     for few, cell in ((1 << 31, 2048), (1, 8)):
         monkeypatch.setattr(parity_join, "FEW_PAIRS", few)
         monkeypatch.setattr(parity_join, "CELL_SETS", cell)
