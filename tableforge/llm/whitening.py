@@ -2,9 +2,10 @@
 
 Every step that touches the vectors is one pass, in which each task adds up X'(XQ) of its own centred rows and Spark sums
 the d x block partial results; the driver holds Q and no vector. A polynomial recurrence of such passes damps the
-spectrum below the block's smallest Ritz value, QR makes the block orthonormal again, and a Rayleigh-Ritz step gives
-values, vectors and their residuals. The iteration ends when every wanted residual is certified small; it raises if that
-doesn't come about.
+spectrum from its lower end to the block's smallest Ritz value, QR makes the block orthonormal again, and a Rayleigh-Ritz
+step gives values, vectors and their residuals. One more column of each pass is a Lanczos step, which finds the lower end.
+Vectors whose residual is small are kept and projected out of the recurrence, as the largest would drown the others. The
+iteration ends when every wanted residual is certified small; it raises if that doesn't come about.
 
 Rows with a null vector, a null or non-finite entry or an entry beyond LARGEST are left out, and so are vectors of
 another length than most have (of equally frequent lengths the larger counts). Repeated rows count as often as they
@@ -88,10 +89,41 @@ def added(x: DataFrame, part: Callable[[np.ndarray], np.ndarray], shape: tuple[i
     return out
 
 
-def degree_for(theta: np.ndarray, wanted: int, low: float, high: float) -> int:
-    """Passes in a filter: enough to damp by about 1e6 at the last wanted value, 4 to 24."""
-    reach = (theta[wanted - 1] - (high + low) / 2) / ((high - low) / 2)
-    return int(np.clip(np.ceil(np.log(2e6) / np.arccosh(max(reach, 1 + 1e-9))), 4, 24))
+class LowerEnd:
+    """Where the spectrum begins: Lanczos steps, orthogonal to all before, of one random direction."""
+
+    def __init__(self, d: int, rng: np.random.Generator):
+        self.rng, self.basis, self.images = rng, np.zeros((d, 0)), np.zeros((d, 0))
+        self.next = self.orthogonal(rng.standard_normal(d))
+
+    def orthogonal(self, v: np.ndarray) -> np.ndarray:
+        for _ in range(2):
+            v = v / np.linalg.norm(v)
+            v = v - self.basis @ (self.basis.T @ v)
+        return (v / np.linalg.norm(v))[:, None]
+
+    def step(self, image: np.ndarray) -> None:
+        """``image``: the covariance's product with ``next``."""
+        self.basis, self.images = np.hstack([self.basis, self.next]), np.hstack([self.images, image])
+        if self.basis.shape[0] == self.basis.shape[1]:
+            self.next = self.next[:, :0]  # the whole space is known
+            return
+        rest = image[:, 0] - self.basis @ (self.basis.T @ image[:, 0])
+        self.next = self.orthogonal(rest if np.linalg.norm(rest) > RANK * np.linalg.norm(image) else self.rng.standard_normal(len(rest)))
+
+    def value(self) -> float:
+        """The smallest Ritz value less its residual. Directions below are damped less, but by more than the wanted ones."""
+        h = self.basis.T @ self.images
+        theta, turn = np.linalg.eigh((h + h.T) / 2)
+        return max(0.0, float(theta[0] - np.linalg.norm(self.images @ turn[:, 0] - theta[0] * (self.basis @ turn[:, 0]))))
+
+
+def degree_for(top: float, wanted: float, low: float, high: float, needed: float) -> int:
+    """Passes in a filter: enough to damp by ``needed`` at the last wanted value, but no more than let ``top``, the largest
+    that isn't kept, outgrow it by 1e9 (beyond that rounding would hide it); 4 to 24."""
+    rate = lambda v: np.arccosh(max((v - (high + low) / 2) / ((high - low) / 2), 1 + 1e-9))
+    most = np.log(1e9) / max(rate(top) - rate(wanted), 1e-9)
+    return int(np.clip(min(np.ceil(np.log(needed) / rate(wanted)), most), 4, 24))
 
 
 def fit(x: DataFrame, components: int = COMPONENTS, guard: int = GUARD, seed: int = 1) -> Whitening | None:
@@ -102,22 +134,27 @@ def fit(x: DataFrame, components: int = COMPONENTS, guard: int = GUARD, seed: in
     d, n = first.d, x.count()
     sums = added(x, lambda m: m.sum(0)[:, None], (d, 1), "long")[:, 0]
     trace = float(added(x, lambda m: (centred(m, n, sums) ** 2).sum(0)[:, None], (d, 1), "double").sum()) / n
-    passes = [2]
+    passes, rng = [2], np.random.default_rng(seed)
+    end = LowerEnd(d, rng)
 
     def applied(q: np.ndarray) -> np.ndarray:
         """V q, in one pass."""
         passes[0] += 1
+        columns = np.hstack([q, end.next])
 
         def part(m: np.ndarray) -> np.ndarray:
             c = centred(m, n, sums)
-            return c.T @ (c @ q)
+            return c.T @ (c @ columns)
 
-        return added(x, part, q.shape, "double") / n
+        out = added(x, part, columns.shape, "double") / n
+        if end.next.size:
+            end.step(out[:, q.shape[1] :])
+        return out[:, : q.shape[1]]
 
     if trace <= 0:
         return Whitening(n, sums, np.zeros(0), np.zeros((d, 0)), 0.0, 0.0, passes[0])
     width = min(d, components + max(2, guard))  # what is damped ends below the wanted values
-    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, width)))[0]
+    q = np.linalg.qr(rng.standard_normal((d, width)))[0]
     best = np.inf
     for _ in range(ROUNDS):
         w = applied(q)
@@ -126,22 +163,27 @@ def fit(x: DataFrame, components: int = COMPONENTS, guard: int = GUARD, seed: in
         theta, turn = theta[::-1], turn[:, ::-1]
         q, w = q @ turn, w @ turn
         wanted = int((theta[:components] > RANK * theta[0]).sum())
-        residual = float(np.linalg.norm(w[:, :wanted] - q[:, :wanted] * theta[:wanted], axis=0).max())
+        residuals = np.linalg.norm(w[:, :wanted] - q[:, :wanted] * theta[:wanted], axis=0)
+        residual = float(residuals.max())
         # certified, or at the floor of double precision: no better than the round before, and nearly there
         if residual <= TOLERANCE * theta[0] or (residual <= 50 * TOLERANCE * theta[0] and residual > best / 2):
             v = q[:, :wanted]
             sign = np.sign(v[np.abs(v).argmax(0), np.arange(wanted)])
             return Whitening(n, sums, theta[:wanted], v * sign, trace, residual, passes[0])
         best = min(best, residual)
-        low, high = 0.0, max(float(theta[-1]), RANK * float(theta[0]))
+        done = int(np.argmax(np.append(residuals, np.inf) > TOLERANCE * theta[0]))
+        keep, q, w, top = q[:, :done], q[:, done:], w[:, done:], float(theta[min(done, wanted - 1)])
+        apart = lambda b: b - keep @ (keep.T @ b)
+        high = max(float(theta[-1]), RANK * float(theta[0]))
+        low = end.value() if end.value() < high else 0.0
         half, middle = (high - low) / 2, (high + low) / 2
-        sigma = half / (theta[0] - middle)
-        rise, last, now = sigma, q, (w - middle * q) * (sigma / half)
-        for _ in range(degree_for(theta, wanted, low, high) - 1):
+        sigma = half / (top - middle)
+        rise, last, now = sigma, q, apart((w - middle * q) * (sigma / half))
+        for _ in range(degree_for(top, float(theta[wanted - 1]), low, high, 10 * residual / (TOLERANCE * theta[0])) - 1):
             step = 1 / (2 / rise - sigma)
-            last, now = now, 2 * step / half * (applied(now) - middle * now) - sigma * step * last
+            last, now = now, apart(2 * step / half * (applied(now) - middle * now) - sigma * step * last)
             sigma = step
-        q = np.linalg.qr(now)[0]
+        q = np.linalg.qr(np.hstack([keep, now]))[0]
     raise RuntimeError(f"not certified after {ROUNDS} rounds: residual {best}")
 
 

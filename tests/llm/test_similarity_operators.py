@@ -149,6 +149,17 @@ def test_whitening_is_that_of_a_dense_eigensolver(spark, shape, guard):
     assert np.allclose(out.groupby("component").explained.first(), e[:k] / e.sum(), rtol=1e-10)
 
 
+def test_whitening_of_many_equal_vectors_takes_few_passes(spark):
+    """A dominating direction above a flat spectrum, which drowned the others in the filter: no end after 60 rounds."""
+    rng = np.random.default_rng(8)
+    raw = rng.normal(0, 1, (3000, 64))
+    raw[::8] = 4 * rng.normal(0, 1, 64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(raw)], "vec_id long, embedding array<double>").repartition(3)
+    model = whitening.fit(whitening.usable(df))
+    _, e, _ = eigen((np.floor(1024 * raw) + 100_000))
+    assert model.passes <= 45 and np.allclose(model.values, e[:8], rtol=1e-12) and model.residual <= whitening.TOLERANCE * e[0]
+
+
 def test_whitening_of_odd_tables(spark):
     nan, inf = float("nan"), float("inf")
     good = [[float(i % 7), 0.5 * (i % 5), 3.0] for i in range(40)]
