@@ -7,6 +7,7 @@ bytes are packed from them by shifts. Python is only asked for the portable hash
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -101,6 +102,17 @@ def hll_estimate(df: DataFrame, keys: list[str], value: str, log2m: int = 12, re
     return rough.join(exact, on, "left").select(*keys, F.coalesce(F.col("_n").cast("double"), "estimate").alias("estimate"))
 
 
+def with_part(df: DataFrame, keys: list[str], value: str, log2m: int = 12, regwidth: int = 6, part: str = "_part") -> DataFrame:
+    """``df`` and the part of all values that a row's value belongs to. There are so many parts, by the estimate of the
+    largest group, that sketches by keys and part stay explicit (their mean lies twelve deviations below the limit), at any
+    size. Parts share no value, so their counts add up exactly; only keys and parts with values have a sketch."""
+    mean = (math.sqrt(limits(log2m, regwidth)[0] + 36) - 6) ** 2
+    hashes = df.where(F.col(f"`{value}`").isNotNull()).select(*[F.col(f"`{k}`") for k in keys], F.xxhash64(F.col(f"`{value}`")).alias("_h"))
+    most = estimate_of_registers(registers_of_hash(hashes, keys, "_h"), keys).agg(F.ceil(F.coalesce(F.max("estimate"), F.lit(1.0)) / mean).alias("_parts"))
+    own = F.pmod(F.xxhash64(F.lit("part"), F.col(f"`{value}`")), F.col("_parts"))
+    return df.crossJoin(F.broadcast(most)).withColumn(part, own).drop("_parts")
+
+
 @dataclass
 class Sketch:
     """The distinct hashes while they are few, else registers."""
