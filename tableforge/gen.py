@@ -8,7 +8,7 @@ import binascii
 import datetime
 import ipaddress
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from re import _constants as K
 from re import _parser
@@ -245,8 +245,44 @@ def _binary(spec: dict, draw: Draw) -> Column:
     return _out(F.unhex(_joined(spec.get("len", 0), lambda j: F.element_at(codes, (draw.below(len(alphabet), j) + 1).cast("int")))), spec)
 
 
-def _items(seed: int, n: int, below: int) -> np.ndarray:
-    return np.random.Generator(np.random.Philox(seed & (1 << 64) - 1)).integers(0, below, n)
+#: Items that numpy handles at a time.
+ITEMS = 1 << 14
+
+
+def _items(seeds: list[int], n: int, below: int) -> np.ndarray:
+    """A row of n items for each seed: those of Generator(Philox(seed)), whose start one generator is given in turn."""
+    bits = np.random.Philox(0)
+    random, start, out = np.random.Generator(bits), bits.state, np.zeros((len(seeds), n), np.int64)
+    for k, seed in enumerate(seeds):
+        start["state"]["key"] = np.random.SeedSequence(seed & (1 << 64) - 1).generate_state(2, np.uint64)
+        bits.state = start
+        out[k] = random.integers(0, below, n)
+    return out
+
+
+def _blocks(seeds: pd.Series, n: int, below: int) -> Iterator[np.ndarray]:
+    all_, rows = seeds.tolist(), max(1, ITEMS // max(n, 1))
+    for at in range(0, len(all_), rows):
+        yield _items(all_[at : at + rows], n, below)
+
+
+def _sketches(items: np.ndarray, log2m: int, width: int) -> list[bytes]:
+    """The HLL sketch of each row of items."""
+    rows, n = items.shape
+    hashes = np.sort(hll.murmur3_words(items.reshape(-1).astype(np.uint64)).reshape(rows, n), axis=1)
+    few, head, raw = hll.limits(log2m, width)[0], hll.header("explicit", log2m, width), hashes.astype(">u8").tobytes()
+    distinct = (hashes[:, 1:] != hashes[:, :-1]).sum(1) + 1 if n else np.zeros(rows, int)
+    out = []
+    for k, count in enumerate(distinct.tolist()):
+        if 0 < count == n <= few:
+            out.append(head + raw[8 * n * k : 8 * n * (k + 1)])
+            continue
+        own = np.unique(hashes[k]).view(np.int64)
+        best = np.zeros(1 << log2m if count > few else 0, np.int64)
+        if count > few:
+            np.maximum.at(best, *hll.registers_of(own, log2m, width))
+        out.append(hll.to_bytes(np.flatnonzero(best), best[best > 0], own, log2m, width))
+    return out
 
 
 def _hll(spec: dict, draw: Draw) -> Column:
@@ -255,14 +291,7 @@ def _hll(spec: dict, draw: Draw) -> Column:
 
     @F.pandas_udf("binary")
     def sketch(seeds: pd.Series) -> pd.Series:
-        out = []
-        for s in seeds.tolist():
-            hashes = np.unique(hll.murmur3_words(_items(s, n, below).astype(np.uint64)).view(np.int64))
-            idx, reg = hll.registers_of(hashes, log2m, width)
-            best = np.zeros(1 << log2m, np.int64)
-            np.maximum.at(best, idx, reg)
-            out.append(hll.to_bytes(np.flatnonzero(best), best[best > 0], hashes, log2m, width))
-        return pd.Series(out)
+        return pd.Series([raw for items in _blocks(seeds, n, below) for raw in _sketches(items, log2m, width)], dtype=object)
 
     return _out(sketch(draw.number()), spec)
 
@@ -272,7 +301,7 @@ def _tdigest(spec: dict, draw: Draw) -> Column:
 
     @F.pandas_udf("binary")
     def sketch(seeds: pd.Series) -> pd.Series:
-        return pd.Series([tdigest.to_bytes(tdigest.of_values(_items(s, n, below).astype(float), size)) for s in seeds.tolist()])
+        return pd.Series([tdigest.to_bytes(tdigest.of_values(row, size)) for items in _blocks(seeds, n, below) for row in items.astype(float)], dtype=object)
 
     return _out(sketch(draw.number()), spec)
 

@@ -9,6 +9,7 @@ import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -281,6 +282,20 @@ def test_hll_bytes(n):
     assert hll.to_bytes(i, r, h, 12, 6) == raw and abs(hll.estimate(raw) - n) <= 0.05 * n
 
 
+@pytest.mark.parametrize("n, below, log2m, regwidth", [(0, 5, 12, 6), (1, 5, 12, 6), (300, 1_000_000, 12, 6), (300, 200, 12, 6), (1000, 1_000_000, 12, 6), (1000, 400, 12, 6), (5000, 1_000_000, 12, 6), (50, 1000, 8, 4)])
+def test_sketches_of_many_rows_at_once(monkeypatch, n, below, log2m, regwidth):
+    """The bytes that rows would give one by one, though items are hashed by block."""
+    seeds = pd.Series(np.random.default_rng(n).integers(-(1 << 63), (1 << 63) - 1, 100))
+    want = []
+    for seed in seeds.tolist():
+        items = np.random.Generator(np.random.Philox(seed & (1 << 64) - 1)).integers(0, below, n)
+        want.append(hll.Sketch.empty(log2m, regwidth).add(hll.murmur3_words(items.astype(np.uint64)).view(np.int64)).to_bytes())
+    calls, plain = [], hll.murmur3_words
+    monkeypatch.setattr(hll, "murmur3_words", lambda words: calls.append(len(words)) or plain(words))
+    assert [raw for items in gen._blocks(seeds, n, below) for raw in gen._sketches(items, log2m, regwidth)] == want
+    assert len(calls) <= 1 + 100 * n // (gen.ITEMS - n)
+
+
 def test_hll_packing_and_hash():
     assert hll.bits(np.array([11 << 6 | 6, 1099 << 6 | 19]), 17).hex() == "016344b4c0"
     assert [int(x) for x in hll.murmur3([b"hello", b"The quick brown fox jumps over the lazy dog"])] == [0xCBD8A7B341BD9B02, 0xE34BBC7BBC071B6C]
